@@ -12,12 +12,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from threadline.functions import roles as R
 from threadline.functions import text as T
+from threadline.operators import augment as A
 from threadline.operators import chunk as C
 from threadline.operators import dedup as D
 from threadline.operators import filters as FL
 from threadline.operators import nested as N
+from threadline.operators import render as RD
+from threadline.operators import runs as RU
+from threadline.operators import sample as SA
+from threadline.operators import split as SP
 from threadline.operators import stats as S
+from threadline.operators.positions import turn_positions
 from threadline.plans import curate as CU
 from threadline.sources import tables as TB
 
@@ -189,3 +196,340 @@ per AS (
 {SQL_STATS_TAIL}""")
 def q_curate_stats(spark, d):
     return flagship(spark, d)
+
+
+# -- more filters ---------------------------------------------------------------
+
+SEED = 42
+EVENT_TYPES = ("click", "purchase")
+MIN_EVENTS = 8
+FIRST_N = 20
+# capitalised ASCII words after a space or at the start of a turn
+NAME_PATTERN = r"(?:^|[ ])([A-Z][a-z]+)"
+EXPECTED_NAMES = ("The", "Les", "Die", "Los", "Und", "Bash", "Read", "Write")
+DECIMAL_PATTERN = r"([0-9]+\.[0-9]+)"
+
+SQL_POS_ALL = """
+SELECT conv_id, turn, role, text,
+       row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS pos,
+       count(*) OVER (PARTITION BY conv_id) AS n
+FROM conversations"""
+
+
+def _pos_all(spark, d):
+    return turn_positions(_conv(spark, d), "conv_id", "turn")
+
+
+@query("map_roles", """
+SELECT conv_id, turn, CASE WHEN role = 'user' THEN 'user' ELSE 'assistant' END AS role FROM conversations""")
+def q_map_roles(spark, d):
+    c = _conv(spark, d)
+    return c.select("conv_id", "turn", R.map_role_else("role", {R.USER: R.USER}, R.ASSISTANT).alias("role"))
+
+
+@query("valid_structure", """
+SELECT conv_id, count(*) AS n_turns FROM conversations GROUP BY conv_id HAVING count(*) >= 2""")
+def q_valid_structure(spark, d):
+    return FL.valid_structure(_conv(spark, d), min_turns=2)
+
+
+@query("role_set_check", """
+SELECT conv_id,
+       count(*) FILTER (WHERE role IS NULL OR role NOT IN ('user', 'assistant')) AS n_other_roles,
+       bool_or(coalesce(role = 'user', false)) AS has_user,
+       bool_or(coalesce(role = 'assistant', false)) AS has_assistant,
+       count(*) FILTER (WHERE role IS NULL OR role NOT IN ('user', 'assistant')) = 0
+         AND bool_or(coalesce(role = 'user', false)) AND bool_or(coalesce(role = 'assistant', false)) AS roles_ok
+FROM conversations GROUP BY conv_id""")
+def q_role_set_check(spark, d):
+    return FL.role_set_check(_conv(spark, d))
+
+
+@query("min_event_gate", f"""
+SELECT user_id, count(*) FILTER (WHERE event_type IN {EVENT_TYPES}) AS n_matching
+FROM events GROUP BY user_id HAVING count(*) FILTER (WHERE event_type IN {EVENT_TYPES}) >= {MIN_EVENTS}""")
+def q_min_event_gate(spark, d):
+    return FL.min_event_gate(TB.table(spark, d, "events"), EVENT_TYPES, MIN_EVENTS)
+
+
+@query("first_n", f"""
+SELECT conv_id, turn, role FROM conversations ORDER BY conv_id, turn LIMIT {FIRST_N}""")
+def q_first_n(spark, d):
+    return FL.first_n(_conv(spark, d).select("conv_id", "turn", "role"), FIRST_N, ["conv_id", "turn"])
+
+
+# -- nested -------------------------------------------------------------------------
+
+@query("assemble", """
+SELECT conv_id, CAST(0 AS BIGINT) AS start, count(*) AS n_turns,
+       string_agg(CAST(turn AS VARCHAR), ',' ORDER BY turn) AS turn_list
+FROM conversations GROUP BY conv_id""")
+def q_assemble(spark, d):
+    recs = N.assemble(_conv(spark, d))
+    return recs.select("conv_id", "start", F.size("turns").cast("bigint").alias("n_turns"),
+                       F.array_join(F.transform("turns", lambda t: t["turn"].cast("string")), ",").alias("turn_list"))
+
+
+@query("explode_turns", """
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS idx, turn, role
+FROM conversations""")
+def q_explode_turns(spark, d):
+    return N.explode_turns(N.assemble(_conv(spark, d))).select("conv_id", "idx", "turn", "role")
+
+
+@query("to_messages", """
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS idx,
+       CASE WHEN role = 'user' THEN 'user' ELSE 'assistant' END AS role, text AS content
+FROM conversations""")
+def q_to_messages(spark, d):
+    recs = N.to_messages(N.assemble(_conv(spark, d)))
+    return (recs.select("conv_id", F.posexplode("messages").alias("idx", "m"))
+            .select("conv_id", F.col("idx").cast("bigint").alias("idx"), "m.role", "m.content"))
+
+
+@query("render_text", """
+SELECT conv_id, CAST(0 AS BIGINT) AS start,
+       coalesce(string_agg(CASE role WHEN 'user' THEN 'User' ELSE 'Assistant' END || ': ' || coalesce(text, ''),
+                           chr(10) || chr(10) ORDER BY turn) FILTER (WHERE role IN ('user', 'assistant')), '')
+         AS text
+FROM conversations GROUP BY conv_id""")
+def q_render_text(spark, d):
+    return RD.render_text(N.assemble(_conv(spark, d))).select("conv_id", "start", "text")
+
+
+# -- record transforms (flat, positioned) -----------------------------------------------
+
+@query("aug_reverse", f"""
+WITH p AS ({SQL_POS_ALL})
+SELECT conv_id, turn, role,
+       CASE WHEN n >= 4 AND pos >= 2 AND pos <= n - 2 THEN n - pos ELSE pos END AS pos
+FROM p""")
+def q_aug_reverse(spark, d):
+    return A.aug_reverse(_pos_all(spark, d)).select("conv_id", "turn", "role", "pos")
+
+
+@query("aug_shorten", f"""
+WITH p AS ({SQL_POS_ALL})
+SELECT conv_id, turn, role, CASE WHEN n >= 6 AND pos >= 2 THEN pos - (n - 4) ELSE pos END AS pos
+FROM p WHERE n < 6 OR pos < 2 OR pos >= n - 2""")
+def q_aug_shorten(spark, d):
+    return A.aug_shorten(_pos_all(spark, d)).select("conv_id", "turn", "role", "pos")
+
+
+def sql_prefix(seed=SEED) -> str:
+    pref = ", ".join("'" + p + "'" for p in A.PARAPHRASE_PREFIXES)
+    return f"""
+CASE WHEN role = 'user'
+      AND CAST('0x' || substr(md5('{seed}:prefix:' || conv_id || ':' || pos), 1, 8) AS BIGINT) % 2 = 1
+     THEN [{pref}][CAST('0x' || substr(md5('{seed}:prefix:' || conv_id || ':' || pos), 9, 8) AS BIGINT) % 4 + 1]
+          || text
+     ELSE text END"""
+
+
+@query("aug_prefix", f"""
+WITH p AS ({SQL_POS_ALL})
+SELECT conv_id, turn, role, {sql_prefix()} AS text FROM p""")
+def q_aug_prefix(spark, d):
+    return A.aug_prefix(_pos_all(spark, d), "conv_id", SEED).select("conv_id", "turn", "role", "text")
+
+
+SQL_SAMPLE = f"""
+sr AS (SELECT conv_id, row_number() OVER (ORDER BY md5('{SEED}:' || conv_id), conv_id) - 1 AS gpos,
+              count(*) OVER () AS nrec
+       FROM (SELECT DISTINCT conv_id FROM conversations)),
+sel AS (SELECT conv_id FROM sr WHERE gpos < least(CAST(floor(nrec * 0.5) AS BIGINT), nrec))"""
+
+SQL_KIND = f"""['reverse', 'shorten', 'paraphrase'][
+  CAST('0x' || substr(md5('{SEED}:kind:' || conv_id), 1, 8) AS BIGINT) % 3 + 1]"""
+
+SQL_AUG = f"""
+p AS ({SQL_POS_ALL}),
+{SQL_SAMPLE},
+ak AS (SELECT p.*, {SQL_KIND} AS aug_type FROM p JOIN sel USING (conv_id)),
+aug AS (
+  SELECT conv_id, turn, role, aug_type,
+         CASE aug_type WHEN 'paraphrase' THEN ({sql_prefix()}) ELSE text END AS text,
+         CASE aug_type WHEN 'reverse' THEN CASE WHEN n >= 4 AND pos >= 2 AND pos <= n - 2 THEN n - pos ELSE pos END
+                       WHEN 'shorten' THEN CASE WHEN n >= 6 AND pos >= 2 THEN pos - (n - 4) ELSE pos END
+                       ELSE pos END AS pos
+  FROM ak WHERE aug_type <> 'shorten' OR n < 6 OR pos < 2 OR pos >= n - 2)"""
+
+
+@query("sample_exact", f"""
+WITH {SQL_SAMPLE}
+SELECT conv_id FROM sel""")
+def q_sample_exact(spark, d):
+    c = _conv(spark, d)
+    smp = SA.exact_sample(c, "conv_id", SEED, ratio=0.5)
+    return c.filter(smp.predicate()).select("conv_id").distinct()
+
+
+@query("augment_mixed", f"""
+WITH {SQL_AUG}
+SELECT conv_id, aug_type, pos, turn, role, text FROM aug""")
+def q_augment_mixed(spark, d):
+    h = A.hybrid(_conv(spark, d), "conv_id", "turn", 0.5, SEED)
+    return h.filter(F.col("variant") == 1).select("conv_id", "aug_type", "pos", "turn", "role", "text")
+
+
+@query("hybrid_union", f"""
+WITH {SQL_AUG}
+SELECT conv_id, 0 AS variant, pos, turn, role, text FROM p
+UNION ALL
+SELECT conv_id, 1 AS variant, pos, turn, role, text FROM aug""")
+def q_hybrid_union(spark, d):
+    h = A.hybrid(_conv(spark, d), "conv_id", "turn", 0.5, SEED)
+    return h.select("conv_id", "variant", "pos", "turn", "role", "text")
+
+
+# -- splits --------------------------------------------------------------------------
+
+def sql_split(order: str, rule: str = "cumulative") -> str:
+    valid_end = ("floor(nrec * (0.8::DOUBLE + 0.1::DOUBLE))" if rule == "cumulative"
+                 else "floor(nrec * 0.8::DOUBLE) + floor(nrec * 0.1::DOUBLE)")
+    return f"""
+WITH r AS (SELECT conv_id, row_number() OVER (ORDER BY {order}) - 1 AS gpos, count(*) OVER () AS nrec
+           FROM (SELECT DISTINCT conv_id FROM conversations))
+SELECT conv_id, CASE WHEN gpos < floor(nrec * 0.8::DOUBLE) THEN 'train'
+                     WHEN gpos < {valid_end} THEN 'valid' ELSE 'test' END AS split
+FROM r"""
+
+
+def _split_records(spark, d, seed, rule):
+    recs = _conv(spark, d).select("conv_id").distinct()
+    return SP.split_prefix(recs, "conv_id", seed=seed, rule=rule).select("conv_id", "split")
+
+
+@query("split_prefix", sql_split(f"md5('{SEED}:' || conv_id), conv_id"))
+def q_split_prefix(spark, d):
+    return _split_records(spark, d, SEED, "cumulative")
+
+
+@query("split_prefix_v2", sql_split("conv_id", "additive"))
+def q_split_prefix_v2(spark, d):
+    return _split_records(spark, d, None, "additive")
+
+
+@query("split_grouped", f"""
+SELECT DISTINCT conv_id,
+       CASE WHEN CAST('0x' || substr(md5('{SEED}:' || conv_id), 1, 8) AS BIGINT) % 1000 < 800 THEN 'train'
+            WHEN CAST('0x' || substr(md5('{SEED}:' || conv_id), 1, 8) AS BIGINT) % 1000 < 900 THEN 'valid'
+            ELSE 'test' END AS split
+FROM conversations""")
+def q_split_grouped(spark, d):
+    return SP.split_grouped(_conv(spark, d).select("conv_id").distinct(), "conv_id", SEED)
+
+
+@query("split_sizes", f"""
+WITH s AS ({sql_split(f"md5('{SEED}:' || conv_id), conv_id")})
+SELECT split, count(*) AS n_records, count(*) / sum(count(*)) OVER () * 100 AS share_pct
+FROM s GROUP BY split""")
+def q_split_sizes(spark, d):
+    return S.split_sizes(_split_records(spark, d, SEED, "cumulative"))
+
+
+# -- runs, names, reports --------------------------------------------------------------
+
+@query("max_role_run", """
+WITH p AS (SELECT conv_id, role,
+                  row_number() OVER (PARTITION BY conv_id ORDER BY turn)
+                  - row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS island
+           FROM conversations),
+r AS (SELECT conv_id, role, island, count(*) AS run_len FROM p GROUP BY conv_id, role, island)
+SELECT conv_id, max(run_len) AS max_run FROM r GROUP BY conv_id""")
+def q_max_role_run(spark, d):
+    return RU.max_role_run(_conv(spark, d))
+
+
+@query("distinct_names", f"""
+SELECT DISTINCT unnest(regexp_extract_all(text, '{NAME_PATTERN}', 1)) AS name
+FROM conversations WHERE role = 'assistant'""")
+def q_distinct_names(spark, d):
+    return S.distinct_names(_conv(spark, d), NAME_PATTERN, R.ASSISTANT)
+
+
+@query("core_name_overlap", f"""
+SELECT DISTINCT name FROM (
+  SELECT unnest(regexp_extract_all(text, '{NAME_PATTERN}', 1)) AS name
+  FROM conversations WHERE role = 'assistant')
+WHERE name IN {EXPECTED_NAMES}""")
+def q_core_name_overlap(spark, d):
+    return S.name_overlap(S.distinct_names(_conv(spark, d), NAME_PATTERN, R.ASSISTANT), EXPECTED_NAMES)
+
+
+@query("gate_report", f"""
+WITH {sql_windows()},
+g AS (SELECT conv_id, start, count(*) AS c,
+             count(*) FILTER (WHERE role = 'assistant' AND contains(text, '{MARKER_A}')) AS a,
+             count(*) FILTER (WHERE contains(text, '{MARKER_B}')) AS b,
+             arg_min(role, pos) AS fr
+      FROM m GROUP BY conv_id, start)
+SELECT CASE WHEN c < 3 THEN 'too_short' WHEN a < {MIN_MARKED} THEN 'few_marked'
+            WHEN b < 1 THEN 'no_response' WHEN fr <> 'user' THEN 'wrong_first_role'
+            ELSE 'accepted' END AS reason,
+       count(*) AS n_records
+FROM g GROUP BY 1""")
+def q_gate_report(spark, d):
+    return S.gate_report(_windows(spark, d), **GATE)
+
+
+# -- scalar functions -------------------------------------------------------------------
+
+@query("truncate_long", """
+SELECT doc_id, CASE WHEN length(text) > 3000 THEN substr(text, 1, 2500) || chr(10) || '...[truncated]...'
+                    ELSE text END AS text
+FROM documents""")
+def q_truncate_long(spark, d):
+    return TB.table(spark, d, "documents").select("doc_id", T.truncate_long("text").alias("text"))
+
+
+@query("token_counts", f"""
+SELECT doc_id, CAST(coalesce(len(regexp_extract_all(text, '[^{WSC}]+')), 0) AS BIGINT) AS n_tokens
+FROM documents""")
+def q_token_counts(spark, d):
+    return TB.table(spark, d, "documents").select("doc_id", T.token_count("text").alias("n_tokens"))
+
+
+@query("extract_numbers", f"""
+SELECT doc_id, CAST(idx - 1 AS BIGINT) AS idx, CAST(v AS DOUBLE) AS value
+FROM (SELECT doc_id, unnest(regexp_extract_all(text, '{DECIMAL_PATTERN}', 1)) AS v,
+             generate_subscripts(regexp_extract_all(text, '{DECIMAL_PATTERN}', 1), 1) AS idx
+      FROM documents)""")
+def q_extract_numbers(spark, d):
+    docs = TB.table(spark, d, "documents")
+    return (docs.select("doc_id", F.posexplode(T.extract_all("text", DECIMAL_PATTERN, 1)).alias("idx", "v"))
+            .select("doc_id", F.col("idx").cast("bigint").alias("idx"), F.col("v").cast("double").alias("value")))
+
+
+def _event_text():
+    return F.concat(F.col("event_type"), F.lit(" -> "), F.col("props"))
+
+
+SQL_EVENT_TEXT = "event_type || ' -> ' || props"
+
+
+@query("embedded_json", f"""
+WITH e AS (SELECT event_id, {SQL_EVENT_TEXT} AS x FROM events),
+s AS (SELECT event_id, x,
+             CASE WHEN instr(x, '[') > 0 AND length(x) - instr(reverse(x), ']') + 1 > instr(x, '[')
+                       AND instr(reverse(x), ']') > 0
+                  THEN substr(x, instr(x, '['), length(x) - instr(reverse(x), ']') + 1 - instr(x, '[') + 1) END AS arr,
+             CASE WHEN instr(x, '{{') > 0 AND length(x) - instr(reverse(x), '}}') + 1 > instr(x, '{{')
+                       AND instr(reverse(x), '}}') > 0
+                  THEN substr(x, instr(x, '{{'), length(x) - instr(reverse(x), '}}') + 1 - instr(x, '{{') + 1) END AS obj
+      FROM e)
+SELECT event_id,
+       CASE WHEN json_valid(x) THEN x WHEN json_valid(arr) THEN arr WHEN json_valid(obj) THEN obj END AS json_text,
+       CASE WHEN json_valid(x) THEN 'whole' WHEN json_valid(arr) THEN 'array' WHEN json_valid(obj) THEN 'object' END
+         AS kind
+FROM s""")
+def q_embedded_json(spark, d):
+    ev = TB.table(spark, d, "events")
+    x = _event_text()
+    return ev.select("event_id", T.embedded_json(x).alias("json_text"), T.embedded_json_kind(x).alias("kind"))
+
+
+@query("trim_ws", f"""
+SELECT conv_id, turn, regexp_replace(text, '^[{WSC}]+|[{WSC}]+$', '', 'g') AS text FROM conversations""")
+def q_trim_ws(spark, d):
+    return _conv(spark, d).select("conv_id", "turn", T.trim_ws("text").alias("text"))

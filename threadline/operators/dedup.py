@@ -26,7 +26,13 @@ def keep_first(df: DataFrame, key: Column, order_cols) -> DataFrame:
     winners = (keyed.groupBy("_tl_key")
                .agg(F.min(F.struct(*[F.col(c) for c in order_cols])).alias("_tl_w"))
                .select(*[F.col(f"_tl_w.{c}").alias(c) for c in order_cols]))
-    return df.join(winners, on=order_cols, how="left_semi")
+    # null-safe keys: no inferred IsNotNull filter, so both uses of ``df``
+    # canonicalise alike and the upstream shuffle is reused
+    cond = None
+    for c in order_cols:
+        e = df[c].eqNullSafe(winners[c])
+        cond = e if cond is None else cond & e
+    return df.join(winners, cond, how="left_semi")
 
 
 def dedup_prefix(records: DataFrame, chars: int = T.FINGERPRINT_CHARS, order_cols=("conv_id", "start"),
