@@ -533,3 +533,96 @@ def q_embedded_json(spark, d):
 SELECT conv_id, turn, regexp_replace(text, '^[{WSC}]+|[{WSC}]+$', '', 'g') AS text FROM conversations""")
 def q_trim_ws(spark, d):
     return _conv(spark, d).select("conv_id", "turn", T.trim_ws("text").alias("text"))
+
+
+# -- hybrid dataset -----------------------------------------------------------------------
+
+from threadline.plans import hybrid as HY  # noqa: E402
+from threadline.plans import prepare as PR  # noqa: E402
+from threadline.session import scratch_path  # noqa: E402
+from threadline.sinks import export as X  # noqa: E402
+from threadline.sources import jsonl as J  # noqa: E402
+from threadline.streaming import ingest as IG  # noqa: E402
+
+SQL_HYBRID_ROWS = f"""
+{SQL_AUG},
+hy AS (SELECT conv_id, 0 AS variant, pos, turn, role, text FROM p
+       UNION ALL SELECT conv_id, 1 AS variant, pos, turn, role, text FROM aug),
+hr AS (SELECT conv_id, variant, row_number() OVER (ORDER BY md5('{SEED}:' || conv_id || ':' || variant), conv_id, variant) - 1 AS gpos,
+              count(*) OVER () AS nrec
+       FROM (SELECT DISTINCT conv_id, variant FROM hy)),
+hs AS (SELECT conv_id, variant,
+              CASE WHEN gpos < floor(nrec * 0.8::DOUBLE) THEN 'train'
+                   WHEN gpos < floor(nrec * (0.8::DOUBLE + 0.1::DOUBLE)) THEN 'valid' ELSE 'test' END AS split
+       FROM hr)"""
+
+
+@query("hybrid_split", f"""
+WITH {SQL_HYBRID_ROWS}
+SELECT conv_id, variant, split FROM hs""")
+def q_hybrid_split(spark, d):
+    rows, _ = HY.build_hybrid(_conv(spark, d), ratio=0.5, seed=SEED, marker=MARKER_A)
+    return rows.select("conv_id", "variant", "split").distinct()
+
+
+@query("hybrid_stats", f"""
+WITH {SQL_HYBRID_ROWS},
+per AS (SELECT conv_id, variant, count(*) AS n_turns,
+               sum(len(regexp_extract_all(text, '[^{WSC}]+'))) AS n_tokens,
+               bool_or(contains(text, '{MARKER_A}')) AS has_marker
+        FROM hy GROUP BY conv_id, variant)
+{SQL_STATS_TAIL}""")
+def q_hybrid_stats(spark, d):
+    _, stats = HY.build_hybrid(_conv(spark, d), ratio=0.5, seed=SEED, marker=MARKER_A)
+    return stats
+
+
+# -- sources and sinks (Spark-written JSONL derived from the tables) ----------------------
+
+SQL_FLAT_IDX = """
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS idx, role, text
+FROM conversations"""
+
+
+def _write_conversation_jsonl(spark, d, root: str) -> None:
+    """Interchange JSONL of every conversation (grouped split folders), a copy below
+    a sub-agent folder, and junk lines (blank, prose, JSON without records)."""
+    recs = SP.split_grouped(N.assemble(_conv(spark, d)), "conv_id", SEED)
+    X.write_records(recs, f"{root}/main", "split")
+    X.write_records(recs, f"{root}/subagents/copy", None)
+    c = _conv(spark, d)
+    junk = c.select(F.when(F.col("turn") == 0, F.col("text")).otherwise(F.lit("")).alias("value"))
+    junk.write.mode("overwrite").text(f"{root}/junk/text")
+    c.select("conv_id", F.lit("no records here").alias("note")).write.mode("overwrite").json(f"{root}/junk/json")
+
+
+@query("jsonl_roundtrip", SQL_FLAT_IDX)
+def q_jsonl_roundtrip(spark, d):
+    root = scratch_path(spark, "roundtrip")
+    _write_conversation_jsonl(spark, d, root)
+    recs = J.scan_jsonl(spark, root, recursive=True, glob=None, exclude_fragment=J.SUBAGENT_FRAGMENT)
+    return (J.flatten_records(recs, ["conv_id"])
+            .select("conv_id", F.col("pos").alias("idx"), "role", "text"))
+
+
+@query("prepare_split", sql_split("conv_id", "additive"))
+def q_prepare_split(spark, d):
+    root = scratch_path(spark, "prepare")
+    recs = N.assemble(_conv(spark, d)).orderBy("conv_id")  # range-partitioned: file order = id order
+    X.write_records(recs, root, None)
+    labelled = PR.label_splits(spark, root, glob="*.json")
+    return labelled.select("conv_id", "split")
+
+
+@query("ingest_incremental", SQL_FLAT_IDX)
+def q_ingest_incremental(spark, d):
+    root = scratch_path(spark, "ingest")
+    src, target, ckpt = f"{root}/source", f"{root}/target", f"{root}/checkpoint"
+    recs = SP.split_grouped(N.assemble(_conv(spark, d)), "conv_id", SEED)
+    X.write_records(recs.filter(F.col("split") == "train"), src, None)
+    IG.ingest_incremental(spark, src, target, ckpt, glob="*.json")
+    X.write_records(recs.filter(F.col("split") != "train"), src, None, mode="append")
+    IG.ingest_incremental(spark, src, target, ckpt, glob="*.json")
+    IG.ingest_incremental(spark, src, target, ckpt, glob="*.json")  # nothing new: adds 0 rows
+    return (J.flatten_records(IG.read_ingested(spark, target), ["conv_id"])
+            .select("conv_id", F.col("pos").alias("idx"), "role", "text"))
