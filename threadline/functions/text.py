@@ -98,7 +98,17 @@ def _span(c: Column, open_ch: str, close_ch: str) -> Column:
 
 
 def _parses(c: Column) -> Column:
-    return F.try_parse_json(c).isNotNull()
+    """``c`` is exactly one JSON value.
+
+    ``try_parse_json`` stops after the first value and ignores what follows;
+    a string that also parses inside ``[...]`` and as the value of
+    ``{"v": ...}`` cannot carry trailing content (the two wrappers cannot
+    both be closed early), which matches ``json.loads`` except for its
+    non-standard ``NaN``/``Infinity`` literals.
+    """
+    return (F.try_parse_json(c).isNotNull()
+            & F.try_parse_json(F.concat(F.lit("["), c, F.lit("]"))).isNotNull()
+            & F.try_parse_json(F.concat(F.lit('{"v":'), c, F.lit("}"))).isNotNull())
 
 
 def embedded_json(x) -> Column:
