@@ -104,3 +104,23 @@ def test_hybrid_counts(spark):
     assert sum(1 for r in recs if r.variant == 1) == 4
     st = stats.collect()[0]
     assert st.total_conversations == 12
+
+
+def test_selection_narrowing_matches_sort(spark):
+    import hashlib
+
+    from threadline.operators.select import seeded_proxy_stats
+    n = 20000
+    df = spark.createDataFrame([(i,) for i in range(n)], "conv_id bigint")
+    ranks = [0, 777, 10000, 15999, n - 1]
+    total, at = seeded_proxy_stats(df, 42, ["conv_id"], ranks, max_collect=100, accuracy=1000)
+    order = sorted((hashlib.md5(f"42:{i}".encode()).hexdigest(), i) for i in range(n))
+    assert total == n
+    assert at == {k: order[k] for k in ranks}
+
+
+def test_selection_tie_group_falls_back_to_exact_rank(spark):
+    from threadline.operators.select import order_stats
+    df = spark.createDataFrame([(i,) for i in range(500)], "conv_id bigint")
+    total, at = order_stats(df, F.lit(0).cast("bigint"), ["conv_id"], [5, 123, 499], max_collect=10)
+    assert (total, at) == (500, {5: (5,), 123: (123,), 499: (499,)})

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadline.functions.hashing import seeded_hex
-from threadline.operators.positions import global_positions, key_below, order_statistics
+from threadline.operators.positions import key_below, order_statistics
+from threadline.operators.select import seeded_proxy_stats
 
 ORDER_COL = "_tl_order"
 
@@ -68,11 +69,15 @@ def exact_sample(records: DataFrame, keys, seed: int | str = 42, ratio: float |
     order key of the ``k``-th record reaches the driver.
     """
     keys = _names(keys)
-    recs = records.select(*keys).distinct().withColumn(ORDER_COL, shuffle_key(seed, keys))
-    ranked = global_positions(recs, [ORDER_COL, *keys])
-    total = ranked.total
-    k = sample_size(total, ratio if ratio is not None else 1.0) if k is None else min(int(k), total)
-    return ExactSample(keys, seed, total, k, ranked.rows_at([k]).get(k))
+    recs = records.select(*keys).distinct()
+    chosen = {}
+
+    def want(total: int) -> list[int]:
+        chosen["k"] = sample_size(total, ratio if ratio is not None else 1.0) if k is None else min(int(k), total)
+        return [chosen["k"]]
+
+    total, at = seeded_proxy_stats(recs, seed, keys, want)
+    return ExactSample(keys, seed, total, chosen["k"], at.get(chosen["k"]))
 
 
 def first_of_shuffle(records: DataFrame, keys, target: int, seed: int | str = 42) -> ExactSample:

@@ -18,10 +18,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as Ty
 
 from threadline.functions.hashing import seeded_bucket
 from threadline.operators.positions import global_positions
 from threadline.operators.sample import lex_below, shuffle_key
+from threadline.operators.select import order_stats, seeded_proxy_stats
+
+NUMERIC = (Ty.ByteType, Ty.ShortType, Ty.IntegerType, Ty.LongType, Ty.FloatType, Ty.DoubleType, Ty.DecimalType)
 
 # The reference's split ratios and names.
 SPLIT_RATIOS = (0.8, 0.1, 0.1)
@@ -79,16 +83,23 @@ def prefix_split(records: DataFrame, keys, seed: int | str | None = None,
     """
     keys = _names(keys)
     recs = records.select(*keys).distinct()
-    if seed is None:
-        order_cols, order_exprs = keys, [F.col(k) for k in keys]
-    else:
-        recs = recs.withColumn("_tl_order", shuffle_key(seed, keys))
-        order_cols = ["_tl_order", *keys]
+
+    def want(total: int) -> list[int]:
+        return list(split_bounds(total, ratios, rule))
+
+    if seed is not None:
         order_exprs = [shuffle_key(seed, keys), *[F.col(k) for k in keys]]
-    ranked = global_positions(recs, order_cols)
-    train_end, valid_end = split_bounds(ranked.total, ratios, rule)
-    at = ranked.rows_at([train_end, valid_end])
-    return PrefixSplit(order_exprs, ranked.total, train_end, valid_end, at.get(train_end), at.get(valid_end))
+        total, at = seeded_proxy_stats(recs, seed, keys, want)
+    elif isinstance(recs.schema[keys[0]].dataType, NUMERIC):
+        order_exprs = [F.col(k) for k in keys]
+        total, at = order_stats(recs, F.col(keys[0]), keys, want)
+    else:  # no numeric proxy for the first key: rank the record table exactly
+        order_exprs = [F.col(k) for k in keys]
+        ranked = global_positions(recs, keys)
+        total = ranked.total
+        at = ranked.rows_at(want(total))
+    train_end, valid_end = split_bounds(total, ratios, rule)
+    return PrefixSplit(order_exprs, total, train_end, valid_end, at.get(train_end), at.get(valid_end))
 
 
 def split_prefix(df: DataFrame, keys="conv_id", seed: int | str | None = None,
