@@ -168,3 +168,7 @@ def test_dataset_stats_zero_safe(spark):
     empty = spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")
     r = S.dataset_stats(empty).collect()[0]
     assert (r.total_conversations, r.total_turns, r.avg_turns_per_conv, r.marker_percentage) == (0, 0, 0.0, 0.0)
+
+
+def test_whitespace_chars_are_pythons_isspace_set():
+    assert T.WHITESPACE_CHARS == "".join(c for c in map(chr, range(0x110000)) if c.isspace())

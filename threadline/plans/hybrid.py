@@ -27,16 +27,16 @@ def _names(cols) -> list[str]:
 def build_hybrid(turns: DataFrame, keys="conv_id", order: str = "turn", ratio: float = 0.5,
                  seed: int | str = 42, split_ratios: Sequence[float] = SP.SPLIT_RATIOS,
                  rule: str = "cumulative", marker: str = S.STATS_MARKER,
-                 user_role: str = R.USER) -> tuple[DataFrame, DataFrame]:
-    """Return ``(rows, stats)``: flat hybrid turns with ``variant`` and ``split``, and
-    one-row statistics over the hybrid records."""
+                 user_role: str = R.USER, with_split: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Return ``(rows, stats)``: flat hybrid turns with ``variant`` (and ``split``
+    unless ``with_split=False``), and one-row statistics over the hybrid records."""
     keys = _names(keys)
     rows = A.hybrid(turns, keys, order, ratio, seed, user_role)
     rec_keys = [*keys, "variant"]
-    split = SP.prefix_split(rows, rec_keys, seed=seed, ratios=split_ratios, rule=rule)
-    labelled = rows.withColumn("split", split.label())
-    stats = S.dataset_stats(labelled, rec_keys, marker)
-    return labelled, stats
+    if with_split:
+        split = SP.prefix_split(rows, rec_keys, seed=seed, ratios=split_ratios, rule=rule)
+        rows = rows.withColumn("split", split.label())
+    return rows, S.dataset_stats(rows, rec_keys, marker)
 
 
 def hybrid_records(rows: DataFrame, keys="conv_id", max_turns: int = N.DEFAULT_SEGMENT_TURNS) -> DataFrame:
