@@ -525,8 +525,8 @@ SELECT event_id,
 FROM s""")
 def q_embedded_json(spark, d):
     ev = TB.table(spark, d, "events")
-    x = _event_text()
-    return ev.select("event_id", T.embedded_json(x).alias("json_text"), T.embedded_json_kind(x).alias("kind"))
+    m = ev.select("event_id", T.embedded_json_match(_event_text()).alias("m"))
+    return m.select("event_id", F.col("m.json").alias("json_text"), F.col("m.kind").alias("kind"))
 
 
 @query("trim_ws", f"""

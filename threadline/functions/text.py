@@ -124,30 +124,33 @@ def _parses(c: Column) -> Column:
             & F.try_parse_json(F.concat(F.lit('{"v":'), c, F.lit("}"))).isNotNull())
 
 
+def embedded_json_match(x) -> Column:
+    """``STRUCT<kind, json>`` of the first rule that parses (one pass over the rules)."""
+    c = col(x)
+    arr = _span(c, "[", "]")
+    obj = _span(c, "{", "}")
+
+    def hit(kind: str, text: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), text.alias("json"))
+
+    return (F.when(_parses(c), hit("whole", c))
+            .when(arr.isNotNull() & _parses(arr), hit("array", arr))
+            .when(obj.isNotNull() & _parses(obj), hit("object", obj)))
+
+
 def embedded_json(x) -> Column:
     """JSON found in free text: the whole string, else the greedy ``[...]``
     span, else the greedy ``{...}`` span; null when none parses.
 
     Returns the matching text (not a re-serialisation), so it can be
-    compared or parsed with any schema downstream.  Selected next to
-    :func:`embedded_json_kind`, the parse checks are shared by
-    subexpression elimination.
+    compared or parsed with any schema downstream.
     """
-    c = col(x)
-    kind = embedded_json_kind(c)
-    return (F.when(kind == "whole", c)
-            .when(kind == "array", _span(c, "[", "]"))
-            .when(kind == "object", _span(c, "{", "}")))
+    return embedded_json_match(x)["json"]
 
 
 def embedded_json_kind(x) -> Column:
     """Which rule of :func:`embedded_json` matched: whole / array / object / null."""
-    c = col(x)
-    arr = _span(c, "[", "]")
-    obj = _span(c, "{", "}")
-    return (F.when(_parses(c), F.lit("whole"))
-            .when(arr.isNotNull() & _parses(arr), F.lit("array"))
-            .when(obj.isNotNull() & _parses(obj), F.lit("object")))
+    return embedded_json_match(x)["kind"]
 
 
 def bracket_span(x) -> Column:
