@@ -162,3 +162,23 @@ def min_event_gate(events: DataFrame, event_types: Iterable[str], min_events: in
     return (events.groupBy(key)
             .agg(F.count_if(F.col(type_col).isin(list(event_types))).alias("n_matching"))
             .filter(F.col("n_matching") >= min_events))
+
+
+# Tool names counted by the session gate's default.
+AGENT_TOOL_NAMES = ("Bash", "Read", "Write", "Edit", "Glob", "Grep", "Agent", "WebFetch", "WebSearch",
+                    "TodoWrite", "mcp__context7__query-docs", "mcp__lossless-recall__recall_grep")
+
+
+def session_block_gate(messages: DataFrame, min_blocks: int, names: Iterable[str] = AGENT_TOOL_NAMES,
+                       key: str = "session_id", blocks_col: str = "blocks", block_type: str = "tool_use") -> DataFrame:
+    """Sessions with at least ``min_blocks`` content blocks of one type whose name is listed.
+
+    One row per message with a (bounded) ``blocks`` array; counts *blocks*,
+    not messages.  Per-message counts are summed by a partial aggregate, so a
+    hot session is combined map-side.
+    """
+    names = list(names)
+    per_msg = F.size(F.filter(F.col(blocks_col), lambda b: (b["type"] == block_type) & b["name"].isin(names)))
+    return (messages.groupBy(key)
+            .agg(F.sum(F.coalesce(per_msg, F.lit(0))).cast("bigint").alias("n_blocks"))
+            .filter(F.col("n_blocks") >= min_blocks))
