@@ -626,3 +626,65 @@ def q_ingest_incremental(spark, d):
     IG.ingest_incremental(spark, src, target, ckpt, glob="*.json")  # nothing new: adds 0 rows
     return (J.flatten_records(IG.read_ingested(spark, target), ["conv_id"])
             .select("conv_id", F.col("pos").alias("idx"), "role", "text"))
+
+
+# -- more gates, dedup and the ordered document ------------------------------------------
+
+@query("conversation_quality", f"""
+SELECT conv_id, count(*) AS n_turns, arg_min(role, turn) AS first_role,
+       count(*) FILTER (WHERE role = 'assistant' AND contains(text, '{MARKER_A}')) AS n_marked,
+       count(*) FILTER (WHERE contains(text, '{MARKER_B}')) AS n_response,
+       count(*) >= 3
+         AND count(*) FILTER (WHERE role = 'assistant' AND contains(text, '{MARKER_A}')) >= {MIN_MARKED}
+         AND count(*) FILTER (WHERE contains(text, '{MARKER_B}')) >= 1
+         AND coalesce(arg_min(role, turn) = 'user', false) AS passes
+FROM conversations GROUP BY conv_id""")
+def q_conversation_quality(spark, d):
+    return FL.conversation_quality(_conv(spark, d), **GATE)
+
+
+@query("dedup_documents", """
+SELECT doc_id FROM (
+  SELECT doc_id, row_number() OVER (PARTITION BY substr(text, 1, 200) ORDER BY doc_id) AS rn FROM documents)
+WHERE rn = 1""")
+def q_dedup_documents(spark, d):
+    docs = TB.table(spark, d, "documents")
+    return D.dedup_text_prefix(docs, "text", order_cols="doc_id").select("doc_id")
+
+
+@query("text_document", f"""
+WITH r AS (
+  SELECT conv_id,
+         coalesce(string_agg(CASE role WHEN 'user' THEN 'User' ELSE 'Assistant' END || ': ' || coalesce(text, ''),
+                             chr(10) || chr(10) ORDER BY turn) FILTER (WHERE role IN ('user', 'assistant')), '')
+           AS text
+  FROM conversations GROUP BY conv_id),
+o AS (SELECT text, row_number() OVER (ORDER BY md5('{SEED}:' || conv_id || ':0'), conv_id) - 1 AS gpos,
+             count(*) OVER () AS nrec FROM r)
+SELECT gpos, CASE WHEN gpos < floor(nrec * 0.8::DOUBLE) THEN 'train'
+                  WHEN gpos < floor(nrec * (0.8::DOUBLE + 0.1::DOUBLE)) THEN 'valid' ELSE 'test' END AS split,
+       text
+FROM o""")
+def q_text_document(spark, d):
+    root = scratch_path(spark, "document")
+    recs = N.assemble(_conv(spark, d))
+    X.write_text_document(recs, root, keys=("conv_id", "start"), seed=SEED)
+    lines = J.number_records(J.read_lines(spark, root, glob="part-*"), id_col="gpos")
+    item = F.regexp_extract("line", r'\{"text": (".*")\}', 1)
+    text = F.from_json(F.concat(F.lit("["), item, F.lit("]")), "array<string>")[0]
+    # the separators a line carries tell its section: a section opens where its token appears
+    head = F.substring_index("line", '{"text": ', 1)  # separators before the item
+    sec = (F.when(head.contains('"test": ['), 2)
+           .when(head.contains('"valid": ['), 1)
+           .when(head.startswith('{"train": ['), 0))
+    staged = lines.select("gpos", text.alias("text"), sec.alias("opens"))
+    bounds = staged.filter(F.col("opens").isNotNull()).groupBy("opens").agg(F.min("gpos").alias("b")).collect()
+    first = {r.opens: r.b for r in bounds}
+    valid_at = first.get(1, None)
+    test_at = first.get(2, None)
+    split = (F.when(F.lit(test_at is not None) & (F.col("gpos") >= F.lit(test_at if test_at is not None else 0)),
+                    F.lit("test"))
+             .when(F.lit(valid_at is not None) & (F.col("gpos") >= F.lit(valid_at if valid_at is not None else 0)),
+                   F.lit("valid"))
+             .otherwise(F.lit("train")))
+    return staged.select("gpos", split.alias("split"), "text")

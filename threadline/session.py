@@ -21,6 +21,9 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Python's json.loads keeps the last of duplicate keys; match it in try_parse_json.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # streaming dedup state on local disk + checkpoint, not on the heap
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -61,6 +64,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     existing = checkpoint_dir(spark)
     if existing:
         return existing
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder: ranks and streaming state are "
+                           "written there, and a machine-local folder is not visible to other executors")
     path = tempfile.mkdtemp(prefix="threadline-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()
