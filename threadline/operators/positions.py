@@ -44,37 +44,57 @@ def _null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Col
 
 
 def turn_positions(df: DataFrame, keys="conv_id", order="turn", pos_col: str = "pos",
-                   size_col: str | None = "n", block_size: int = DEFAULT_BLOCK_SIZE) -> DataFrame:
+                   size_col: str | None = "n", block_size: int = DEFAULT_BLOCK_SIZE,
+                   within=None, within_pos_col: str | None = None) -> DataFrame:
     """Add ``pos`` (0-based rank of ``order`` within ``keys``) and ``n`` (group size).
 
     ``order`` may be one column or several (the first, an integral column, is
     used for blocking; the rest break ties).  ``(keys, order)`` should be
     unique for positions to be deterministic.
+
+    ``within`` (extra columns) also adds ``within_pos_col``: the rank inside
+    ``keys + within`` under the same order.  Both rank families share the one
+    exchange of the rows: hash partitioning on ``(keys, block)`` already
+    clusters ``(keys, within, block)``.
     """
     keys = _names(keys)
     order = _names(order)
+    extra = _names(within) if within else []
     lead = order[0]
     blk = "_tl_blk"
     keyed = df.withColumn(blk, F.expr(f"`{lead}` div {int(block_size)}"))
 
-    counts = keyed.groupBy(*keys, blk).agg(F.count(F.lit(1)).alias("_tl_cnt"))
-    per_key = Window.partitionBy(*keys)
-    running = per_key.orderBy(blk).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    offsets = counts.select(
-        *keys, blk,
-        (F.sum("_tl_cnt").over(running) - F.col("_tl_cnt")).alias("_tl_base"),
-        *([F.sum("_tl_cnt").over(per_key).alias(size_col)] if size_col else []),
-    )
-
-    in_block = Window.partitionBy(*keys, blk).orderBy(*order)
-    ranked = keyed.withColumn("_tl_r", F.row_number().over(in_block) - 1)
-
+    def offsets_for(group: list[str], base_col: str, with_size: bool) -> DataFrame:
+        counts = keyed.groupBy(*group, blk).agg(F.count(F.lit(1)).alias("_tl_cnt"))
+        per_key = Window.partitionBy(*group)
+        running = per_key.orderBy(blk).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return counts.select(
+            *group, blk,
+            (F.sum("_tl_cnt").over(running) - F.col("_tl_cnt")).alias(base_col),
+            *([F.sum("_tl_cnt").over(per_key).alias(size_col)] if with_size else []))
+
+    ranked = (keyed.repartition(*[F.col(c) for c in keys], F.col(blk))
+              .withColumn("_tl_r", F.row_number().over(Window.partitionBy(*keys, blk).orderBy(*order)) - 1))
+    if extra:
+        ranked = ranked.withColumn(
+            "_tl_rr", F.row_number().over(Window.partitionBy(*keys, *extra, blk).orderBy(*order)) - 1)
+
+    offsets = offsets_for(keys, "_tl_base", bool(size_col))
     joined = ranked.join(offsets, _null_safe_on(ranked, offsets, [*keys, blk]), "inner")
     out_cols = [ranked[c] for c in df.columns]
     out_cols.append((offsets["_tl_base"] + ranked["_tl_r"]).alias(pos_col))
     if size_col:
         out_cols.append(offsets[size_col])
-    return joined.select(*out_cols)
+    if extra:
+        out_cols.append(ranked["_tl_rr"])
+        out_cols.append(ranked[blk])
+    result = joined.select(*out_cols)
+    if not extra:
+        return result
+    sub = offsets_for([*keys, *extra], "_tl_rbase", False)
+    joined2 = result.join(sub, _null_safe_on(result, sub, [*keys, *extra, blk]), "inner")
+    keep = [result[c] for c in result.columns if c not in ("_tl_rr", blk)]
+    return joined2.select(*keep, (sub["_tl_rbase"] + result["_tl_rr"]).alias(within_pos_col or "within_pos"))
 
 
 def conversation_sizes(df: DataFrame, keys="conv_id", size_col: str = "n") -> DataFrame:

@@ -1,9 +1,9 @@
 """Longest run of consecutive same-role turns (gaps and islands).
 
 ``island = pos - rank within (conversation, role)`` is constant along a run.
-Both ranks come from the block-wise :func:`turn_positions`, so a very long
-conversation is never handled by one task; run lengths are partial
-aggregates.
+Both ranks come from one block-wise :func:`turn_positions` pass (one
+exchange of the rows), so a very long conversation is never handled by one
+task; run lengths are partial aggregates.
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ def _names(cols) -> list[str]:
 def role_runs(df: DataFrame, keys="conv_id", order: str = "turn", role_col: str = "role") -> DataFrame:
     """One row per run: ``(keys.., role, island, run_len)``."""
     keys = _names(keys)
-    p = turn_positions(df, keys, order, pos_col="_tl_pos", size_col=None)
-    p = turn_positions(p, [*keys, role_col], "_tl_pos", pos_col="_tl_rpos", size_col=None)
+    p = turn_positions(df, keys, order, pos_col="_tl_pos", size_col=None,
+                       within=[role_col], within_pos_col="_tl_rpos")
     return (p.groupBy(*keys, role_col, (F.col("_tl_pos") - F.col("_tl_rpos")).alias("island"))
             .agg(F.count(F.lit(1)).alias("run_len")))
 
