@@ -146,3 +146,36 @@ def test_incremental_ingest_adds_nothing_on_rerun(spark, tmp):
     IG.ingest_incremental(spark, src, tgt, ck, glob="*.json")
     assert spark.read.parquet(tgt).count() == 20
     assert spark.read.parquet(tgt).select("record_key").distinct().count() == 20
+
+
+def test_session_logs_union_content_and_gate(spark, tmp):
+    from threadline.operators import filters as FL
+    from threadline.sources import logs as LG
+    s1 = [
+        {"type": "user", "message": {"role": "user", "content": "fix the bug"}},
+        {"type": "assistant", "message": {"role": "assistant", "content": [
+            {"type": "thinking", "thinking": "hmm"}, {"type": "text", "text": "ok"},
+            {"type": "tool_use", "name": "Bash", "input": {"command": "ls"}}]}},
+        {"type": "user", "message": {"role": "user", "content": [
+            {"type": "tool_result", "content": "a b"}, "not a dict"]}},
+        {"type": "assistant", "message": {"role": "assistant", "content": [
+            {"type": "tool_use", "name": "Read", "input": {}}, {"type": "tool_use", "name": "Other", "input": {}}]}},
+        {"type": "system", "message": {"role": "system", "content": "x"}},
+        {"type": "user", "message": {}},
+    ]
+    s2 = [{"type": "assistant", "message": {"role": "assistant", "content": [
+        {"type": "tool_use", "name": "Bash", "input": {}}]}}]
+    _write(f"{tmp}/proj/a.jsonl", [json.dumps(x).encode() for x in s1] + [b"{bad", b""])
+    _write(f"{tmp}/proj/b.jsonl", [json.dumps(x).encode() for x in s2])
+    _write(f"{tmp}/proj/subagents/c.jsonl", [json.dumps(x).encode() for x in s2])
+    msgs = LG.scan_session_logs(spark, tmp)
+    assert msgs.count() == 4 + 1
+    assert msgs.filter(F.col("content_text") == "fix the bug").count() == 1
+    counts = {r.block_type: r.n_blocks for r in N.block_counts(msgs).collect()}
+    assert counts == {"thinking": 1, "text": 1, "tool_use": 4, "tool_result": 1}
+    gate = {r.session.rsplit("/", 1)[-1]: r.n_blocks for r in FL.session_block_gate(msgs, 2, key="session").collect()}
+    assert gate == {"a.jsonl": 2}
+    with_sub = LG.scan_session_logs(spark, tmp, include_subagents=True)
+    assert with_sub.count() == 6
+    tools = {(r.session.rsplit("/", 1)[-1], r.tool): r.n_calls for r in LG.tool_use_counts(msgs).collect()}
+    assert tools == {("a.jsonl", "Bash"): 1, ("a.jsonl", "Read"): 1, ("a.jsonl", "Other"): 1, ("b.jsonl", "Bash"): 1}

@@ -26,7 +26,14 @@ from threadline.operators import split as SP
 from threadline.operators import stats as S
 from threadline.operators.positions import turn_positions
 from threadline.plans import curate as CU
+from threadline.plans import hybrid as HY
+from threadline.plans import prepare as PR
+from threadline.session import scratch_path
+from threadline.sinks import export as X
+from threadline.sources import jsonl as J
+from threadline.sources import logs as LG
 from threadline.sources import tables as TB
+from threadline.streaming import ingest as IG
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -537,12 +544,6 @@ def q_trim_ws(spark, d):
 
 # -- hybrid dataset -----------------------------------------------------------------------
 
-from threadline.plans import hybrid as HY  # noqa: E402
-from threadline.plans import prepare as PR  # noqa: E402
-from threadline.session import scratch_path  # noqa: E402
-from threadline.sinks import export as X  # noqa: E402
-from threadline.sources import jsonl as J  # noqa: E402
-from threadline.streaming import ingest as IG  # noqa: E402
 
 SQL_HYBRID_ROWS = f"""
 {SQL_AUG},
@@ -688,3 +689,37 @@ def q_text_document(spark, d):
                    F.lit("valid"))
              .otherwise(F.lit("train")))
     return staged.select("gpos", split.alias("split"), "text")
+
+
+# -- session-log metrics (derived log lines) ---------------------------------------------
+
+TOOL_NAME = "Read"
+
+
+def _write_session_logs(spark, d, root: str) -> None:
+    """Log lines from the conversations: user turns carry string content, assistant turns a
+    block list (a text block, plus a tool_use block when the marker occurs), system turns
+    are written too (and skipped by the reader)."""
+    c = _conv(spark, d)
+    plain = c.filter(F.col("role") != "assistant").select(F.to_json(F.struct(
+        F.col("role").alias("type"),
+        F.struct(F.col("role").alias("role"), F.col("text").alias("content")).alias("message"))).alias("value"))
+    block = F.struct(F.lit("text").alias("type"), F.lit(None).cast("string").alias("name"), F.col("text").alias("text"))
+    tool = F.struct(F.lit("tool_use").alias("type"), F.lit(TOOL_NAME).alias("name"),
+                    F.lit(None).cast("string").alias("text"))
+    blocks = F.when(T.contains("text", MARKER_A), F.array(block, tool)).otherwise(F.array(block))
+    rich = c.filter(F.col("role") == "assistant").select(F.to_json(F.struct(
+        F.col("role").alias("type"),
+        F.struct(F.col("role").alias("role"), blocks.alias("content")).alias("message"))).alias("value"))
+    plain.unionByName(rich).write.mode("overwrite").text(root)
+
+
+@query("log_block_counts", f"""
+SELECT 'text' AS block_type, count(*) AS n_blocks FROM conversations WHERE role = 'assistant'
+UNION ALL
+SELECT 'tool_use' AS block_type, count(*) AS n_blocks FROM conversations
+WHERE role = 'assistant' AND contains(text, '{MARKER_A}')""")
+def q_log_block_counts(spark, d):
+    root = scratch_path(spark, "logs")
+    _write_session_logs(spark, d, root)
+    return N.block_counts(LG.scan_session_logs(spark, root, glob=None))
