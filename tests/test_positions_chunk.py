@@ -72,3 +72,11 @@ def test_assemble_segments_are_bounded(spark):
     assert got == [(1, 0, [0, 1, 2, 3]), (1, 4, [4, 5, 6, 7]), (1, 8, [8, 9]), (2, 0, [0])]
     flat = N.explode_turns(N.assemble(turns_frame(spark, convs), max_turns=4)).filter(F.col("conv_id") == 1)
     assert sorted(r.pos for r in flat.collect()) == list(range(10))
+
+
+def test_turn_positions_null_turns_rank_first(spark):
+    df = spark.createDataFrame([(1, None, "user", "a"), (1, 2000, "user", "b"), (1, 5, "user", "c"),
+                                (2, None, "user", "d")],
+                               "conv_id bigint, turn bigint, role string, text string")
+    got = {r.text: (r.pos, r.n) for r in turn_positions(df, block_size=16).collect()}
+    assert got == {"a": (0, 3), "c": (1, 3), "b": (2, 3), "d": (0, 1)}

@@ -36,9 +36,10 @@ def window_starts(pos: str = "pos", n: str = "n", max_turns: int = DEFAULT_MAX_T
         raise ValueError(f"window length and stride must be >= 1 (got L={L}, stride={s})")
     k_lo = f"CASE WHEN `{pos}` - {L} + 1 <= 0 THEN 0 ELSE (`{pos}` - {L} + 1 + {s - 1}) div {s} END"
     k_hi = f"least(`{pos}` div {s}, (greatest(1, `{n}` - {int(tail)}) - 1) div {s})"
-    return F.expr(f"CASE WHEN ({k_lo}) <= ({k_hi}) THEN "
-                  f"transform(sequence(({k_lo}), ({k_hi})), k -> k * {s}) "
-                  f"ELSE array() END")
+    # a non-descending sequence, emptied by the filter when k_lo > k_hi: the
+    # element type stays non-nullable, so ``start`` is a non-null key downstream
+    return F.expr(f"transform(filter(sequence(({k_lo}), greatest(({k_lo}), ({k_hi}))), k -> k <= ({k_hi})), "
+                  f"k -> k * {s})")
 
 
 def chunk_overlap(df: DataFrame, max_turns: int = DEFAULT_MAX_TURNS, stride: int | None = None,

@@ -26,8 +26,12 @@ def keep_first(df: DataFrame, key: Column, order_cols) -> DataFrame:
     winners = (keyed.groupBy("_tl_key")
                .agg(F.min(F.struct(*[F.col(c) for c in order_cols])).alias("_tl_w"))
                .select(*[F.col(f"_tl_w.{c}").alias(c) for c in order_cols]))
-    # null-safe keys: no inferred IsNotNull filter, so both uses of ``df``
-    # canonicalise alike and the upstream shuffle is reused
+    if not any(df.schema[c].nullable for c in order_cols):
+        # plain equi-join: keeps the (order_cols) partitioning of ``df`` (no re-shuffle),
+        # and with non-nullable keys no IsNotNull filter is inferred into one branch only,
+        # so both uses of ``df`` canonicalise alike and the upstream shuffle is reused
+        return df.join(winners, on=order_cols, how="left_semi")
+    # nullable keys: null-safe equality keeps rows whose order key has nulls
     cond = None
     for c in order_cols:
         e = df[c].eqNullSafe(winners[c])

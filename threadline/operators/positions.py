@@ -25,6 +25,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as Ty
 
 from threadline.session import ensure_checkpoint_dir
 
@@ -43,6 +44,42 @@ def _null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Col
     return cond
 
 
+def _default_for(dtype: Ty.DataType):
+    if isinstance(dtype, Ty.StringType):
+        return ""
+    if isinstance(dtype, (Ty.ByteType, Ty.ShortType, Ty.IntegerType, Ty.LongType, Ty.FloatType,
+                          Ty.DoubleType, Ty.DecimalType)):
+        return 0
+    if isinstance(dtype, Ty.BooleanType):
+        return False
+    return None
+
+
+def surrogate_keys(df: DataFrame, keys: Sequence[str], prefix: str = "_tl_sk") -> tuple[DataFrame, list[str]]:
+    """Non-nullable stand-ins for possibly-null key columns.
+
+    Each nullable key ``k`` becomes ``coalesce(k, default)`` plus an
+    ``isnull(k)`` flag: plain equality on the pair is null-safe equality on
+    ``k``.  Shuffles, windows and joins keyed by the stand-ins line up
+    (a null-safe join on ``k`` itself would hash different expressions and
+    re-shuffle one side).  Non-nullable keys are used as they are.
+    """
+    out, cols = df, []
+    for i, k in enumerate(keys):
+        field = df.schema[k]
+        default = _default_for(field.dataType)
+        if not field.nullable:
+            cols.append(k)
+        elif default is None:
+            out = out.withColumn(f"{prefix}{i}", F.to_json(F.struct(F.col(k))))  # non-null text form
+            cols.append(f"{prefix}{i}")
+        else:
+            out = (out.withColumn(f"{prefix}{i}", F.coalesce(F.col(k), F.lit(default).cast(field.dataType)))
+                   .withColumn(f"{prefix}n{i}", F.isnull(F.col(k))))
+            cols += [f"{prefix}{i}", f"{prefix}n{i}"]
+    return out, cols
+
+
 def turn_positions(df: DataFrame, keys="conv_id", order="turn", pos_col: str = "pos",
                    size_col: str | None = "n", block_size: int = DEFAULT_BLOCK_SIZE,
                    within=None, within_pos_col: str | None = None) -> DataFrame:
@@ -50,51 +87,52 @@ def turn_positions(df: DataFrame, keys="conv_id", order="turn", pos_col: str = "
 
     ``order`` may be one column or several (the first, an integral column, is
     used for blocking; the rest break ties).  ``(keys, order)`` should be
-    unique for positions to be deterministic.
+    unique for positions to be deterministic.  Null keys form their own group.
 
     ``within`` (extra columns) also adds ``within_pos_col``: the rank inside
     ``keys + within`` under the same order.  Both rank families share the one
     exchange of the rows: hash partitioning on ``(keys, block)`` already
     clusters ``(keys, within, block)``.
     """
+    out_names = list(df.columns)
     keys = _names(keys)
     order = _names(order)
     extra = _names(within) if within else []
     lead = order[0]
     blk = "_tl_blk"
-    keyed = df.withColumn(blk, F.expr(f"`{lead}` div {int(block_size)}"))
+    staged, kcols = surrogate_keys(df, keys)
+    staged, xcols = surrogate_keys(staged, extra, prefix="_tl_sx") if extra else (staged, [])
+    keyed = staged.withColumn(blk, F.expr(f"`{lead}` div {int(block_size)}"))
+    keyed, bcols = surrogate_keys(keyed, [blk], prefix="_tl_sb")
 
     def offsets_for(group: list[str], base_col: str, with_size: bool) -> DataFrame:
-        counts = keyed.groupBy(*group, blk).agg(F.count(F.lit(1)).alias("_tl_cnt"))
+        counts = keyed.groupBy(*group, *bcols).agg(F.count(F.lit(1)).alias("_tl_cnt"))
         per_key = Window.partitionBy(*group)
-        running = per_key.orderBy(blk).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        # a null block (null ``turn``) ranks first, as ``orderBy(turn)`` puts nulls first
+        block_order = [F.col(c).desc() if c.startswith("_tl_sbn") else F.col(c) for c in bcols]
+        running = per_key.orderBy(*block_order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return counts.select(
-            *group, blk,
+            *group, *bcols,
             (F.sum("_tl_cnt").over(running) - F.col("_tl_cnt")).alias(base_col),
             *([F.sum("_tl_cnt").over(per_key).alias(size_col)] if with_size else []))
 
-    ranked = (keyed.repartition(*[F.col(c) for c in keys], F.col(blk))
-              .withColumn("_tl_r", F.row_number().over(Window.partitionBy(*keys, blk).orderBy(*order)) - 1))
+    ranked = (keyed.repartition(*[F.col(c) for c in [*kcols, *bcols]])
+              .withColumn("_tl_r", F.row_number().over(Window.partitionBy(*kcols, *bcols).orderBy(*order)) - 1))
     if extra:
         ranked = ranked.withColumn(
-            "_tl_rr", F.row_number().over(Window.partitionBy(*keys, *extra, blk).orderBy(*order)) - 1)
+            "_tl_rr", F.row_number().over(Window.partitionBy(*kcols, *xcols, *bcols).orderBy(*order)) - 1)
 
-    offsets = offsets_for(keys, "_tl_base", bool(size_col))
-    joined = ranked.join(offsets, _null_safe_on(ranked, offsets, [*keys, blk]), "inner")
-    out_cols = [ranked[c] for c in df.columns]
-    out_cols.append((offsets["_tl_base"] + ranked["_tl_r"]).alias(pos_col))
+    offsets = offsets_for(kcols, "_tl_base", bool(size_col))
+    joined = ranked.join(offsets, on=[*kcols, *bcols], how="inner")
+    cols = [F.col(c) for c in out_names]
+    cols.append((F.col("_tl_base") + F.col("_tl_r")).alias(pos_col))
     if size_col:
-        out_cols.append(offsets[size_col])
-    if extra:
-        out_cols.append(ranked["_tl_rr"])
-        out_cols.append(ranked[blk])
-    result = joined.select(*out_cols)
+        cols.append(F.col(size_col))
     if not extra:
-        return result
-    sub = offsets_for([*keys, *extra], "_tl_rbase", False)
-    joined2 = result.join(sub, _null_safe_on(result, sub, [*keys, *extra, blk]), "inner")
-    keep = [result[c] for c in result.columns if c not in ("_tl_rr", blk)]
-    return joined2.select(*keep, (sub["_tl_rbase"] + result["_tl_rr"]).alias(within_pos_col or "within_pos"))
+        return joined.select(*cols)
+    sub = offsets_for([*kcols, *xcols], "_tl_rbase", False)
+    joined2 = joined.join(sub, on=[*kcols, *xcols, *bcols], how="inner")
+    return joined2.select(*cols, (F.col("_tl_rbase") + F.col("_tl_rr")).alias(within_pos_col or "within_pos"))
 
 
 def conversation_sizes(df: DataFrame, keys="conv_id", size_col: str = "n") -> DataFrame:

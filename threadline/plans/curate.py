@@ -9,6 +9,7 @@ window, whatever the conversation length.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from threadline.functions import roles as R
 from threadline.functions import text as T
@@ -17,9 +18,17 @@ from threadline.operators import dedup as D
 from threadline.operators import filters as FL
 
 
-def clean_turns(turns: DataFrame, roles=(R.USER, R.ASSISTANT)) -> DataFrame:
-    """Keep conversation roles and non-blank turns."""
-    return FL.nonblank_turns(FL.filter_roles(turns, roles))
+def clean_turns(turns: DataFrame, roles=(R.USER, R.ASSISTANT), key: str = "conv_id") -> DataFrame:
+    """Keep conversation roles and non-blank turns of keyed conversations.
+
+    A turn without a conversation key belongs to no conversation; requiring
+    the key also makes it non-nullable downstream, so the dedup's semi join
+    keeps the window partitioning (see :func:`threadline.operators.dedup.keep_first`).
+    """
+    keyed = turns.filter(F.col(key).isNotNull())
+    # the filter makes the key non-null; the coalesce states it in the schema
+    keyed = keyed.withColumn(key, F.coalesce(F.col(key), F.lit(0).cast(turns.schema[key].dataType)))
+    return FL.nonblank_turns(FL.filter_roles(keyed, roles))
 
 
 def curate(turns: DataFrame, max_turns: int = C.DEFAULT_MAX_TURNS, stride: int | None = None,
