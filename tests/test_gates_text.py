@@ -184,3 +184,12 @@ def test_block_counts_and_session_gate(spark):
     assert got == {1: 2}
     counts = {r.block_type: r.n_blocks for r in N.block_counts(df).collect()}
     assert counts == {"text": 1, "tool_use": 4, "thinking": 1}
+
+
+def test_record_max_run_fold_matches_python(spark):
+    convs = {1: [("user", "x")] + [("assistant", str(i)) for i in range(9)] + [("user", "y")],
+             2: [("user", "a"), ("assistant", "b")] * 3, 3: [("user", "a")],
+             4: [("system", "s"), ("user", "a"), ("user", "b"), ("tool", "t"), ("tool", "u"), ("tool", "v")]}
+    recs = N.assemble(turns_frame(spark, convs))
+    got = {r.conv_id: r.m for r in recs.select("conv_id", RU.record_max_run(F.col("turns")).alias("m")).collect()}
+    assert got == {c: py_max_run([r for r, _ in t]) for c, t in convs.items()}

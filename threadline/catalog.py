@@ -723,3 +723,38 @@ def q_log_block_counts(spark, d):
     root = scratch_path(spark, "logs")
     _write_session_logs(spark, d, root)
     return N.block_counts(LG.scan_session_logs(spark, root, glob=None))
+
+
+# -- the reference's dataset-quality assertions as one report ----------------------------------
+
+
+@query("quality_report", f"""
+WITH {sql_windows()},
+g AS (SELECT conv_id, start, count(*) AS n_turns, substr(arg_min(text, pos), 1, 200) AS k
+      FROM m GROUP BY conv_id, start {SQL_GATE_HAVING}),
+kept AS (SELECT conv_id, start FROM (
+  SELECT *, row_number() OVER (PARTITION BY k ORDER BY conv_id, start) AS rn FROM g) WHERE rn = 1),
+km AS (SELECT m.* FROM m JOIN kept USING (conv_id, start)),
+per AS (SELECT conv_id, start, count(*) AS n_turns, arg_min(role, pos) AS fr,
+               count(*) FILTER (WHERE role = 'assistant' AND contains(text, '{MARKER_A}')) AS a,
+               count(*) FILTER (WHERE contains(text, '{MARKER_B}')) AS b,
+               count(*) FILTER (WHERE NOT regexp_matches(text, '[^{WSC}]')) AS blank
+        FROM km GROUP BY conv_id, start),
+isl AS (SELECT conv_id, start, role,
+               row_number() OVER (PARTITION BY conv_id, start ORDER BY pos)
+               - row_number() OVER (PARTITION BY conv_id, start, role ORDER BY pos) AS island FROM km),
+runs AS (SELECT conv_id, start, role, island, count(*) AS run_len FROM isl GROUP BY ALL),
+names AS (SELECT DISTINCT unnest(regexp_extract_all(text, '{NAME_PATTERN}', 1)) AS name
+          FROM km WHERE role = 'assistant')
+SELECT count(*) AS n_records,
+       count(*) FILTER (WHERE n_turns < 3) AS n_too_short,
+       count(*) FILTER (WHERE fr <> 'user') AS n_wrong_first_role,
+       count(*) FILTER (WHERE a < 1) AS n_without_marker,
+       count(*) FILTER (WHERE b < 1) AS n_without_response,
+       CAST(coalesce(sum(blank), 0) AS BIGINT) AS n_blank_turns,
+       (SELECT coalesce(max(run_len), 0) FROM runs) AS max_same_role_run,
+       (SELECT count(*) FROM names WHERE name IN {EXPECTED_NAMES}) AS n_core_names
+FROM per""")
+def q_quality_report(spark, d):
+    recs = CU.curate(_conv(spark, d), max_turns=WINDOW_TURNS, **GATE)
+    return S.quality_report(recs, EXPECTED_NAMES, MARKER_A, MARKER_B, name_pattern=NAME_PATTERN)

@@ -39,3 +39,15 @@ def max_role_run(df: DataFrame, keys="conv_id", order: str = "turn", role_col: s
 def run_violations(df: DataFrame, limit: int = MAX_SAME_ROLE_RUN, **kw) -> DataFrame:
     """Conversations whose longest same-role run exceeds ``limit``."""
     return max_role_run(df, **kw).filter(F.col("max_run") > limit)
+
+
+def record_max_run(turns, role_field: str = "role"):
+    """Longest same-role run inside a bounded record, as a row-local fold over its turns."""
+    init = F.struct(F.lit(None).cast("string").alias("p"), F.lit(0).alias("c"), F.lit(0).alias("b"))
+
+    def step(acc, x):
+        same = F.coalesce(x[role_field] == acc["p"], F.lit(False))
+        c = F.when(same, acc["c"] + 1).otherwise(F.lit(1))
+        return F.struct(x[role_field].alias("p"), c.alias("c"), F.greatest(acc["b"], c).alias("b"))
+
+    return F.aggregate(turns, init, step)["b"]

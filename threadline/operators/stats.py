@@ -92,3 +92,40 @@ def gate_report(records: DataFrame, turns_col: str = "turns", **params) -> DataF
 def nonblank_line_count(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Number of non-blank lines in a text scan (the resume counter)."""
     return lines.agg(F.count_if(T.is_nonblank(value_col)).alias("n_lines"))
+
+
+def quality_report(records: DataFrame, core_names, marker_a: str, marker_b: str,
+                   name_pattern: str = T.NAME_FIELD_PATTERN, min_turns: int = 3,
+                   first_role: str = R.USER, marked_role: str = R.ASSISTANT,
+                   turns_col: str = "turns") -> DataFrame:
+    """The reference's dataset-quality assertions over records, as one row of counts.
+
+    Violations are counted (0 means the assertion holds): too few turns, not
+    opening with ``first_role``, no ``marked_role`` turn with ``marker_a``, no
+    turn with ``marker_b``, blank turns; plus the longest same-role run and
+    how many of ``core_names`` occur in ``marked_role`` turns.
+    """
+    from threadline.operators.runs import record_max_run
+
+    t = F.col(turns_col)
+    per = records.select(
+        (F.size(t) < min_turns).alias("short"),
+        (~F.coalesce(F.element_at(t, 1)["role"] == first_role, F.lit(False))).alias("bad_first"),
+        (~F.coalesce(F.exists(t, lambda x: (x["role"] == marked_role) & T.contains(x["text"], marker_a)),
+                     F.lit(False))).alias("no_marker"),
+        (~F.coalesce(F.exists(t, lambda x: T.contains(x["text"], marker_b)), F.lit(False))).alias("no_response"),
+        F.size(F.filter(t, lambda x: ~T.is_nonblank(x["text"]))).alias("n_blank"),
+        record_max_run(t).alias("max_run"))
+    counts = per.agg(
+        F.count(F.lit(1)).alias("n_records"),
+        F.count_if("short").alias("n_too_short"),
+        F.count_if("bad_first").alias("n_wrong_first_role"),
+        F.count_if("no_marker").alias("n_without_marker"),
+        F.count_if("no_response").alias("n_without_response"),
+        F.coalesce(F.sum("n_blank"), F.lit(0)).cast("bigint").alias("n_blank_turns"),
+        F.coalesce(F.max("max_run"), F.lit(0)).alias("max_same_role_run"))
+    flat = records.select(F.explode(t).alias("x")).select("x.role", "x.text")
+    names = name_overlap(distinct_names(flat, name_pattern, marked_role), core_names)
+    n_core = names.agg(F.count(F.lit(1)).alias("n_core_names"))
+    # two single-row aggregates side by side
+    return counts.withColumn("_k", F.lit(1)).join(n_core.withColumn("_k", F.lit(1)), "_k").drop("_k")
