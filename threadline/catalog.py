@@ -758,3 +758,36 @@ FROM per""")
 def q_quality_report(spark, d):
     recs = CU.curate(_conv(spark, d), max_turns=WINDOW_TURNS, **GATE)
     return S.quality_report(recs, EXPECTED_NAMES, MARKER_A, MARKER_B, name_pattern=NAME_PATTERN)
+
+
+# -- cap by target count and line counting -------------------------------------------------------
+
+CAP_TARGET = 61
+
+
+@query("cap_target", f"""
+SELECT conv_id FROM (
+  SELECT conv_id, row_number() OVER (ORDER BY md5('{SEED}:' || conv_id), conv_id) - 1 AS gpos,
+         count(*) OVER () AS nrec
+  FROM (SELECT DISTINCT conv_id FROM conversations))
+WHERE gpos < least({CAP_TARGET} // 2, nrec)""")
+def q_cap_target(spark, d):
+    c = _conv(spark, d)
+    cap = SA.first_of_shuffle(c, "conv_id", CAP_TARGET, SEED)
+    return c.filter(cap.predicate()).select("conv_id").distinct()
+
+
+@query("line_count", f"""
+SELECT CAST((SELECT count(DISTINCT conv_id) FROM conversations)
+            + (SELECT count(*) FROM (
+                 SELECT unnest(string_split_regex(text, '\\r\\n|\\r|\\n')) AS line
+                 FROM conversations WHERE turn = 0)
+               WHERE regexp_matches(line, '[^{WSC}]')) AS BIGINT) AS n_lines""")
+def q_line_count(spark, d):
+    root = scratch_path(spark, "lines")
+    X.write_records(N.assemble(_conv(spark, d)), f"{root}/records", None)
+    c = _conv(spark, d)
+    c.select(F.when(F.col("turn") == 0, F.col("text")).otherwise(F.lit("")).alias("value")) \
+        .write.mode("overwrite").text(f"{root}/junk")
+    lines = J.read_lines(spark, root, recursive=True)
+    return S.nonblank_line_count(lines, "line")
