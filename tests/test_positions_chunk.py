@@ -80,3 +80,13 @@ def test_turn_positions_null_turns_rank_first(spark):
                                "conv_id bigint, turn bigint, role string, text string")
     got = {r.text: (r.pos, r.n) for r in turn_positions(df, block_size=16).collect()}
     assert got == {"a": (0, 3), "c": (1, 3), "b": (2, 3), "d": (0, 1)}
+
+
+@pytest.mark.parametrize("L,s,tail,block", [(4, 2, 4, 2), (5, 2, 2, 3), (6, 3, 0, 1), (3, 5, 1, 2), (40, 20, 4, 7)])
+def test_small_position_blocks_with_halo(spark, L, s, tail, block):
+    sizes = [1, 2, 3, 5, 6, 7, 9, 13, 20, 31, 64]
+    convs = {n: [("user", f"t{i}") for i in range(n)] for n in sizes}
+    recs = C.chunk_overlap(turns_frame(spark, convs), max_turns=L, stride=s, tail=tail, block_turns=block).collect()
+    got = sorted((r.conv_id, r.start, [t.pos for t in r.turns]) for r in recs)
+    expect = sorted((n, i, list(range(i, min(i + L, n)))) for n in sizes for i in range(0, max(1, n - tail), s))
+    assert got == expect

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from conftest import turns_frame
 from threadline.operators import chunk as C
 from threadline.operators import dedup as D
+from threadline.operators import filters as FL
 from threadline.operators import runs as RU
 from threadline.operators.positions import turn_positions
 from threadline.plans import curate as CU
@@ -89,3 +90,29 @@ def test_random_windows_match_reference_loop(spark):
         want = sorted((cid, s, len(range(s, min(s + L, len(t)))))
                       for cid, t in convs.items() for s in range(0, max(1, len(t) - tail), L // 2))
         assert got == want
+
+
+def test_fused_curation_equals_composition(spark):
+    rnd = random.Random(3)
+    openings = ["fix the build", "Same boilerplate opening " * 12, "review <tool_call> please"]
+    convs = {}
+    for cid in range(250):
+        n = rnd.randint(1, 70)
+        turns = []
+        for i in range(n):
+            role = "user" if i % 2 == 0 else "assistant"
+            if i == 0 or rnd.random() < 0.2:
+                text = rnd.choice(openings)
+            elif role == "assistant" and rnd.random() < 0.6:
+                text = f"<tool_call> step {i}"
+            else:
+                text = f"<tool_response> out {i}" if rnd.random() < 0.5 else f"plain {i}"
+            turns.append((role, text))
+        convs[cid] = turns
+    df = turns_frame(spark, convs)
+    for L, block in [(40, None), (6, 3), (10, 7)]:
+        fused = sorted((r.conv_id, r.start, [t.pos for t in r.turns])
+                       for r in CU.curate(df, max_turns=L, block_turns=block).collect())
+        plain = D.dedup_prefix(FL.quality_gate(C.chunk_overlap(CU.clean_turns(df), max_turns=L, block_turns=block)))
+        composed = sorted((r.conv_id, r.start, [t.pos for t in r.turns]) for r in plain.collect())
+        assert fused == composed and fused

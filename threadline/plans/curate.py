@@ -1,9 +1,19 @@
 """Curation flow: role/blank filters -> overlapping windows -> quality gate -> dedup.
 
-Shuffles: one for positions (keyed by conversation and turn block), one for
-window grouping (keyed by window), and the dedup's partial aggregate plus a
-semi join on the window key.  No group is larger than one turn block or one
-window, whatever the conversation length.
+Plan (turn rows cross the network about twice):
+
+1. positions - one shuffle of the turns keyed by (conversation, turn block);
+2. position blocks - one shuffle of the turns keyed by (conversation, position
+   block), each turn once plus a small halo (see :mod:`threadline.operators.chunk`);
+3. a light view of every window (gate verdict and first-turn fingerprint) is
+   sliced out of the block arrays; keep-first winners per fingerprint are a
+   partial aggregate, regrouped per block (small rows);
+4. the block arrays are joined with their winners on (conversation, block) -
+   both sides already partitioned that way, so the text does not move again -
+   and only the winning windows are sliced out.
+
+No group is larger than one turn block or one position block, whatever the
+conversation length.
 """
 
 from __future__ import annotations
@@ -14,16 +24,16 @@ from pyspark.sql import functions as F
 from threadline.functions import roles as R
 from threadline.functions import text as T
 from threadline.operators import chunk as C
-from threadline.operators import dedup as D
 from threadline.operators import filters as FL
+from threadline.operators.positions import turn_positions
 
 
 def clean_turns(turns: DataFrame, roles=(R.USER, R.ASSISTANT), key: str = "conv_id") -> DataFrame:
     """Keep conversation roles and non-blank turns of keyed conversations.
 
     A turn without a conversation key belongs to no conversation; requiring
-    the key also makes it non-nullable downstream, so the dedup's semi join
-    keeps the window partitioning (see :func:`threadline.operators.dedup.keep_first`).
+    the key also makes it non-nullable downstream, so joins on it are plain
+    equi-joins that keep the existing partitioning.
     """
     keyed = turns.filter(F.col(key).isNotNull())
     # the filter makes the key non-null; the coalesce states it in the schema
@@ -33,8 +43,33 @@ def clean_turns(turns: DataFrame, roles=(R.USER, R.ASSISTANT), key: str = "conv_
 
 def curate(turns: DataFrame, max_turns: int = C.DEFAULT_MAX_TURNS, stride: int | None = None,
            tail: int = C.DEFAULT_TAIL, fingerprint_chars: int = T.FINGERPRINT_CHARS,
-           roles=(R.USER, R.ASSISTANT), **gate) -> DataFrame:
+           roles=(R.USER, R.ASSISTANT), block_turns: int | None = None, **gate) -> DataFrame:
     """Flat turns -> deduplicated, gated window records ``(conv_id, start, turns)``."""
-    windows = C.chunk_overlap(clean_turns(turns, roles), max_turns, stride, tail)
-    gated = FL.quality_gate(windows, **gate)
-    return D.dedup_prefix(gated, fingerprint_chars)
+    keys = ["conv_id"]
+    geo = dict(max_turns=max_turns, stride=stride, block_turns=block_turns)
+    _, _, P, _ = C._geometry(max_turns, stride, block_turns)
+    positioned = turn_positions(clean_turns(turns, roles), keys, "turn")
+    blocks = C.position_blocks(positioned, keys=keys, order="turn", **geo)
+    starts = C.block_window_starts(tail=tail, **geo)
+
+    def light(st):
+        w = C.window_slice(st, **geo)
+        ok = F.lit(True)
+        for _, cond in FL.quality_conditions(w, **gate):
+            ok = ok & F.coalesce(cond, F.lit(False))
+        fp = T.fingerprint(F.element_at(w, 1)["text"], fingerprint_chars)
+        return F.struct(st.alias("start"), ok.alias("ok"), fp.alias("fp"))
+
+    views = (blocks.select(*keys, F.explode(F.transform(starts, light)).alias("v"))
+             .select(*keys, "v.*").filter("ok"))
+    # min over a non-empty group: the struct and its fields are never null; the
+    # coalesce says so, so no IsNotNull filter is inferred into the block branch
+    winners = (views.groupBy("fp").agg(F.min(F.struct("conv_id", "start")).alias("w"))
+               .select(F.coalesce(F.col("w.conv_id"), F.lit(0).cast("bigint")).alias("conv_id"),
+                       F.coalesce(F.col("w.start"), F.lit(0).cast("bigint")).alias("start")))
+    per_block = (winners.withColumn(C.GROUP, F.expr(f"start div {P}"))
+                 .groupBy(*keys, C.GROUP).agg(F.collect_list("start").alias("_tl_win")))
+    kept = blocks.join(per_block, on=[*keys, C.GROUP], how="inner")
+    win = F.explode(F.transform("_tl_win", lambda st: F.struct(
+        st.alias("start"), C.window_slice(st, **geo).alias("turns")))).alias("w")
+    return kept.select(*keys, win).select(*keys, "w.start", "w.turns")
