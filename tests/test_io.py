@@ -179,3 +179,19 @@ def test_session_logs_union_content_and_gate(spark, tmp):
     assert with_sub.count() == 6
     tools = {(r.session.rsplit("/", 1)[-1], r.tool): r.n_calls for r in LG.tool_use_counts(msgs).collect()}
     assert tools == {("a.jsonl", "Bash"): 1, ("a.jsonl", "Read"): 1, ("a.jsonl", "Other"): 1, ("b.jsonl", "Bash"): 1}
+
+
+def test_write_hybrid_all_formats(spark, tmp):
+    from threadline.plans import hybrid as HY
+    rows, stats = HY.build_hybrid(turns_frame(spark, _convs(40)), ratio=0.5, seed=42)
+    out = HY.write_hybrid(rows, stats, f"{tmp}/hy", ratio=0.5)
+    assert out["total_records"] == 60
+    meta = json.loads(open(glob.glob(f"{tmp}/hy/metadata/part-*")[0]).read())
+    assert meta["total_conversations"] == 60 and meta["statistics"]["total_conversations"] == 60
+    assert meta["formats"] == ["sharegpt", "text", "document"]
+    doc = json.loads("".join(open(p, encoding="utf-8").read() for p in sorted(glob.glob(f"{tmp}/hy/document/part-*"))))
+    assert [len(doc[k]) for k in ("train", "valid", "test")] == [48, 6, 6]
+    combined = J.scan_jsonl(spark, f"{tmp}/hy/combined", glob="*.json")
+    assert combined.count() == 60
+    per_split = {r.split: r["count"] for r in spark.read.json(f"{tmp}/hy/text").groupBy("split").count().collect()}
+    assert per_split == {"train": 48, "valid": 6, "test": 6}

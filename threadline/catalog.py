@@ -791,3 +791,14 @@ def q_line_count(spark, d):
         .write.mode("overwrite").text(f"{root}/junk")
     lines = J.read_lines(spark, root, recursive=True)
     return S.nonblank_line_count(lines, "line")
+
+
+@query("hybrid_export", f"""
+WITH {SQL_HYBRID_ROWS}
+SELECT split, count(*) AS n_records FROM hs GROUP BY split""")
+def q_hybrid_export(spark, d):
+    root = scratch_path(spark, "hybrid")
+    rows, stats = HY.build_hybrid(_conv(spark, d), ratio=0.5, seed=SEED, marker=MARKER_A)
+    HY.write_hybrid(rows, stats, root, ratio=0.5, formats=("sharegpt",), seed=SEED)
+    back = spark.read.schema(J.LINE_SCHEMA).json(f"{root}/sharegpt")  # split comes from the folder names
+    return back.groupBy("split").agg(F.count(F.lit(1)).alias("n_records"))

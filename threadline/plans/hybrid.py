@@ -18,6 +18,7 @@ from threadline.operators import augment as A
 from threadline.operators import nested as N
 from threadline.operators import split as SP
 from threadline.operators import stats as S
+from threadline.sinks import export as X
 
 
 def _names(cols) -> list[str]:
@@ -42,4 +43,20 @@ def build_hybrid(turns: DataFrame, keys="conv_id", order: str = "turn", ratio: f
 def hybrid_records(rows: DataFrame, keys="conv_id", max_turns: int = N.DEFAULT_SEGMENT_TURNS) -> DataFrame:
     """Flat hybrid turns -> bounded records ``(keys.., variant, split, start, turns)``."""
     keys = [*_names(keys), "variant", "split"]
-    return N.assemble(rows.drop("n"), max_turns, keys=keys, order="pos", positioned=False)
+    # hybrid rows already carry dense positions per record (transforms renumber them)
+    return N.assemble(rows, max_turns, keys=keys, order="turn", positioned=True)
+
+
+def write_hybrid(rows: DataFrame, stats: DataFrame, out_dir: str, ratio: float = 0.5,
+                 split_ratios: Sequence[float] = SP.SPLIT_RATIOS, formats: Sequence[str] = X.FORMATS,
+                 seed: int | str = 42, keys="conv_id") -> dict:
+    """Write the hybrid dataset: requested formats, a combined file of all records, and metadata."""
+    recs = hybrid_records(rows, keys)
+    out = out_dir.rstrip("/")
+    written = X.export(recs, out, formats=formats, split_col="split",
+                       keys=[*_names(keys), "variant", "start"], seed=seed)
+    X.write_records(recs, f"{out}/combined", split_col=None)
+    total = recs.count()
+    X.write_metadata(rows.sparkSession, f"{out}/metadata", stats, total, ratio, split_ratios, list(formats))
+    written.update(combined=f"{out}/combined", metadata=f"{out}/metadata", total_records=total)
+    return written
