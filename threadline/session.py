@@ -21,6 +21,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Python's json.loads keeps the last of duplicate keys; match it in try_parse_json.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # remove checkpointed ranks once their DataFrames are garbage-collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # streaming dedup state on local disk + checkpoint, not on the heap
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
