@@ -193,3 +193,18 @@ def test_record_max_run_fold_matches_python(spark):
     recs = N.assemble(turns_frame(spark, convs))
     got = {r.conv_id: r.m for r in recs.select("conv_id", RU.record_max_run(F.col("turns")).alias("m")).collect()}
     assert got == {c: py_max_run([r for r, _ in t]) for c, t in convs.items()}
+
+
+def test_empty_and_null_records(spark):
+    schema = "conv_id bigint, start bigint, turns array<struct<pos:bigint, turn:bigint, role:string, text:string>>"
+    recs = spark.createDataFrame([(1, 0, []), (2, 0, None), (3, 0, [(0, 0, "user", "hi")]),
+                                  (4, 0, [(0, 0, "user", "a"), (1, 1, "assistant", None)])], schema)
+    assert sorted(r.conv_id for r in FL.record_drop_empty(recs).collect()) == [3, 4]
+    assert sorted(r.conv_id for r in FL.record_valid_structure(recs).collect()) == [4]
+    reasons = {r.conv_id: r.x for r in recs.select("conv_id", FL.gate_reason(F.col("turns")).alias("x")).collect()}
+    assert reasons[1] == "too_short" and reasons[2] == "too_short"
+    assert sorted(r.conv_id for r in D.dedup_prefix(recs).collect()) == [3, 4]
+    txt = {r.conv_id: r.text for r in RD.render_text(recs).collect()}
+    assert txt[1] == "" and txt[3] == "User: hi" and txt[4] == "User: a\n\nAssistant: "
+    st = S.record_stats(recs).collect()[0]
+    assert (st.total_conversations, st.total_turns) == (4, 3)
