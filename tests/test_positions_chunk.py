@@ -90,3 +90,18 @@ def test_small_position_blocks_with_halo(spark, L, s, tail, block):
     got = sorted((r.conv_id, r.start, [t.pos for t in r.turns]) for r in recs)
     expect = sorted((n, i, list(range(i, min(i + L, n)))) for n in sizes for i in range(0, max(1, n - tail), s))
     assert got == expect
+
+
+def test_two_level_offsets_with_many_blocks(spark, monkeypatch):
+    from threadline.operators import positions as P
+    monkeypatch.setattr(P, "SUPER", 3)
+    rows = [(7, t, "user" if t % 3 else "assistant", "x") for t in range(0, 400, 3)]
+    rows += [(8, t, "user", "y") for t in (5, 1, 999, 40)] + [(9, None, "user", "z"), (9, 2, "user", "w")]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    out = P.turn_positions(df, block_size=4, within=["role"], within_pos_col="rpos").collect()
+    got = {(r.conv_id, r.turn): (r.pos, r.n, r.rpos) for r in out}
+    for cid in (7, 8, 9):
+        mine = sorted((r for r in rows if r[0] == cid), key=lambda r: (r[1] is not None, r[1]))
+        for i, r in enumerate(mine):
+            same = [x for x in mine if x[2] == r[2]]
+            assert got[(cid, r[1])] == (i, len(mine), same.index(r))

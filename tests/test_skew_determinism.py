@@ -36,14 +36,25 @@ def test_hot_conversation_positions_are_exact_and_spread(spark):
     pos = turn_positions(df, block_size=256)
     hot = pos.filter("conv_id = 0").select("turn", "pos", "n").collect()
     assert all(r.pos == r.turn and r.n == HOT_TURNS for r in hot)
-    # where do the hot rows sit after the positions exchange?  (AQE would merge
-    # these small partitions, so coalescing is off while measuring)
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    # where do the hot rows sit after the positions exchange?  At this size AQE would
+    # merge the small partitions or broadcast the row side (then the output follows the
+    # tiny offsets table), so both are off while measuring: the join keeps the rows'
+    # (conversation, block) partitioning, as it does at scale.
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
         spread = (turn_positions(df, block_size=256).filter("conv_id = 0")
                   .groupBy(F.spark_partition_id().alias("p")).count().collect())
     finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     assert len(spread) >= 4
     assert max(r["count"] for r in spread) <= HOT_TURNS * 0.5
 

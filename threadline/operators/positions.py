@@ -30,6 +30,8 @@ from pyspark.sql import types as Ty
 from threadline.session import ensure_checkpoint_dir
 
 DEFAULT_BLOCK_SIZE = 1024
+# Blocks per superblock in the two-level prefix sum of block sizes.
+SUPER = 1024
 
 
 def _names(cols) -> list[str]:
@@ -106,15 +108,31 @@ def turn_positions(df: DataFrame, keys="conv_id", order="turn", pos_col: str = "
     keyed, bcols = surrogate_keys(keyed, [blk], prefix="_tl_sb")
 
     def offsets_for(group: list[str], base_col: str, with_size: bool) -> DataFrame:
-        counts = keyed.groupBy(*group, *bcols).agg(F.count(F.lit(1)).alias("_tl_cnt"))
-        per_key = Window.partitionBy(*group)
+        # Two-level prefix sum: blocks are summed inside superblocks of SUPER blocks
+        # (groups keyed by (group, superblock)), superblock totals are summed per group.
+        # No window partition holds more than SUPER blocks or one row per superblock.
+        counts = (keyed.groupBy(*group, *bcols).agg(F.count(F.lit(1)).alias("_tl_cnt"))
+                  .withColumn("_tl_sup", F.coalesce(F.expr(f"{bcols[0]} div {SUPER}"), F.lit(0).cast("bigint"))))
         # a null block (null ``turn``) ranks first, as ``orderBy(turn)`` puts nulls first
         block_order = [F.col(c).desc() if c.startswith("_tl_sbn") else F.col(c) for c in bcols]
-        running = per_key.orderBy(*block_order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return counts.select(
-            *group, *bcols,
-            (F.sum("_tl_cnt").over(running) - F.col("_tl_cnt")).alias(base_col),
-            *([F.sum("_tl_cnt").over(per_key).alias(size_col)] if with_size else []))
+        in_sup = Window.partitionBy(*group, "_tl_sup")
+        lvl1 = counts.select(
+            *group, *bcols, "_tl_sup",
+            (F.sum("_tl_cnt").over(in_sup.orderBy(*block_order)
+                                   .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+             - F.col("_tl_cnt")).alias("_tl_in_sup"))
+        sups = counts.groupBy(*group, "_tl_sup").agg(F.sum("_tl_cnt").alias("_tl_sup_cnt"))
+        per_key = Window.partitionBy(*group)
+        lvl2 = sups.select(
+            *group, "_tl_sup",
+            (F.sum("_tl_sup_cnt").over(per_key.orderBy("_tl_sup")
+                                       .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+             - F.col("_tl_sup_cnt")).alias("_tl_sup_base"),
+            *([F.sum("_tl_sup_cnt").over(per_key).alias(size_col)] if with_size else []))
+        joined_lvls = lvl1.join(lvl2, on=[*group, "_tl_sup"], how="inner")
+        return joined_lvls.select(
+            *group, *bcols, (F.col("_tl_sup_base") + F.col("_tl_in_sup")).alias(base_col),
+            *([F.col(size_col)] if with_size else []))
 
     ranked = (keyed.repartition(*[F.col(c) for c in [*kcols, *bcols]])
               .withColumn("_tl_r", F.row_number().over(Window.partitionBy(*kcols, *bcols).orderBy(*order)) - 1))
