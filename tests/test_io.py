@@ -125,11 +125,11 @@ def test_metadata_and_export(spark, tmp):
     recs = recs.withColumn("source", F.when(F.col("conv_id") < 6, "src0").otherwise("src1"))
     allow = spark.createDataFrame([("src0", "owned")], "source string, rights string")
     written = X.export(recs, f"{tmp}/exp", allowed_sources=allow)
-    assert set(written) == {"sharegpt", "text", "document"}
-    back = J.scan_jsonl(spark, f"{tmp}/exp/sharegpt", recursive=True, glob="*.json")
+    assert set(written) == {"records", "text", "document"}
+    back = J.scan_jsonl(spark, f"{tmp}/exp/records", recursive=True, glob="*.json")
     assert sorted(r.conv_id for r in back.collect()) == list(range(6))
     stats = spark.createDataFrame([(12, 30)], "total_conversations bigint, total_turns bigint")
-    X.write_metadata(spark, f"{tmp}/meta", stats, 12, 0.5, (0.8, 0.1, 0.1), ["sharegpt"])
+    X.write_metadata(spark, f"{tmp}/meta", stats, 12, 0.5, (0.8, 0.1, 0.1), ["records"])
     meta = json.loads(open(glob.glob(f"{tmp}/meta/part-*")[0]).read())
     assert meta["statistics"]["total_turns"] == 30 and meta["split_ratio"] == [0.8, 0.1, 0.1]
 
@@ -188,7 +188,7 @@ def test_write_hybrid_all_formats(spark, tmp):
     assert out["total_records"] == 60
     meta = json.loads(open(glob.glob(f"{tmp}/hy/metadata/part-*")[0]).read())
     assert meta["total_conversations"] == 60 and meta["statistics"]["total_conversations"] == 60
-    assert meta["formats"] == ["sharegpt", "text", "document"]
+    assert meta["formats"] == ["records", "text", "document"]
     doc = json.loads("".join(open(p, encoding="utf-8").read() for p in sorted(glob.glob(f"{tmp}/hy/document/part-*"))))
     assert [len(doc[k]) for k in ("train", "valid", "test")] == [48, 6, 6]
     combined = J.scan_jsonl(spark, f"{tmp}/hy/combined", glob="*.json")

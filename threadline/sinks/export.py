@@ -28,7 +28,7 @@ from threadline.operators.sample import shuffle_key
 from threadline.operators.split import SPLIT_NAMES, SPLIT_RATIOS, split_bounds
 
 # Format names accepted by :func:`export`.
-FORMATS = ("sharegpt", "text", "document")
+FORMATS = ("records", "text", "document")
 
 
 def _names(cols) -> list[str]:
@@ -140,9 +140,9 @@ def export(records: DataFrame, out_dir: str, formats: Sequence[str] = FORMATS, s
         records = allowed_only(records, allowed_sources, source_col)
     out = out_dir.rstrip("/")
     written = {}
-    if "sharegpt" in formats:
-        write_records(records, f"{out}/sharegpt", split_col)
-        written["sharegpt"] = f"{out}/sharegpt"
+    if "records" in formats:
+        write_records(records, f"{out}/records", split_col)
+        written["records"] = f"{out}/records"
     if "text" in formats:
         write_text_records(records, f"{out}/text", split_col)
         written["text"] = f"{out}/text"
