@@ -100,16 +100,17 @@ def augment_flat(df: DataFrame, keys="conv_id", seed: int | str = 42, kind_col:
 
 
 def hybrid(df: DataFrame, keys="conv_id", order: str = "turn", ratio: float = 0.5, seed: int | str = 42,
-           user_role: str = R.USER, positioned: bool = False) -> DataFrame:
+           user_role: str = R.USER, positioned: bool = False, sample=None) -> DataFrame:
     """Real records plus seeded augmented copies of an exact sample of them.
 
     Output: flat turns with ``variant`` (0 real, 1 augmented), ``origin``
     columns equal to the record key, ``aug_type`` and the new ``pos``.  The
     sample is a row-local predicate (see :mod:`threadline.operators.sample`),
-    so selecting records needs no join.
+    so selecting records needs no join; pass ``sample`` to reuse one.
     """
     keys = _names(keys)
-    sample = exact_sample(df, keys, seed, ratio=ratio)
+    if sample is None:
+        sample = exact_sample(df, keys, seed, ratio=ratio)
     if not positioned:
         df = turn_positions(df, keys, order)
     real = df.withColumn("variant", F.lit(0)).withColumn("aug_type", F.lit(None).cast("string"))
@@ -118,6 +119,15 @@ def hybrid(df: DataFrame, keys="conv_id", order: str = "turn", ratio: float = 0.
     return real.unionByName(aug)
 
 
+def hybrid_record_keys(df: DataFrame, sample, keys="conv_id") -> DataFrame:
+    """Record keys of the hybrid set, ``(keys.., variant)``, straight from the input:
+    every record once (variant 0) and the sampled ones again (variant 1)."""
+    keys = _names(keys)
+    recs = df.select(*keys).distinct()
+    return (recs.withColumn("variant", F.lit(0))
+            .unionByName(recs.filter(sample.predicate()).withColumn("variant", F.lit(1))))
+
+
 # -- nested transforms (bounded records) ----------------------------------------
 
 def reverse_turns(t: Column) -> Column:

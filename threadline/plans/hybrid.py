@@ -18,6 +18,7 @@ from threadline.operators import augment as A
 from threadline.operators import nested as N
 from threadline.operators import split as SP
 from threadline.operators import stats as S
+from threadline.operators.sample import exact_sample
 from threadline.sinks import export as X
 
 
@@ -32,10 +33,13 @@ def build_hybrid(turns: DataFrame, keys="conv_id", order: str = "turn", ratio: f
     """Return ``(rows, stats)``: flat hybrid turns with ``variant`` (and ``split``
     unless ``with_split=False``), and one-row statistics over the hybrid records."""
     keys = _names(keys)
-    rows = A.hybrid(turns, keys, order, ratio, seed, user_role)
+    sample = exact_sample(turns, keys, seed, ratio=ratio)
+    rows = A.hybrid(turns, keys, order, ratio, seed, user_role, sample=sample)
     rec_keys = [*keys, "variant"]
     if with_split:
-        split = SP.prefix_split(rows, rec_keys, seed=seed, ratios=split_ratios, rule=rule)
+        # split bounds need only the record keys, which come from the input directly
+        record_keys = A.hybrid_record_keys(turns, sample, keys)
+        split = SP.prefix_split(record_keys, rec_keys, seed=seed, ratios=split_ratios, rule=rule)
         rows = rows.withColumn("split", split.label())
     return rows, S.dataset_stats(rows, rec_keys, marker)
 

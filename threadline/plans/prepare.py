@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from threadline.operators import split as SP
 from threadline.operators import stats as S
@@ -18,9 +19,17 @@ from threadline.sources import jsonl as J
 
 def label_splits(spark: SparkSession, paths, ratios: Sequence[float] = SP.SPLIT_RATIOS,
                  glob: str | None = None) -> DataFrame:
-    """Strictly scanned records with ``rec_id`` (file order) and ``split``."""
-    records = J.number_records(J.scan_jsonl_strict(spark, paths, glob))
-    return SP.split_prefix(records, "rec_id", seed=None, ratios=ratios, rule="additive")
+    """Strictly scanned records with ``rec_id`` (file order) and ``split``.
+
+    ``rec_id`` is already the exact rank, so the split is a comparison with two integers.
+    """
+    records, total = J.number_records(J.scan_jsonl_strict(spark, paths, glob), with_total=True)
+    train_end, valid_end = SP.split_bounds(total, ratios, rule="additive")
+    rid = F.col("rec_id")
+    label = (F.when(rid < train_end, F.lit(SP.SPLIT_NAMES[0]))
+             .when(rid < valid_end, F.lit(SP.SPLIT_NAMES[1]))
+             .otherwise(F.lit(SP.SPLIT_NAMES[2])))
+    return records.withColumn("split", label)
 
 
 def prepare_splits(spark: SparkSession, paths, out_dir: str,

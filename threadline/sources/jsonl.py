@@ -139,10 +139,14 @@ def concat(*frames: DataFrame) -> DataFrame:
     return out
 
 
-def number_records(records: DataFrame, id_col: str = "rec_id") -> DataFrame:
-    """Add ``id_col``: the record's exact 0-based position in file order."""
+def number_records(records: DataFrame, id_col: str = "rec_id", with_total: bool = False):
+    """Add ``id_col``: the record's exact 0-based position in file order.
+
+    With ``with_total=True`` also returns the record count (known from the ranking).
+    """
     ranked = global_positions(records, ORDER_COLS, pos_col="_tl_gpos")
-    return ranked.frame.withColumn(id_col, F.col("_tl_gpos")).drop("_tl_gpos")
+    frame = ranked.frame.withColumn(id_col, F.col("_tl_gpos")).drop("_tl_gpos")
+    return (frame, ranked.total) if with_total else frame
 
 
 def flatten_records(records: DataFrame, keys=("conv_id", "start")) -> DataFrame:
