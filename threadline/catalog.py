@@ -223,8 +223,8 @@ SELECT conv_id, turn, role, text,
 FROM conversations"""
 
 
-def _pos_all(spark, d):
-    return turn_positions(_conv(spark, d), "conv_id", "turn")
+def _pos_all(spark, d, cols=("conv_id", "turn", "role", "text")):
+    return turn_positions(_conv(spark, d).select(*cols), "conv_id", "turn")
 
 
 @query("map_roles", """
@@ -312,7 +312,7 @@ SELECT conv_id, turn, role,
        CASE WHEN n >= 4 AND pos >= 2 AND pos <= n - 2 THEN n - pos ELSE pos END AS pos
 FROM p""")
 def q_aug_reverse(spark, d):
-    return A.aug_reverse(_pos_all(spark, d)).select("conv_id", "turn", "role", "pos")
+    return A.aug_reverse(_pos_all(spark, d, ("conv_id", "turn", "role"))).select("conv_id", "turn", "role", "pos")
 
 
 @query("aug_shorten", f"""
@@ -320,7 +320,7 @@ WITH p AS ({SQL_POS_ALL})
 SELECT conv_id, turn, role, CASE WHEN n >= 6 AND pos >= 2 THEN pos - (n - 4) ELSE pos END AS pos
 FROM p WHERE n < 6 OR pos < 2 OR pos >= n - 2""")
 def q_aug_shorten(spark, d):
-    return A.aug_shorten(_pos_all(spark, d)).select("conv_id", "turn", "role", "pos")
+    return A.aug_shorten(_pos_all(spark, d, ("conv_id", "turn", "role"))).select("conv_id", "turn", "role", "pos")
 
 
 def sql_prefix(seed=SEED) -> str:

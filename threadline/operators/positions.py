@@ -57,6 +57,16 @@ def _default_for(dtype: Ty.DataType):
     return None
 
 
+def _orderable(dtype: Ty.DataType) -> bool:
+    if isinstance(dtype, Ty.MapType):
+        return False
+    if isinstance(dtype, Ty.ArrayType):
+        return _orderable(dtype.elementType)
+    if isinstance(dtype, Ty.StructType):
+        return all(_orderable(f.dataType) for f in dtype.fields)
+    return not isinstance(dtype, (Ty.NullType, Ty.VariantType))
+
+
 def surrogate_keys(df: DataFrame, keys: Sequence[str], prefix: str = "_tl_sk") -> tuple[DataFrame, list[str]]:
     """Non-nullable stand-ins for possibly-null key columns.
 
@@ -91,6 +101,9 @@ def turn_positions(df: DataFrame, keys="conv_id", order="turn", pos_col: str = "
     used for blocking; the rest break ties).  ``(keys, order)`` should be
     unique for positions to be deterministic.  Null keys form their own group.
 
+    All input columns ride along (and break ties in ``order``, so ranks are
+    deterministic): select only the columns needed downstream before calling.
+
     ``within`` (extra columns) also adds ``within_pos_col``: the rank inside
     ``keys + within`` under the same order.  Both rank families share the one
     exchange of the rows: hash partitioning on ``(keys, block)`` already
@@ -107,10 +120,24 @@ def turn_positions(df: DataFrame, keys="conv_id", order="turn", pos_col: str = "
     keyed = staged.withColumn(blk, F.expr(f"`{lead}` div {int(block_size)}"))
     keyed, bcols = surrogate_keys(keyed, [blk], prefix="_tl_sb")
 
+    parted = keyed.repartition(*[F.col(c) for c in [*kcols, *bcols]])
+    # ties in ``order`` are broken by the other (orderable) columns: ranks are fully
+    # deterministic even when (keys, order) repeats
+    taken = set([*kcols, *xcols, *bcols, *order])
+    ties = [c for c in parted.columns if c not in taken and _orderable(parted.schema[c].dataType)]
+    ranked = parted.withColumn(
+        "_tl_r", F.row_number().over(Window.partitionBy(*kcols, *bcols).orderBy(*order, *ties)) - 1)
+    if extra:
+        ranked = ranked.withColumn(
+            "_tl_rr", F.row_number().over(Window.partitionBy(*kcols, *xcols, *bcols).orderBy(*order, *ties)) - 1)
+
     def offsets_for(group: list[str], base_col: str, with_size: bool) -> DataFrame:
         # Two-level prefix sum: blocks are summed inside superblocks of SUPER blocks
         # (groups keyed by (group, superblock)), superblock totals are summed per group.
         # No window partition holds more than SUPER blocks or one row per superblock.
+        # an independent partial aggregate over the input (pruned to keys and block, plus
+        # what upstream filters read); it runs beside the row exchange.  (Counting the
+        # ranked rows instead would sort and rank every row a second time.)
         counts = (keyed.groupBy(*group, *bcols).agg(F.count(F.lit(1)).alias("_tl_cnt"))
                   .withColumn("_tl_sup", F.coalesce(F.expr(f"{bcols[0]} div {SUPER}"), F.lit(0).cast("bigint"))))
         # a null block (null ``turn``) ranks first, as ``orderBy(turn)`` puts nulls first
@@ -134,12 +161,6 @@ def turn_positions(df: DataFrame, keys="conv_id", order="turn", pos_col: str = "
             *group, *bcols, (F.col("_tl_sup_base") + F.col("_tl_in_sup")).alias(base_col),
             *([F.col(size_col)] if with_size else []))
 
-    ranked = (keyed.repartition(*[F.col(c) for c in [*kcols, *bcols]])
-              .withColumn("_tl_r", F.row_number().over(Window.partitionBy(*kcols, *bcols).orderBy(*order)) - 1))
-    if extra:
-        ranked = ranked.withColumn(
-            "_tl_rr", F.row_number().over(Window.partitionBy(*kcols, *xcols, *bcols).orderBy(*order)) - 1)
-
     offsets = offsets_for(kcols, "_tl_base", bool(size_col))
     joined = ranked.join(offsets, on=[*kcols, *bcols], how="inner")
     cols = [F.col(c) for c in out_names]

@@ -24,7 +24,7 @@ def _names(cols) -> list[str]:
 def role_runs(df: DataFrame, keys="conv_id", order: str = "turn", role_col: str = "role") -> DataFrame:
     """One row per run: ``(keys.., role, island, run_len)``."""
     keys = _names(keys)
-    p = turn_positions(df, keys, order, pos_col="_tl_pos", size_col=None,
+    p = turn_positions(df.select(*keys, order, role_col), keys, order, pos_col="_tl_pos", size_col=None,
                        within=[role_col], within_pos_col="_tl_rpos")
     return (p.groupBy(*keys, role_col, (F.col("_tl_pos") - F.col("_tl_rpos")).alias("island"))
             .agg(F.count(F.lit(1)).alias("run_len")))
