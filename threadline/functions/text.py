@@ -49,8 +49,18 @@ def trim_ws(x) -> Column:
 
 
 def is_nonblank(x) -> Column:
-    """``bool(s.strip())``; null counts as blank."""
-    return F.coalesce(F.length(trim_ws(x)) > 0, F.lit(False))
+    """``bool(s.strip())``; null counts as blank.
+
+    Decided by the first character for almost every text (no copy); only a
+    text that starts with whitespace is trimmed.
+    """
+    c = col(x)
+    first = F.substring(c, 1, 1)
+    return F.coalesce(
+        F.when(F.length(first) == 0, F.lit(False))
+         .when(~first.isin(list(WHITESPACE_CHARS)), F.lit(True))
+         .otherwise(F.length(trim_ws(c)) > 0),
+        F.lit(False))
 
 
 def is_nonempty(x) -> Column:
