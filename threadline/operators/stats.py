@@ -123,7 +123,7 @@ def quality_report(records: DataFrame, core_names, marker_a: str, marker_b: str,
         F.count_if("no_marker").alias("n_without_marker"),
         F.count_if("no_response").alias("n_without_response"),
         F.coalesce(F.sum("n_blank"), F.lit(0)).cast("bigint").alias("n_blank_turns"),
-        F.coalesce(F.max("max_run"), F.lit(0)).alias("max_same_role_run"))
+        F.coalesce(F.max("max_run"), F.lit(0)).cast("bigint").alias("max_same_role_run"))
     flat = records.select(F.explode(t).alias("x")).select("x.role", "x.text")
     names = name_overlap(distinct_names(flat, name_pattern, marked_role), core_names)
     n_core = names.agg(F.count(F.lit(1)).alias("n_core_names"))
