@@ -12,6 +12,10 @@ SQL = E.oracle_sql()
 NAMES = sorted(E.queries())
 
 
+SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                   "boolean": "BOOLEAN", "smallint": "SMALLINT", "float": "FLOAT"}
+
+
 def _norm(v):
     if isinstance(v, float):
         return "nan" if math.isnan(v) else round(v, 9)
@@ -40,6 +44,9 @@ def test_query_matches_oracle(spark, sf_dir, con, name):
         return
     rel = con.sql(SQL[name])
     assert sorted(df.columns) == sorted(rel.columns)
+    spark_types = {f.name: SPARK_TO_DUCKDB.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
     want = rel.fetchall()
     assert len(got) == len(want)
     assert _rows(df.columns, got) == _rows(rel.columns, want)
