@@ -220,7 +220,8 @@ def global_positions(df: DataFrame, order_cols, pos_col: str = "gpos",
     pid = F.spark_partition_id()
     local_idx = F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)
     counts = {r[0]: r[1] for r in fixed.groupBy(pid.alias("p")).count().collect()}
-    n_fixed = fixed.rdd.getNumPartitions()
+    # partitions without rows never evaluate their base, so ids up to the largest seen suffice
+    n_fixed = max(counts) + 1 if counts else 0
     bases, acc = [], 0
     for p in range(n_fixed):
         bases.append(acc)
