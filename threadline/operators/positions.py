@@ -7,7 +7,8 @@ Two primitives:
   of all rows, so a plain ``row_number() over (partition by conv_id)`` would
   put it in one task.  Instead turns are cut into blocks of ``block_size``
   consecutive ``turn`` values: block sizes come from a partial aggregate, a
-  prefix sum over the (small) block table gives each block's base, and
+  two-level prefix sum over the (small) block table gives each block's base
+  (blocks inside superblocks, then superblocks per conversation), and
   ``row_number`` runs per ``(conv_id, block)`` group, which never exceeds
   ``block_size`` rows.  One shuffle of the rows, keyed by (conv_id, block).
 
@@ -38,14 +39,6 @@ def _names(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond
-
-
 def _default_for(dtype: Ty.DataType):
     if isinstance(dtype, Ty.StringType):
         return ""
@@ -132,12 +125,12 @@ def turn_positions(df: DataFrame, keys="conv_id", order="turn", pos_col: str = "
             "_tl_rr", F.row_number().over(Window.partitionBy(*kcols, *xcols, *bcols).orderBy(*order, *ties)) - 1)
 
     def offsets_for(group: list[str], base_col: str, with_size: bool) -> DataFrame:
-        # Two-level prefix sum: blocks are summed inside superblocks of SUPER blocks
-        # (groups keyed by (group, superblock)), superblock totals are summed per group.
-        # No window partition holds more than SUPER blocks or one row per superblock.
-        # an independent partial aggregate over the input (pruned to keys and block, plus
-        # what upstream filters read); it runs beside the row exchange.  (Counting the
-        # ranked rows instead would sort and rank every row a second time.)
+        # Block sizes: an independent partial aggregate over the input (pruned to keys and
+        # block, plus what upstream filters read), running beside the row exchange;
+        # counting the ranked rows instead would sort and rank every row a second time.
+        # Bases: a two-level prefix sum - blocks inside superblocks of SUPER blocks, then
+        # superblock totals per group - so no window partition holds more than about SUPER
+        # blocks (plus one row per superblock of a group).
         counts = (keyed.groupBy(*group, *bcols).agg(F.count(F.lit(1)).alias("_tl_cnt"))
                   .withColumn("_tl_sup", F.coalesce(F.expr(f"{bcols[0]} div {SUPER}"), F.lit(0).cast("bigint"))))
         # a null block (null ``turn``) ranks first, as ``orderBy(turn)`` puts nulls first
