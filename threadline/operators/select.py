@@ -67,11 +67,14 @@ def order_stats(df: DataFrame, proxy: Column, exact_cols: Sequence[str], ranks,
     base = df.select(proxy.alias(PROXY), *exact_cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         total = base.count()
-        wanted = ranks(total) if callable(ranks) else ranks
+        wanted = sorted({int(r) for r in (ranks(total) if callable(ranks) else ranks) if 0 <= int(r) < total})
         found: dict[int, tuple] = {}
-        for k in sorted({int(r) for r in wanted}):
-            if 0 <= k < total:
-                found[k] = _select(base, exact_cols, k, total, max_collect, accuracy)
+        if wanted and total <= max_collect:
+            # the whole key table is within the collect bound: one pass serves every rank
+            rows = sorted(base.collect(), key=lambda r: _sort_key(r, exact_cols))
+            return total, {k: tuple(rows[k][c] for c in exact_cols) for k in wanted}
+        for k in wanted:
+            found[k] = _select(base, exact_cols, k, total, max_collect, accuracy)
         return total, found
     finally:
         base.unpersist()
