@@ -43,7 +43,7 @@ def dedup_prefix(records: DataFrame, chars: int = T.FINGERPRINT_CHARS, order_col
                  turns_col: str = "turns") -> DataFrame:
     """Drop empty records, then keep the first record per fingerprint of its first turn."""
     non_empty = records.filter(F.coalesce(F.size(turns_col) > 0, F.lit(False)))
-    key = T.fingerprint(F.element_at(F.col(turns_col), 1)["text"], chars)
+    key = T.fingerprint(F.try_element_at(F.col(turns_col), F.lit(1))["text"], chars)
     return keep_first(non_empty, key, order_cols)
 
 

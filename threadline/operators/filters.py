@@ -74,7 +74,7 @@ def quality_conditions(turns: Column, min_turns: int = MIN_QUALITY_TURNS,
     if marker_b is not None:
         checks.append(("no_response", F.size(F.filter(turns, lambda t: T.contains(t["text"], marker_b))) >= min_b))
     if first_role is not None:
-        checks.append(("wrong_first_role", F.coalesce(F.element_at(turns, 1)["role"] == first_role, F.lit(False))))
+        checks.append(("wrong_first_role", F.coalesce(F.try_element_at(turns, F.lit(1))["role"] == first_role, F.lit(False))))
     return checks
 
 

@@ -110,7 +110,7 @@ def quality_report(records: DataFrame, core_names, marker_a: str, marker_b: str,
     t = F.col(turns_col)
     per = records.select(
         (F.size(t) < min_turns).alias("short"),
-        (~F.coalesce(F.element_at(t, 1)["role"] == first_role, F.lit(False))).alias("bad_first"),
+        (~F.coalesce(F.try_element_at(t, F.lit(1))["role"] == first_role, F.lit(False))).alias("bad_first"),
         (~F.coalesce(F.exists(t, lambda x: (x["role"] == marked_role) & T.contains(x["text"], marker_a)),
                      F.lit(False))).alias("no_marker"),
         (~F.coalesce(F.exists(t, lambda x: T.contains(x["text"], marker_b)), F.lit(False))).alias("no_response"),

@@ -57,7 +57,7 @@ def curate(turns: DataFrame, max_turns: int = C.DEFAULT_MAX_TURNS, stride: int |
         ok = F.lit(True)
         for _, cond in FL.quality_conditions(w, **gate):
             ok = ok & F.coalesce(cond, F.lit(False))
-        fp = T.fingerprint(F.element_at(w, 1)["text"], fingerprint_chars)
+        fp = T.fingerprint(F.try_element_at(w, F.lit(1))["text"], fingerprint_chars)
         return F.struct(st.alias("start"), ok.alias("ok"), fp.alias("fp"))
 
     views = (blocks.select(*keys, F.explode(F.transform(starts, light)).alias("v"))
