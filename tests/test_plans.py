@@ -40,3 +40,21 @@ def test_windows_group_by_window_key(spark, sf_dir):
     plan = _plan(E.queries()["chunk_overlap"](spark, sf_dir))
     # turn rows are shuffled by (conversation, block) and by (conversation, window start)
     assert "_tl_blk" in plan and "start" in plan
+
+
+def _final_plan(df):
+    df.collect()  # the adaptive plan is final (and shows reused exchanges) only after execution
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", ["curate_windows", "dedup_prefix", "curate_stats"])
+def test_window_shuffle_is_shared(spark, sf_dir, name):
+    plan = _final_plan(E.queries()[name](spark, sf_dir))
+    assert "isFinalPlan=true" in plan
+    assert "ReusedExchange" in plan, name
+
+
+def test_dedup_semi_join_keeps_window_partitioning(spark, sf_dir):
+    plan = _final_plan(E.queries()["dedup_prefix"](spark, sf_dir))
+    # a null-safe join would hash coalesce/isnull expressions and re-shuffle the windows
+    assert "hashpartitioning(coalesce(conv_id" not in plan
