@@ -208,3 +208,14 @@ def test_empty_and_null_records(spark):
     assert txt[1] == "" and txt[3] == "User: hi" and txt[4] == "User: a\n\nAssistant: "
     st = S.record_stats(recs).collect()[0]
     assert (st.total_conversations, st.total_turns) == (4, 3)
+
+
+def test_embedded_json_fuzz_matches_python(spark):
+    import random
+    rnd = random.Random(7)
+    frags = ['NaN', 'Infinity', '-Infinity', '-', '.5', '[', ']', '{', '}', ',', ':', ' ', '"a"', '"k": ', '1',
+             '-2.5e3', '01', 'true', 'null', 'x', '"\\u00e9"', '"\\n"', '1e400', '"', '\\', '[]', '{}', '\t']
+    cases = sorted({"".join(rnd.choice(frags) for _ in range(rnd.randint(1, 9))) for _ in range(2000)})
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(cases)], "i int, s string")
+    got = {r.i: r.j for r in df.select("i", T.embedded_json("s").alias("j")).collect()}
+    assert [c for i, c in enumerate(cases) if got[i] != py_embedded(c)] == []

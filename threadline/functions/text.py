@@ -120,15 +120,21 @@ def _span(c: Column, open_ch: str, close_ch: str) -> Column:
     return F.when((first > 0) & (last > first), F.substring(c, first, last - first + 1))
 
 
+# Python's json.loads also reads the literals NaN, Infinity and -Infinity; for the
+# validity test they stand in as 0 when they are whole tokens.
+_NON_FINITE = r"(?<![-\w.])(?:NaN|-?Infinity)(?![\w.])"
+
+
 def _parses(c: Column) -> Column:
-    """``c`` is exactly one JSON value.
+    """``c`` is exactly one JSON value, as ``json.loads`` reads it.
 
     ``try_parse_json`` stops after the first value and ignores what follows;
     a string that also parses inside ``[...]`` and as the value of
     ``{"v": ...}`` cannot carry trailing content (the two wrappers cannot
-    both be closed early), which matches ``json.loads`` except for its
-    non-standard ``NaN``/``Infinity`` literals.
+    both be closed early).  Whole-token ``NaN``/``Infinity`` are accepted as
+    Python does.
     """
+    c = F.regexp_replace(c, F.lit(_NON_FINITE), F.lit("0"))
     return (F.try_parse_json(c).isNotNull()
             & F.try_parse_json(F.concat(F.lit("["), c, F.lit("]"))).isNotNull()
             & F.try_parse_json(F.concat(F.lit('{"v":'), c, F.lit("}"))).isNotNull())
