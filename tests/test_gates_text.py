@@ -219,3 +219,16 @@ def test_embedded_json_fuzz_matches_python(spark):
     df = spark.createDataFrame([(i, s) for i, s in enumerate(cases)], "i int, s string")
     got = {r.i: r.j for r in df.select("i", T.embedded_json("s").alias("j")).collect()}
     assert [c for i, c in enumerate(cases) if got[i] != py_embedded(c)] == []
+
+
+def test_whitespace_fuzz_matches_python(spark):
+    import random
+    rnd = random.Random(11)
+    alphabet = list(T.WHITESPACE_CHARS) + ["a", "é", "\U0001d11e", "x y", "​", "﻿", "", "\x00"]
+    cases = sorted({"".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 8))) for _ in range(3000)})
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(cases)], "i int, s string")
+    out = {r.i: r for r in df.select("i", T.is_nonblank("s").alias("nb"), T.trim_ws("s").alias("tr"),
+                                     T.token_count("s").alias("tok")).collect()}
+    for i, s in enumerate(cases):
+        r = out[i]
+        assert (r.nb, r.tr, r.tok) == (bool(s.strip()), s.strip(), len(s.split())), repr(s)
