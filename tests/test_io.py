@@ -195,3 +195,11 @@ def test_write_hybrid_all_formats(spark, tmp):
     assert combined.count() == 60
     per_split = {r.split: r["count"] for r in spark.read.json(f"{tmp}/hy/text").groupBy("split").count().collect()}
     assert per_split == {"train": 48, "valid": 6, "test": 6}
+
+
+def test_hybrid_stats_from_written_records_match_flat(spark, tmp):
+    from threadline.plans import hybrid as HY
+    rows, stats = HY.build_hybrid(turns_frame(spark, _convs(40)), ratio=0.5, seed=42, marker="é")
+    HY.write_hybrid(rows, None, f"{tmp}/hy2", formats=("records",), marker="é")
+    recs = spark.read.parquet(f"{tmp}/hy2/records_table")
+    assert HY.records_stats(recs, marker="é").collect() == stats.collect()

@@ -798,7 +798,7 @@ WITH {SQL_HYBRID_ROWS}
 SELECT split, count(*) AS n_records FROM hs GROUP BY split""")
 def q_hybrid_export(spark, d):
     root = scratch_path(spark, "hybrid")
-    rows, stats = HY.build_hybrid(_conv(spark, d), ratio=0.5, seed=SEED, marker=MARKER_A)
-    HY.write_hybrid(rows, stats, root, ratio=0.5, formats=("records",), seed=SEED)
+    rows, _ = HY.build_hybrid(_conv(spark, d), ratio=0.5, seed=SEED, marker=MARKER_A)
+    HY.write_hybrid(rows, None, root, ratio=0.5, formats=("records",), seed=SEED, marker=MARKER_A)
     back = spark.read.schema(J.LINE_SCHEMA).json(f"{root}/records")  # split comes from the folder names
     return back.groupBy("split").agg(F.count(F.lit(1)).alias("n_records"))

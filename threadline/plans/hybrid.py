@@ -12,8 +12,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from threadline.functions import roles as R
+from threadline.functions import text as T
 from threadline.operators import augment as A
 from threadline.operators import nested as N
 from threadline.operators import split as SP
@@ -51,16 +53,42 @@ def hybrid_records(rows: DataFrame, keys="conv_id", max_turns: int = N.DEFAULT_S
     return N.assemble(rows, max_turns, keys=keys, order="turn", positioned=True)
 
 
-def write_hybrid(rows: DataFrame, stats: DataFrame, out_dir: str, ratio: float = 0.5,
+def records_stats(records: DataFrame, keys=("conv_id", "variant"), marker: str = S.STATS_MARKER) -> DataFrame:
+    """Statistics over records stored as bounded segments: segments are folded per
+    record (one small row each) before the global merge."""
+    t = F.col("turns")
+    per_segment = records.select(
+        *_names(keys), F.size(t).alias("n_turns"),
+        F.aggregate(t, F.lit(0).cast("bigint"), lambda acc, x: acc + T.token_count(x["text"])).alias("n_tokens"),
+        F.coalesce(F.exists(t, lambda x: T.contains(x["text"], marker)), F.lit(False)).alias("has_marker"))
+    per_record = per_segment.groupBy(*_names(keys)).agg(
+        F.sum("n_turns").alias("n_turns"), F.sum("n_tokens").alias("n_tokens"),
+        F.bool_or("has_marker").alias("has_marker"))
+    return S._finish_stats(per_record)
+
+
+def write_hybrid(rows: DataFrame, stats: DataFrame | None, out_dir: str, ratio: float = 0.5,
                  split_ratios: Sequence[float] = SP.SPLIT_RATIOS, formats: Sequence[str] = X.FORMATS,
-                 seed: int | str = 42, keys="conv_id") -> dict:
-    """Write the hybrid dataset: requested formats, a combined file of all records, and metadata."""
-    recs = hybrid_records(rows, keys)
+                 seed: int | str = 42, keys="conv_id", marker: str = S.STATS_MARKER) -> dict:
+    """Write the hybrid dataset: requested formats, a combined file of all records, and metadata.
+
+    The hybrid records are computed once and written as a Parquet table
+    (``<out_dir>/records_table``); every format, the combined file and the
+    statistics are then read from that table, so positions and transforms
+    are not recomputed per output.  ``stats`` may be None (derived from the
+    written records).
+    """
     out = out_dir.rstrip("/")
+    spark = rows.sparkSession
+    hybrid_records(rows, keys).write.mode("overwrite").parquet(f"{out}/records_table")
+    recs = spark.read.parquet(f"{out}/records_table")
     written = X.export(recs, out, formats=formats, split_col="split",
                        keys=[*_names(keys), "variant", "start"], seed=seed)
     X.write_records(recs, f"{out}/combined", split_col=None)
-    total = recs.count()
-    X.write_metadata(rows.sparkSession, f"{out}/metadata", stats, total, ratio, split_ratios, list(formats))
-    written.update(combined=f"{out}/combined", metadata=f"{out}/metadata", total_records=total)
+    if stats is None:
+        stats = records_stats(recs, [*_names(keys), "variant"], marker)
+    total = recs.select(*_names(keys), "variant").distinct().count()
+    X.write_metadata(spark, f"{out}/metadata", stats, total, ratio, split_ratios, list(formats))
+    written.update(records_table=f"{out}/records_table", combined=f"{out}/combined",
+                   metadata=f"{out}/metadata", total_records=total)
     return written
