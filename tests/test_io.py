@@ -125,7 +125,7 @@ def test_metadata_and_export(spark, tmp):
     recs = recs.withColumn("source", F.when(F.col("conv_id") < 6, "src0").otherwise("src1"))
     allow = spark.createDataFrame([("src0", "owned")], "source string, rights string")
     written = X.export(recs, f"{tmp}/exp", allowed_sources=allow)
-    assert set(written) == {"records", "text", "document"}
+    assert set(written) == {"records", "text", "document", "records_table"}
     back = J.scan_jsonl(spark, f"{tmp}/exp/records", recursive=True, glob="*.json")
     assert sorted(r.conv_id for r in back.collect()) == list(range(6))
     stats = spark.createDataFrame([(12, 30)], "total_conversations bigint, total_turns bigint")

@@ -83,7 +83,7 @@ def write_hybrid(rows: DataFrame, stats: DataFrame | None, out_dir: str, ratio:
     hybrid_records(rows, keys).write.mode("overwrite").parquet(f"{out}/records_table")
     recs = spark.read.parquet(f"{out}/records_table")
     written = X.export(recs, out, formats=formats, split_col="split",
-                       keys=[*_names(keys), "variant", "start"], seed=seed)
+                       keys=[*_names(keys), "variant", "start"], seed=seed, stage=False)
     X.write_records(recs, f"{out}/combined", split_col=None)
     if stats is None:
         stats = records_stats(recs, [*_names(keys), "variant"], marker)

@@ -131,8 +131,13 @@ def allowed_only(df: DataFrame, allowed_sources: DataFrame | None, source_col: s
 
 def export(records: DataFrame, out_dir: str, formats: Sequence[str] = FORMATS, split_col: str = "split",
            keys=("conv_id", "start"), seed: int | str | None = 42, allowed_sources: DataFrame | None = None,
-           source_col: str = "source") -> dict:
-    """Write the requested formats below ``out_dir``; returns what was written."""
+           source_col: str = "source", stage: bool = True) -> dict:
+    """Write the requested formats below ``out_dir``; returns what was written.
+
+    With several formats and ``stage=True`` the records are first written once
+    as a Parquet table (``<out_dir>/records_table``) and every format is read
+    from it, so the upstream plan runs once instead of once per format.
+    """
     unknown = set(formats) - set(FORMATS)
     if unknown:
         raise ValueError(f"unknown formats: {sorted(unknown)}")
@@ -140,6 +145,10 @@ def export(records: DataFrame, out_dir: str, formats: Sequence[str] = FORMATS, s
         records = allowed_only(records, allowed_sources, source_col)
     out = out_dir.rstrip("/")
     written = {}
+    if stage and len(formats) > 1:
+        records.write.mode("overwrite").parquet(f"{out}/records_table")
+        records = records.sparkSession.read.parquet(f"{out}/records_table")
+        written["records_table"] = f"{out}/records_table"
     if "records" in formats:
         write_records(records, f"{out}/records", split_col)
         written["records"] = f"{out}/records"
