@@ -127,3 +127,12 @@ def test_fused_curation_equals_composition(spark):
         plain = D.dedup_prefix(FL.quality_gate(C.chunk_overlap(CU.clean_turns(df), max_turns=L, block_turns=block)))
         composed = sorted((r.conv_id, r.start, [t.pos for t in r.turns]) for r in plain.collect())
         assert fused == composed and fused
+
+
+def test_drop_later_copies_both_paths(spark):
+    rows = [(i, ("same opening " * 20) if i % 3 == 0 else f"doc {i % 7} body") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = sorted(r.doc_id for r in D.keep_first(df, F.substring("text", 1, 200), "doc_id").collect())
+    for bound in (10_000, 0):  # broadcast anti join, and the semi-join fallback beyond the bound
+        got = sorted(r.doc_id for r in D.dedup_text_prefix(df, broadcast_rows=bound).collect())
+        assert got == want and want == [0, 1, 2, 4, 5, 7, 10, 13]

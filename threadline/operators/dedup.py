@@ -47,7 +47,44 @@ def dedup_prefix(records: DataFrame, chars: int = T.FINGERPRINT_CHARS, order_col
     return keep_first(non_empty, key, order_cols)
 
 
+# Largest loser table broadcast by :func:`drop_later_copies` (rows of order keys).
+BROADCAST_LOSERS = 2_000_000
+
+
+def drop_later_copies(df: DataFrame, key: Column, order_cols,
+                      broadcast_rows: int = BROADCAST_LOSERS) -> DataFrame:
+    """Keep-first without moving the wide rows when copies are few.
+
+    Winners come from the same partial ``min`` as :func:`keep_first`; the
+    *losers* (rows not first for their key) are found on light
+    ``(order, key)`` rows and counted.  Up to ``broadcast_rows`` losers are
+    broadcast and removed with an anti join, so ``df`` (e.g. documents with
+    their text) is filtered where it lies; beyond that bound the shuffled
+    semi join of :func:`keep_first` is used.
+    """
+    order_cols = _names(order_cols)
+    keyed = df.select(*order_cols, key.alias("_tl_key"))
+    firsts = (keyed.groupBy("_tl_key")
+              .agg(F.min(F.struct(*[F.col(c) for c in order_cols])).alias("_tl_w")))
+    paired = keyed.join(firsts, keyed["_tl_key"].eqNullSafe(firsts["_tl_key"]), "inner")
+    is_first = F.lit(True)
+    for c in order_cols:
+        is_first = is_first & paired[c].eqNullSafe(F.col(f"_tl_w.{c}"))
+    losers = paired.filter(~is_first).select(*[paired[c] for c in order_cols])
+    n_losers = losers.count()
+    if n_losers > broadcast_rows:
+        return keep_first(df, key, order_cols)
+    if n_losers == 0:
+        return df
+    cond = None
+    for c in order_cols:
+        e = df[c].eqNullSafe(losers[c])
+        cond = e if cond is None else cond & e
+    return df.join(F.broadcast(losers), cond, "left_anti")
+
+
 def dedup_text_prefix(df: DataFrame, text_col: str = "text", chars: int = T.FINGERPRINT_CHARS,
-                      order_cols="doc_id") -> DataFrame:
-    """Flat variant: keep the first row per fingerprint of a text column."""
-    return keep_first(df, T.fingerprint(text_col, chars), order_cols)
+                      order_cols="doc_id", broadcast_rows: int = BROADCAST_LOSERS) -> DataFrame:
+    """Flat variant: keep the first row per fingerprint of a text column
+    (losers broadcast when few, see :func:`drop_later_copies`)."""
+    return drop_later_copies(df, T.fingerprint(text_col, chars), order_cols, broadcast_rows)
