@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadline.functions import text as T
+from threadline.session import ensure_checkpoint_dir
 
 
 def _names(cols) -> list[str]:
@@ -71,6 +72,9 @@ def drop_later_copies(df: DataFrame, key: Column, order_cols,
     for c in order_cols:
         is_first = is_first & paired[c].eqNullSafe(F.col(f"_tl_w.{c}"))
     losers = paired.filter(~is_first).select(*[paired[c] for c in order_cols])
+    # computed once: checkpointed (shared folder), then counted and broadcast from there
+    ensure_checkpoint_dir(df.sparkSession)
+    losers = losers.checkpoint(eager=True)
     n_losers = losers.count()
     if n_losers > broadcast_rows:
         return keep_first(df, key, order_cols)
