@@ -176,6 +176,24 @@ def conversation_sizes(df: DataFrame, keys="conv_id", size_col: str = "n") -> Da
 # Global order
 # ---------------------------------------------------------------------------
 
+# Target bytes per range partition when sizing from the optimizer's estimate.
+RANGE_PARTITION_BYTES = 128 * 1024 * 1024
+MAX_RANGE_PARTITIONS = 200_000
+
+
+def range_partitions(df: DataFrame) -> int:
+    """Partitions for a range sort: the configured shuffle partitions, or more when the
+    optimizer's size estimate says the data needs it (AQE can merge range partitions
+    but never split them)."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - estimate unavailable: keep the configured count
+        return n
+    return max(n, min(MAX_RANGE_PARTITIONS, -(-size // RANGE_PARTITION_BYTES)))
+
+
 class RankedTable:
     """A checkpointed, range-sorted table with exact global ranks.
 
@@ -206,7 +224,7 @@ def global_positions(df: DataFrame, order_cols, pos_col: str = "gpos",
     order_cols = _names(order_cols)
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n_parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = num_partitions or range_partitions(df)
     ranged = df.repartitionByRange(n_parts, *order_cols).sortWithinPartitions(*order_cols)
     fixed = ranged.checkpoint(eager=True)
 
