@@ -43,12 +43,18 @@ def clean_turns(turns: DataFrame, roles=(R.USER, R.ASSISTANT), key: str = "conv_
 
 def curate(turns: DataFrame, max_turns: int = C.DEFAULT_MAX_TURNS, stride: int | None = None,
            tail: int = C.DEFAULT_TAIL, fingerprint_chars: int = T.FINGERPRINT_CHARS,
-           roles=(R.USER, R.ASSISTANT), block_turns: int | None = None, **gate) -> DataFrame:
-    """Flat turns -> deduplicated, gated window records ``(conv_id, start, turns)``."""
-    keys = ["conv_id"]
+           roles=(R.USER, R.ASSISTANT), block_turns: int | None = None, key: str = "conv_id",
+           **gate) -> DataFrame:
+    """Flat turns -> deduplicated, gated window records ``(key, start, turns)``.
+
+    ``gate`` takes the parameters of :func:`threadline.operators.filters.quality_conditions`
+    (``min_turns``, ``marked_role``, ``marker_a``, ``min_marked``, ``marker_b``, ``min_b``,
+    ``first_role``); windows are ordered by ``(key, start)`` for keep-first dedup.
+    """
+    keys = [key]
     geo = dict(max_turns=max_turns, stride=stride, block_turns=block_turns)
     _, _, P, _ = C._geometry(max_turns, stride, block_turns)
-    positioned = turn_positions(clean_turns(turns, roles), keys, "turn")
+    positioned = turn_positions(clean_turns(turns, roles, key), keys, "turn")
     blocks = C.position_blocks(positioned, keys=keys, order="turn", **geo)
     starts = C.block_window_starts(tail=tail, **geo)
 
@@ -64,8 +70,9 @@ def curate(turns: DataFrame, max_turns: int = C.DEFAULT_MAX_TURNS, stride: int |
              .select(*keys, "v.*").filter("ok"))
     # min over a non-empty group: the struct and its fields are never null; the
     # coalesce says so, so no IsNotNull filter is inferred into the block branch
-    winners = (views.groupBy("fp").agg(F.min(F.struct("conv_id", "start")).alias("w"))
-               .select(F.coalesce(F.col("w.conv_id"), F.lit(0).cast("bigint")).alias("conv_id"),
+    key_type = turns.schema[key].dataType
+    winners = (views.groupBy("fp").agg(F.min(F.struct(key, "start")).alias("w"))
+               .select(F.coalesce(F.col(f"w.{key}"), F.lit(0).cast(key_type)).alias(key),
                        F.coalesce(F.col("w.start"), F.lit(0).cast("bigint")).alias("start")))
     per_block = (winners.withColumn(C.GROUP, F.expr(f"start div {P}"))
                  .groupBy(*keys, C.GROUP).agg(F.collect_list("start").alias("_tl_win")))
