@@ -3,9 +3,10 @@
 A record's place in a shuffle is ``(md5('<seed>:<key>'), key)``.  An exact
 sample of ``k`` records is "the ``k`` smallest under that order", which is a
 row-local predicate once the order key of the ``k``-th record is known.  That
-bound comes from :func:`threadline.operators.positions.order_statistics` over
-the record table (one row per record), so the turn rows are never joined or
-collected: every turn tests its own record's key against one literal.
+bound comes from :func:`threadline.operators.select.seeded_proxy_stats` (exact
+distributed selection over the record-key table, no sort), so the turn rows
+are never joined or collected: every turn tests its own record's key against
+one literal.
 """
 
 from __future__ import annotations
