@@ -13,7 +13,9 @@ Two primitives:
   ``block_size`` rows.  One shuffle of the rows, keyed by (conv_id, block).
 
 * :func:`global_positions` / :func:`order_statistics` - rank of each row in
-  a total order over the whole table (dataset splits, exact sampling).  The
+  a total order over the whole table, where every rank is needed (file-order
+  ids, the ordered document; samples and splits use the cheaper selection of
+  :mod:`threadline.operators.select`).  The
   table is range-partitioned and sorted, checkpointed to the shared
   checkpoint folder (fixed partitioning, lineage cut), counted per partition
   (one small row per partition), and each row's rank is base(partition) +
