@@ -7,7 +7,8 @@ exactly one window, and a late window may lie inside its predecessor.
 
 Plan: after positions (:func:`threadline.operators.positions.turn_positions`)
 the turns of a conversation are grouped into *position blocks* of ``P``
-consecutive positions (``P`` a multiple of the stride), each extended by a
+consecutive positions (16 strides, fewer for long strides so ``P`` stays near
+4096; always a multiple of the stride), each extended by a
 halo of the next ``L - s`` turns.  A block's sorted turn array holds every
 window that starts inside the block, so windows are sliced out of it
 row-locally.  The shuffle carries each turn about ``1 + (L - s) / P`` times,
@@ -26,8 +27,10 @@ from threadline.operators.positions import turn_positions
 # The reference's window length and tail margin.
 DEFAULT_MAX_TURNS = 40
 DEFAULT_TAIL = 4
-# Position-block length, in windows-per-block of stride: P = BLOCK_STRIDES * s.
+# Position-block length P: BLOCK_STRIDES strides, fewer for long strides so a
+# block stays near BLOCK_TARGET positions (at least one stride).
 BLOCK_STRIDES = 16
+BLOCK_TARGET = 4096
 
 GROUP = "_tl_g"
 ARR = "_tl_arr"
@@ -42,7 +45,10 @@ def _geometry(max_turns: int, stride: int | None, block_turns: int | None) -> tu
     s = int(stride if stride is not None else L // 2)
     if L < 1 or s < 1:
         raise ValueError(f"window length and stride must be >= 1 (got L={L}, stride={s})")
-    P = s * max(1, -(-int(block_turns) // s)) if block_turns else s * BLOCK_STRIDES
+    if block_turns:
+        P = s * max(1, -(-int(block_turns) // s))
+    else:
+        P = s * max(1, min(BLOCK_STRIDES, BLOCK_TARGET // s))
     halo = max(0, L - s)
     return L, s, P, halo
 
