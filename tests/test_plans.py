@@ -9,6 +9,7 @@ PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInP
 # Global aggregates, TakeOrderedAndProject and the 3-row split-share window merge in one
 # partition by design; the position-based operators must not.
 NO_SINGLE_PARTITION = ["split_prefix", "split_prefix_v2", "sample_exact", "hybrid_split", "augment_mixed",
+                       "text_document", "prepare_split", "cap_target", "hybrid_export",
                        "chunk_overlap", "dedup_prefix", "max_role_run", "curate_windows"]
 
 
