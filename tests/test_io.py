@@ -203,3 +203,11 @@ def test_hybrid_stats_from_written_records_match_flat(spark, tmp):
     HY.write_hybrid(rows, None, f"{tmp}/hy2", formats=("records",), marker="é")
     recs = spark.read.parquet(f"{tmp}/hy2/records_table")
     assert HY.records_stats(recs, marker="é").collect() == stats.collect()
+
+
+def test_split_folders_come_back_as_a_column(spark, tmp):
+    recs = SP.split_grouped(N.assemble(turns_frame(spark, _convs(30))), "conv_id", 42)
+    X.write_records(recs, f"{tmp}/out", "split")
+    back = J.scan_jsonl(spark, f"{tmp}/out", glob="*.json")
+    got = {r.conv_id: r.split for r in back.select("conv_id", "split").collect()}
+    assert got == {r.conv_id: r.split for r in recs.select("conv_id", "split").collect()}

@@ -68,17 +68,24 @@ def read_lines(spark: SparkSession, paths, recursive: bool = False, glob: str |
     df = reader.load(paths)
     if exclude_fragment:
         df = df.filter(~F.col("_metadata.file_path").contains(exclude_fragment))
+    # partition columns discovered from folder names (e.g. split=train/) ride along
+    discovered = [c for c in df.columns if c != "value"]
     return df.select(
         F.make_valid_utf8("value").alias("line"),
         F.col("_metadata.file_path").alias("src_file"),
         F.col("_metadata.file_block_start").alias("src_block"),
-        F.monotonically_increasing_id().alias("src_seq"))
+        F.monotonically_increasing_id().alias("src_seq"),
+        *discovered)
+
+
+def _extras(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c not in ("line", "j", *ORDER_COLS)]
 
 
 def _parse(lines: DataFrame, schema: Ty.StructType, mode: str) -> DataFrame:
     body = T.trim_ws("line")
     parsed = F.from_json(body, schema, {"mode": mode})
-    return lines.filter(T.is_nonblank("line")).select(*ORDER_COLS, parsed.alias("j"))
+    return lines.filter(T.is_nonblank("line")).select(*ORDER_COLS, parsed.alias("j"), *_extras(lines))
 
 
 def classify_lines(lines: DataFrame, field: str = "conversations") -> DataFrame:
@@ -100,7 +107,7 @@ def _records(parsed: DataFrame) -> DataFrame:
         R.from_interchange_role(t["from"]).alias("role"), t["value"].alias("text")))
     return (parsed.filter(F.coalesce(F.size(conv) > 0, F.lit(False)))
             .select(*ORDER_COLS, F.col("j.conv_id").alias("conv_id"),
-                    F.lit(0).cast("bigint").alias("start"), turns.alias("turns")))
+                    F.lit(0).cast("bigint").alias("start"), turns.alias("turns"), *_extras(parsed)))
 
 
 def scan_jsonl(spark: SparkSession, paths, recursive: bool = False, glob: str | None = "*.jsonl",
