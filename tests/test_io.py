@@ -211,3 +211,14 @@ def test_split_folders_come_back_as_a_column(spark, tmp):
     back = J.scan_jsonl(spark, f"{tmp}/out", glob="*.json")
     got = {r.conv_id: r.split for r in back.select("conv_id", "split").collect()}
     assert got == {r.conv_id: r.split for r in recs.select("conv_id", "split").collect()}
+
+
+def test_session_logs_prefer_session_id(spark, tmp):
+    from threadline.operators import filters as FL
+    from threadline.sources import logs as LG
+    line = {"type": "assistant", "sessionId": "s-1", "message": {"role": "assistant", "content": [
+        {"type": "tool_use", "name": "Bash", "input": {}}]}}
+    _write(f"{tmp}/a/x.jsonl", [json.dumps(line).encode()])
+    _write(f"{tmp}/b/y.jsonl", [json.dumps(line).encode()])  # same session, another file
+    gate = FL.session_block_gate(LG.scan_session_logs(spark, tmp), 2, key="session").collect()
+    assert [(r.session, r.n_blocks) for r in gate] == [("s-1", 2)]

@@ -25,6 +25,7 @@ from threadline.sources import jsonl as J
 
 LOG_LINE = Ty.StructType([
     Ty.StructField("type", Ty.StringType()),
+    Ty.StructField("sessionId", Ty.StringType()),
     Ty.StructField("message", Ty.StructType([
         Ty.StructField("role", Ty.StringType()),
         Ty.StructField("content", Ty.StringType()),
@@ -43,7 +44,8 @@ def scan_session_logs(spark: SparkSession, root: str, include_subagents: bool =
                       glob: str | None = "*.jsonl") -> DataFrame:
     """Messages ``(session, src_block, src_seq, type, role, content_text, blocks)``.
 
-    ``session`` is the file path; ``content_text`` is set when the content is
+    ``session`` is the line's ``sessionId`` when present, else the file path;
+    ``content_text`` is set when the content is
     a plain string, ``blocks`` when it is a list (non-object entries become
     null blocks and are skipped by the metrics).
     """
@@ -57,7 +59,7 @@ def scan_session_logs(spark: SparkSession, root: str, include_subagents: bool =
     return (parsed
             .filter(F.col("j.type").isin(list(MESSAGE_TYPES)) & F.col("j.message").isNotNull()
                     & F.col("j.message.role").isNotNull())
-            .select(F.col("src_file").alias("session"), "src_block", "src_seq",
+            .select(F.coalesce(F.col("j.sessionId"), F.col("src_file")).alias("session"), "src_block", "src_seq",
                     F.col("j.type").alias("type"), F.col("j.message.role").alias("role"),
                     F.when(~is_list, content).alias("content_text"),
                     F.when(is_list, _blocks(content)).alias("blocks")))
