@@ -124,3 +124,10 @@ def test_selection_tie_group_falls_back_to_exact_rank(spark):
     df = spark.createDataFrame([(i,) for i in range(500)], "conv_id bigint")
     total, at = order_stats(df, F.lit(0).cast("bigint"), ["conv_id"], [5, 123, 499], max_collect=10)
     assert (total, at) == (500, {5: (5,), 123: (123,), 499: (499,)})
+
+
+def test_hybrid_splits_match_row_labels(spark):
+    rows, _ = HY.build_hybrid(turns_frame(spark, CONVS), ratio=0.5, seed=42)
+    from_rows = sorted(tuple(r) for r in rows.select("conv_id", "variant", "split").distinct().collect())
+    direct = sorted(tuple(r) for r in HY.hybrid_splits(turns_frame(spark, CONVS), ratio=0.5, seed=42).collect())
+    assert from_rows == direct

@@ -562,8 +562,7 @@ hs AS (SELECT conv_id, variant,
 WITH {SQL_HYBRID_ROWS}
 SELECT conv_id, variant, split FROM hs""")
 def q_hybrid_split(spark, d):
-    rows, _ = HY.build_hybrid(_conv(spark, d), ratio=0.5, seed=SEED, marker=MARKER_A)
-    return rows.select("conv_id", "variant", "split").distinct()
+    return HY.hybrid_splits(_conv(spark, d), ratio=0.5, seed=SEED)
 
 
 @query("hybrid_stats", f"""

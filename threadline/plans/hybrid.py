@@ -46,6 +46,17 @@ def build_hybrid(turns: DataFrame, keys="conv_id", order: str = "turn", ratio: f
     return rows, S.dataset_stats(rows, rec_keys, marker)
 
 
+def hybrid_splits(turns: DataFrame, keys="conv_id", ratio: float = 0.5, seed: int | str = 42,
+                  split_ratios: Sequence[float] = SP.SPLIT_RATIOS, rule: str = "cumulative") -> DataFrame:
+    """The split of every hybrid record, ``(keys.., variant, split)``, without building turns:
+    the record keys come from the input, and the label is row-local on them."""
+    keys = _names(keys)
+    sample = exact_sample(turns, keys, seed, ratio=ratio)
+    record_keys = A.hybrid_record_keys(turns, sample, keys)
+    split = SP.prefix_split(record_keys, [*keys, "variant"], seed=seed, ratios=split_ratios, rule=rule)
+    return record_keys.withColumn("split", split.label())
+
+
 def hybrid_records(rows: DataFrame, keys="conv_id", max_turns: int = N.DEFAULT_SEGMENT_TURNS) -> DataFrame:
     """Flat hybrid turns -> bounded records ``(keys.., variant, split, start, turns)``."""
     keys = [*_names(keys), "variant", "split"]
