@@ -31,7 +31,7 @@ from threadline.operators.stats import (  # noqa: F401
     dataset_stats, distinct_names, gate_report, name_overlap, quality_report, record_stats, split_sizes,
 )
 from threadline.plans.curate import clean_turns, curate  # noqa: F401
-from threadline.plans.hybrid import build_hybrid, hybrid_records, write_hybrid  # noqa: F401
+from threadline.plans.hybrid import build_hybrid, hybrid_records, hybrid_splits, write_hybrid  # noqa: F401
 from threadline.plans.prepare import prepare_splits  # noqa: F401
 from threadline.session import local_session  # noqa: F401
 from threadline.sinks.export import export, write_metadata, write_records, write_text_document  # noqa: F401
