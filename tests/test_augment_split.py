@@ -131,3 +131,28 @@ def test_hybrid_splits_match_row_labels(spark):
     from_rows = sorted(tuple(r) for r in rows.select("conv_id", "variant", "split").distinct().collect())
     direct = sorted(tuple(r) for r in HY.hybrid_splits(turns_frame(spark, CONVS), ratio=0.5, seed=42).collect())
     assert from_rows == direct
+
+
+def test_selection_splits_and_samples_match_duckdb_when_narrowing(spark, monkeypatch):
+    import random
+
+    import duckdb
+
+    from threadline.operators import select as SEL
+    monkeypatch.setattr(SEL, "MAX_COLLECT", 500)
+    ids = random.Random(3).sample(range(10**9), 20000)
+    df = spark.createDataFrame([(i,) for i in ids], "conv_id bigint")
+    con = duckdb.connect()
+    con.register("t", df.toPandas())
+    for seed in (None, 42):
+        got = {r.conv_id: r.split for r in SP.split_prefix(df, "conv_id", seed=seed).collect()}
+        order = "conv_id" if seed is None else f"md5('{seed}:' || conv_id), conv_id"
+        want = dict(con.sql(f"""SELECT conv_id, CASE WHEN g < floor(n * 0.8::DOUBLE) THEN 'train'
+                 WHEN g < floor(n * (0.8::DOUBLE + 0.1::DOUBLE)) THEN 'valid' ELSE 'test' END
+                 FROM (SELECT conv_id, row_number() OVER (ORDER BY {order}) - 1 g, count(*) OVER () n FROM t)""").fetchall())
+        assert got == want
+    smp = SA.exact_sample(df, "conv_id", 7, ratio=0.37)
+    got = {r.conv_id for r in df.filter(smp.predicate()).collect()}
+    want = {r[0] for r in con.sql("SELECT conv_id FROM (SELECT conv_id, row_number() OVER "
+                                  "(ORDER BY md5('7:' || conv_id), conv_id) - 1 g FROM t) WHERE g < 7400").fetchall()}
+    assert got == want
