@@ -103,11 +103,17 @@ def quality_report(records: DataFrame, core_names, marker_a: str, marker_b: str,
     Violations are counted (0 means the assertion holds): too few turns, not
     opening with ``first_role``, no ``marked_role`` turn with ``marker_a``, no
     turn with ``marker_b``, blank turns; plus the longest same-role run and
-    how many of ``core_names`` occur in ``marked_role`` turns.
+    how many of ``core_names`` occur in ``marked_role`` turns.  One pass: each
+    record's names are extracted once and every check is an aggregate of the
+    same global aggregation.
     """
     from threadline.operators.runs import record_max_run
 
+    core_names = list(core_names)
     t = F.col(turns_col)
+    names = F.flatten(F.transform(F.filter(t, lambda x: x["role"] == marked_role),
+                                  lambda x: F.coalesce(T.extract_all(x["text"], name_pattern, 1),
+                                                       F.array().cast("array<string>"))))
     per = records.select(
         (F.size(t) < min_turns).alias("short"),
         (~F.coalesce(F.try_element_at(t, F.lit(1))["role"] == first_role, F.lit(False))).alias("bad_first"),
@@ -115,17 +121,16 @@ def quality_report(records: DataFrame, core_names, marker_a: str, marker_b: str,
                      F.lit(False))).alias("no_marker"),
         (~F.coalesce(F.exists(t, lambda x: T.contains(x["text"], marker_b)), F.lit(False))).alias("no_response"),
         F.size(F.filter(t, lambda x: ~T.is_nonblank(x["text"]))).alias("n_blank"),
-        record_max_run(t).alias("max_run"))
-    counts = per.agg(
+        record_max_run(t).alias("max_run"),
+        *[F.coalesce(F.array_contains(names, c), F.lit(False)).alias(f"_tl_has{i}") for i, c in enumerate(core_names)])
+    core_hits = [F.coalesce(F.bool_or(f"_tl_has{i}"), F.lit(False)).cast("bigint") for i in range(len(core_names))]
+    n_core = sum(core_hits[1:], core_hits[0]) if core_hits else F.lit(0).cast("bigint")
+    return per.agg(
         F.count(F.lit(1)).alias("n_records"),
         F.count_if("short").alias("n_too_short"),
         F.count_if("bad_first").alias("n_wrong_first_role"),
         F.count_if("no_marker").alias("n_without_marker"),
         F.count_if("no_response").alias("n_without_response"),
         F.coalesce(F.sum("n_blank"), F.lit(0)).cast("bigint").alias("n_blank_turns"),
-        F.coalesce(F.max("max_run"), F.lit(0)).cast("bigint").alias("max_same_role_run"))
-    flat = records.select(F.explode(t).alias("x")).select("x.role", "x.text")
-    names = name_overlap(distinct_names(flat, name_pattern, marked_role), core_names)
-    n_core = names.agg(F.count(F.lit(1)).alias("n_core_names"))
-    # two single-row aggregates side by side
-    return counts.withColumn("_k", F.lit(1)).join(n_core.withColumn("_k", F.lit(1)), "_k").drop("_k")
+        F.coalesce(F.max("max_run"), F.lit(0)).cast("bigint").alias("max_same_role_run"),
+        n_core.alias("n_core_names"))
