@@ -33,7 +33,7 @@ def test_hot_conversation_positions_are_exact_and_spread(spark):
     df = _skewed(spark)
     total = df.count()
     assert HOT_TURNS * 3 >= total  # the hot conversation holds about a third of the rows
-    pos = turn_positions(df, block_size=256)
+    pos = turn_positions(df, block_size=256, two_level=True)
     hot = pos.filter("conv_id = 0").select("turn", "pos", "n").collect()
     assert all(r.pos == r.turn and r.n == HOT_TURNS for r in hot)
     # where do the hot rows sit after the positions exchange?  At this size AQE would
@@ -47,7 +47,7 @@ def test_hot_conversation_positions_are_exact_and_spread(spark):
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        spread = (turn_positions(df, block_size=256).filter("conv_id = 0")
+        spread = (turn_positions(df, block_size=256, two_level=True).filter("conv_id = 0")
                   .groupBy(F.spark_partition_id().alias("p")).count().collect())
     finally:
         for k, v in old.items():

@@ -35,6 +35,18 @@ from threadline.session import ensure_checkpoint_dir
 DEFAULT_BLOCK_SIZE = 1024
 # Blocks per superblock in the two-level prefix sum of block sizes.
 SUPER = 1024
+# Inputs estimated below this size cannot hold a conversation with more than ~10M
+# blocks (blocks <= rows, and Parquet needs about a byte per row at the very least),
+# so a one-level prefix sum (one window partition per conversation) is safe and saves
+# four small stages; larger inputs use the two-level sum.
+ONE_LEVEL_MAX_BYTES = 10 * 1024 * 1024
+
+
+def _estimated_bytes(df: DataFrame) -> int | None:
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate available
+        return None
 
 
 def _names(cols) -> list[str]:
@@ -89,7 +101,7 @@ def surrogate_keys(df: DataFrame, keys: Sequence[str], prefix: str = "_tl_sk") -
 
 def turn_positions(df: DataFrame, keys="conv_id", order="turn", pos_col: str = "pos",
                    size_col: str | None = "n", block_size: int = DEFAULT_BLOCK_SIZE,
-                   within=None, within_pos_col: str | None = None) -> DataFrame:
+                   within=None, within_pos_col: str | None = None, two_level: bool | None = None) -> DataFrame:
     """Add ``pos`` (0-based rank of ``order`` within ``keys``) and ``n`` (group size).
 
     ``order`` may be one column or several (the first, an integral column, is
@@ -103,6 +115,9 @@ def turn_positions(df: DataFrame, keys="conv_id", order="turn", pos_col: str = "
     ``keys + within`` under the same order.  Both rank families share the one
     exchange of the rows: hash partitioning on ``(keys, block)`` already
     clusters ``(keys, within, block)``.
+
+    ``two_level`` chooses the prefix sum of block sizes: None decides from the
+    optimizer's size estimate (one level below ``ONE_LEVEL_MAX_BYTES``).
     """
     out_names = list(df.columns)
     keys = _names(keys)
@@ -114,6 +129,9 @@ def turn_positions(df: DataFrame, keys="conv_id", order="turn", pos_col: str = "
     staged, xcols = surrogate_keys(staged, extra, prefix="_tl_sx") if extra else (staged, [])
     keyed = staged.withColumn(blk, F.expr(f"`{lead}` div {int(block_size)}"))
     keyed, bcols = surrogate_keys(keyed, [blk], prefix="_tl_sb")
+    if two_level is None:
+        size = _estimated_bytes(df)
+        two_level = size is None or size > ONE_LEVEL_MAX_BYTES
 
     parted = keyed.repartition(*[F.col(c) for c in [*kcols, *bcols]])
     # ties in ``order`` are broken by the other (orderable) columns: ranks are fully
@@ -137,6 +155,14 @@ def turn_positions(df: DataFrame, keys="conv_id", order="turn", pos_col: str = "
                   .withColumn("_tl_sup", F.coalesce(F.expr(f"{bcols[0]} div {SUPER}"), F.lit(0).cast("bigint"))))
         # a null block (null ``turn``) ranks first, as ``orderBy(turn)`` puts nulls first
         block_order = [F.col(c).desc() if c.startswith("_tl_sbn") else F.col(c) for c in bcols]
+        if not two_level:
+            per_group = Window.partitionBy(*group)
+            return counts.select(
+                *group, *bcols,
+                (F.sum("_tl_cnt").over(per_group.orderBy(*block_order)
+                                       .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+                 - F.col("_tl_cnt")).alias(base_col),
+                *([F.sum("_tl_cnt").over(per_group).alias(size_col)] if with_size else []))
         in_sup = Window.partitionBy(*group, "_tl_sup")
         lvl1 = counts.select(
             *group, *bcols, "_tl_sup",
