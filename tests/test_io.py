@@ -222,3 +222,24 @@ def test_session_logs_prefer_session_id(spark, tmp):
     _write(f"{tmp}/b/y.jsonl", [json.dumps(line).encode()])  # same session, another file
     gate = FL.session_block_gate(LG.scan_session_logs(spark, tmp), 2, key="session").collect()
     assert [(r.session, r.n_blocks) for r in gate] == [("s-1", 2)]
+
+
+def test_prepare_splits_end_to_end(spark, tmp):
+    from threadline.plans import prepare as PR
+    lines = [json.dumps({"conv_id": 1000 + i, **GOOD}).encode() for i in range(19)]
+    _write(f"{tmp}/data.jsonl", lines[:10] + [b""] + lines[10:])
+    sizes = {r.split: r.n_records for r in PR.prepare_splits(spark, f"{tmp}/data.jsonl", f"{tmp}/prep").collect()}
+    assert sizes == {"train": 15, "valid": 1, "test": 3}  # additive rule: 15 + int(1.9) = 16
+    back = spark.read.schema(J.LINE_SCHEMA).json(f"{tmp}/prep")
+    got = {r.conv_id: r.split for r in back.select("conv_id", "split").collect()}
+    assert got == {1000 + i: ("train" if i < 15 else "valid" if i < 16 else "test") for i in range(19)}
+
+
+def test_text_document_key_order_additive(spark, tmp):
+    recs = N.assemble(turns_frame(spark, _convs(9)))
+    sizes = X.write_text_document(recs, f"{tmp}/doc2", keys=("conv_id", "start"), seed=None, rule="additive")
+    doc = json.loads("".join(open(p, encoding="utf-8").read() for p in sorted(glob.glob(f"{tmp}/doc2/part-*"))))
+    rendered = {r.conv_id: r.text for r in RD.render_text(recs).collect()}
+    assert sizes == {"train": 7, "valid": 0, "test": 2}
+    assert doc == {"train": [{"text": rendered[c]} for c in range(7)], "valid": [],
+                   "test": [{"text": rendered[c]} for c in (7, 8)]}
