@@ -11,7 +11,9 @@
   Nothing passes through the driver or a single task.
 * :func:`write_metadata` - a one-row summary (counts, ratios, statistics, formats).
 * :func:`export` - format selector over the above, with an optional
-  allow-list of sources (left-semi join) so only data with known rights leaves.
+  allow-list of sources (left-semi join) so only data with known rights leaves;
+  with several formats the records are staged once as a Parquet table so the
+  upstream plan runs once.
 """
 
 from __future__ import annotations
