@@ -801,3 +801,25 @@ def q_hybrid_export(spark, d):
     HY.write_hybrid(rows, None, root, ratio=0.5, formats=("records",), seed=SEED, marker=MARKER_A)
     back = spark.read.schema(J.LINE_SCHEMA).json(f"{root}/records")  # split comes from the folder names
     return back.groupBy("split").agg(F.count(F.lit(1)).alias("n_records"))
+
+
+@query("metadata_roundtrip", f"""
+WITH {SQL_HYBRID_ROWS},
+per AS (SELECT conv_id, variant, count(*) AS n_turns,
+               sum(len(regexp_extract_all(text, '[^{WSC}]+'))) AS n_tokens,
+               bool_or(contains(text, '{MARKER_A}')) AS has_marker
+        FROM hy GROUP BY conv_id, variant)
+SELECT count(*) AS total_conversations, 0.5::DOUBLE AS augmentation_ratio,
+       CAST(sum(n_turns) AS BIGINT) AS total_turns, CAST(sum(n_tokens) AS BIGINT) AS total_tokens,
+       count(*) FILTER (WHERE has_marker) AS conversations_with_marker
+FROM per""")
+def q_metadata_roundtrip(spark, d):
+    root = scratch_path(spark, "metadata")
+    rows, _ = HY.build_hybrid(_conv(spark, d), ratio=0.5, seed=SEED, marker=MARKER_A, with_split=False)
+    rows = rows.withColumn("split", F.lit("train"))
+    HY.write_hybrid(rows, None, root, ratio=0.5, formats=("records",), seed=SEED, marker=MARKER_A)
+    meta = spark.read.json(f"{root}/metadata")
+    return meta.select("total_conversations", "augmentation_ratio",
+                       F.col("statistics.total_turns").alias("total_turns"),
+                       F.col("statistics.total_tokens").alias("total_tokens"),
+                       F.col("statistics.conversations_with_marker").alias("conversations_with_marker"))
