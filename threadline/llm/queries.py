@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from threadline.llm import exact_dedup, packing
+from threadline.llm import decontaminate, exact_dedup, packing, quality_knn
 
 QUERIES = {
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+    "op7_benchmark_decontamination": decontaminate.op7_benchmark_decontamination,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
+    "op9_quality_knn": quality_knn.op9_quality_knn,
 }
 
 ORACLE = {
     "op2_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op7_benchmark_decontamination": decontaminate.ORACLE_SQL,
 }
