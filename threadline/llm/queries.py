@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from threadline.llm import decontaminate, exact_dedup, packing, quality_knn
+from threadline.llm import decontaminate, exact_dedup, html_text, license_scan, packing, quality_knn
 
 QUERIES = {
+    "op1_license_scan": license_scan.op1_license_scan,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+    "op4_html_template_removal": html_text.op4_html_template_removal,
     "op7_benchmark_decontamination": decontaminate.op7_benchmark_decontamination,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_quality_knn": quality_knn.op9_quality_knn,
