@@ -137,3 +137,43 @@ def small_batches(spark: SparkSession, rows: int = 2000) -> None:
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def _sliding(a: np.ndarray, span: int, op) -> np.ndarray:
+    """op over every run of ``span`` neighbours (by doubling)."""
+    if len(a) < span:
+        return a[:0]
+    k, out = 1, a
+    while 2 * k <= span:
+        out = op(out[:len(out) - k], out[k:])
+        k *= 2
+    rest = span - k
+    return op(out[:len(out) - rest], out[rest:]) if rest else out
+
+
+def window_minima(h: np.ndarray, whole: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """Minimum of h over each window of ``span`` places, and which places are the minimum of a whole window.
+
+    ``whole`` tells for each window start whether the window lies in one text.
+    Equal windows have equal minima, so equal passages of a window's length
+    select the same places in every text.
+    """
+    low = _sliding(h, span, np.minimum)
+    if not len(low):
+        return low, np.zeros(len(h), bool)
+    low = np.where(whole, low, np.uint64(0))
+    pad = np.zeros(span - 1, np.uint64)
+    return low, (_sliding(np.concatenate([pad, low, pad]), span, np.maximum) == h) & (h != 0)
+
+
+def list_column(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Values and offsets of a list column without nulls."""
+    offs = col.offsets.to_numpy().astype(np.int64)
+    return col.values.to_numpy(zero_copy_only=False), offs
+
+
+def to_lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """A list column from flat values and the length of each list."""
+    offs = np.zeros(len(counts) + 1, np.int32)
+    np.cumsum(counts, out=offs[1:])
+    return pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(values, kind))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from threadline.llm import decontaminate, exact_dedup, html_text, license_scan, packing, quality_knn
+from threadline.llm import decontaminate, exact_dedup, html_text, license_scan, packing, phrase_automata, quality_knn
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
@@ -11,9 +11,11 @@ QUERIES = {
     "op7_benchmark_decontamination": decontaminate.op7_benchmark_decontamination,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_quality_knn": quality_knn.op9_quality_knn,
+    "op10_phrase_automata": phrase_automata.op10_phrase_automata,
 }
 
 ORACLE = {
     "op2_exact_dedup": exact_dedup.ORACLE_SQL,
     "op7_benchmark_decontamination": decontaminate.ORACLE_SQL,
+    "op10_phrase_automata": phrase_automata.ORACLE_SQL,
 }
