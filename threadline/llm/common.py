@@ -177,3 +177,60 @@ def to_lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Ar
     offs = np.zeros(len(counts) + 1, np.int32)
     np.cumsum(counts, out=offs[1:])
     return pa.ListArray.from_arrays(pa.array(offs, pa.int32()), pa.array(values, kind))
+
+
+def sorted_groups(batches, key: str):
+    """Tables of whole groups from the batches of a partition sorted by ``key``."""
+    rest: list = []
+    last = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        k = b.column(key).to_numpy(zero_copy_only=False)
+        if last is not None and k[0] != last:
+            yield pa.Table.from_batches(rest)
+            rest = []
+        if k[-1] != k[0]:
+            cut = int(np.flatnonzero(k != k[-1])[-1]) + 1
+            rest.append(b.slice(0, cut))
+            yield pa.Table.from_batches(rest)
+            rest = [b.slice(cut)]
+        else:
+            rest.append(b)
+        last = k[-1]
+    if rest:
+        yield pa.Table.from_batches(rest)
+
+
+def when_small(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast a written table of at most ``rows`` rows; a larger one is shuffled."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, root) of the connected components of edges (a, b); root is the smallest node.
+
+    Alternating large-star and small-star steps; each step sends a node the
+    smallest neighbour only, and every state is checkpointed.
+    """
+    def star(e: DataFrame, large: bool) -> DataFrame:
+        both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        near = both.join(low, "u")
+        if large:
+            out = near.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+        else:
+            out = (near.where("v < u").select(F.col("v").alias("a"), F.col("m").alias("b"))
+                   .union(low.where("m < u").select(F.col("u").alias("a"), F.col("m").alias("b"))))
+        return out.where("a <> b").distinct()
+
+    state = checkpointed(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
+    mark = None
+    while True:
+        now = state.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
+        if now == mark or now.n == 0:
+            break
+        mark = now
+        state = checkpointed(star(star(state, True), False))
+    return state.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
+        state.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()

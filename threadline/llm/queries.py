@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from threadline.llm import decontaminate, exact_dedup, html_text, license_scan, packing, phrase_automata, quality_knn
+from threadline.llm import decontaminate, exact_dedup, html_text, jaccard_join, license_scan, packing, phrase_automata, quality_knn
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+    "op3_jaccard_join": jaccard_join.op3_jaccard_join,
     "op4_html_template_removal": html_text.op4_html_template_removal,
     "op7_benchmark_decontamination": decontaminate.op7_benchmark_decontamination,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
@@ -16,6 +17,7 @@ QUERIES = {
 
 ORACLE = {
     "op2_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op3_jaccard_join": jaccard_join.ORACLE_SQL,
     "op7_benchmark_decontamination": decontaminate.ORACLE_SQL,
     "op10_phrase_automata": phrase_automata.ORACLE_SQL,
 }
