@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from threadline.llm import decontaminate, exact_dedup, html_text, jaccard_join, license_scan, packing, phrase_automata, quality_knn, suffix_dedup
+from threadline.llm import decontaminate, exact_dedup, html_text, jaccard_join, license_scan, lm_score, packing, phrase_automata, quality_knn, suffix_dedup
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op3_jaccard_join": jaccard_join.op3_jaccard_join,
     "op4_html_template_removal": html_text.op4_html_template_removal,
+    "op5_lm_score": lm_score.op5_lm_score,
     "op6_suffix_array_dedup": suffix_dedup.op6_suffix_array_dedup,
     "op7_benchmark_decontamination": decontaminate.op7_benchmark_decontamination,
     "op8_best_fit_packing": packing.op8_best_fit_packing,
