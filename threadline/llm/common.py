@@ -234,3 +234,19 @@ def components(edges: DataFrame) -> DataFrame:
         state = checkpointed(star(star(state, True), False))
     return state.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
         state.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
+
+
+def drop_rows(docs: DataFrame, keys: list[Column], lost: DataFrame, again: DataFrame, small: int = 500_000) -> DataFrame:
+    """``docs`` without the rows whose keys are in ``lost``; of the rows whose keys are in ``again`` one stays.
+
+    ``lost`` and ``again`` have the key values in their columns, in order.  Both
+    are written and counted: a small one is broadcast, a larger one shuffled.
+    """
+    names = [f"__row_key_{k}" for k in range(len(keys))]
+    marked = docs.withColumns(dict(zip(names, keys)))
+    again = checkpointed(again.toDF(*names))
+    out = checkpointed(lost.toDF(*names).union(again))
+    rest = marked.join(when_small(out, small), names, "left_anti")
+    if not again.isEmpty():
+        rest = rest.unionByName(marked.join(when_small(again, small), names, "left_semi").dropDuplicates(names))
+    return rest.drop(*names)

@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from threadline.llm.common import checkpointed, documents
+from threadline.llm.common import checkpointed, documents, drop_rows
 
 WINDOW = 10
 BROADCAST_WINDOWS = 200_000
@@ -115,14 +115,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 
 def clean_rows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark window, columns unchanged.
-
-    Same prefix-filtered join as :func:`matches`; the ids of contaminated rows
-    leave by an anti join (a null id is matched by its null).
-    """
-    bad = (matches(docs, items, id_col, text_col).where(F.col("start").isNotNull())
-           .select(F.col("doc_id").alias("__id"), F.col("h").alias("__h")).distinct())
-    return docs.join(bad, F.col(id_col).cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(text_col) == F.col("__h")), "left_anti")
+    """The rows of ``docs`` that hold no benchmark window, columns unchanged."""
+    bad = matches(docs, items, id_col, text_col).where(F.col("start").isNotNull())
+    no_id = F.lit(2**63 - 1)
+    bad = bad.select(F.coalesce("doc_id", no_id).alias("id"), "h").distinct()
+    return drop_rows(docs, [F.coalesce(F.col(id_col).cast("long"), no_id), F.xxhash64(text_col)], bad, bad.limit(0))
 
 
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ import math
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from threadline.llm.common import SPACE_REGEX, checkpointed, documents
+from threadline.llm.common import SPACE_REGEX, checkpointed, documents, drop_rows
 
 FAN_IN = 32
 ROWS_PER_RUN = 4096
@@ -70,9 +70,9 @@ def _merged(runs: DataFrame) -> DataFrame:
             .mapInPandas(_merge, _RUN_SCHEMA))
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                fan_in: int = FAN_IN, rows_per_run: int = ROWS_PER_RUN) -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256."""
+def keepers(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+            fan_in: int = FAN_IN, rows_per_run: int = ROWS_PER_RUN) -> DataFrame:
+    """Per distinct (id, text): doc_id, sha256, copies (equal rows), keep_id, group_size."""
     base = checkpointed(digests(docs, id_col, text_col))
     total = base.count()
     rounds = max(1, math.ceil(math.log(max(total / rows_per_run, 2), fan_in)))
@@ -93,7 +93,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     classes = merged.select(*KEY, F.when(F.col("known") > 0, F.col("keep")).alias("keep_id"),
                             F.col("n").alias("group_size"))
     resolved = level0.select("run", *KEY).join(classes, KEY)
-    return (base.join(resolved, ["run", *KEY])
+    return base.join(resolved, ["run", *KEY]).select("doc_id", "sha256", "copies", "keep_id", "group_size")
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                fan_in: int = FAN_IN, rows_per_run: int = ROWS_PER_RUN) -> DataFrame:
+    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256."""
+    return (keepers(docs, id_col, text_col, fan_in, rows_per_run)
             .select("*", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"))
             .select("doc_id", "keep_id", "group_size",
                     (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
@@ -102,13 +108,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, columns unchanged; of identical rows one stays."""
-    kept = exact_dedup(docs, id_col, text_col).where("kept").select(
-        F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
+    per = checkpointed(keepers(docs, id_col, text_col).withColumn("id", F.coalesce("doc_id", F.lit(_NO_ID))))
+    stays = F.col("doc_id").eqNullSafe(F.col("keep_id"))
     norm = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), SPACE_REGEX, " ")
-    rows = docs.withColumn("__own", F.sha2(norm, 256))
-    one = rows.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("__id"))
-                    & (F.col("__own") == F.col("__sha")), "left_semi")
-    return one.dropDuplicates([id_col, "__own"]).drop("__own")
+    return drop_rows(docs, [F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)), F.sha2(norm, 256)],
+                     per.where(~stays).select("id", "sha256"), per.where(stays & (F.col("copies") > 1)).select("id", "sha256"))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

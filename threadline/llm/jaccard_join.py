@@ -39,7 +39,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from threadline.llm.common import (LOWER, as_int64, checkpointed, components, documents, mix, prefix_hash, range_hash, slices,
+from threadline.llm.common import (LOWER, as_int64, checkpointed, components, documents, drop_rows, mix, prefix_hash, range_hash, slices,
                                    small_batches, sorted_groups, text_bytes, to_lists, when_small, word_hashes, word_spans)
 
 SHINGLE = 4
@@ -302,7 +302,8 @@ def _linked(members: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                        num: int = NUM, den: int = DEN) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id, th (xxhash64 of the text)."""
+    """Per row: doc_id, n_shingles, component_id, th (xxhash64 of the text), stays (the first
+    document of its component by id and text hash; always true without shingles)."""
     spark = docs.sparkSession
     small_batches(spark)
     bounds = Bounds(num, den)
@@ -342,21 +343,32 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     more = _linked(pairs, sets, bounds)
     part = components(edges.union(more))
 
-    # classes with several rows or links get the smallest id of their component
-    classes = (prof.where("n > 0").groupBy("cls").agg(F.min("id").alias("low"), F.count("*").alias("rows"))
+    # classes with several rows or links get the first document of their component
+    classes = (prof.where("n > 0").groupBy("cls").agg(F.min(F.struct("id", "th")).alias("low"), F.count("*").alias("rows"))
                .join(part.withColumnRenamed("node", "cls"), "cls", "left").where("rows > 1 or root is not null")
                .select("cls", "low", root))
-    least = classes.groupBy("root").agg(F.min("low").alias("component"))
-    named = (classes.join(least, "root").select("cls", "component", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")))
-    own_id = F.when(F.col("id") != _NO_ID, F.col("id"))
+    least = classes.groupBy("root").agg(F.min("low").alias("first"))
+    named = (classes.join(least, "root").select("cls", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")))
+    low = F.coalesce("first.id", "id")
     return (prof.select("id", "th", "n", "cls", F.pmod(F.xxhash64("id", "th"), F.lit(SALTS)).cast("int").alias("salt"))
             .join(named, ["cls", "salt"], "left")
-            .select(own_id.alias("doc_id"), F.col("n").alias("n_shingles"),
-                    F.when(F.coalesce("component", "id") != _NO_ID, F.coalesce("component", "id")).alias("component_id"), "th"))
+            .select(F.when(F.col("id") != _NO_ID, F.col("id")).alias("doc_id"), F.col("n").alias("n_shingles"),
+                    F.when(low != _NO_ID, low).alias("component_id"), "th",
+                    F.coalesce((F.col("first.id") == F.col("id")) & (F.col("first.th") == F.col("th")), F.lit(True)).alias("stays")))
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
+                     num: int = 80, den: int = 100) -> DataFrame:
+    """One document of each component stays, columns unchanged (five-word shingles, similarity 0.8)."""
+    per = checkpointed(jaccard_components(docs, id_col, text_col, shingle, num, den)
+                       .select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), "th", "stays", (F.col("n_shingles") > 0).alias("some")))
+    again = per.where("stays and some").groupBy("id", "th").agg(F.count("*").alias("n")).where("n > 1").select("id", "th")
+    return drop_rows(docs, [F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)), F.xxhash64(F.col(text_col).cast("string"))],
+                     per.where("not stays").select("id", "th").distinct(), again)
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(documents(spark, sf_dir)).drop("th")
+    return jaccard_components(documents(spark, sf_dir)).drop("th", "stays")
 
 
 ORACLE_SQL = r"""
