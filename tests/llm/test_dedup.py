@@ -213,3 +213,27 @@ def test_very_long_text(spark):
     got = {r.doc_id: r for r in phrase_automata.remove_repeats(d).collect()}
     assert got[1].n_removed == 0 and got[2].n_words - got[2].n_removed <= 3
     assert jaccard_join.jaccard_components(d).where(F.col("doc_id") != F.col("component_id")).count() == 0
+
+
+def test_divide_skip_forest_joins_all_that_pairs_join():
+    rng = np.random.default_rng(8)
+    bounds = jaccard_join.Bounds(70, 100)
+    for _ in range(60):
+        sets = [set(rng.integers(0, 30, 12).tolist()) for _ in range(4)]
+        while len(sets) < 30:
+            s = set(sets[rng.integers(len(sets))])
+            s ^= set(rng.integers(0, 30, rng.integers(1, 4)).tolist())
+            sets.append(s or {1})
+        order = rng.permutation(len(sets))
+        arrays = [np.array(sorted(sets[k]), np.uint64) for k in order]
+
+        def roots(links, root):
+            root = list(root)
+            for a, b in links:
+                old, new = root[a], root[b]
+                root = [new if r == old else r for r in root]
+            return [root.index(r) for r in root]
+        start = np.where(rng.random(30) < 0.3, 0, np.arange(30))
+        all_ = jaccard_join.divide_skip(arrays, bounds, find_all=True)
+        assert roots(jaccard_join.divide_skip(arrays, bounds), range(30)) == roots(all_, range(30))
+        assert roots(jaccard_join.divide_skip(arrays, bounds, root=start), start) == roots(all_, start)

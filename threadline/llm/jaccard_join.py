@@ -21,9 +21,11 @@ reaching it are linked.  Classes already in one component are not compared again
 group of near copies costs about one search each, never all pairs.
 
 Rest.  Signatures that still join different components give the remaining
-candidates.  Parity sketches (their Hamming distance never exceeds the symmetric
-difference) drop most; the rest is verified by the same search.  No link between
-components can be lost, and components are all that is reported.
+candidates.  A class that meets a large component is searched in blocks of that
+component's sets, so a group of near copies is never spelled out as pairs.  Classes of
+small components meet as pairs, most of which parity sketches drop (their Hamming
+distance never exceeds the symmetric difference); the others are searched in the same
+way.  No link between components can be lost, and components are all that is reported.
 
 Defined cases: null or blank text has no shingles and links with nothing; fewer than
 ``SHINGLE`` words are one shingle; repeated rows belong to one class; null ids are larger
@@ -46,6 +48,8 @@ SHINGLE = 4
 NUM, DEN = 85, 100
 GROWTH = 1.4
 BLOCK_SHINGLES = 400_000
+BLOCK_SETS = 200
+LARGE = 32
 MU = 0.01  # DivideSkip's weight of a probe against a merge step
 BROADCAST_ROWS = 500_000
 SALTS = 16
@@ -156,19 +160,20 @@ def set_class(s: np.ndarray, offs: np.ndarray) -> np.ndarray:
 
 
 def sketch(s: np.ndarray, bounds: Bounds) -> bytes:
-    """Parities of the shingles in a power of two of hash slots, three per allowed difference at least."""
+    """Parities of the shingles in a power of two of hash slots, twelve per allowed difference at least."""
     bits = 64
-    while bits < 3 * bounds.difference(2 * len(s)):
+    while bits < 12 * bounds.difference(2 * len(s)):
         bits *= 2
     slot = (mix(s + np.uint64(0x9FB21C651E98DF25)) & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(slot, minlength=bits) & 1).astype(np.uint8)).tobytes()
 
 
-def divide_skip(sets: list[np.ndarray], bounds: Bounds, find_all: bool = False) -> list[tuple[int, int]]:
+def divide_skip(sets: list[np.ndarray], bounds: Bounds, find_all: bool = False, root: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links between sets (sorted distinct hashes) by T-occurrence search over an inverted index.
 
-    By default just the links that join components (a spanning forest);
-    ``find_all`` returns every linked pair.
+    By default just links that join components (a spanning forest over ``root``, the
+    components so far); sets that are in the anchor's component when their turn comes need no
+    search, as a link between two of them joins nothing.  ``find_all`` returns every linked pair.
     """
     n = len(sets)
     size = np.array([len(x) for x in sets], np.int64)
@@ -180,12 +185,20 @@ def divide_skip(sets: list[np.ndarray], bounds: Bounds, find_all: bool = False)
     token = flat[head]
     length = np.diff(np.append(head, len(flat)))
     posting = np.repeat(np.arange(len(token)), length) * n + doc  # (list, document), ascending overall
-    root = np.arange(n)
+    root = np.arange(n) if root is None else np.unique(root, return_inverse=True)[1]
+    members = np.bincount(root, minlength=n)
+    # sets without a search of their own are all in the component of the anchor
+    anchor = int(np.argmax(root == members.argmax())) if members.max() > 1 else None
     links = []
     for q in range(n):
-        if not find_all and (root == root[0]).all():
-            break
-        need = int(bounds.overlap(size[q], -(-size[q] * bounds.num // bounds.den)))  # smallest partner: least overlap
+        if not find_all and anchor is not None and root[q] == root[anchor]:
+            if members[root[anchor]] == n:
+                break
+            continue
+        if anchor is None:
+            anchor = q
+        # the smallest partner needs the least overlap
+        need = int(bounds.overlap(size[q], -(-size[q] * bounds.num // bounds.den)))
         lists = np.searchsorted(token, sets[q])
         lists = lists[np.argsort(length[lists], kind="stable")]
         longest = int(length[lists[-1]])
@@ -215,7 +228,10 @@ def divide_skip(sets: list[np.ndarray], bounds: Bounds, find_all: bool = False)
                 links.append((q, int(c)))
             elif root[c] != root[q]:
                 links.append((q, int(c)))
-                root[root == root[c]] = root[q]
+                old, new = sorted((root[q], root[c]), key=lambda r: members[r])
+                root[root == old] = new
+                members[new] += members[old]
+                members[old] = 0
     return links
 
 
@@ -257,49 +273,101 @@ def _shared(batches):
 
 
 def _cross(bounds: Bounds):
-    """Pairs of classes in different components under one signature that the sketches do not rule out."""
+    """What remains to be compared under signatures that join several components.
+
+    A class meets the members of a large component as a query (hub: the component, query
+    true), once per task; classes of small components meet as pairs (hub: a class)
+    unless their sketches rule the link out.
+    """
     def rows(batches):
+        asked: set[tuple[int, int]] = set()
         for t in sorted_groups(batches, "sig"):
-            sig, cls, root, size = (t.column(c).to_numpy() for c in ("sig", "cls", "root", "n"))
+            sig, cls, root, size, members = (t.column(c).to_numpy() for c in ("sig", "cls", "root", "n", "members"))
             sk = t.column("sketch").to_pylist()
             head = np.append(np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])), len(sig))
-            a, b = [], []
+            a, b, query = [], [], []
             for s, e in zip(head[:-1], head[1:]):
                 if (root[s:e] == root[s]).all():
                     continue
-                width = min(len(x) for x in sk[s:e])
-                bits = np.stack([np.bitwise_xor.reduce(np.frombuffer(x, np.uint64).reshape(-1, width // 8), axis=0) for x in sk[s:e]])
-                r, z = root[s:e], size[s:e]
-                for i in range(len(r) - 1):
+                r, m = root[s:e], members[s:e]
+                for big in np.unique(r[m > LARGE]):
+                    # of two large components the smaller one (by size, then name) asks the other
+                    mine = m[r == big][0]
+                    for x in cls[s:e][(r != big) & ((m < mine) | ((m == mine) & (r > big)))].tolist():
+                        if (big, x) not in asked:
+                            asked.add((big, x))
+                            a.append(big)
+                            b.append(x)
+                            query.append(True)
+                low = s + np.flatnonzero(m <= LARGE)
+                if len(low) < 2 or (root[low] == root[low[0]]).all():
+                    continue
+                width = min(len(sk[x]) for x in low)
+                bits = np.stack([np.bitwise_xor.reduce(np.frombuffer(sk[x], np.uint64).reshape(-1, width // 8), axis=0) for x in low])
+                r, z = root[low], size[low]
+                for i in range(len(low) - 1):
                     far = np.bitwise_count(bits[i + 1:] ^ bits[i]).sum(axis=1)
                     ok = (r[i + 1:] != r[i]) & (far <= bounds.difference(z[i + 1:] + z[i]))
                     ok &= np.minimum(z[i + 1:], z[i]) * bounds.den >= np.maximum(z[i + 1:], z[i]) * bounds.num
-                    j = i + 1 + np.flatnonzero(ok)
-                    a.append(np.full(len(j), cls[s + i]))
-                    b.append(cls[s + j])
+                    for x in cls[low[i + 1 + np.flatnonzero(ok)]].tolist():
+                        if (cls[low[i]], x) not in asked:
+                            asked.add((cls[low[i]], x))
+                            a.append(cls[low[i]])
+                            b.append(x)
+                            query.append(False)
             if a:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["hub", "cls"])
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(query)],
+                                                 names=["hub", "cls", "query"])
     return rows
 
 
-def _linked(members: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
-    """Edges found in the blocks of (hub, cls) rows; big blocks are cut, each part with its hub."""
-    members = checkpointed(members.where("hub <> cls"))
+def _dealt(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(hub, cls) members with a chunk each, so that a block has a bounded number of sets and shingles."""
     load = (members.join(sets.select("cls", "n"), "cls").groupBy("hub")
-            .agg(F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.lit(1)).cast("long").alias("chunks")))
-    placed = members.join(load, "hub").select("hub", F.pmod(F.xxhash64("cls"), F.col("chunks")).alias("chunk"), "cls")
-    placed = placed.union(placed.select("hub", "chunk", F.col("hub").alias("cls")).distinct())
+            .agg(F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_SETS)).cast("long").alias("chunks")))
+    return members.join(load, "hub").select("hub", F.pmod(F.xxhash64("cls"), F.col("chunks")).alias("chunk"), "cls", "chunks")
+
 
+def _searched(placed: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
+    """Edges found in blocks of (hub, chunk, cls, root, first); what is first is searched first."""
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("first", ascending=False, kind="stable")  # the hub is searched first
+        pdf = pdf.sort_values("first", ascending=False, kind="stable")
         cls = pdf["cls"].to_numpy()
-        links = divide_skip([np.asarray(x, np.int64).view(np.uint64) for x in pdf["set"]], bounds)
+        links = divide_skip([np.asarray(x, np.int64).view(np.uint64) for x in pdf["set"]], bounds, root=pdf["root"].to_numpy())
         return pd.DataFrame({"a": [cls[x] for x, _ in links], "b": [cls[y] for _, y in links]}, dtype="int64")
 
-    return (placed.join(sets.select("cls", "set"), "cls").withColumn("first", F.col("cls") == F.col("hub"))
+    return (sets.select("cls", "set").join(when_small(checkpointed(placed), BROADCAST_ROWS), "cls")
             .groupBy("hub", "chunk").applyInPandas(search, "a long, b long"))
 
 
+def _linked(members: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
+    """Edges found in the blocks of (hub, cls) rows; big blocks are cut, each part with its hub."""
+    dealt = _dealt(checkpointed(members.where("hub <> cls")), sets).select("hub", "chunk", "cls")
+    placed = dealt.union(dealt.select("hub", "chunk", F.col("hub").alias("cls")).distinct())
+    return _searched(placed.select("*", F.col("cls").alias("root"), (F.col("cls") == F.col("hub")).alias("first")), sets, bounds)
+
+
+def _rest(shared: DataFrame, part: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
+    """Edges between the components of ``part`` that meet under a signature."""
+    sizes = part.groupBy("root").agg(F.count("*").alias("members"))
+    roots = part.join(sizes, "root").select(F.col("node").alias("cls"), "root", "members")
+    open_ = shared.join(roots, "cls", "left").select(
+        "sig", "cls", F.coalesce("root", "cls").alias("root"), F.coalesce("members", F.lit(1).cast("long")).alias("members"))
+    mixed = open_.groupBy("sig").agg(F.min("root").alias("a"), F.max("root").alias("z")).where("a <> z").select("sig")
+    open_ = checkpointed(open_.join(mixed, "sig"))
+    todo = checkpointed(open_.join(sets.select("cls", "n", "sketch"), "cls").repartition("sig").sortWithinPartitions("sig", "cls")
+                        .mapInArrow(_cross(bounds), "hub long, cls long, query boolean").distinct())
+    ask = todo.where("query").select("hub", "cls")
+    asked = checkpointed(ask.select("hub").distinct())
+    # the members of the asked components, in chunks; a query goes to each chunk
+    own = open_.select(F.col("root").alias("hub"), "cls").distinct().join(asked, "hub")
+    dealt = checkpointed(_dealt(own, sets))
+    to = dealt.select("hub", "chunk").distinct()
+    queries = ask.join(to, "hub").select("hub", "chunk", "cls", F.col("cls").alias("root"), F.lit(True).alias("first"))
+    placed = dealt.select("hub", "chunk", "cls", F.col("hub").alias("root"), F.lit(False).alias("first")).union(queries)
+    return _searched(placed, sets, bounds).union(_linked(todo.where("not query").select("hub", "cls"), sets, bounds))
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                        num: int = NUM, den: int = DEN) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, th (xxhash64 of the text), stays (the first
@@ -335,18 +403,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     edges = checkpointed(_linked(shared.groupBy("cls").agg(F.min("hub").alias("hub")), sets, bounds))
     part = checkpointed(components(edges))
-    root = F.coalesce("root", F.col("cls")).alias("root")
-    open_ = shared.join(part.withColumnRenamed("node", "cls"), "cls", "left").select("sig", "cls", root)
-    mixed = open_.groupBy("sig").agg(F.min("root").alias("a"), F.max("root").alias("z")).where("a <> z").select("sig")
-    pairs = (open_.join(mixed, "sig").join(sets.select("cls", "n", "sketch"), "cls")
-             .repartition("sig").sortWithinPartitions("sig", "cls").mapInArrow(_cross(bounds), "hub long, cls long").distinct())
-    more = _linked(pairs, sets, bounds)
+    more = _rest(shared, part, sets, bounds)
     part = components(edges.union(more))
 
     # classes with several rows or links get the first document of their component
     classes = (prof.where("n > 0").groupBy("cls").agg(F.min(F.struct("id", "th")).alias("low"), F.count("*").alias("rows"))
                .join(part.withColumnRenamed("node", "cls"), "cls", "left").where("rows > 1 or root is not null")
-               .select("cls", "low", root))
+               .select("cls", "low", F.coalesce("root", "cls").alias("root")))
     least = classes.groupBy("root").agg(F.min("low").alias("first"))
     named = (classes.join(least, "root").select("cls", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")))
     low = F.coalesce("first.id", "id")
