@@ -29,10 +29,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from threadline.llm.common import documents, small_batches
+from threadline.llm.common import checkpointed, documents, small_batches, when_small
 
 MIN_PAGES = 4
 MIN_SHARE = 0.05
+BROADCAST_ROWS = 100_000
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
                    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -289,19 +290,20 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """Per page: page_id, url, text, n_chars."""
     found = parsed(pages, id_col, url_col, html_col)
-    n_pages = (pages.select(*_keys(pages, url_col, html_col)).distinct()
-               .groupBy("host").agg(F.count("*").alias("pages")))
-    # a row per subtree and different page; both uses below read the same exchange
-    subtrees = (found.select("host", "sig", F.explode("seen").alias("s")).groupBy("host", "sig", "s.h")
-                .agg(F.max("s.holds").alias("holds")))
-    template = (subtrees.groupBy("host", "h").agg(F.count("*").alias("n"), F.max("holds").alias("used"))
-                .where((F.col("n") >= min_pages) & (F.col("used") == 1)).join(n_pages, "host")
-                .where(F.col("n") >= min_share * F.col("pages")).select("host", "h"))
-    cut = (subtrees.where("holds = 1").join(template, ["host", "h"])
-           .groupBy("host", "sig").agg(F.collect_set("h").alias("cut")))
+    site = F.xxhash64("host").alias("site")
+    n_pages = (pages.select(*_keys(pages, url_col, html_col)).select(site, "sig").distinct()
+               .groupBy("site").agg(F.count("*").alias("pages")))
+    # a row per subtree and different page
+    subtrees = checkpointed(found.select(site, "sig", F.explode("seen").alias("s")).groupBy("site", "sig", "s.h")
+                            .agg(F.max("s.holds").alias("holds")))
+    template = (subtrees.groupBy("site", "h").agg(F.count("*").alias("n"), F.max("holds").alias("used"))
+                .where((F.col("n") >= min_pages) & (F.col("used") == 1)).join(n_pages, "site")
+                .where(F.col("n") >= min_share * F.col("pages")).select("site", "h"))
+    cut = checkpointed(subtrees.where("holds = 1").join(template, ["site", "h"])
+                       .groupBy("site", "sig").agg(F.collect_set("h").alias("cut")))
     kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["above"], F.coalesce("cut", F.array().cast("array<bigint>"))))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n\n")
-    return (found.select("page_id", "url", "host", "sig", "blocks").join(cut, ["host", "sig"], "left")
+    return (found.select("page_id", "url", site, "sig", "blocks").join(when_small(cut, BROADCAST_ROWS), ["site", "sig"], "left")
             .select("page_id", "url", text.alias("text"))
             .withColumn("n_chars", F.char_length("text").cast("long")))
 
