@@ -113,7 +113,7 @@ def test_selection_narrowing_matches_sort(spark):
     n = 20000
     df = spark.createDataFrame([(i,) for i in range(n)], "conv_id bigint")
     ranks = [0, 777, 10000, 15999, n - 1]
-    total, at = seeded_proxy_stats(df, 42, ["conv_id"], ranks, max_collect=100, accuracy=1000)
+    total, at = seeded_proxy_stats(df, 42, ["conv_id"], ranks, bracket_rows=100, accuracy=1000)
     order = sorted((hashlib.md5(f"42:{i}".encode()).hexdigest(), i) for i in range(n))
     assert total == n
     assert at == {k: order[k] for k in ranks}
@@ -122,7 +122,7 @@ def test_selection_narrowing_matches_sort(spark):
 def test_selection_tie_group_falls_back_to_exact_rank(spark):
     from threadline.operators.select import order_stats
     df = spark.createDataFrame([(i,) for i in range(500)], "conv_id bigint")
-    total, at = order_stats(df, F.lit(0).cast("bigint"), ["conv_id"], [5, 123, 499], max_collect=10)
+    total, at = order_stats(df, F.lit(0).cast("bigint"), ["conv_id"], [5, 123, 499], bracket_rows=10)
     assert (total, at) == (500, {5: (5,), 123: (123,), 499: (499,)})
 
 
@@ -133,13 +133,11 @@ def test_hybrid_splits_match_row_labels(spark):
     assert from_rows == direct
 
 
-def test_selection_splits_and_samples_match_duckdb_when_narrowing(spark, monkeypatch):
+def test_selection_splits_and_samples_match_duckdb_when_narrowing(spark):
     import random
 
     import duckdb
 
-    from threadline.operators import select as SEL
-    monkeypatch.setattr(SEL, "MAX_COLLECT", 500)
     ids = random.Random(3).sample(range(10**9), 20000)
     df = spark.createDataFrame([(i,) for i in ids], "conv_id bigint")
     con = duckdb.connect()
@@ -156,3 +154,38 @@ def test_selection_splits_and_samples_match_duckdb_when_narrowing(spark, monkeyp
     want = {r[0] for r in con.sql("SELECT conv_id FROM (SELECT conv_id, row_number() OVER "
                                   "(ORDER BY md5('7:' || conv_id), conv_id) - 1 g FROM t) WHERE g < 7400").fetchall()}
     assert got == want
+
+
+@pytest.mark.parametrize("n", [3, 300])
+def test_selection_with_null_and_nan_keys(spark, n):
+    from threadline.operators.select import order_stats
+    keys = [None, None, float("nan"), float("inf"), float("-inf")] + [float(i % 50) for i in range(n)]
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k double, i bigint")
+    want = [(r.k, r.i) for r in df.orderBy("k", "i").collect()]
+    ranks = list(range(0, len(keys), max(1, len(keys) // 20))) + [len(keys) - 1]
+    total, at = order_stats(df, F.col("k"), ["k", "i"], ranks, bracket_rows=8)
+    assert total == len(keys)
+    assert {k: repr(v) for k, v in at.items()} == {k: repr(want[k]) for k in set(ranks)}
+
+
+def test_ordered_split_puts_null_keys_first(spark):
+    df = spark.createDataFrame([(None,), *[(i,) for i in range(9)]], "conv_id bigint")
+    got = {r.conv_id: r.split for r in SP.split_prefix(df, "conv_id").collect()}
+    assert got == {None: "train", **{i: "train" for i in range(7)}, 7: "valid", 8: "test"}
+    nan = float("nan")
+    df = spark.createDataFrame([(float(i),) for i in range(9)] + [(nan,)], "conv_id double")
+    got = {repr(r.conv_id): r.split for r in SP.split_prefix(df, "conv_id").collect()}
+    assert got["nan"] == "test" and got["8.0"] == "valid" and got["7.0"] == "train"
+
+
+def test_nested_and_flat_augmentation_agree(spark):
+    from threadline.operators import augment as A
+    from threadline.operators import nested as N
+    from threadline.operators.positions import turn_positions
+    df = turns_frame(spark, CONVS)
+    flat = {}
+    for r in A.augment_flat(turn_positions(df), "conv_id", 42).orderBy("conv_id", "pos").collect():
+        flat.setdefault((r.conv_id, r.aug_type), []).append((r.role, r.text))
+    nested = {(r.conv_id, r.aug_type): [(t.role, t.text) for t in r.turns]
+              for r in A.augment_records(N.assemble(df), keys="conv_id", seed=42).collect()}
+    assert nested == flat

@@ -175,12 +175,12 @@ def test_whitespace_chars_are_pythons_isspace_set():
 
 
 def test_block_counts_and_session_gate(spark):
-    schema = "session_id bigint, blocks array<struct<type:string, name:string, text:string>>"
+    schema = "session bigint, blocks array<struct<type:string, name:string, text:string>>"
     rows = [(1, [("text", None, "hi"), ("tool_use", "Bash", None), ("tool_use", "Nope", None)]),
             (1, [("tool_use", "Read", None), ("thinking", None, "x")]),
             (2, [("tool_use", "Bash", None)]), (2, []), (3, None)]
     df = spark.createDataFrame(rows, schema)
-    got = {r.session_id: r.n_blocks for r in FL.session_block_gate(df, 2).collect()}
+    got = {r.session: r.n_blocks for r in FL.session_block_gate(df, 2).collect()}
     assert got == {1: 2}
     counts = {r.block_type: r.n_blocks for r in N.block_counts(df).collect()}
     assert counts == {"text": 1, "tool_use": 4, "thinking": 1}

@@ -4,12 +4,13 @@ on the position-based operators, bounded groups."""
 import pytest
 
 import __spark_entry__ as E
+from threadline import catalog
 
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas")
 # Global aggregates, TakeOrderedAndProject and the 3-row split-share window merge in one
 # partition by design; the position-based operators must not.
 NO_SINGLE_PARTITION = ["split_prefix", "split_prefix_v2", "sample_exact", "hybrid_split", "augment_mixed",
-                       "text_document", "prepare_split", "cap_target", "hybrid_export",
+                       "text_document", "prepare_split", "cap_target", "hybrid_export", "sorted_names", "dedup_documents",
                        "chunk_overlap", "dedup_prefix", "max_role_run", "curate_windows"]
 
 
@@ -17,7 +18,7 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_no_python_in_plans(spark, sf_dir, name):
     plan = _plan(E.queries()[name](spark, sf_dir))
     assert not any(n in plan for n in PY_NODES), name
@@ -59,3 +60,12 @@ def test_dedup_semi_join_keeps_window_partitioning(spark, sf_dir):
     plan = _final_plan(E.queries()["dedup_prefix"](spark, sf_dir))
     # a null-safe join would hash coalesce/isnull expressions and re-shuffle the windows
     assert "hashpartitioning(coalesce(conv_id" not in plan
+
+
+def test_dedup_aggregates_by_hash(spark, sf_dir):
+    assert "SortAggregate" not in _final_plan(E.queries()["dedup_documents"](spark, sf_dir))
+
+
+def test_split_preparation_moves_no_text(spark, sf_dir):
+    df = E.queries()["prepare_split"](spark, sf_dir)
+    assert "Exchange" not in _final_plan(df)

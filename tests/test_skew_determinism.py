@@ -33,7 +33,7 @@ def test_hot_conversation_positions_are_exact_and_spread(spark):
     df = _skewed(spark)
     total = df.count()
     assert HOT_TURNS * 3 >= total  # the hot conversation holds about a third of the rows
-    pos = turn_positions(df, block_size=256, two_level=True)
+    pos = turn_positions(df, block_size=256)
     hot = pos.filter("conv_id = 0").select("turn", "pos", "n").collect()
     assert all(r.pos == r.turn and r.n == HOT_TURNS for r in hot)
     # where do the hot rows sit after the positions exchange?  At this size AQE would
@@ -47,7 +47,7 @@ def test_hot_conversation_positions_are_exact_and_spread(spark):
     for k, v in conf.items():
         spark.conf.set(k, v)
     try:
-        spread = (turn_positions(df, block_size=256, two_level=True).filter("conv_id = 0")
+        spread = (turn_positions(df, block_size=256).filter("conv_id = 0")
                   .groupBy(F.spark_partition_id().alias("p")).count().collect())
     finally:
         for k, v in old.items():
@@ -129,10 +129,11 @@ def test_fused_curation_equals_composition(spark):
         assert fused == composed and fused
 
 
-def test_drop_later_copies_both_paths(spark):
+def test_dedup_text_prefix_keeps_the_smallest_id(spark):
     rows = [(i, ("same opening " * 20) if i % 3 == 0 else f"doc {i % 7} body") for i in range(300)]
+    rows += [(1000, None), (1001, None)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    want = sorted(r.doc_id for r in D.keep_first(df, F.substring("text", 1, 200), "doc_id").collect())
-    for bound in (10_000, 0):  # broadcast anti join, and the semi-join fallback beyond the bound
-        got = sorted(r.doc_id for r in D.dedup_text_prefix(df, broadcast_rows=bound).collect())
-        assert got == want and want == [0, 1, 2, 4, 5, 7, 10, 13]
+    kept = D.dedup_text_prefix(df)
+    assert sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 4, 5, 7, 10, 13, 1000]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan

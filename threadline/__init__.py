@@ -15,10 +15,10 @@ from threadline.functions.text import (  # noqa: F401
 from threadline.operators.augment import (  # noqa: F401
     aug_prefix, aug_reverse, aug_shorten, augment_records, hybrid,
 )
-from threadline.operators.chunk import chunk_overlap, flat_windows  # noqa: F401
+from threadline.operators.chunk import chunk_overlap  # noqa: F401
 from threadline.operators.dedup import dedup_prefix, dedup_text_prefix, keep_first  # noqa: F401
 from threadline.operators.filters import (  # noqa: F401
-    conversation_quality, drop_empty, filter_roles, first_n, keep_conversations, min_event_gate, nonblank_turns,
+    conversation_quality, drop_empty, filter_roles, first_n, min_event_gate, nonblank_turns,
     quality_gate, role_set_check, session_block_gate, valid_structure,
 )
 from threadline.operators.nested import assemble, block_counts, explode_turns, to_interchange, to_messages  # noqa: F401

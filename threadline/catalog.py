@@ -97,6 +97,30 @@ def _windows(spark: SparkSession, d: str) -> DataFrame:
     return C.chunk_overlap(CU.clean_turns(_conv(spark, d)), WINDOW_TURNS)
 
 
+N_SOURCES = 3
+
+
+def _sourced(spark: SparkSession, d: str) -> DataFrame:
+    """Conversations with the source each belongs to (sinks check it against an allow-list)."""
+    return _conv(spark, d).withColumn("source", F.concat(F.lit("src"), F.pmod(F.col("conv_id"), F.lit(N_SOURCES)).cast("string")))
+
+
+def _allowed(spark: SparkSession, d: str, n: int = N_SOURCES) -> DataFrame:
+    """The allow-list: the first ``n`` sources that occur in the conversations."""
+    return (_sourced(spark, d).select("source").distinct()
+            .filter(F.col("source").isin([f"src{k}" for k in range(n)])).withColumn("rights", F.lit("owned")))
+
+
+def _records(spark: SparkSession, d: str, **kw) -> DataFrame:
+    return N.assemble(_sourced(spark, d), keys=["conv_id", "source"], **kw)
+
+
+def _flat(records: DataFrame) -> DataFrame:
+    """Records read back -> (conv_id, idx, role, text)."""
+    return (J.flatten_records(records, ["conv_id"])
+            .select(F.col("conv_id").cast("bigint").alias("conv_id"), F.col("pos").alias("idx"), "role", "text"))
+
+
 # -- 2.2 filters --------------------------------------------------------------
 
 @query("filter_roles", """
@@ -587,12 +611,11 @@ FROM conversations"""
 def _write_conversation_jsonl(spark, d, root: str) -> None:
     """Interchange JSONL of every conversation (grouped split folders), a copy below
     a sub-agent folder, and junk lines (blank, prose, JSON without records)."""
-    recs = SP.split_grouped(N.assemble(_conv(spark, d)), "conv_id", SEED)
-    X.write_records(recs, f"{root}/main", "split")
-    X.write_records(recs, f"{root}/subagents/copy", None)
+    recs = SP.split_grouped(_records(spark, d), "conv_id", SEED)
+    X.write_records(recs, f"{root}/main", _allowed(spark, d), "split")
+    X.write_records(recs, f"{root}/subagents/copy", _allowed(spark, d), None)
     c = _conv(spark, d)
-    junk = c.select(F.when(F.col("turn") == 0, F.col("text")).otherwise(F.lit("")).alias("value"))
-    junk.write.mode("overwrite").text(f"{root}/junk/text")
+    c.select(F.col("text").alias("value")).write.mode("overwrite").text(f"{root}/junk/text")
     c.select("conv_id", F.lit("no records here").alias("note")).write.mode("overwrite").json(f"{root}/junk/json")
 
 
@@ -600,32 +623,64 @@ def _write_conversation_jsonl(spark, d, root: str) -> None:
 def q_jsonl_roundtrip(spark, d):
     root = scratch_path(spark, "roundtrip")
     _write_conversation_jsonl(spark, d, root)
-    recs = J.scan_jsonl(spark, root, recursive=True, glob=None, exclude_fragment=J.SUBAGENT_FRAGMENT)
-    return (J.flatten_records(recs, ["conv_id"])
-            .select("conv_id", F.col("pos").alias("idx"), "role", "text"))
+    return _flat(J.scan_jsonl(spark, root, recursive=True, glob=None, exclude_fragment=J.SUBAGENT_FRAGMENT))
+
+
+@query("long_conversations_roundtrip", SQL_FLAT_IDX)
+def q_long_conversations_roundtrip(spark, d):
+    """Conversations longer than a segment (two turns here) come back whole and in order."""
+    root = scratch_path(spark, "long")
+    X.write_records(_records(spark, d, max_turns=2), root, _allowed(spark, d), None)
+    return _flat(J.scan_jsonl(spark, root))
+
+
+@query("export_allowed", SQL_FLAT_IDX + f"""
+WHERE conv_id % {N_SOURCES} < 2""")
+def q_export_allowed(spark, d):
+    """A list of two sources: only their rows leave."""
+    root = scratch_path(spark, "allowed")
+    X.export(_records(spark, d), root, _allowed(spark, d, 2), formats=("records",), split_col=None)
+    return _flat(J.scan_jsonl(spark, f"{root}/records"))
+
+
+@query("scan_many", SQL_FLAT_IDX)
+def q_scan_many(spark, d):
+    """Several inputs: a glob, a folder with the default pattern, and a file that is missing."""
+    root = scratch_path(spark, "many")
+    recs = _records(spark, d)
+    X.write_records(recs.filter("conv_id % 2 = 0"), f"{root}/a", _allowed(spark, d), None)
+    X.write_records(recs.filter("conv_id % 2 <> 0"), f"{root}/b", _allowed(spark, d), None)
+    return _flat(J.scan_jsonl(spark, [f"{root}/a/*.json", f"{root}/b", f"{root}/missing.jsonl"]))
+
+
+@query("concat_sources", SQL_FLAT_IDX)
+def q_concat_sources(spark, d):
+    root = scratch_path(spark, "concat")
+    recs = _records(spark, d)
+    X.write_records(recs.filter("conv_id % 5 = 0"), f"{root}/a", _allowed(spark, d), None)
+    X.write_records(recs.filter("conv_id % 5 <> 0"), f"{root}/b", _allowed(spark, d), None)
+    return _flat(J.concat(J.scan_jsonl(spark, f"{root}/a"), J.scan_jsonl(spark, f"{root}/b")))
 
 
 @query("prepare_split", sql_split("conv_id", "additive"))
 def q_prepare_split(spark, d):
     root = scratch_path(spark, "prepare")
-    recs = N.assemble(_conv(spark, d)).orderBy("conv_id")  # range-partitioned: file order = id order
-    X.write_records(recs, root, None)
-    labelled = PR.label_splits(spark, root, glob="*.json")
-    return labelled.select("conv_id", "split")
+    recs = _records(spark, d).orderBy("conv_id")  # range-partitioned: file order = id order
+    X.write_records(recs, root, _allowed(spark, d), None)
+    return PR.label_splits(spark, root).select(F.col("conv_id").cast("bigint").alias("conv_id"), "split")
 
 
 @query("ingest_incremental", SQL_FLAT_IDX)
 def q_ingest_incremental(spark, d):
     root = scratch_path(spark, "ingest")
     src, target, ckpt = f"{root}/source", f"{root}/target", f"{root}/checkpoint"
-    recs = SP.split_grouped(N.assemble(_conv(spark, d)), "conv_id", SEED)
-    X.write_records(recs.filter(F.col("split") == "train"), src, None)
-    IG.ingest_incremental(spark, src, target, ckpt, glob="*.json")
-    X.write_records(recs.filter(F.col("split") != "train"), src, None, mode="append")
-    IG.ingest_incremental(spark, src, target, ckpt, glob="*.json")
-    IG.ingest_incremental(spark, src, target, ckpt, glob="*.json")  # nothing new: adds 0 rows
-    return (J.flatten_records(IG.read_ingested(spark, target), ["conv_id"])
-            .select("conv_id", F.col("pos").alias("idx"), "role", "text"))
+    recs = SP.split_grouped(_records(spark, d), "conv_id", SEED)
+    X.write_records(recs.filter(F.col("split") == "train"), src, _allowed(spark, d), None)
+    IG.ingest_incremental(spark, src, target, ckpt)
+    X.write_records(recs.filter(F.col("split") != "train"), src, _allowed(spark, d), None, mode="append")
+    IG.ingest_incremental(spark, src, target, ckpt)
+    IG.ingest_incremental(spark, src, target, ckpt)  # nothing new: adds 0 rows
+    return _flat(IG.read_ingested(spark, target))
 
 
 # -- more gates, dedup and the ordered document ------------------------------------------
@@ -667,8 +722,12 @@ SELECT gpos, CASE WHEN gpos < floor(nrec * 0.8::DOUBLE) THEN 'train'
 FROM o""")
 def q_text_document(spark, d):
     root = scratch_path(spark, "document")
-    recs = N.assemble(_conv(spark, d))
-    X.write_text_document(recs, root, keys=("conv_id", "start"), seed=SEED)
+    X.write_text_document(_records(spark, d), root, _allowed(spark, d), keys=("conv_id", "start"), seed=SEED)
+    return _read_document(spark, root)
+
+
+def _read_document(spark, root: str) -> DataFrame:
+    """(gpos, split, text) of an ordered document written in parts."""
     lines = J.number_records(J.read_lines(spark, root, glob="part-*"), id_col="gpos")
     item = F.regexp_extract("line", r'\{"text": (".*")\}', 1)
     text = F.from_json(F.concat(F.lit("["), item, F.lit("]")), "array<string>")[0]
@@ -679,14 +738,9 @@ def q_text_document(spark, d):
            .when(head.startswith('{"train": ['), 0))
     staged = lines.select("gpos", text.alias("text"), sec.alias("opens"))
     bounds = staged.filter(F.col("opens").isNotNull()).groupBy("opens").agg(F.min("gpos").alias("b")).collect()
-    first = {r.opens: r.b for r in bounds}
-    valid_at = first.get(1, None)
-    test_at = first.get(2, None)
-    split = (F.when(F.lit(test_at is not None) & (F.col("gpos") >= F.lit(test_at if test_at is not None else 0)),
-                    F.lit("test"))
-             .when(F.lit(valid_at is not None) & (F.col("gpos") >= F.lit(valid_at if valid_at is not None else 0)),
-                   F.lit("valid"))
-             .otherwise(F.lit("train")))
+    split = F.lit("train")
+    for r in sorted(bounds):
+        split = F.when(F.col("gpos") >= F.lit(r.b), F.lit(SP.SPLIT_NAMES[r.opens])).otherwise(split)
     return staged.select("gpos", split.alias("split"), "text")
 
 
@@ -700,15 +754,16 @@ def _write_session_logs(spark, d, root: str) -> None:
     block list (a text block, plus a tool_use block when the marker occurs), system turns
     are written too (and skipped by the reader)."""
     c = _conv(spark, d)
+    session = F.col("conv_id").cast("string").alias("sessionId")
     plain = c.filter(F.col("role") != "assistant").select(F.to_json(F.struct(
-        F.col("role").alias("type"),
+        F.col("role").alias("type"), session,
         F.struct(F.col("role").alias("role"), F.col("text").alias("content")).alias("message"))).alias("value"))
     block = F.struct(F.lit("text").alias("type"), F.lit(None).cast("string").alias("name"), F.col("text").alias("text"))
     tool = F.struct(F.lit("tool_use").alias("type"), F.lit(TOOL_NAME).alias("name"),
                     F.lit(None).cast("string").alias("text"))
     blocks = F.when(T.contains("text", MARKER_A), F.array(block, tool)).otherwise(F.array(block))
     rich = c.filter(F.col("role") == "assistant").select(F.to_json(F.struct(
-        F.col("role").alias("type"),
+        F.col("role").alias("type"), session,
         F.struct(F.col("role").alias("role"), blocks.alias("content")).alias("message"))).alias("value"))
     plain.unionByName(rich).write.mode("overwrite").text(root)
 
@@ -724,6 +779,31 @@ def q_log_block_counts(spark, d):
     return N.block_counts(LG.scan_session_logs(spark, root, glob=None))
 
 
+@query("session_block_gate", f"""
+SELECT CAST(conv_id AS VARCHAR) AS session, count(*) AS n_blocks FROM conversations
+WHERE role = 'assistant' AND contains(text, '{MARKER_A}') GROUP BY conv_id HAVING count(*) >= 2""")
+def q_session_block_gate(spark, d):
+    root = scratch_path(spark, "logs")
+    _write_session_logs(spark, d, root)
+    return FL.session_block_gate(LG.scan_session_logs(spark, root, glob=None), 2, names=[TOOL_NAME])
+
+
+@query("sorted_names", f"""
+SELECT row_number() OVER (ORDER BY name) - 1 AS pos, name FROM (
+  SELECT DISTINCT unnest(regexp_extract_all(text, '{NAME_PATTERN}', 1)) AS name
+  FROM conversations WHERE role = 'assistant')""")
+def q_sorted_names(spark, d):
+    return S.sorted_names(_conv(spark, d), NAME_PATTERN, R.ASSISTANT)
+
+
+@query("bracket_span", """
+WITH e AS (SELECT event_id, event_type || '[' || props || ']] ' AS x FROM events)
+SELECT event_id, substr(x, instr(x, '['), length(x) - instr(reverse(x), ']') + 1 - instr(x, '[') + 1) AS span FROM e""")
+def q_bracket_span(spark, d):
+    x = F.concat(F.col("event_type"), F.lit("["), F.col("props"), F.lit("]] "))
+    return TB.table(spark, d, "events").select("event_id", T.bracket_span(x).alias("span"))
+
+
 # -- the reference's dataset-quality assertions as one report ----------------------------------
 
 
@@ -779,28 +859,46 @@ def q_cap_target(spark, d):
 @query("line_count", f"""
 SELECT CAST((SELECT count(DISTINCT conv_id) FROM conversations)
             + (SELECT count(*) FROM (
-                 SELECT unnest(string_split_regex(text, '\\r\\n|\\r|\\n')) AS line
-                 FROM conversations WHERE turn = 0)
+                 SELECT unnest(string_split_regex(text, '\\r\\n|\\r|\\n')) AS line FROM conversations)
                WHERE regexp_matches(line, '[^{WSC}]')) AS BIGINT) AS n_lines""")
 def q_line_count(spark, d):
     root = scratch_path(spark, "lines")
-    X.write_records(N.assemble(_conv(spark, d)), f"{root}/records", None)
-    c = _conv(spark, d)
-    c.select(F.when(F.col("turn") == 0, F.col("text")).otherwise(F.lit("")).alias("value")) \
-        .write.mode("overwrite").text(f"{root}/junk")
+    X.write_records(_records(spark, d), f"{root}/records", _allowed(spark, d), None)
+    _conv(spark, d).select(F.coalesce("text", F.lit("")).alias("value")).write.mode("overwrite").text(f"{root}/junk")
     lines = J.read_lines(spark, root, recursive=True)
     return S.nonblank_line_count(lines, "line")
 
 
+def _hybrid_rows(spark, d):
+    return HY.build_hybrid(_sourced(spark, d), ratio=0.5, seed=SEED, marker=MARKER_A)[0]
+
+
 @query("hybrid_export", f"""
-WITH {SQL_HYBRID_ROWS}
-SELECT split, count(*) AS n_records FROM hs GROUP BY split""")
+WITH {SQL_HYBRID_ROWS},
+t AS (SELECT hs.split, coalesce(string_agg(CASE role WHEN 'user' THEN 'User' ELSE 'Assistant' END || ': ' || coalesce(text, ''),
+                                           chr(10) || chr(10) ORDER BY pos) FILTER (WHERE role IN ('user', 'assistant')), '') AS text
+      FROM hy JOIN hs USING (conv_id, variant) GROUP BY conv_id, variant, hs.split)
+SELECT format, split, text FROM t CROSS JOIN (VALUES ('records'), ('text'), ('document')) f(format)""")
 def q_hybrid_export(spark, d):
+    """All three formats of one export: each holds every record, in the same split."""
     root = scratch_path(spark, "hybrid")
-    rows, _ = HY.build_hybrid(_conv(spark, d), ratio=0.5, seed=SEED, marker=MARKER_A)
-    HY.write_hybrid(rows, None, root, ratio=0.5, formats=("records",), seed=SEED, marker=MARKER_A)
-    back = spark.read.schema(J.LINE_SCHEMA).json(f"{root}/records")  # split comes from the folder names
-    return back.groupBy("split").agg(F.count(F.lit(1)).alias("n_records"))
+    HY.write_hybrid(_hybrid_rows(spark, d), root, _allowed(spark, d), ratio=0.5, seed=SEED, marker=MARKER_A)
+    recs = RD.render_text(J.scan_jsonl(spark, f"{root}/records")).select(F.lit("records").alias("format"), "split", "text")
+    text = spark.read.schema("text string").json(f"{root}/text").select(F.lit("text").alias("format"), "split", "text")
+    doc = _read_document(spark, f"{root}/document").select(F.lit("document").alias("format"), "split", "text")
+    return recs.unionByName(text).unionByName(doc)
+
+
+@query("hybrid_export_splits", f"""
+WITH {SQL_HYBRID_ROWS}
+SELECT conv_id, variant, split FROM hs""")
+def q_hybrid_export_splits(spark, d):
+    """Conversations cut into segments of two turns: all segments of a record lie in its split."""
+    root = scratch_path(spark, "hybridsplits")
+    HY.write_hybrid(_hybrid_rows(spark, d), root, _allowed(spark, d), ratio=0.5, seed=SEED, marker=MARKER_A,
+                    formats=("records",), max_turns=2)
+    return (J.scan_jsonl(spark, f"{root}/records")
+            .select(F.col("conv_id").cast("bigint").alias("conv_id"), "variant", "split").distinct())
 
 
 @query("metadata_roundtrip", f"""
@@ -809,17 +907,20 @@ per AS (SELECT conv_id, variant, count(*) AS n_turns,
                sum(len(regexp_extract_all(text, '[^{WSC}]+'))) AS n_tokens,
                bool_or(contains(text, '{MARKER_A}')) AS has_marker
         FROM hy GROUP BY conv_id, variant)
-SELECT count(*) AS total_conversations, 0.5::DOUBLE AS augmentation_ratio,
+SELECT count(*) AS total_conversations, count(*) AS total_lines, 0.5::DOUBLE AS augmentation_ratio,
+       0.8::DOUBLE AS split_train, 0.1::DOUBLE AS split_valid, 0.1::DOUBLE AS split_test,
+       'records,text,document' AS formats,
        CAST(sum(n_turns) AS BIGINT) AS total_turns, CAST(sum(n_tokens) AS BIGINT) AS total_tokens,
-       count(*) FILTER (WHERE has_marker) AS conversations_with_marker
+       CAST(sum(n_turns) AS DOUBLE) / count(*) AS avg_turns_per_conv,
+       count(*) FILTER (WHERE has_marker) AS conversations_with_marker,
+       CAST(count(*) FILTER (WHERE has_marker) AS DOUBLE) / count(*) * 100 AS marker_percentage
 FROM per""")
 def q_metadata_roundtrip(spark, d):
     root = scratch_path(spark, "metadata")
-    rows, _ = HY.build_hybrid(_conv(spark, d), ratio=0.5, seed=SEED, marker=MARKER_A, with_split=False)
-    rows = rows.withColumn("split", F.lit("train"))
-    HY.write_hybrid(rows, None, root, ratio=0.5, formats=("records",), seed=SEED, marker=MARKER_A)
+    HY.write_hybrid(_hybrid_rows(spark, d), root, _allowed(spark, d), ratio=0.5, seed=SEED, marker=MARKER_A)
     meta = spark.read.json(f"{root}/metadata")
-    return meta.select("total_conversations", "augmentation_ratio",
-                       F.col("statistics.total_turns").alias("total_turns"),
-                       F.col("statistics.total_tokens").alias("total_tokens"),
-                       F.col("statistics.conversations_with_marker").alias("conversations_with_marker"))
+    return meta.select("total_conversations", "total_lines", "augmentation_ratio",
+                       F.col("split_ratio")[0].alias("split_train"), F.col("split_ratio")[1].alias("split_valid"),
+                       F.col("split_ratio")[2].alias("split_test"), F.array_join("formats", ",").alias("formats"),
+                       *[F.col(f"statistics.{c}").alias(c) for c in (
+                           "total_turns", "total_tokens", "avg_turns_per_conv", "conversations_with_marker", "marker_percentage")])

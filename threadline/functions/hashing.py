@@ -28,8 +28,3 @@ def hex_slice_int(h: Column, offset: int = 1, width: int = 8) -> Column:
 def seeded_bucket(seed: int | str, modulus: int, *cols, offset: int = 1) -> Column:
     """A bucket in ``[0, modulus)`` from 8 hex digits of the seeded md5."""
     return hex_slice_int(seeded_hex(seed, *cols), offset) % F.lit(modulus)
-
-
-def seeded_unit(seed: int | str, *cols, offset: int = 1) -> Column:
-    """A value in ``[0, 1)`` from 8 hex digits of the seeded md5."""
-    return hex_slice_int(seeded_hex(seed, *cols), offset) / F.lit(float(1 << 32))

@@ -103,7 +103,7 @@ def extract_all(x, pattern: str, group: int = 1) -> Column:
 
 
 def join_nonempty(parts: Column, sep: str) -> Column:
-    """``sep.join(p for p in parts if p)``."""
+    """``sep.join(p for p in parts if p)`` (null and empty parts are left out)."""
     return F.array_join(F.filter(parts, lambda p: F.length(p) > 0), sep)
 
 
@@ -164,11 +164,6 @@ def embedded_json(x) -> Column:
     return embedded_json_match(x)["json"]
 
 
-def embedded_json_kind(x) -> Column:
-    """Which rule of :func:`embedded_json` matched: whole / array / object / null."""
-    return embedded_json_match(x)["kind"]
-
-
 def bracket_span(x) -> Column:
     """Simpler form: text from the first ``[`` to the last ``]``."""
     return _span(col(x), "[", "]")

@@ -120,15 +120,3 @@ def chunk_overlap(df: DataFrame, max_turns: int = DEFAULT_MAX_TURNS, stride: int
     win = F.explode(F.transform(starts, lambda st: F.struct(
         st.alias("start"), window_slice(st, max_turns, stride, block_turns).alias("turns")))).alias("w")
     return blocks.select(*keys, win).select(*keys, "w.start", "w.turns")
-
-
-def flat_windows(df: DataFrame, max_turns: int = DEFAULT_MAX_TURNS, stride: int | None = None,
-                 tail: int = DEFAULT_TAIL, keys="conv_id", order: str = "turn",
-                 positioned: bool = False) -> DataFrame:
-    """Window membership without nesting: one row per (window, turn) with ``idx`` in the window."""
-    keys = _names(keys)
-    if not positioned:
-        df = turn_positions(df, keys, order)
-    starts = window_starts("pos", "n", max_turns, stride, tail)
-    return (df.select("*", F.explode(starts).alias("start"))
-            .withColumn("idx", F.col("pos") - F.col("start")))

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadline.functions import text as T
-from threadline.session import ensure_checkpoint_dir
 
 
 def _names(cols) -> list[str]:
@@ -21,12 +20,21 @@ def _names(cols) -> list[str]:
 
 
 def keep_first(df: DataFrame, key: Column, order_cols) -> DataFrame:
-    """One row per distinct ``key``: the one smallest in ``order_cols`` (a unique key)."""
+    """One row per distinct ``key``: the one smallest in ``order_cols`` (a unique key).
+
+    Keys are grouped by their md5, so the shuffle carries 32 characters per key
+    and row group whatever the key's length; a single order column keeps the
+    aggregate a hash aggregate.
+    """
     order_cols = _names(order_cols)
-    keyed = df.select(*order_cols, key.alias("_tl_key"))
-    winners = (keyed.groupBy("_tl_key")
-               .agg(F.min(F.struct(*[F.col(c) for c in order_cols])).alias("_tl_w"))
-               .select(*[F.col(f"_tl_w.{c}").alias(c) for c in order_cols]))
+    keyed = df.select(*order_cols, F.md5(key).alias("_tl_key"))
+    if len(order_cols) == 1:
+        winners = keyed.groupBy("_tl_key").agg(F.min(order_cols[0]).alias(order_cols[0])).select(order_cols[0])
+        # min skips nulls: a key all of whose rows lack the order value keeps them (null-safe join below)
+    else:
+        winners = (keyed.groupBy("_tl_key")
+                   .agg(F.min(F.struct(*[F.col(c) for c in order_cols])).alias("_tl_w"))
+                   .select(*[F.col(f"_tl_w.{c}").alias(c) for c in order_cols]))
     if not any(df.schema[c].nullable for c in order_cols):
         # plain equi-join: keeps the (order_cols) partitioning of ``df`` (no re-shuffle),
         # and with non-nullable keys no IsNotNull filter is inferred into one branch only,
@@ -48,47 +56,11 @@ def dedup_prefix(records: DataFrame, chars: int = T.FINGERPRINT_CHARS, order_col
     return keep_first(non_empty, key, order_cols)
 
 
-# Largest loser table broadcast by :func:`drop_later_copies` (rows of order keys).
-BROADCAST_LOSERS = 2_000_000
-
-
-def drop_later_copies(df: DataFrame, key: Column, order_cols,
-                      broadcast_rows: int = BROADCAST_LOSERS) -> DataFrame:
-    """Keep-first without moving the wide rows when copies are few.
+def dedup_text_prefix(df: DataFrame, text_col: str = "text", chars: int = T.FINGERPRINT_CHARS,
+                      order_cols="doc_id") -> DataFrame:
+    """Flat variant: keep the first row per fingerprint of a text column.
 
-    Winners come from the same partial ``min`` as :func:`keep_first`; the
-    *losers* (rows not first for their key) are found on light
-    ``(order, key)`` rows and counted.  Up to ``broadcast_rows`` losers are
-    broadcast and removed with an anti join, so ``df`` (e.g. documents with
-    their text) is filtered where it lies; beyond that bound the shuffled
-    semi join of :func:`keep_first` is used.
+    Winners are ids from one partial aggregate over (id, md5); the rows are kept by a
+    semi join on the id, never joined on the (possibly hot) fingerprint.
     """
-    order_cols = _names(order_cols)
-    keyed = df.select(*order_cols, key.alias("_tl_key"))
-    firsts = (keyed.groupBy("_tl_key")
-              .agg(F.min(F.struct(*[F.col(c) for c in order_cols])).alias("_tl_w")))
-    paired = keyed.join(firsts, keyed["_tl_key"].eqNullSafe(firsts["_tl_key"]), "inner")
-    is_first = F.lit(True)
-    for c in order_cols:
-        is_first = is_first & paired[c].eqNullSafe(F.col(f"_tl_w.{c}"))
-    losers = paired.filter(~is_first).select(*[paired[c] for c in order_cols])
-    # computed once: checkpointed (shared folder), then counted and broadcast from there
-    ensure_checkpoint_dir(df.sparkSession)
-    losers = losers.checkpoint(eager=True)
-    n_losers = losers.count()
-    if n_losers > broadcast_rows:
-        return keep_first(df, key, order_cols)
-    if n_losers == 0:
-        return df
-    cond = None
-    for c in order_cols:
-        e = df[c].eqNullSafe(losers[c])
-        cond = e if cond is None else cond & e
-    return df.join(F.broadcast(losers), cond, "left_anti")
-
-
-def dedup_text_prefix(df: DataFrame, text_col: str = "text", chars: int = T.FINGERPRINT_CHARS,
-                      order_cols="doc_id", broadcast_rows: int = BROADCAST_LOSERS) -> DataFrame:
-    """Flat variant: keep the first row per fingerprint of a text column
-    (losers broadcast when few, see :func:`drop_later_copies`)."""
-    return drop_later_copies(df, T.fingerprint(text_col, chars), order_cols, broadcast_rows)
+    return keep_first(df, T.fingerprint(text_col, chars), order_cols)

@@ -147,15 +147,6 @@ def role_set_check(df: DataFrame, keys="conv_id", allowed: Sequence[str] = (R.US
     return per.withColumn("roles_ok", ok)
 
 
-def keep_conversations(df: DataFrame, selected: DataFrame, keys="conv_id") -> DataFrame:
-    """Rows of ``df`` whose conversation is in ``selected`` (left-semi join).
-
-    ``selected`` has one row per conversation; a hot conversation on the
-    ``df`` side is split by AQE's skew-join handling.
-    """
-    return df.join(selected.select(*_names(keys)).distinct(), on=_names(keys), how="left_semi")
-
-
 def min_event_gate(events: DataFrame, event_types: Iterable[str], min_events: int,
                    key: str = "user_id", type_col: str = "event_type") -> DataFrame:
     """Keys with at least ``min_events`` events of the given types (counts blocks, not turns)."""
@@ -170,7 +161,7 @@ AGENT_TOOL_NAMES = ("Bash", "Read", "Write", "Edit", "Glob", "Grep", "Agent", "W
 
 
 def session_block_gate(messages: DataFrame, min_blocks: int, names: Iterable[str] = AGENT_TOOL_NAMES,
-                       key: str = "session_id", blocks_col: str = "blocks", block_type: str = "tool_use") -> DataFrame:
+                       key: str = "session", blocks_col: str = "blocks", block_type: str = "tool_use") -> DataFrame:
     """Sessions with at least ``min_blocks`` content blocks of one type whose name is listed.
 
     One row per message with a (bounded) ``blocks`` array; counts *blocks*,

@@ -9,14 +9,11 @@ Two primitives:
   consecutive ``turn`` values: block sizes come from a partial aggregate, a
   two-level prefix sum over the (small) block table gives each block's base
   (blocks inside superblocks, then superblocks per conversation), and
-  ``row_number`` runs per ``(conv_id, block)`` group, which never exceeds
-  ``block_size`` rows.  One shuffle of the rows, keyed by (conv_id, block).
-
-* :func:`global_positions` / :func:`order_statistics` - rank of each row in
-  a total order over the whole table, where every rank is needed (file-order
-  ids, the ordered document; samples and splits use the cheaper selection of
-  :mod:`threadline.operators.select`).  The
-  table is range-partitioned and sorted, checkpointed to the shared
+  ``row_number`` runs per ``(conv_id, block)`` group.  One shuffle of the rows, keyed by (conv_id, block).
+
+* :func:`global_positions` - rank of each row in a total order over the whole
+  table, where every rank is needed (file-order ids; samples and splits use the
+  cheaper selection of :mod:`threadline.operators.select`).  The table is range-partitioned and sorted, checkpointed to the shared
   checkpoint folder (fixed partitioning, lineage cut), counted per partition
   (one small row per partition), and each row's rank is base(partition) +
   index in partition.  No ``SinglePartition`` exchange is used.
@@ -24,6 +21,7 @@ Two primitives:
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -35,18 +33,8 @@ from threadline.session import ensure_checkpoint_dir
 DEFAULT_BLOCK_SIZE = 1024
 # Blocks per superblock in the two-level prefix sum of block sizes.
 SUPER = 1024
-# Inputs estimated below this size cannot hold a conversation with more than ~10M
-# blocks (blocks <= rows, and Parquet needs about a byte per row at the very least),
-# so a one-level prefix sum (one window partition per conversation) is safe and saves
-# four small stages; larger inputs use the two-level sum.
-ONE_LEVEL_MAX_BYTES = 10 * 1024 * 1024
-
-
-def _estimated_bytes(df: DataFrame) -> int | None:
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate available
-        return None
+# Stand-in block number of rows without an order value: before every real block.
+NULL_BLOCK = -(2**63)
 
 
 def _names(cols) -> list[str]:
@@ -99,9 +87,18 @@ def surrogate_keys(df: DataFrame, keys: Sequence[str], prefix: str = "_tl_sk") -
     return out, cols
 
 
+def _floor_div(c: Column, n: int) -> Column:
+    """``floor(c / n)`` in integers (``div`` truncates towards zero)."""
+    c = c.cast("bigint")
+    # the subtraction cannot leave the range of a bigint: it moves c down to a multiple of n,
+    # or, next to the smallest bigint, leaves it where it is
+    low = F.when(c < F.lit(-(2**63) + n), c).otherwise(c - F.pmod(c, F.lit(n).cast("bigint")))
+    return F.call_function("div", low, F.lit(n).cast("bigint"))
+
+
 def turn_positions(df: DataFrame, keys="conv_id", order="turn", pos_col: str = "pos",
                    size_col: str | None = "n", block_size: int = DEFAULT_BLOCK_SIZE,
-                   within=None, within_pos_col: str | None = None, two_level: bool | None = None) -> DataFrame:
+                   within=None, within_pos_col: str | None = None) -> DataFrame:
     """Add ``pos`` (0-based rank of ``order`` within ``keys``) and ``n`` (group size).
 
     ``order`` may be one column or several (the first, an integral column, is
@@ -116,8 +113,10 @@ def turn_positions(df: DataFrame, keys="conv_id", order="turn", pos_col: str = "
     exchange of the rows: hash partitioning on ``(keys, block)`` already
     clusters ``(keys, within, block)``.
 
-    ``two_level`` chooses the prefix sum of block sizes: None decides from the
-    optimizer's size estimate (one level below ``ONE_LEVEL_MAX_BYTES``).
+    Negative order values are blocked by floor division and rows without one
+    come first (``orderBy`` puts nulls first).  A block holds ``block_size``
+    consecutive order values: at most ``block_size`` rows where ``(keys, order)``
+    is unique; rows that repeat one order value (or have none) share a block.
     """
     out_names = list(df.columns)
     keys = _names(keys)
@@ -127,11 +126,8 @@ def turn_positions(df: DataFrame, keys="conv_id", order="turn", pos_col: str = "
     blk = "_tl_blk"
     staged, kcols = surrogate_keys(df, keys)
     staged, xcols = surrogate_keys(staged, extra, prefix="_tl_sx") if extra else (staged, [])
-    keyed = staged.withColumn(blk, F.expr(f"`{lead}` div {int(block_size)}"))
-    keyed, bcols = surrogate_keys(keyed, [blk], prefix="_tl_sb")
-    if two_level is None:
-        size = _estimated_bytes(df)
-        two_level = size is None or size > ONE_LEVEL_MAX_BYTES
+    keyed = staged.withColumn(blk, F.coalesce(_floor_div(F.col(lead), int(block_size)), F.lit(NULL_BLOCK)))
+    bcols = [blk]
 
     parted = keyed.repartition(*[F.col(c) for c in [*kcols, *bcols]])
     # ties in ``order`` are broken by the other (orderable) columns: ranks are fully
@@ -152,17 +148,8 @@ def turn_positions(df: DataFrame, keys="conv_id", order="turn", pos_col: str = "
         # superblock totals per group - so no window partition holds more than about SUPER
         # blocks (plus one row per superblock of a group).
         counts = (keyed.groupBy(*group, *bcols).agg(F.count(F.lit(1)).alias("_tl_cnt"))
-                  .withColumn("_tl_sup", F.coalesce(F.expr(f"{bcols[0]} div {SUPER}"), F.lit(0).cast("bigint"))))
-        # a null block (null ``turn``) ranks first, as ``orderBy(turn)`` puts nulls first
-        block_order = [F.col(c).desc() if c.startswith("_tl_sbn") else F.col(c) for c in bcols]
-        if not two_level:
-            per_group = Window.partitionBy(*group)
-            return counts.select(
-                *group, *bcols,
-                (F.sum("_tl_cnt").over(per_group.orderBy(*block_order)
-                                       .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-                 - F.col("_tl_cnt")).alias(base_col),
-                *([F.sum("_tl_cnt").over(per_group).alias(size_col)] if with_size else []))
+                  .withColumn("_tl_sup", _floor_div(F.col(blk), SUPER)))
+        block_order = [F.col(blk)]
         in_sup = Window.partitionBy(*group, "_tl_sup")
         lvl1 = counts.select(
             *group, *bcols, "_tl_sup",
@@ -195,10 +182,6 @@ def turn_positions(df: DataFrame, keys="conv_id", order="turn", pos_col: str = "
     return joined2.select(*cols, (F.col("_tl_rbase") + F.col("_tl_rr")).alias(within_pos_col or "within_pos"))
 
 
-def conversation_sizes(df: DataFrame, keys="conv_id", size_col: str = "n") -> DataFrame:
-    """One row per conversation with its turn count (partial aggregation)."""
-    return df.groupBy(*_names(keys)).agg(F.count(F.lit(1)).alias(size_col))
-
 
 # ---------------------------------------------------------------------------
 # Global order
@@ -206,20 +189,23 @@ def conversation_sizes(df: DataFrame, keys="conv_id", size_col: str = "n") -> Da
 
 # Target bytes per range partition when sizing from the optimizer's estimate.
 RANGE_PARTITION_BYTES = 128 * 1024 * 1024
-MAX_RANGE_PARTITIONS = 200_000
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the plan's leaves (files, checkpoints), from their statistics.
+
+    The estimate of the whole plan is not used: a join multiplies its inputs' sizes.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def range_partitions(df: DataFrame) -> int:
     """Partitions for a range sort: the configured shuffle partitions, or more when the
-    optimizer's size estimate says the data needs it (AQE can merge range partitions
-    but never split them)."""
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimate unavailable: keep the configured count
-        return n
-    return max(n, min(MAX_RANGE_PARTITIONS, -(-size // RANGE_PARTITION_BYTES)))
+    inputs' size says the data needs it (AQE can merge range partitions but never split
+    them).  Compressed inputs are taken to unpack to three times their size."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return min(max(n, -(-3 * input_bytes(df) // RANGE_PARTITION_BYTES)), 2**31 - 1)
 
 
 class RankedTable:
@@ -265,26 +251,41 @@ def global_positions(df: DataFrame, order_cols, pos_col: str = "gpos",
     for p in range(n_fixed):
         bases.append(acc)
         acc += counts.get(p, 0)
-    base = F.element_at(F.array(*[F.lit(b).cast("bigint") for b in bases]), pid + 1) if bases else F.lit(0)
+    # one literal for all bases (constant-folded), not a call per partition
+    table = F.from_json(F.lit(json.dumps(bases)), "array<bigint>")
+    base = F.element_at(table, pid + 1) if bases else F.lit(0)
     frame = fixed.withColumn(pos_col, base + local_idx)
     return RankedTable(frame, acc, order_cols, pos_col)
 
 
-def order_statistics(df: DataFrame, order_cols, positions: Sequence[int],
-                     num_partitions: int | None = None) -> tuple[int, dict[int, tuple]]:
-    """Total row count and the order-key tuples found at the given ranks."""
-    ranked = global_positions(df, order_cols, num_partitions=num_partitions)
-    return ranked.total, ranked.rows_at(positions)
+def keys_at_block_ranks(df: DataFrame, block_cols: Sequence[str], seq_col: str, ranks) -> tuple[int, dict[int, tuple]]:
+    """Row count and the ``(block_cols.., seq_col)`` keys at the wanted ranks, without moving rows.
 
-
-def key_below(order_cols, bound: tuple | None) -> Column:
-    """Row-local test ``(order_cols) < bound``; ``bound`` None means +infinity."""
-    order_cols = _names(order_cols)
-    if bound is None:
-        return F.lit(True)
-    # lexicographic (a, b, ..) < (x, y, ..), expanded so literals coerce per column
-    expr = None
-    for i in reversed(range(len(order_cols))):
-        c, v = F.col(order_cols[i]), F.lit(bound[i])
-        expr = (c < v) if expr is None else ((c < v) | ((c == v) & expr))
-    return expr
+    Rows are ordered by ``(block_cols, seq_col)`` and already lie in blocks (file splits).
+    The table of block counts is ranged and checkpointed; sums per partition (a row each) tell
+    which partition of it holds a rank, a running sum there the block, and one small
+    ordered read of that block the key.  ``ranks`` is a function of the row count.
+    """
+    block_cols = list(block_cols)
+    ensure_checkpoint_dir(df.sparkSession)
+    counts = df.groupBy(*block_cols).agg(F.count(F.lit(1)).alias("_tl_n"))
+    counts = (counts.repartitionByRange(*block_cols).sortWithinPartitions(*block_cols).checkpoint(eager=True)
+              .withColumn("_tl_p", F.spark_partition_id()))
+    sums = sorted((r[0], r[1]) for r in counts.groupBy("_tl_p").agg(F.sum("_tl_n")).collect())
+    total = sum(n for _, n in sums)
+    found = {}
+    for k in sorted({int(r) for r in ranks(total) if 0 <= int(r) < total}):
+        base = 0
+        for part, n in sums:
+            if base + n > k:
+                break
+            base += n
+        run = Window.partitionBy("_tl_p").orderBy(*block_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        at = (counts.filter(F.col("_tl_p") == part).withColumn("_tl_end", F.sum("_tl_n").over(run))
+              .filter((F.col("_tl_end") > k - base) & (F.col("_tl_end") - F.col("_tl_n") <= k - base)).first())
+        block = df
+        for c in block_cols:
+            block = block.filter(F.col(c).eqNullSafe(F.lit(at[c])))
+        row = block.orderBy(seq_col).offset(k - base - at["_tl_end"] + at["_tl_n"]).limit(1).collect()[0]
+        found[k] = tuple(row[c] for c in [*block_cols, seq_col])
+    return total, found

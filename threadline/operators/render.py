@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadline.functions import roles as R
+from threadline.functions import text as T
 
 # Fixed value: separator between rendered turns.
 TURN_SEPARATOR = "\n\n"
@@ -20,7 +21,7 @@ def render_turns(turns: Column, labels: dict[str, str] | None = None, sep: str =
     labels = R.RENDER_LABELS if labels is None else labels
     pieces = F.transform(turns, lambda t: F.concat(R.map_role_drop(t["role"], labels), F.lit(": "),
                                                    F.coalesce(t["text"], F.lit(""))))
-    return F.array_join(F.filter(pieces, lambda p: p.isNotNull()), sep)
+    return T.join_nonempty(pieces, sep)
 
 
 def render_text(records: DataFrame, turns_col: str = "turns", out_col: str = "text",

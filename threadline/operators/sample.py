@@ -17,7 +17,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from threadline.functions.hashing import seeded_hex
-from threadline.operators.positions import key_below, order_statistics
 from threadline.operators.select import seeded_proxy_stats
 
 ORDER_COL = "_tl_order"
@@ -38,11 +37,18 @@ def sample_size(n: int, ratio: float) -> int:
 
 
 def lex_below(exprs: Sequence[Column], bound: Sequence) -> Column:
-    """Lexicographic ``(e1, e2, ..) < bound`` with per-column literal coercion."""
-    cond = None
+    """Lexicographic ``(e1, e2, ..) < bound`` in Spark's order: nulls first, NaN last.
+
+    Never null: a row without a key is below every bound that has one.
+    """
+    cond = F.lit(False)
     for i in reversed(range(len(exprs))):
-        c, v = exprs[i], F.lit(bound[i])
-        cond = (c < v) if cond is None else ((c < v) | ((c == v) & cond))
+        c, v = exprs[i], bound[i]
+        if v is None:  # nothing is below a null
+            below, same = F.lit(False), c.isNull()
+        else:
+            below, same = c.isNull() | F.coalesce(c < F.lit(v), F.lit(False)), c.eqNullSafe(F.lit(v))
+        cond = below | (same & cond)
     return cond
 
 
@@ -84,12 +90,3 @@ def exact_sample(records: DataFrame, keys, seed: int | str = 42, ratio: float |
 def first_of_shuffle(records: DataFrame, keys, target: int, seed: int | str = 42) -> ExactSample:
     """Cap by a target count: the first ``min(target // 2, n)`` records of a seeded shuffle."""
     return exact_sample(records, keys, seed, k=target // 2)
-
-
-def order_bounds(records: DataFrame, order_cols: Sequence[str], positions: Sequence[int]):
-    """Total and order keys at the given ranks (helper for splits)."""
-    return order_statistics(records, list(order_cols), positions)
-
-
-__all__ = ["ExactSample", "exact_sample", "first_of_shuffle", "key_below", "order_bounds",
-           "sample_size", "shuffle_key"]

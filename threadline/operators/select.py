@@ -3,19 +3,22 @@
 Sampling and ordered splits only need the order keys found at one or two
 ranks.  Each record gets a numeric *proxy* that never decreases along the
 exact order (the order key itself when it is a number, or the first 15 hex
-digits of a seeded md5).  Then, per wanted rank ``k``:
-
-1. keep a bracket ``lo <= proxy <= hi`` known to contain rank ``k`` and the
-   count of rows below it;
-2. while the bracket holds more than ``max_collect`` rows, narrow it with
-   ``percentile_approx`` around the target quantile and recount with
-   ``count_if`` (one aggregate pass each, partial aggregation, no shuffle of
-   rows); each round shrinks the bracket by about ``accuracy / 4``;
-3. collect the bracket (bounded by ``max_collect``), sort it by the exact
-   order on the driver and read rank ``k``.
-
-A bracket that stops shrinking (a tie group larger than ``max_collect``) is
-ranked exactly with :func:`threadline.operators.positions.global_positions`.
+digits of a seeded md5).  Rows fall into three classes in that order: without a
+proxy (null), with a finite or infinite one, and NaN.  Per wanted rank ``k``:
+
+1. the class that holds rank ``k`` follows from the three counts;
+2. inside the class, keep a bracket ``lo <= proxy <= hi`` known to contain
+   rank ``k`` and the count of rows below it; while it holds more than
+   ``bracket_rows`` rows, narrow it with ``percentile_approx`` around the target
+   quantile and recount with ``count_if`` (one aggregate pass each, partial
+   aggregation, no shuffle of rows); each round shrinks it by about
+   ``accuracy / 4``;
+3. the row at rank ``k`` of the bracket is read with ``orderBy .. offset .. limit 1``:
+   one row reaches the driver.
+
+A class or bracket that cannot shrink (rows that tie in the proxy) is ranked
+exactly with :func:`threadline.operators.positions.global_positions`.  The path is
+the same at every size.
 """
 
 from __future__ import annotations
@@ -29,7 +32,8 @@ from pyspark.sql import functions as F
 from threadline.functions.hashing import seeded_hex
 from threadline.operators.positions import global_positions
 
-MAX_COLLECT = 100_000
+# A bracket of so many rows is ordered; larger ones are narrowed first.
+BRACKET_ROWS = 64
 ACCURACY = 10_000
 PROXY = "_tl_proxy"
 
@@ -39,73 +43,66 @@ def hash_proxy(h: Column) -> Column:
     return F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint")
 
 
-def _sort_key(row, cols):
-    return tuple((row[c] is not None, row[c]) for c in cols)
-
-
-def _in_bracket(lo, hi) -> Column:
-    p = F.col(PROXY)
-    cond = F.lit(True)
-    if lo is not None:
-        cond = cond & (p >= F.lit(lo))
-    if hi is not None:
-        cond = cond & (p <= F.lit(hi))
-    return cond
-
-
 def order_stats(df: DataFrame, proxy: Column, exact_cols: Sequence[str], ranks,
-                max_collect: int = MAX_COLLECT, accuracy: int = ACCURACY) -> tuple[int, dict[int, tuple]]:
+                bracket_rows: int = BRACKET_ROWS, accuracy: int = ACCURACY) -> tuple[int, dict[int, tuple]]:
     """Total rows and the ``exact_cols`` tuple at each wanted 0-based rank.
 
     ``proxy`` must be numeric and non-decreasing in the order of
-    ``exact_cols`` (a unique key).  ``ranks`` is a list of ranks or a
-    function of the total returning one.  The projected key table is
-    persisted (memory and disk; lost blocks are recomputed) for the few
-    passes and released afterwards.
+    ``exact_cols`` (a unique key; nulls first, NaN last, as Spark orders).
+    ``ranks`` is a list of ranks or a function of the total returning one.  The
+    projected key table is persisted (memory and disk; lost blocks are
+    recomputed) for the few passes and released afterwards.
     """
     exact_cols = list(exact_cols)
     base = df.select(proxy.alias(PROXY), *exact_cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        total = base.count()
+        p = F.col(PROXY)
+        number = p.cast("double")
+        total, nulls, nans = base.agg(F.count(F.lit(1)), F.count_if(p.isNull()), F.count_if(F.isnan(number))).first()
         wanted = sorted({int(r) for r in (ranks(total) if callable(ranks) else ranks) if 0 <= int(r) < total})
         found: dict[int, tuple] = {}
-        if wanted and total <= max_collect:
-            # the whole key table is within the collect bound: one pass serves every rank
-            rows = sorted(base.collect(), key=lambda r: _sort_key(r, exact_cols))
-            return total, {k: tuple(rows[k][c] for c in exact_cols) for k in wanted}
         for k in wanted:
-            found[k] = _select(base, exact_cols, k, total, max_collect, accuracy)
+            if k < nulls:
+                found[k] = _row_at(base.filter(p.isNull()), exact_cols, k, nulls, bracket_rows)
+            elif k >= total - nans:
+                found[k] = _row_at(base.filter(F.isnan(number)), exact_cols, k - (total - nans), nans, bracket_rows)
+            else:
+                rest = base.filter(p.isNotNull() & ~F.isnan(number))
+                found[k] = _select(rest, exact_cols, k - nulls, total - nulls - nans, bracket_rows, accuracy)
         return total, found
     finally:
         base.unpersist()
 
 
-def _select(base: DataFrame, exact_cols: list[str], k: int, total: int, max_collect: int,
+def _row_at(rows: DataFrame, exact_cols: list[str], k: int, n: int, bracket_rows: int) -> tuple:
+    """The row at rank ``k`` of ``n`` rows that are few, or tie in the proxy."""
+    if n <= bracket_rows:
+        row = rows.select(*exact_cols).orderBy(*exact_cols).offset(k).limit(1).collect()[0]
+        return tuple(row)
+    return global_positions(rows.select(*exact_cols), exact_cols, pos_col="_tl_r").rows_at([k])[k]
+
+
+def _select(base: DataFrame, exact_cols: list[str], k: int, total: int, bracket_rows: int,
             accuracy: int) -> tuple:
-    lo = hi = None
     below, n_in = 0, total
     p = F.col(PROXY)
-    while True:
-        inside = base.filter(_in_bracket(lo, hi))
-        if n_in <= max_collect:
-            rows = sorted(inside.collect(), key=lambda r: _sort_key(r, exact_cols))
-            return tuple(rows[k - below][c] for c in exact_cols)
+    inside = base
+    while n_in > bracket_rows:
         q = (k - below + 0.5) / n_in
         for widen in (1, 4, 16):
             m = 2.0 * widen / accuracy
             qs = [max(0.0, q - m), min(1.0, q + m)]
-            new_lo, new_hi = inside.agg(F.percentile_approx(PROXY, qs, accuracy)).first()[0]
-            c_below, c_in = inside.agg(F.count_if(p < new_lo),
-                                       F.count_if((p >= new_lo) & (p <= new_hi))).first()
+            lo, hi = inside.agg(F.percentile_approx(PROXY, qs, accuracy)).first()[0]
+            c_below, c_in = inside.agg(F.count_if(p < lo), F.count_if((p >= lo) & (p <= hi))).first()
             if below + c_below <= k < below + c_below + c_in:
                 break
         else:
             c_in = n_in  # give up narrowing
         if c_in >= n_in:
-            # a tie group (or a missed bracket) that cannot shrink: rank it exactly
-            ranked = global_positions(inside, exact_cols, pos_col="_tl_r")
-            return ranked.rows_at([k - below])[k - below]
-        below, n_in, lo, hi = below + c_below, c_in, new_lo, new_hi
+            break  # a tie group (or a missed bracket) that cannot shrink: ranked exactly
+        below, n_in = below + c_below, c_in
+        inside = base.filter((p >= F.lit(lo)) & (p <= F.lit(hi)))
+    return _row_at(inside, exact_cols, k - below, n_in, bracket_rows)
 
 
 def seeded_proxy_stats(df: DataFrame, seed, keys: Sequence[str], ranks: Sequence[int],

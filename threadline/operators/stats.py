@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from threadline.functions import roles as R
 from threadline.functions import text as T
 from threadline.operators import filters as FL
+from threadline.operators.positions import global_positions
 
 # Fixed value: the marker the reference's statistics count.
 STATS_MARKER = "<tool_use>"
@@ -78,6 +79,13 @@ def distinct_names(df: DataFrame, pattern: str = T.NAME_FIELD_PATTERN, role: str
             .distinct())
 
 
+def sorted_names(df: DataFrame, pattern: str = T.NAME_FIELD_PATTERN, role: str | None = R.ASSISTANT,
+                 text_col: str = "text", role_col: str = "role") -> DataFrame:
+    """The distinct names in order, ``(pos, name)``: ranked by a range sort, not in one task."""
+    names = distinct_names(df, pattern, role, text_col, role_col)
+    return global_positions(names, "name", pos_col="pos").frame.select("pos", "name")
+
+
 def name_overlap(names: DataFrame, expected: Iterable[str], name_col: str = "name") -> DataFrame:
     """Expected names that were observed (set intersection), one row each."""
     return names.filter(F.col(name_col).isin(list(expected))).select(name_col).distinct()

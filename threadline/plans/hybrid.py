@@ -1,9 +1,8 @@
 """Hybrid dataset build: exact seeded sample -> augment -> union -> shuffled split -> stats.
 
 Work per stage: positions (one shuffle keyed by conversation block), the
-sample bound (a checkpointed sort of the record-key table only), the split
-bounds (same, over real + augmented record keys), statistics (partial
-aggregates).  Turn rows are only filtered and projected: the sample and the
+sample bound and the split bounds (distributed selection over the record
+keys), statistics (partial aggregates).  Turn rows are only filtered and projected: the sample and the
 split are row-local comparisons with literal bounds.
 """
 
@@ -58,8 +57,8 @@ def hybrid_splits(turns: DataFrame, keys="conv_id", ratio: float = 0.5, seed: in
 
 
 def hybrid_records(rows: DataFrame, keys="conv_id", max_turns: int = N.DEFAULT_SEGMENT_TURNS) -> DataFrame:
-    """Flat hybrid turns -> bounded records ``(keys.., variant, split, start, turns)``."""
-    keys = [*_names(keys), "variant", "split"]
+    """Flat hybrid turns -> bounded records ``(keys.., variant, split, [source,] start, turns)``."""
+    keys = [*_names(keys), "variant", "split", *(["source"] if "source" in rows.columns else [])]
     # hybrid rows already carry dense positions per record (transforms renumber them)
     return N.assemble(rows, max_turns, keys=keys, order="turn", positioned=True)
 
@@ -78,28 +77,28 @@ def records_stats(records: DataFrame, keys=("conv_id", "variant"), marker: str =
     return S._finish_stats(per_record)
 
 
-def write_hybrid(rows: DataFrame, stats: DataFrame | None, out_dir: str, ratio: float = 0.5,
+def write_hybrid(rows: DataFrame, out_dir: str, allowed_sources: DataFrame, ratio: float = 0.5,
                  split_ratios: Sequence[float] = SP.SPLIT_RATIOS, formats: Sequence[str] = X.FORMATS,
-                 seed: int | str = 42, keys="conv_id", marker: str = S.STATS_MARKER) -> dict:
+                 seed: int | str = 42, keys="conv_id", marker: str = S.STATS_MARKER,
+                 max_turns: int = N.DEFAULT_SEGMENT_TURNS) -> dict:
     """Write the hybrid dataset: requested formats, a combined file of all records, and metadata.
 
-    The hybrid records are computed once and written as a Parquet table
+    The hybrid records of allowed sources are computed once and written as a Parquet table
     (``<out_dir>/records_table``); every format, the combined file and the
     statistics are then read from that table, so positions and transforms
-    are not recomputed per output.  ``stats`` may be None (derived from the
-    written records).
+    are not recomputed per output.  Conversations longer than ``max_turns`` are written as
+    several records with their ``start``; all of them lie in the split of the conversation.
     """
     out = out_dir.rstrip("/")
     spark = rows.sparkSession
-    hybrid_records(rows, keys).write.mode("overwrite").parquet(f"{out}/records_table")
+    X.allowed_only(hybrid_records(rows, keys, max_turns), allowed_sources).write.mode("overwrite").parquet(f"{out}/records_table")
     recs = spark.read.parquet(f"{out}/records_table")
-    written = X.export(recs, out, formats=formats, split_col="split",
+    written = X.export(recs, out, allowed_sources, formats=formats, split_col="split",
                        keys=[*_names(keys), "variant", "start"], seed=seed, stage=False)
-    X.write_records(recs, f"{out}/combined", split_col=None)
-    if stats is None:
-        stats = records_stats(recs, [*_names(keys), "variant"], marker)
-    total = recs.select(*_names(keys), "variant").distinct().count()
-    X.write_metadata(spark, f"{out}/metadata", stats, total, ratio, split_ratios, list(formats))
-    written.update(records_table=f"{out}/records_table", combined=f"{out}/combined",
-                   metadata=f"{out}/metadata", total_records=total)
+    X.write_records(recs, f"{out}/combined", allowed_sources, split_col=None)
+    stats = records_stats(recs, [*_names(keys), "variant"], marker).first().asDict()
+    lines = recs.count()
+    X.write_metadata(spark, f"{out}/metadata", stats, lines, ratio, split_ratios, list(formats))
+    written.update(records_table=f"{out}/records_table", combined=f"{out}/combined", metadata=f"{out}/metadata",
+                   total_records=stats["total_conversations"], total_lines=lines)
     return written

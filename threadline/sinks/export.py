@@ -1,8 +1,13 @@
 """Dataset sinks.
 
+Every sink that writes rows takes an allow-list of sources (``source``, ``rights``):
+records carry their ``source``, and a left-semi join leaves only data with known
+rights.  Rows carry ``origin_conv_id``, the conversation they derive from.
+
 * :func:`write_records` - interchange JSONL (one record per line), optionally
-  one folder per split (``split=train/``...).  Spark writes UTF-8 as is;
-  the parsed values equal those of an ASCII-escaped writer.
+  one folder per split (``split=train/``...); a record that is a segment of a long
+  conversation carries its ``start`` (and ``variant``), so readers can put it back.
+  Spark writes UTF-8 as is; the parsed values equal those of an ASCII-escaped writer.
 * :func:`write_text_records` - rendered ``{"text": ..}`` JSONL per split.
 * :func:`write_text_document` - one JSON document
   ``{"train": [{"text": ..}, ..], "valid": [..], "test": [..]}`` written as
@@ -10,10 +15,9 @@
   it needs, so concatenating ``part-*`` in name order yields the document.
   Nothing passes through the driver or a single task.
 * :func:`write_metadata` - a one-row summary (counts, ratios, statistics, formats).
-* :func:`export` - format selector over the above, with an optional
-  allow-list of sources (left-semi join) so only data with known rights leaves;
-  with several formats the records are staged once as a Parquet table so the
-  upstream plan runs once.
+* :func:`export` - format selector over the above: all formats cut by the same
+  ``split`` column; with several formats the records are staged once as a
+  Parquet table so the upstream plan runs once.
 """
 
 from __future__ import annotations
@@ -25,9 +29,9 @@ from pyspark.sql import functions as F
 
 from threadline.operators import nested as N
 from threadline.operators import render as RD
-from threadline.operators.positions import global_positions
+from threadline.operators.positions import range_partitions
 from threadline.operators.sample import shuffle_key
-from threadline.operators.split import SPLIT_NAMES, SPLIT_RATIOS, split_bounds
+from threadline.operators.split import SPLIT_NAMES, SPLIT_RATIOS, prefix_split
 
 # Format names accepted by :func:`export`.
 FORMATS = ("records", "text", "document")
@@ -37,9 +41,30 @@ def _names(cols) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
-def write_records(records: DataFrame, path: str, split_col: str | None = "split",
-                  extra_cols=("conv_id",), mode: str = "overwrite") -> None:
+ORIGIN_COL = "origin_conv_id"
+
+
+def allowed_only(df: DataFrame, allowed_sources: DataFrame, source_col: str = "source") -> DataFrame:
+    """Keep rows whose source is on the allow-list (``source``, ``rights``); the list is required."""
+    if allowed_sources is None:
+        raise ValueError("allowed_sources is required: a table of the sources that may leave (source, rights)")
+    if source_col not in df.columns:
+        raise ValueError(f"records need a {source_col!r} column to be checked against allowed_sources")
+    allow = allowed_sources.select(F.col("source").alias(source_col)).distinct()
+    return df.join(allow, on=source_col, how="left_semi")
+
+
+def _with_origin(records: DataFrame, id_col: str = "conv_id") -> DataFrame:
+    if ORIGIN_COL in records.columns or id_col not in records.columns:
+        return records
+    return records.withColumn(ORIGIN_COL, F.col(id_col))
+
+
+def write_records(records: DataFrame, path: str, allowed_sources: DataFrame, split_col: str | None = "split",
+                  extra_cols=("conv_id", "start", "variant", "source", ORIGIN_COL), source_col: str = "source",
+                  mode: str = "overwrite") -> None:
     """Interchange JSONL; one folder per split when ``split_col`` is present."""
+    records = _with_origin(allowed_only(records, allowed_sources, source_col))
     by_split = bool(split_col) and split_col in records.columns
     cols = [c for c in _names(extra_cols) if c in records.columns]
     lines = N.to_interchange(records).select(*cols, "conversations", *([split_col] if by_split else []))
@@ -49,13 +74,15 @@ def write_records(records: DataFrame, path: str, split_col: str | None = "split"
     writer.option("ignoreNullFields", "false").json(path)
 
 
-def write_text_records(records: DataFrame, path: str, split_col: str | None = "split",
-                       mode: str = "overwrite") -> None:
+def write_text_records(records: DataFrame, path: str, allowed_sources: DataFrame, split_col: str | None = "split",
+                       source_col: str = "source", mode: str = "overwrite") -> None:
     """Rendered ``{"text": ..}`` JSONL, one folder per split when present."""
+    records = _with_origin(allowed_only(records, allowed_sources, source_col))
     out = RD.render_text(records, out_col="text")
-    cols = ["text"] + ([split_col] if split_col and split_col in records.columns else [])
+    by_split = bool(split_col) and split_col in records.columns
+    cols = [c for c in ("text", ORIGIN_COL) if c in out.columns] + ([split_col] if by_split else [])
     writer = out.select(*cols).write.mode(mode)
-    if len(cols) == 2:
+    if by_split:
         writer = writer.partitionBy(split_col)
     writer.json(path)
 
@@ -66,85 +93,91 @@ def _json_string(c) -> F.Column:
     return F.substring(arr, F.lit(2), F.length(arr) - 2)
 
 
-def write_text_document(records: DataFrame, path: str, keys=("conv_id", "start"), seed: int | str | None = 42,
-                        ratios: Sequence[float] = SPLIT_RATIOS, rule: str = "cumulative") -> dict:
+def write_text_document(records: DataFrame, path: str, allowed_sources: DataFrame, keys=("conv_id", "start"),
+                        seed: int | str | None = 42, ratios: Sequence[float] = SPLIT_RATIOS, rule: str = "cumulative",
+                        split_col: str = "split", source_col: str = "source") -> dict:
     """One ``{"train": [...], "valid": [...], "test": [...]}`` document in ordered parts.
 
-    Records are ordered by a seeded shuffle (or by key when ``seed`` is
-    None), split by position, rendered, and written by the range-partitioned
-    tasks of the checkpointed order; returns the split sizes.
+    Sections follow the records' ``split_col``, so the document is cut like every
+    other format; records without one get the split by position under the same order.
+    Inside a section records are ordered by a seeded shuffle of ``keys`` (by key when
+    ``seed`` is None).  The first key of each section and the last key overall come from one
+    aggregate over the keys; the text moves once, in the range shuffle that orders
+    the parts.  Returns the split sizes.
     """
     keys = _names(keys)
-    rendered = RD.render_text(records, out_col="_tl_text").select(*keys, "_tl_text")
-    if seed is None:
-        order_cols = keys
-        ordered = rendered
-    else:
-        ordered = rendered.withColumn("_tl_order", shuffle_key(seed, keys))
-        order_cols = ["_tl_order", *keys]
-    ranked = global_positions(ordered, order_cols, pos_col="_tl_g")
-    total = ranked.total
-    train_end, valid_end = split_bounds(total, ratios, rule)
-    head = '{"' + SPLIT_NAMES[0] + '": ['
-    to_valid = '], "' + SPLIT_NAMES[1] + '": ['
-    to_test = '], "' + SPLIT_NAMES[2] + '": ['
-    footer = "]}"
+    records = allowed_only(records, allowed_sources, source_col)
+    if split_col not in records.columns:
+        records = records.withColumn(split_col, prefix_split(records, keys, seed, ratios, rule).label())
+    sec = F.lit(len(SPLIT_NAMES) - 1)
+    for i, name in reversed(list(enumerate(SPLIT_NAMES[:-1]))):
+        sec = F.when(F.col(split_col) == name, F.lit(i)).otherwise(sec)
+    shuffled = [] if seed is None else ["_tl_order"]
+    ordered = RD.render_text(records, out_col="_tl_text").select(
+        *keys, sec.alias("_tl_sec"), "_tl_text", *([shuffle_key(seed, keys).alias("_tl_order")] if shuffled else []))
+    order_cols = ["_tl_sec", *shuffled, *keys]
+    key = F.struct(*order_cols)
+    found = {r["_tl_sec"]: r for r in ordered.groupBy("_tl_sec").agg(
+        F.count(F.lit(1)).alias("n"), F.min(key).alias("low"), F.max(key).alias("high")).collect()}  # three rows at most
+    sizes = {name: found[i]["n"] if i in found else 0 for i, name in enumerate(SPLIT_NAMES)}
+    tokens = ['{"' + SPLIT_NAMES[0] + '": [', *['], "' + name + '": [' for name in SPLIT_NAMES[1:]]]
     spark: SparkSession = records.sparkSession
-    if total == 0:
-        (spark.createDataFrame([(head + to_valid + to_test + footer,)], "value string")
+    if not found:
+        (spark.createDataFrame([("".join(tokens) + "]}",)], "value string")
          .coalesce(1).write.mode("overwrite").text(path))
-        return {"train": 0, "valid": 0, "test": 0}
-    g = F.col("_tl_g")
-
-    def at(pos: int, token: str):
-        return F.when(g == pos, F.lit(token)).otherwise(F.lit(""))
-
-    # separators sitting exactly at a boundary position, in document order
-    tokens = F.concat(at(0, head), at(train_end, to_valid), at(valid_end, to_test))
-    first_of_section = (g == 0) | (g == train_end) | (g == valid_end)
-    prefix = F.concat(tokens, F.when(first_of_section, F.lit("")).otherwise(F.lit(", ")))
-    # boundaries at or beyond ``total`` (empty trailing sections) close after the last record
-    trail = "".join([to_valid if train_end >= total else "", to_test if valid_end >= total else "", footer])
-    suffix = F.when(g == total - 1, F.lit(trail)).otherwise(F.lit(""))
+        return sizes
+
+    def at(row) -> F.Column:
+        cond = F.lit(True)
+        for c in order_cols:
+            cond = cond & F.col(c).eqNullSafe(F.lit(row[c]))
+        return cond
+
+    prefix, opened = F.lit(", "), 0
+    for i in sorted(found):  # the first record of a section opens it, and the empty ones before it
+        prefix = F.when(at(found[i]["low"]), F.lit("".join(tokens[opened:i + 1]))).otherwise(prefix)
+        opened = i + 1
+    suffix = F.when(at(found[max(found)]["high"]), F.lit("".join(tokens[opened:]) + "]}")).otherwise(F.lit(""))
     item = F.concat(F.lit('{"text": '), _json_string(F.col("_tl_text")), F.lit("}"))
-    ranked.frame.select(F.concat(prefix, item, suffix).alias("value")).write.mode("overwrite").text(path)
-    return {"train": train_end, "valid": valid_end - train_end, "test": total - valid_end}
+    (ordered.repartitionByRange(range_partitions(ordered), *order_cols).sortWithinPartitions(*order_cols)
+     .select(F.concat(prefix, item, suffix).alias("value")).write.mode("overwrite").text(path))
+    return sizes
+
 
+def write_metadata(spark: SparkSession, path: str, stats: dict, total_lines: int, augmentation_ratio: float,
+                   split_ratio: Sequence[float], formats: Sequence[str]) -> None:
+    """One-row metadata JSON: totals, ratios, statistics struct and formats.
 
-def write_metadata(spark: SparkSession, path: str, stats: DataFrame, total_conversations: int,
-                   augmentation_ratio: float, split_ratio: Sequence[float], formats: Sequence[str]) -> None:
-    """One-row metadata JSON: totals, ratios, statistics struct and formats."""
-    row = stats.select(F.struct(*stats.columns).alias("statistics"))
-    meta = row.select(F.lit(total_conversations).cast("bigint").alias("total_conversations"),
+    ``stats`` is the row of dataset statistics (it holds the number of
+    conversations); ``total_lines`` counts the written records, segments included.
+    """
+    row = spark.createDataFrame([tuple(stats.values())], _stats_schema(stats))
+    meta = row.select(F.col("total_conversations").alias("total_conversations"),
+                      F.lit(int(total_lines)).cast("bigint").alias("total_lines"),
                       F.lit(float(augmentation_ratio)).alias("augmentation_ratio"),
                       F.array(*[F.lit(float(r)) for r in split_ratio]).alias("split_ratio"),
-                      "statistics",
+                      F.struct(*row.columns).alias("statistics"),
                       F.array(*[F.lit(f) for f in formats]).alias("formats"))
     meta.coalesce(1).write.mode("overwrite").json(path)
 
 
-def allowed_only(df: DataFrame, allowed_sources: DataFrame | None, source_col: str = "source") -> DataFrame:
-    """Keep rows whose source is on the allow-list (``source``, ``rights``)."""
-    if allowed_sources is None:
-        return df
-    allow = allowed_sources.select(F.col("source").alias(source_col)).distinct()
-    return df.join(allow, on=source_col, how="left_semi")
+def _stats_schema(stats: dict) -> str:
+    return ", ".join(f"{k} {'double' if isinstance(v, float) else 'bigint'}" for k, v in stats.items())
 
 
-def export(records: DataFrame, out_dir: str, formats: Sequence[str] = FORMATS, split_col: str = "split",
-           keys=("conv_id", "start"), seed: int | str | None = 42, allowed_sources: DataFrame | None = None,
+def export(records: DataFrame, out_dir: str, allowed_sources: DataFrame, formats: Sequence[str] = FORMATS,
+           split_col: str = "split", keys=("conv_id", "start"), seed: int | str | None = 42,
            source_col: str = "source", stage: bool = True) -> dict:
     """Write the requested formats below ``out_dir``; returns what was written.
 
-    With several formats and ``stage=True`` the records are first written once
-    as a Parquet table (``<out_dir>/records_table``) and every format is read
-    from it, so the upstream plan runs once instead of once per format.
+    All formats are cut by ``split_col``.  With several formats and ``stage=True`` the
+    records are first written once as a Parquet table (``<out_dir>/records_table``) and
+    every format is read from it, so the upstream plan runs once instead of once per format.
     """
     unknown = set(formats) - set(FORMATS)
     if unknown:
         raise ValueError(f"unknown formats: {sorted(unknown)}")
-    if allowed_sources is not None:
-        records = allowed_only(records, allowed_sources, source_col)
+    records = allowed_only(records, allowed_sources, source_col)
     out = out_dir.rstrip("/")
     written = {}
     if stage and len(formats) > 1:
@@ -152,11 +185,12 @@ def export(records: DataFrame, out_dir: str, formats: Sequence[str] = FORMATS, s
         records = records.sparkSession.read.parquet(f"{out}/records_table")
         written["records_table"] = f"{out}/records_table"
     if "records" in formats:
-        write_records(records, f"{out}/records", split_col)
+        write_records(records, f"{out}/records", allowed_sources, split_col, source_col=source_col)
         written["records"] = f"{out}/records"
     if "text" in formats:
-        write_text_records(records, f"{out}/text", split_col)
+        write_text_records(records, f"{out}/text", allowed_sources, split_col, source_col=source_col)
         written["text"] = f"{out}/text"
     if "document" in formats:
-        written["document"] = write_text_document(records, f"{out}/document", keys, seed)
+        written["document"] = write_text_document(records, f"{out}/document", allowed_sources, keys, seed,
+                                                  split_col=split_col, source_col=source_col)
     return written

@@ -1,15 +1,21 @@
 """JSONL conversation sources.
 
 The interchange line is ``{"conversations": [{"from": .., "value": ..}, ..]}``
-(other top-level fields, e.g. ``conv_id``, may ride along).  Lines are read
-with the text source, so bad bytes, blank lines and malformed JSON can be
-handled per line instead of failing or silently vanishing:
+plus any other top-level fields.  Lines are read with the text source, so bad
+bytes, blank lines and malformed JSON can be handled per line instead of
+failing or silently vanishing:
 
 * :func:`scan_jsonl` (tolerant) - invalid UTF-8 is replaced, blank and
   malformed lines are skipped, lines whose ``conversations`` is missing or
   empty are skipped;
-* :func:`scan_jsonl_strict` - blank lines are skipped, any other bad line
-  fails the job.
+* :func:`scan_jsonl_strict` - blank lines are skipped, any other malformed
+  line fails the job.
+
+A line is valid when it is exactly one JSON value, as a strict JSON reader
+sees it (no single quotes, nothing after the value).  ``conv_id`` is kept as
+text, entries of ``conversations`` that are no objects are skipped, ``start`` and
+``variant`` are read back for records that were written in segments, and all
+other top-level fields ride along in ``extra`` (a map of their JSON texts).
 
 Each record keeps its file order as ``(src_file, src_block, src_seq)``:
 a split's block offset and a within-split sequence number.  The order of
@@ -21,8 +27,9 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Iterable
+from fnmatch import fnmatch
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
@@ -34,28 +41,48 @@ log = logging.getLogger(__name__)
 
 TURN_STRUCT = Ty.StructType([Ty.StructField("from", Ty.StringType()), Ty.StructField("value", Ty.StringType())])
 LINE_SCHEMA = Ty.StructType([
-    Ty.StructField("conv_id", Ty.LongType()),
+    Ty.StructField("conv_id", Ty.StringType()),
     Ty.StructField("conversations", Ty.ArrayType(TURN_STRUCT)),
 ])
+# Pattern of files to read: what the sinks write (``part-*.json``) and ``.jsonl`` files.
+DEFAULT_GLOB = "*.json*"
 ORDER_COLS = ["src_file", "src_block", "src_seq"]
 # Fixed value: path fragment skipped unless explicitly included.
 SUBAGENT_FRAGMENT = "subagents"
 
 
-def existing_paths(spark: SparkSession, paths: Iterable[str]) -> list[str]:
-    """Keep the paths that exist (listing only, on the driver); warn about the rest."""
+def existing_paths(spark: SparkSession, paths: Iterable[str], glob: str | None = None) -> list[str]:
+    """Resolve glob paths and keep those that exist (listing only, on the driver).
+
+    Warns about a path that does not exist, and about one below which no file
+    matches ``glob``, so that an empty read is never silent.
+    """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     found = []
     for p in paths:
         jp = jvm.org.apache.hadoop.fs.Path(p)
-        if jp.getFileSystem(conf).exists(jp):
-            found.append(p)
-        else:
+        fs = jp.getFileSystem(conf)
+        hits = [h.getPath() for h in (fs.globStatus(jp) or [])]
+        if not hits:
             log.warning("file not found, skipped: %s", p)
+            continue
+        found += [h.toString() for h in hits]
+        if not any(_has_file(fs, h, glob) for h in hits):
+            log.warning("no file below %s matches %s: nothing is read from it", p, glob or "*")
     return found
 
 
+def _has_file(fs, path, glob: str | None) -> bool:
+    """A file below ``path`` whose name matches ``glob`` and is no hidden one (stops at the first)."""
+    files = fs.listFiles(path, True)
+    while files.hasNext():
+        name = files.next().getPath().getName()
+        if not name.startswith(("_", ".")) and (glob is None or fnmatch(name, glob)):
+            return True
+    return False
+
+
 def read_lines(spark: SparkSession, paths, recursive: bool = False, glob: str | None = None,
                exclude_fragment: str | None = None) -> DataFrame:
     """Raw lines with their file-order key; excluded paths are pruned at listing."""
@@ -82,60 +109,91 @@ def _extras(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c not in ("line", "j", *ORDER_COLS)]
 
 
-def _parse(lines: DataFrame, schema: Ty.StructType, mode: str) -> DataFrame:
+def _fields(body) -> Column:
+    """Top-level fields of a line as a map of their JSON texts; null unless the line is one JSON object.
+
+    The line is parsed inside brackets: content after the value would make the list longer or the
+    brackets unbalanced.  Only a line with a ``]`` before a ``[`` or ``,`` could close them
+    early; it must also parse as the value of a field.
+    """
+    listed = F.from_json(F.concat(F.lit("["), body, F.lit("]")), "array<map<string,string>>",
+                         {"allowSingleQuotes": "false"})
+    whole = ~body.rlike(r"\]\s*[\[,]") | T._parses(body)
+    return F.when((F.size(listed) == 1) & whole, listed[0])
+
+
+def _valid(body) -> Column:
+    """``body`` is exactly one JSON value of any kind."""
+    return F.when(body.startswith("{"), _fields(body).isNotNull()).otherwise(T._parses(body))
+
+
+def _turns(fields) -> Column:
+    """The objects of a line's ``conversations`` list as ``ARRAY<STRUCT<from, value>>``."""
+    entries = F.from_json(fields["conversations"], "array<string>")
+    objects = F.filter(entries, lambda e: F.coalesce(e.startswith("{"), F.lit(False)))
+    return F.transform(objects, lambda e: F.from_json(e, TURN_STRUCT))
+
+
+def _parse(lines: DataFrame, strict: bool) -> DataFrame:
     body = T.trim_ws("line")
-    parsed = F.from_json(body, schema, {"mode": mode})
-    return lines.filter(T.is_nonblank("line")).select(*ORDER_COLS, parsed.alias("j"), *_extras(lines))
+    fields = _fields(body)
+    if strict:
+        fields = F.when(F.coalesce(_valid(body), F.lit(False)), fields).otherwise(
+            F.raise_error(F.concat(F.lit("malformed line: "), F.substring(body, 1, 200))).cast("map<string,string>"))
+    return lines.filter(T.is_nonblank("line")).select(*ORDER_COLS, fields.alias("j"), *_extras(lines))
 
 
-def classify_lines(lines: DataFrame, field: str = "conversations") -> DataFrame:
+def classify_lines(lines: DataFrame) -> DataFrame:
     """Outcome per line: blank / malformed / no_records / kept (reject counters)."""
     body = T.trim_ws("line")
-    parsed = F.from_json(body, LINE_SCHEMA)
-    arr = parsed[field]
     outcome = (F.when(~T.is_nonblank("line"), F.lit("blank"))
-               .when(F.try_parse_json(body).isNull(), F.lit("malformed"))
-               .when(F.coalesce(F.size(arr) > 0, F.lit(False)), F.lit("kept"))
+               .when(~F.coalesce(_valid(body), F.lit(False)), F.lit("malformed"))
+               .when(F.coalesce(F.size(_turns(_fields(body))) > 0, F.lit(False)), F.lit("kept"))
                .otherwise(F.lit("no_records")))
     return lines.select(*ORDER_COLS, outcome.alias("outcome"))
 
 
 def _records(parsed: DataFrame) -> DataFrame:
-    conv = F.col("j.conversations")
-    turns = F.transform(conv, lambda t, i: F.struct(
-        i.cast("bigint").alias("pos"), i.cast("bigint").alias("turn"),
+    j = F.col("j")
+    start = F.coalesce(j["start"].try_cast("bigint"), F.lit(0).cast("bigint"))
+    turns = F.transform("conv", lambda t, i: F.struct(
+        (i + F.col("start")).cast("bigint").alias("pos"), (i + F.col("start")).cast("bigint").alias("turn"),
         R.from_interchange_role(t["from"]).alias("role"), t["value"].alias("text")))
-    return (parsed.filter(F.coalesce(F.size(conv) > 0, F.lit(False)))
-            .select(*ORDER_COLS, F.col("j.conv_id").alias("conv_id"),
-                    F.lit(0).cast("bigint").alias("start"), turns.alias("turns"), *_extras(parsed)))
+    known = ("conv_id", "conversations", "start", "variant")
+    taken = _extras(parsed)
+    return (parsed.select(*ORDER_COLS, "j", _turns(j).alias("conv"), start.alias("start"), *taken)
+            .filter(F.coalesce(F.size("conv") > 0, F.lit(False)))
+            .select(*ORDER_COLS, j["conv_id"].alias("conv_id"), "start", j["variant"].try_cast("int").alias("variant"),
+                    turns.alias("turns"), F.map_filter(j, lambda k, _: ~k.isin(*known)).alias("extra"), *taken))
 
 
-def scan_jsonl(spark: SparkSession, paths, recursive: bool = False, glob: str | None = "*.jsonl",
+def scan_jsonl(spark: SparkSession, paths, recursive: bool = False, glob: str | None = DEFAULT_GLOB,
                exclude_fragment: str | None = None, check_missing: bool = True) -> DataFrame:
-    """Tolerant scan -> records ``(src_file, src_block, src_seq, conv_id, start, turns)``.
+    """Tolerant scan -> records ``(src_file, src_block, src_seq, conv_id, start, variant, turns, extra)``.
 
-    Missing paths are skipped with a warning (several input files may be
-    given); ``conv_id`` is taken from the line when present, else null.
+    ``paths`` may hold folders, files and globs; missing ones are skipped with a
+    warning (several input files may be given), and a path that yields no file is warned about.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     if check_missing:
-        paths = existing_paths(spark, paths)
+        paths = existing_paths(spark, paths, glob)
     if not paths:
         return spark.createDataFrame([], _records_schema())
     lines = read_lines(spark, paths, recursive, glob, exclude_fragment)
-    return _records(_parse(lines, LINE_SCHEMA, "PERMISSIVE"))
+    return _records(_parse(lines, strict=False))
 
 
-def scan_jsonl_strict(spark: SparkSession, paths, glob: str | None = None) -> DataFrame:
-    """Strict scan: blank lines skipped, a malformed line fails the job (FAILFAST)."""
+def scan_jsonl_strict(spark: SparkSession, paths, glob: str | None = DEFAULT_GLOB, keep_line: bool = False) -> DataFrame:
+    """Strict scan: blank lines skipped, a malformed line fails the job."""
     lines = read_lines(spark, paths, False, glob)
-    return _records(_parse(lines, LINE_SCHEMA, "FAILFAST"))
+    if keep_line:
+        return _records(_parse(lines.withColumn("_line", F.col("line")), strict=True)).withColumnRenamed("_line", "line")
+    return _records(_parse(lines, strict=True))
 
 
 def scan_recursive(spark: SparkSession, root: str, include_subagents: bool = False) -> DataFrame:
-    """All ``*.jsonl`` below ``root``; paths containing the sub-agent fragment are skipped unless included."""
-    return scan_jsonl(spark, root, recursive=True, glob="*.jsonl",
-                      exclude_fragment=None if include_subagents else SUBAGENT_FRAGMENT)
+    """All JSONL files below ``root``; paths containing the sub-agent fragment are skipped unless included."""
+    return scan_jsonl(spark, root, recursive=True, exclude_fragment=None if include_subagents else SUBAGENT_FRAGMENT)
 
 
 def concat(*frames: DataFrame) -> DataFrame:
@@ -167,12 +225,8 @@ def _records_schema() -> Ty.StructType:
                           Ty.StructField("role", Ty.StringType()), Ty.StructField("text", Ty.StringType())])
     return Ty.StructType([
         Ty.StructField("src_file", Ty.StringType()), Ty.StructField("src_block", Ty.LongType()),
-        Ty.StructField("src_seq", Ty.LongType()), Ty.StructField("conv_id", Ty.LongType()),
-        Ty.StructField("start", Ty.LongType()), Ty.StructField("turns", Ty.ArrayType(turn)),
+        Ty.StructField("src_seq", Ty.LongType()), Ty.StructField("conv_id", Ty.StringType()),
+        Ty.StructField("start", Ty.LongType()), Ty.StructField("variant", Ty.IntegerType()),
+        Ty.StructField("turns", Ty.ArrayType(turn)),
+        Ty.StructField("extra", Ty.MapType(Ty.StringType(), Ty.StringType())),
     ])
-
-
-def nonblank_lines(spark: SparkSession, paths) -> DataFrame:
-    """Count of non-blank lines in text files (the reference's resume counter)."""
-    lines = read_lines(spark, paths)
-    return lines.agg(F.count_if(T.is_nonblank("line")).alias("n_lines"))

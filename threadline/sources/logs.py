@@ -27,42 +27,38 @@ LOG_LINE = Ty.StructType([
     Ty.StructField("type", Ty.StringType()),
     Ty.StructField("sessionId", Ty.StringType()),
     Ty.StructField("message", Ty.StructType([
-        Ty.StructField("role", Ty.StringType()),
         Ty.StructField("content", Ty.StringType()),
     ])),
 ])
 BLOCK = Ty.StructType([
     Ty.StructField("type", Ty.StringType()),
     Ty.StructField("name", Ty.StringType()),
-    Ty.StructField("text", Ty.StringType()),
 ])
 # Message kinds kept from a log.
 MESSAGE_TYPES = ("user", "assistant")
 
 
 def scan_session_logs(spark: SparkSession, root: str, include_subagents: bool = False,
-                      glob: str | None = "*.jsonl") -> DataFrame:
-    """Messages ``(session, src_block, src_seq, type, role, content_text, blocks)``.
+                      glob: str | None = J.DEFAULT_GLOB) -> DataFrame:
+    """Messages ``(session, src_block, src_seq, type, blocks)``.
 
-    ``session`` is the line's ``sessionId`` when present, else the file path;
-    ``content_text`` is set when the content is
-    a plain string, ``blocks`` when it is a list (non-object entries become
-    null blocks and are skipped by the metrics).
+    ``session`` is the line's ``sessionId`` when present, else the file path.
+    A line counts when its type is listed and its ``message`` is a non-empty
+    object.  ``blocks`` holds type and name of the content's blocks when it is a list
+    (other entries are skipped); no text is kept.
     """
     lines = J.read_lines(spark, root, recursive=True, glob=glob,
                          exclude_fragment=None if include_subagents else J.SUBAGENT_FRAGMENT)
     body = T.trim_ws("line")
     parsed = lines.filter(T.is_nonblank("line")).select(
-        "src_file", "src_block", "src_seq", F.from_json(body, LOG_LINE).alias("j"))
+        "src_file", "src_block", "src_seq", F.from_json(body, LOG_LINE).alias("j"),
+        F.from_json(body, "struct<message: map<string,string>>").alias("m"))
     content = F.col("j.message.content")
     is_list = F.coalesce(F.ltrim(content).startswith("["), F.lit(False))
     return (parsed
-            .filter(F.col("j.type").isin(list(MESSAGE_TYPES)) & F.col("j.message").isNotNull()
-                    & F.col("j.message.role").isNotNull())
+            .filter(F.col("j.type").isin(list(MESSAGE_TYPES)) & F.coalesce(F.size("m.message") > 0, F.lit(False)))
             .select(F.coalesce(F.col("j.sessionId"), F.col("src_file")).alias("session"), "src_block", "src_seq",
-                    F.col("j.type").alias("type"), F.col("j.message.role").alias("role"),
-                    F.when(~is_list, content).alias("content_text"),
-                    F.when(is_list, _blocks(content)).alias("blocks")))
+                    F.col("j.type").alias("type"), F.when(is_list, _blocks(content)).alias("blocks")))
 
 
 def _blocks(content) -> F.Column:

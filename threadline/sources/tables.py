@@ -16,9 +16,3 @@ def table(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
 
 def conversations(spark: SparkSession, data_dir: str) -> DataFrame:
     return table(spark, data_dir, "conversations")
-
-
-def register_views(spark: SparkSession, data_dir: str, names=TABLES) -> None:
-    """Register the tables as temporary views for SQL use."""
-    for n in names:
-        table(spark, data_dir, n).createOrReplaceTempView(n)

@@ -2,14 +2,14 @@
 
 A Structured Streaming file source remembers processed files in its
 checkpoint, and ``Trigger.AvailableNow`` processes whatever is new and stops,
-so a rerun over the same folder adds nothing.  Records are deduplicated on a
-content key by the streaming ``dropDuplicates`` state (kept in the state
-store, partitioned by key and checkpointed), and written by the Parquet file
-sink, whose commit log makes each batch exactly-once: a batch replayed after a
-failure neither loses nor repeats rows.  The reference's count-based resume
-drifts after a skipped failure; a key-based one does not.
+so a rerun over the same folder adds nothing.  Records are written by the
+Parquet file sink, whose commit log makes each batch exactly-once: a batch
+replayed after a failure neither loses nor repeats rows.  Equal lines are
+equal records and all of them are kept.
 
-For large key sets use the RocksDB state store
+``dedup_days`` drops records whose content was ingested within that many days
+(``dropDuplicatesWithinWatermark`` on the ingest time), so the state holds the keys
+of that period only.  For large key sets use the RocksDB state store
 (``spark.sql.streaming.stateStore.providerClass``), which keeps state on
 local disk and in the checkpoint instead of the executor heap.
 """
@@ -23,32 +23,38 @@ from threadline.functions import roles as R
 from threadline.functions import text as T
 from threadline.sources import jsonl as J
 
-# Record key: md5 of the canonical JSON of the parsed line.
+# Record key: md5 of the trimmed line.
 KEY_COL = "record_key"
 
 
 def _parse_stream(lines: DataFrame) -> DataFrame:
     body = T.trim_ws(F.make_valid_utf8("value"))
-    parsed = F.from_json(body, J.LINE_SCHEMA)
+    j = F.col("j")
     return (lines.filter(T.is_nonblank("value"))
-            .select(parsed.alias("j"))
-            .filter(F.coalesce(F.size(F.col("j.conversations")) > 0, F.lit(False)))
-            .select(F.col("j.conv_id").alias("conv_id"), F.col("j.conversations").alias("conversations"),
-                    F.md5(F.to_json(F.col("j"))).alias(KEY_COL)))
+            .select(J._fields(body).alias("j"), F.md5(body).alias(KEY_COL))
+            .select("j", J._turns(j).alias("conversations"), KEY_COL)
+            .filter(F.coalesce(F.size("conversations") > 0, F.lit(False)))
+            .select(j["conv_id"].alias("conv_id"), j["start"].try_cast("bigint").alias("start"),
+                    j["variant"].try_cast("int").alias("variant"), "conversations", KEY_COL))
 
 
 def ingest_incremental(spark: SparkSession, source_dir: str, target_dir: str, checkpoint_dir: str,
-                       glob: str = "*.jsonl", max_files_per_trigger: int | None = None) -> int:
+                       glob: str = J.DEFAULT_GLOB, max_files_per_trigger: int | None = None,
+                       dedup_days: int | None = None) -> int:
     """Append new records from ``source_dir`` to the Parquet table ``target_dir``.
 
     Returns the number of micro-batches that read new files.  The target
-    holds ``(conv_id, conversations, record_key)``; read it with
+    holds ``(conv_id, start, variant, conversations, record_key)``; read it with
     ``spark.read.parquet`` (which follows the sink's commit log).
     """
     reader = spark.readStream.format("text").option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    records = _parse_stream(reader.load(source_dir)).dropDuplicates([KEY_COL])
+    records = _parse_stream(reader.load(source_dir))
+    if dedup_days is not None:
+        records = (records.withColumn("_ingested", F.current_timestamp())
+                   .withWatermark("_ingested", f"{int(dedup_days)} days")
+                   .dropDuplicatesWithinWatermark([KEY_COL]).drop("_ingested"))
     q = (records.writeStream.format("parquet")
          .option("path", target_dir)
          .option("checkpointLocation", checkpoint_dir)
@@ -62,7 +68,8 @@ def ingest_incremental(spark: SparkSession, source_dir: str, target_dir: str, ch
 def read_ingested(spark: SparkSession, target_dir: str) -> DataFrame:
     """The ingested table as records ``(conv_id, start, turns)``."""
     df = spark.read.parquet(target_dir)
+    start = F.coalesce("start", F.lit(0).cast("bigint"))
     turns = F.transform("conversations", lambda t, i: F.struct(
-        i.cast("bigint").alias("pos"), i.cast("bigint").alias("turn"),
+        (i + start).cast("bigint").alias("pos"), (i + start).cast("bigint").alias("turn"),
         R.from_interchange_role(t["from"]).alias("role"), t["value"].alias("text")))
-    return df.select("conv_id", F.lit(0).cast("bigint").alias("start"), turns.alias("turns"), KEY_COL)
+    return df.select("conv_id", start.alias("start"), "variant", turns.alias("turns"), KEY_COL)
