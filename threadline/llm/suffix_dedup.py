@@ -9,14 +9,15 @@ removed whole).  For the rest:
    lists are merged by hash ranges in Spark; the probes that occur in two rows set bits of a
    fixed-size filter (a false bit costs work, never a result).
 2. *Contexts.*  Each run of windows with one passing probe leaves its document as one
-   short byte string.  Equal contexts are aggregated to their smallest and largest id before
-   they are dealt, so neither copies nor a passage in a third of all documents make a bucket hot.
-3. *Suffix sort.*  A task lays the contexts of its buckets out in one text, with the
-   probes on multiples of the period.  It ranks the suffixes at the places of a
-   difference cover by their prefixes once, and then sorts one bucket of window suffixes
-   at a time (split by leading bytes, at most ``BLOCK`` suffixes): by the first 32 bytes,
-   long ties by the cover rank at the next place where both suffixes are sampled.  Neighbours that agree in
-   a whole window form a group with its smallest id.
+   short byte string.  A task sends the bytes of a context once (and again for a smaller id), so
+   copies, or a passage in a third of all documents, are aggregated before they are dealt.
+3. *Suffix sort.*  A task holds all contexts of its buckets.  A bucket with a single context
+   is sorted as it is.  The contexts of the others are laid out in one text, with the
+   probes on multiples of the period.  The suffixes at the places of a difference cover are ranked by
+   their prefixes once; then one bucket of window suffixes is sorted at a time (split by leading
+   bytes, at most ``BLOCK`` suffixes): by the first 32 bytes, long ties by the cover rank at the
+   next place where both suffixes are sampled.  Neighbours that agree in a whole window form a
+   group with its smallest id.
 4. *Removal.*  The runs of windows that a smaller id holds go back to the documents, where
    they are merged and cut.
 
@@ -36,16 +37,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from threadline.llm.common import (BYTE_CODE, as_int64, checkpointed, documents, list_column, prefix_hash, range_hash, slices,
-                                   small_batches, text_bytes, when_small, window_minima)
+from threadline.llm.common import (BYTE_CODE, as_int64, checkpointed, documents, list_column, mix, powers, prefix_hash,
+                                   range_hash, slices, sliding, small_batches, text_bytes, when_small)
 
 WINDOW = 50
-PROBE = 24
+PROBE = 20
 #: A difference cover: every residue is a difference of two of its members.
 PERIOD, COVER = 31, (1, 5, 11, 24, 25, 27)
 RANK_WORDS = 7  # sampled suffixes are ranked by 56 bytes
 BLOCK = 250_000
-TASK_CONTEXTS = 20_000
+TASK_CONTEXTS = 40_000
+SEEN = 300_000
 FILTER_BITS = 1 << 27
 FLUSH = 2_000_000
 SHARD_PROBES = 4_000_000
@@ -58,56 +60,79 @@ _both = np.array([[min((c - r) % PERIOD for c in COVER if (c - r + s) % PERIOD i
                   for r in range(PERIOD)])
 
 
-def _minima(data, offs, window, probe):
-    """Hash of every probe-long string, least hash per window, whole windows, chosen places."""
+def _probes(data, offs, window, probe):
+    """Runs of neighbouring windows with one probe: first window, windows, probe place, probe hash, text, prefix hashes."""
     n = len(data)
+    if n < window:
+        z = np.zeros(0, np.int64)
+        return z, z, z, z.view(np.uint64), z, np.zeros(1, np.uint64)
     prefix = prefix_hash(BYTE_CODE[data])
-    at = np.arange(max(0, n - probe + 1))
-    h = range_hash(prefix, at, at + probe) | np.uint64(1)
-    starts = max(0, n - window + 1)
-    whole = np.ones(starts, bool)
-    for edge in offs[1:-1]:  # windows over the end of a text
-        whole[max(0, edge - window + 1):edge] = False
-    low, chosen = window_minima(h, whole, window - probe + 1)
-    return h, low, whole, chosen
-
-
-def recurring_filter(rows: DataFrame, window: int, probe: int, bits: int) -> np.ndarray:
-    """A bit for each hash range that a probe of two rows falls into (bits / 8 bytes, whatever the corpus)."""
+    d = (prefix[probe:] - prefix[:-probe]) * powers(len(prefix))[1][:n - probe + 1]
+    # order of the probes in the upper half, place in the lower: the least key is the leftmost least probe
+    key = ((d ^ (d >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)) & np.uint64(0xFFFFFFFF00000000)
+    key |= np.arange(len(key), dtype=np.uint64)
+    place = (sliding(key, window - probe + 1, np.minimum) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    whole = np.ones(len(place), bool)
+    edge = np.zeros(len(place) + 1, np.int64)  # windows over the end of a text
+    ends = offs[1:-1]
+    np.add.at(edge, np.clip(ends - window + 1, 0, len(place)), 1)
+    np.add.at(edge, np.clip(ends, 0, len(place)), -1)
+    whole = np.cumsum(edge)[:-1] == 0
+    start = whole.copy()
+    start[1:] &= ~(whole[:-1] & (place[1:] == place[:-1]))
+    first = np.flatnonzero(start)
+    count = np.bincount((np.cumsum(start) - 1)[whole], minlength=len(first))
+    at = place[first]
+    return first, count, at, mix(d[at]), np.searchsorted(offs, first, side="right") - 1, prefix
+
+
+def _split_hash(h: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shard (leading bits) and the 32 bits after them."""
+    lead = shards.bit_length() - 1
+    shard = (h >> np.uint64(64 - lead)).astype(np.int64) if lead else np.zeros(len(h), np.int64)
+    return shard, ((h << np.uint64(lead)) >> np.uint64(32)).astype(np.uint32)
+
+
+def _slots(r: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two bits of a 32-bit rest in a shard's run of the filter."""
+    shift = np.uint32(32 - (width.bit_length() - 1))
+    return (r >> shift).astype(np.int64), ((r * np.uint32(0x9E3779B1)) >> shift).astype(np.int64)
+
+
+def recurring_filter(rows: DataFrame, window: int, probe: int, bits: int) -> tuple[int, np.ndarray, int]:
+    """(shards, bits, n): two bits for each probe that two rows hold (bits / 8 bytes, whatever the
+    corpus), and how many list entries such probes have."""
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = 1 << max(0, int(np.ceil(np.log2(max(1, total * 0.08 / SHARD_PROBES)))))
-    shards = min(shards, bits // 8)
-    shift = 64 - (shards.bit_length() - 1)
+    shards = min(shards, bits // 64)
+    width = bits // shards  # a shard owns one run of the bits
 
     def gather(batches):
         held, count = [], 0
 
         def flush():
             h = np.sort(np.concatenate(held))
-            first = np.concatenate([[True], h[1:] != h[:-1]])
-            head = np.flatnonzero(first)
+            head = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
             many = np.diff(np.append(head, len(h))) > 1
-            h = h[head]
-            own = (h >> np.uint64(shift)).astype(np.int64) if shift < 64 else np.zeros(len(h), np.int64)
-            cut = np.searchsorted(own, np.arange(shards + 1))
+            shard, rest = _split_hash(h[head], shards)
+            cut = np.searchsorted(shard, np.arange(shards + 1))
             used = [s for s in range(shards) if cut[s] < cut[s + 1]]
             return pa.RecordBatch.from_arrays(
-                [pa.array(used, pa.int64()), pa.array([h[cut[s]:cut[s + 1]].tobytes() for s in used], pa.binary()),
+                [pa.array(used, pa.int64()), pa.array([rest[cut[s]:cut[s + 1]].tobytes() for s in used], pa.binary()),
                  pa.array([np.packbits(many[cut[s]:cut[s + 1]]).tobytes() for s in used], pa.binary())], names=["shard", "h", "many"])
 
         for b in batches:
             data, offs = text_bytes(b.column("text"))
             for i, j in slices(offs):
-                o = offs[i:j + 1] - offs[i]
-                h, _, _, chosen = _minima(data[offs[i]:offs[j]], o, window, probe)
-                place = np.flatnonzero(chosen)
-                doc = np.searchsorted(o, place, side="right") - 1
-                got = h[place]
-                order = np.lexsort((got, doc))  # a text counts once per probe
-                got, doc = got[order], doc[order]
-                new = np.ones(len(got), bool)
-                new[1:] = (got[1:] != got[:-1]) | (doc[1:] != doc[:-1])
-                held.append(got[new])
+                _, _, _, h, doc, _ = _probes(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], window, probe)
+                if not len(h):
+                    continue
+                order = np.argsort(h, kind="stable")  # a text counts once per probe
+                order = order[np.argsort(doc[order], kind="stable")]
+                h, doc = h[order], doc[order]
+                new = np.ones(len(h), bool)
+                new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+                held.append(h[new])
                 count += int(new.sum())
                 if count > FLUSH:
                     yield flush()
@@ -115,70 +140,98 @@ def recurring_filter(rows: DataFrame, window: int, probe: int, bits: int) -> np.
         if count:
             yield flush()
 
-    width = bits // shards  # a shard owns one run of the bits
-
     def mark(key, t):
-        lists = [np.frombuffer(x, np.uint64) for x in t.column("h").to_pylist()]
+        lists = [np.frombuffer(x, np.uint32) for x in t.column("h").to_pylist()]
         many = np.concatenate([np.unpackbits(np.frombuffer(m, np.uint8), count=len(x)).astype(bool)
                                for x, m in zip(lists, t.column("many").to_pylist())])
-        h = np.concatenate(lists)
-        order = np.argsort(h, kind="stable")
-        h, many = h[order], many[order]
-        same = np.zeros(len(h), bool)
-        same[1:] = h[1:] == h[:-1]
+        r = np.concatenate(lists)
+        order = np.argsort(r, kind="stable")
+        r, many = r[order], many[order]
+        same = np.zeros(len(r), bool)
+        same[1:] = r[1:] == r[:-1]
         out = np.zeros(width, np.uint8)
-        out[_slot(h[same | many], bits) % width] = 1
-        return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([np.packbits(out).tobytes()], pa.binary())})
+        for slot in _slots(r[same | many], width):
+            out[slot] = 1
+        entries = int((same | many).sum() + (same[1:] & ~same[:-1] & ~many[:-1]).sum())
+        return pa.table({"shard": pa.array([key[0].as_py()], pa.int64()), "n": pa.array([entries], pa.int64()),
+                         "bits": pa.array([np.packbits(out).tobytes()], pa.binary())})
 
     got = (rows.select("text").mapInArrow(gather, "shard long, h binary, many binary")
-           .groupBy("shard").applyInArrow(mark, "shard long, bits binary").collect())
+           .groupBy("shard").applyInArrow(mark, "shard long, n long, bits binary").collect())
     out = np.zeros(bits // 8, np.uint8)
     for r in got:
         out[r.shard * width // 8:(r.shard + 1) * width // 8] = np.frombuffer(r.bits, np.uint8)
-    return out
+    return shards, out, sum(r.n for r in got)
 
 
-def _slot(h: np.ndarray, bits: int) -> np.ndarray:
-    return (h >> np.uint64(64 - (bits.bit_length() - 1))).astype(np.int64)
+class Runs:
+    """Runs of windows whose probe passes the filter, for the texts of a slice."""
 
+    def __init__(self, raw, offs, window, probe, shards, packed):
+        first, count, at, h, doc, prefix = _probes(raw, offs, window, probe)
+        width = len(packed) * 8 // shards
+        shard, rest = _split_hash(h, shards)
+        ok = np.ones(len(h), bool)
+        for slot in _slots(rest, width):
+            bit = shard * width + slot
+            ok &= (packed[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 == 1
+        self.start, self.size, self.at, self.h, self.doc = first[ok], count[ok] + window - 1, at[ok], h[ok], doc[ok]
+        self.cid = as_int64(range_hash(prefix, self.start, self.start + self.size))
 
-def contexts(rows: DataFrame, window: int, probe: int, bits: int) -> DataFrame:
-    """(h, id, th, a0, at, ctx): runs of windows with one passing probe h; a0 is the first window's
-    place, at the place of the probe in ctx."""
-    shared = rows.sparkSession.sparkContext.broadcast(recurring_filter(rows, window, probe, bits))
 
-    def cut(batches):
-        flags = np.unpackbits(shared.value).view(bool)
+def context_places(rows: DataFrame, window: int, probe: int, shared) -> DataFrame:
+    """(cid, k, id, t32, a0): every context of every row; cid and k are 80 bits of hash of its bytes
+    and its probe, a0 is its place."""
+    def rows_of(batches):
+        shards, packed, _ = shared.value
         for b in batches:
             data, offs = text_bytes(b.column("text"))
-            ids, ths = b.column("id").to_numpy(), b.column("th").to_numpy()
+            ids, ths = b.column("id").to_numpy(), b.column("t32").to_numpy()
+            for i, j in slices(offs):
+                o = offs[i:j + 1] - offs[i]
+                r = Runs(data[offs[i]:offs[j]], o, window, probe, shards, packed)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(r.cid), pa.array(_check16(r.h)), pa.array(ids[i + r.doc]), pa.array(ths[i + r.doc]),
+                     pa.array((r.start - o[r.doc]).astype(np.int32))], names=["cid", "k", "id", "t32", "a0"])
+
+    return rows.select("id", "t32", "text").mapInArrow(rows_of, "cid long, k short, id long, t32 int, a0 int")
+
+
+def _check16(h: np.ndarray) -> np.ndarray:
+    return (h & np.uint64(0xFFFF)).astype(np.uint16).view(np.int16)
+
+
+def distinct_contexts(rows: DataFrame, window: int, probe: int, shared, tasks: int) -> DataFrame:
+    """(task, id, ctx): the bytes of each context once per map task, and again for a smaller id.
+
+    Copies are so aggregated before they are dealt; the task follows from the probe.
+    """
+    def rows_of(batches):
+        shards, packed, _ = shared.value
+        least: dict[int, int] = {}
+        for b in batches:
+            data, offs = text_bytes(b.column("text"))
+            ids = b.column("id").to_numpy()
             for i, j in slices(offs):
                 raw, o = data[offs[i]:offs[j]], offs[i:j + 1] - offs[i]
-                h, low, whole, chosen = _minima(raw, o, window, probe)
-                if not len(low):
-                    continue
-                use = whole & flags[_slot(low, bits)]
-                start = use.copy()
-                start[1:] &= ~(use[:-1] & (low[1:] == low[:-1]))
-                a0 = np.flatnonzero(start)
-                if not len(a0):
-                    continue
-                run = np.cumsum(start)[use] - 1
-                size = np.bincount(run, minlength=len(a0)) + window - 1
-                places = np.flatnonzero(chosen)
-                k = np.searchsorted(places, a0)
-                while (wrong := h[places[k]] != low[a0]).any():
-                    k = k + wrong
-                take = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size) + np.repeat(a0, size)
+                r = Runs(raw, o, window, probe, shards, packed)
+                own = ids[i + r.doc]
+                fresh = np.zeros(len(own), bool)
+                for k, (c, x) in enumerate(zip(r.cid.tolist(), own.tolist())):
+                    if least.get(c, _NO_ID + 1) > x:
+                        least[c] = x
+                        fresh[k] = True
+                if len(least) > SEEN:
+                    least.clear()
+                start, size, own = r.start[fresh], r.size[fresh], own[fresh]
                 to = np.zeros(len(size) + 1, np.int32)
                 np.cumsum(size, out=to[1:])
+                take = np.arange(int(to[-1])) - np.repeat(to[:-1], size) + np.repeat(start, size)
                 ctx = pa.BinaryArray.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(to), pa.py_buffer(raw[take])])
-                doc = np.searchsorted(o, a0, side="right") - 1
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(as_int64(low[a0])), pa.array(ids[i + doc]), pa.array(ths[i + doc]), pa.array(a0 - o[doc]),
-                     pa.array(places[k] - a0), ctx], names=["h", "id", "th", "a0", "at", "ctx"])
+                task = (mix(r.h[fresh]) % np.uint64(tasks)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(task), pa.array(own), ctx], names=["task", "id", "ctx"])
 
-    return rows.select("id", "th", "text").mapInArrow(cut, "h long, id long, th long, a0 long, at long, ctx binary")
+    return rows.select("id", "text").mapInArrow(rows_of, "task int, id long, ctx binary")
 
 
 def _words(windows8: np.ndarray, pos: np.ndarray, k: int) -> np.ndarray:
@@ -267,32 +320,47 @@ def smallest_ids(data: np.ndarray, offs: np.ndarray, at: np.ndarray, ids: np.nda
 
 
 def removed_spans(rows: DataFrame, window: int = WINDOW, probe: int = PROBE, bits: int = FILTER_BITS) -> DataFrame:
-    """(id, th, spans): flat start, end pairs of the byte runs that a smaller id holds."""
-    found = checkpointed(contexts(rows, window, probe, bits).withColumn("cid", F.xxhash64("ctx")))
-    distinct = checkpointed(found.groupBy("h", "ctx").agg(F.min("id").alias("id"), F.max("id").alias("most"), F.first("at").alias("at")))
-    tasks = max(1, -(-distinct.count() // TASK_CONTEXTS))
+    """(id, t32, spans): byte runs that a smaller id holds, each packed as start * 2**32 + end."""
+    found = recurring_filter(rows, window, probe, bits)
+    tasks = max(1, -(-found[2] // TASK_CONTEXTS))
+    shared = rows.sparkSession.sparkContext.broadcast(found)
 
     def sort(t):
         data, offs = text_bytes(t.column("ctx").combine_chunks())
-        most = t.column("most").to_numpy()
-        ctx, off, low = smallest_ids(data, offs, t.column("at").to_numpy(), t.column("id").to_numpy(), window)
-        head = np.ones(len(ctx), bool)
-        head[1:] = (ctx[1:] != ctx[:-1]) | (low[1:] != low[:-1])
-        begin = np.flatnonzero(head)
-        length = np.diff(np.append(begin, len(ctx)))
-        c = ctx[begin]
-        use = most[c] > low[begin]
-        c, begin, length = c[use], begin[use], length[use]
-        take = t.select(["h", "ctx"]).take(pa.array(c))
-        return pa.table({"h": take.column("h"), "ctx": take.column("ctx"), "s": pa.array(off[begin]),
-                         "e": pa.array(off[begin] + length - 1 + window), "low": pa.array(low[begin])})
-
-    owned = (distinct.withColumn("task", F.pmod(F.xxhash64("h"), F.lit(tasks))).groupBy("task")
-             .applyInArrow(sort, "h long, ctx binary, s long, e long, low long")
-             .select("h", F.xxhash64("ctx").alias("cid"), "s", "e", "low"))
-    return (found.select("h", "cid", "id", "th", "a0").join(owned, ["h", "cid"]).where("id > low")
-            .groupBy("id", "th").agg(F.collect_set(F.struct((F.col("a0") + F.col("s")).alias("s"), (F.col("a0") + F.col("e")).alias("e"))).alias("x"))
-            .select("id", "th", F.flatten(F.transform("x", lambda p: F.array(p["s"], p["e"]))).alias("spans")))
+        ids = t.column("id").to_numpy()
+        # a context is one run of windows with one probe: recomputed from its bytes
+        start, _, at, h, _, prefix = _probes(data, offs, window, probe)
+        cid = as_int64(range_hash(prefix, offs[:-1], offs[1:]))
+        order = np.lexsort((ids, cid, h))
+        new = np.ones(len(order), bool)
+        new[1:] = (h[order][1:] != h[order][:-1]) | (cid[order][1:] != cid[order][:-1])
+        one = order[new]  # each context once, with its smallest id
+        h, cid, ids, at, start, size = h[one], cid[one], ids[one], (at - start)[one], start[one], np.diff(offs)[one]
+        head = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
+        of_bucket = np.diff(np.append(head, len(h)))
+        alone = np.repeat(of_bucket, of_bucket) == 1
+        # the only context of its bucket: its windows occur in no other
+        k = np.flatnonzero(alone)
+        parts = [(k, np.zeros(len(k), np.int64), size[k], ids[k])]
+        several = np.flatnonzero(~alone)
+        if len(several):
+            o = np.concatenate([[0], np.cumsum(size[several])])
+            take = np.arange(int(o[-1])) - np.repeat(o[:-1], size[several]) + np.repeat(start[several], size[several])
+            ctx, off, low = smallest_ids(data[take], o, at[several], ids[several], window)
+            first = np.ones(len(ctx), bool)
+            first[1:] = (ctx[1:] != ctx[:-1]) | (low[1:] != low[:-1])
+            begin = np.flatnonzero(first)
+            length = np.diff(np.append(begin, len(ctx)))
+            parts.append((several[ctx[begin]], off[begin], off[begin] + length - 1 + window, low[begin]))
+        c, s, e, low = (np.concatenate(x) for x in zip(*parts))
+        return pa.table({"cid": pa.array(cid[c]), "k": pa.array(_check16(h[c])), "s": pa.array(s.astype(np.int32)),
+                         "e": pa.array(e.astype(np.int32)), "low": pa.array(low)})
+
+    owned = (distinct_contexts(rows, window, probe, shared, tasks).groupBy("task")
+             .applyInArrow(sort, "cid long, k short, s int, e int, low long"))
+    return (context_places(rows, window, probe, shared).join(owned, ["cid", "k"]).where("id > low")
+            .groupBy("id", "t32").agg(F.collect_set(F.shiftleft((F.col("a0") + F.col("s")).cast("long"), 32)
+                                                    + F.col("a0") + F.col("e")).alias("spans")))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
@@ -309,8 +377,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     marked = checkpointed(salted.join(classes, ["sha", "n_bytes", "salt"], "left")
                           .select("id", "th", "n_bytes", "sha", (F.coalesce(F.col("id") > F.col("first"), F.lit(False))).alias("copy")))
     copies = checkpointed(marked.where("copy").select("id", "th").distinct())
-    live = rows.where(F.octet_length("text") >= window).join(when_small(copies, BROADCAST_ROWS), ["id", "th"], "left_anti")
-
+    # ids repeat in odd tables only; 32 bits of the text hash tell such rows apart
+    low32 = F.col("th").bitwiseAND(F.lit(2**32 - 1)) - F.lit(2**31)
+    live = (rows.where(F.octet_length("text") >= window).join(when_small(copies, BROADCAST_ROWS), ["id", "th"], "left_anti")
+            .select("id", low32.cast("int").alias("t32"), "text"))
     spans = checkpointed(removed_spans(live, window, probe, bits))
 
     def cut(batches):
@@ -322,8 +392,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 raw = data[offs[k]:offs[k + 1]]
                 mine = flat[soffs[k]:soffs[k + 1]]
                 depth = np.zeros(len(raw) + 1, np.int64)
-                np.add.at(depth, mine[::2], 1)
-                np.add.at(depth, mine[1::2], -1)
+                np.add.at(depth, mine >> 32, 1)
+                np.add.at(depth, mine & (2**32 - 1), -1)
                 gone = np.cumsum(depth)[:-1] > 0
                 edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
                 removed.append(int(gone.sum()))
@@ -333,8 +403,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 [b.column("id"), b.column("th"), pa.array(removed, pa.int64()), pa.array(shas, pa.string()),
                  pa.array(runs, pa.list_(pa.int64()))], names=["id", "th", "n_removed", "kept", "spans"])
 
-    touched = rows.join(when_small(spans.select("id", "th"), BROADCAST_ROWS), ["id", "th"], "left_semi")
-    done = (touched.dropDuplicates(["id", "th"]).join(spans, ["id", "th"]).select("id", "th", "text", "spans")
+    keyed = rows.withColumn("t32", low32.cast("int"))
+    touched = keyed.join(when_small(spans.select("id", "t32"), BROADCAST_ROWS), ["id", "t32"], "left_semi")
+    done = (touched.dropDuplicates(["id", "t32"]).join(spans, ["id", "t32"]).select("id", "th", "text", "spans")
             .mapInArrow(cut, "id long, th long, n_removed long, kept string, spans array<long>"))
     copy, none = F.col("copy"), F.lit(0).cast("long")
     return (marked.join(done, ["id", "th"], "left")
