@@ -139,7 +139,7 @@ def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> Data
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _sliding(a: np.ndarray, span: int, op) -> np.ndarray:
+def sliding(a: np.ndarray, span: int, op) -> np.ndarray:
     """op over every run of ``span`` neighbours (by doubling)."""
     if len(a) < span:
         return a[:0]
@@ -158,12 +158,12 @@ def window_minima(h: np.ndarray, whole: np.ndarray, span: int) -> tuple[np.ndarr
     Equal windows have equal minima, so equal passages of a window's length
     select the same places in every text.
     """
-    low = _sliding(h, span, np.minimum)
+    low = sliding(h, span, np.minimum)
     if not len(low):
         return low, np.zeros(len(h), bool)
     low = np.where(whole, low, np.uint64(0))
     pad = np.zeros(span - 1, np.uint64)
-    return low, (_sliding(np.concatenate([pad, low, pad]), span, np.maximum) == h) & (h != 0)
+    return low, (sliding(np.concatenate([pad, low, pad]), span, np.maximum) == h) & (h != 0)
 
 
 def list_column(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -207,33 +207,42 @@ def when_small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def compact(df: DataFrame, rows: int = 500_000) -> DataFrame:
+    """A written table in as many partitions as its rows need (narrow tables of ids)."""
+    out = checkpointed(df)
+    return out.coalesce(max(1, -(-out.count() // rows)))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of the connected components of edges (a, b); root is the smallest node.
 
     Alternating large-star and small-star steps; each step sends a node the
-    smallest neighbour only, and every state is checkpointed.
+    smallest neighbour only.  Every state is checkpointed and kept in as many
+    partitions as it needs.
     """
+    state = compact(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
+    parts = max(1, -(-state.count() // 500_000))
+
     def star(e: DataFrame, large: bool) -> DataFrame:
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")).coalesce(parts)
         near = both.join(low, "u")
         if large:
             out = near.where("v > u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         else:
             out = (near.where("v < u").select(F.col("v").alias("a"), F.col("m").alias("b"))
                    .union(low.where("m < u").select(F.col("u").alias("a"), F.col("m").alias("b"))))
-        return out.where("a <> b").distinct()
+        return out.where("a <> b").coalesce(parts)
 
-    state = checkpointed(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
     mark = None
     while True:
         now = state.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
         if now == mark or now.n == 0:
             break
         mark = now
-        state = checkpointed(star(star(state, True), False))
+        state = checkpointed(star(star(state, True), False).distinct().coalesce(parts))
     return state.select(F.col("a").alias("node"), F.col("b").alias("root")).union(
-        state.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
+        state.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
 
 
 def drop_rows(docs: DataFrame, keys: list[Column], lost: DataFrame, again: DataFrame, small: int = 500_000) -> DataFrame:
