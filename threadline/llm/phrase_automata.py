@@ -37,12 +37,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from threadline.llm.common import (as_int64, checkpointed, documents, list_column, prefix_hash, range_hash, slices,
-                                   small_batches, text_bytes, to_lists, window_minima, word_hashes, word_spans)
+                                   small_batches, text_bytes, to_lists, when_small, window_minima, word_hashes,
+                                   word_spans)
 
 WINDOW = 50
 PROBE = 10
 SHARD_OWNERS = 200
-TASK_WORDS = 1_500_000
+TASK_WORDS = 300_000
+BROADCAST_ROWS = 500_000
 _NO_ID = 2**63 - 1
 
 
@@ -210,7 +212,10 @@ def repeated_spans(docs: DataFrame, found: DataFrame, window: int, probe: int) -
     reps = reps.select("id", "th", F.explode("probes").alias("p"))
     recurring = reps.groupBy("p").agg(F.min("id").alias("a"), F.max("id").alias("z")).where("a < z").select("p")
     marked = reps.join(recurring, "p").groupBy("id", "th").agg(F.collect_list("p").alias("probes"))
-    texts = checkpointed(docs.join(marked, ["id", "th"]).dropDuplicates(["id", "th"]))
+    marked = checkpointed(marked)
+    # the list of rows is small where few texts repeat: then only their texts are shuffled
+    some = docs.join(when_small(marked.select("id", "th"), BROADCAST_ROWS), ["id", "th"], "left_semi")
+    texts = checkpointed(some.dropDuplicates(["id", "th"]).join(marked, ["id", "th"]))
 
     wins = texts.mapInArrow(_windows(window, probe), "h long, id long")
     confirmed = wins.groupBy("h").agg(F.min("id").alias("owner"), F.max("id").alias("z")).where("owner < z").select("h", "owner")
