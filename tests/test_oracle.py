@@ -6,10 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from threadline import catalog
 from threadline.sources.tables import TABLES
 
 SQL = E.oracle_sql()
-NAMES = sorted(E.queries())
+NAMES = sorted(catalog.QUERIES)
 
 
 SPARK_TO_DUCKDB = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
