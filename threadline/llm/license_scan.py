@@ -62,21 +62,23 @@ TEMPLATES = (
 )
 THRESHOLD = 0.75
 #: A text is a licence file if at least this share of its words stands in licence statements, or by its name.
-FILE_SHARE = 0.5
+FILE_SHARE = 0.8
 FILE_NAME = r"(?i)(^|/)(licen[sc]e|copying|copyright|notice|unlicense)([._-][^/]*)?$"
 SALTS = 16
+#: Between words: anything but letters, digits and dots before a digit (versions such as 2.0).
+WORD_BREAK = r"(?:[^a-z0-9.]|\.(?![0-9]))+"
 
 
 def line_words(line: Column) -> Column:
-    """Lower-case words; dots stay inside versions such as 2.0."""
-    return F.array_remove(F.split(F.regexp_replace(F.lower(line), r"\.(?![0-9])", " "), "[^a-z0-9.]+"), "")
+    """Lower-case words."""
+    return F.array_remove(F.split(F.lower(line), WORD_BREAK), "")
 
 
 def _template_vectors(templates) -> dict[str, list]:
     """Words with frequency per template, as in :func:`line_words`."""
     out = {}
     for k, (name, text) in enumerate(templates):
-        words = [w for w in re.split(r"[^a-z0-9.]+", re.sub(r"\.(?![0-9])", " ", text.lower())) if w]
+        words = [w for w in re.split(WORD_BREAK, text.lower()) if w]
         out[k] = (name, {w: words.count(w) for w in words})
     return out
 
@@ -161,15 +163,17 @@ def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", id_co
             .select("key", "b.license", "b.score", "n_statements", "in_statements", "file_words"))
     own = (keyed.select("key").join(hits, "key", "left")
            .select(F.col("key.doc_id").alias("doc_id"), F.col("key.path").alias("path"), "license", "score",
+                   F.col("key.path").rlike(FILE_NAME).alias("is_named"),
                    F.coalesce("n_statements", F.lit(0).cast("long")).alias("n_statements"),
                    ((F.col("license").isNotNull()) & (F.col("key.path").rlike(FILE_NAME)
                     | (F.col("in_statements") >= FILE_SHARE * F.col("file_words")))).alias("is_file"),
                    F.element_at(parents(F.col("key.path")), 1).alias("dir")))
     own = checkpointed(own.withColumn("is_file", F.coalesce("is_file", F.lit(False))))
 
-    # one licence per directory that has a licence file, then the nearest one above each directory of files
+    # one licence per directory that has a licence file (one by name first), then the nearest one above each directory of files
     granted = (own.where("is_file").groupBy(F.col("dir").alias("above"))
-               .agg(F.max_by("license", F.struct("score", "path")).alias("dir_license"), F.max("score").alias("dir_score")))
+               .agg(F.max_by(F.struct("license", "score"), F.struct("is_named", "score", "path")).alias("b"))
+               .select("above", F.col("b.license").alias("dir_license"), F.col("b.score").alias("dir_score")))
     dirs = own.select("dir").distinct().select("dir", F.posexplode(
         F.concat(F.array("dir"), F.when(F.col("dir") == "", F.array().cast("array<string>")).otherwise(parents(F.col("dir")))))
         .alias("far", "above"))
