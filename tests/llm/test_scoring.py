@@ -113,3 +113,13 @@ def test_quality_awkward_rows(spark, docs):
     empty = quality_knn.fit(docs([]), labels.limit(0))
     assert quality_knn.score(docs([]), empty).count() == 0
     assert [r.score for r in quality_knn.score(docs([(1, "a b c")]), empty).collect()] == [0.5]
+
+
+def test_frequent_from_cuts_at_a_count(spark):
+    rng = np.random.default_rng(4)
+    n = np.concatenate([rng.integers(1, 50, 3000), rng.integers(1000, 3_000_000, 500)])
+    counts = spark.createDataFrame([(int(i), int(x)) for i, x in enumerate(n)], "h long, n long")
+    for most in (0, 1, 7, 100, 400, 600, 5000):
+        cut = lm_score.frequent_from(counts, most)
+        assert (n >= cut).sum() <= most
+        assert cut == 1 or (n >= cut - 1).sum() > most

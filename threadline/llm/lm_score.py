@@ -117,6 +117,28 @@ def word_counts(rows: DataFrame) -> DataFrame:
             .groupBy("h").agg(F.sum("n").alias("n"), F.first("cls").alias("cls")))
 
 
+def frequent_from(counts: DataFrame, most: int) -> int:
+    """The least count that at most ``most`` words reach, from a histogram of bounded size (no sort)."""
+    low, width = 1, 1
+    while True:
+        bins = 1000
+        place = F.least(F.floor((F.col("n") - low) / width), F.lit(bins))
+        got = dict(counts.where(F.col("n") >= low).groupBy(place.cast("long").alias("b")).count().collect())
+        above = 0
+        for b in range(bins, -1, -1):
+            if above + got.get(b, 0) > most:
+                break
+            above += got.get(b, 0)
+        else:
+            return low
+        if b == bins:  # too many beyond the last bin: look further up, in wider bins
+            low, width = low + bins * width, width * 100
+        elif width == 1:
+            return low + b + 1
+        else:  # the cut lies inside bin b
+            low, width = low + b * width, max(1, width // 100)
+
+
 def output_ids(t: _Tokens, top: np.ndarray, top_ids: np.ndarray) -> np.ndarray:
     """Model output of each token; ``top``: sorted hashes of the words that are outputs of their own."""
     out = WORDS + t.cls
@@ -248,7 +270,9 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                        F.xxhash64(own, text, F.octet_length(text)).alias("row"), text.alias("text"))
     counts = checkpointed(word_counts(rows))
     n, v = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    table = counts.orderBy(F.desc("n"), "h").limit(TABLE).toArrow()
+    table = counts.where(F.col("n") >= frequent_from(counts, TABLE)).toArrow()
+    by_count = np.lexsort((table.column("h").to_numpy(), -table.column("n").to_numpy()))
+    table = table.take(pa.array(by_count))
     hashes = table.column("h").to_numpy().view(np.uint64)
     freq = table.column("n").to_numpy()
     is_word = hashes != END_HASH
