@@ -12,14 +12,18 @@ that many documents share does not bring them together.  Empty parts are left ou
 where parts are few, several independent cuts are made, which keeps the chance
 that linked sets meet in empty parts only below one in 10**9.
 
-T-occurrence search.  Under each signature the smallest class is the hub.  Every class
-joins the block of its smallest hub; blocks are cut by their number of shingles.  Inside
-a block an inverted index is searched for each set: lists are ordered by length, the
+T-occurrence search.  Classes that signatures join, directly or not, are a family; a
+family of bounded size is a block.  In larger ones the smallest class under each signature
+is its hub, every class joins the block of its smallest hub, and blocks are cut by
+their sets and shingles.  Inside a block an inverted index is searched for each set: lists are ordered by length, the
 short ones are merged and counted, candidates that can still reach the
 required overlap are probed in the long lists by binary search (DivideSkip), and those
 reaching it are linked.  Classes already in one component are not compared again, so a
 group of near copies costs about one search each, never all pairs.
 
+In ``MERGE_ROUNDS`` further rounds classes join the block of their smallest hub in
+another component, which gathers the parts of a large group at linear cost.
+
 Rest.  Signatures that still join different components give the remaining
 candidates.  A class that meets a large component is searched in blocks of that
 component's sets, so a group of near copies is never spelled out as pairs.  Classes of
@@ -41,15 +45,16 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from threadline.llm.common import (LOWER, as_int64, checkpointed, components, documents, drop_rows, mix, prefix_hash, range_hash, slices,
+from threadline.llm.common import (LOWER, as_int64, checkpointed, compact, components, documents, drop_rows, mix, prefix_hash, range_hash, slices,
                                    small_batches, sorted_groups, text_bytes, to_lists, when_small, word_hashes, word_spans)
 
 SHINGLE = 4
 NUM, DEN = 85, 100
 GROWTH = 1.4
-BLOCK_SHINGLES = 400_000
-BLOCK_SETS = 200
-LARGE = 32
+BLOCK_SHINGLES = 1_500_000
+BLOCK_SETS = 1000
+LARGE = 1000
+MERGE_ROUNDS = 1
 MU = 0.01  # DivideSkip's weight of a probe against a merge step
 BROADCAST_ROWS = 500_000
 SALTS = 16
@@ -160,9 +165,9 @@ def set_class(s: np.ndarray, offs: np.ndarray) -> np.ndarray:
 
 
 def sketch(s: np.ndarray, bounds: Bounds) -> bytes:
-    """Parities of the shingles in a power of two of hash slots, twelve per allowed difference at least."""
+    """Parities of the shingles in a power of two of hash slots, 24 per allowed difference at least."""
     bits = 64
-    while bits < 12 * bounds.difference(2 * len(s)):
+    while bits < 24 * bounds.difference(2 * len(s)):
         bits *= 2
     slot = (mix(s + np.uint64(0x9FB21C651E98DF25)) & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(slot, minlength=bits) & 1).astype(np.uint8)).tobytes()
@@ -277,15 +282,16 @@ def _cross(bounds: Bounds):
 
     A class meets the members of a large component as a query (hub: the component, query
     true), once per task; classes of small components meet as pairs (hub: a class)
-    unless their sketches rule the link out.
+    unless their sketches rule the link out, under the least signature they share.
     """
     def rows(batches):
         asked: set[tuple[int, int]] = set()
         for t in sorted_groups(batches, "sig"):
             sig, cls, root, size, members = (t.column(c).to_numpy() for c in ("sig", "cls", "root", "n", "members"))
             sk = t.column("sketch").to_pylist()
+            sigs = t.column("sigs").combine_chunks()
             head = np.append(np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])), len(sig))
-            a, b, query = [], [], []
+            a, b, c, query = [], [], [], []
             for s, e in zip(head[:-1], head[1:]):
                 if (root[s:e] == root[s]).all():
                     continue
@@ -293,11 +299,12 @@ def _cross(bounds: Bounds):
                 for big in np.unique(r[m > LARGE]):
                     # of two large components the smaller one (by size, then name) asks the other
                     mine = m[r == big][0]
-                    for x in cls[s:e][(r != big) & ((m < mine) | ((m == mine) & (r > big)))].tolist():
-                        if (big, x) not in asked:
-                            asked.add((big, x))
+                    for k in (s + np.flatnonzero((r != big) & ((m < mine) | ((m == mine) & (r > big))))).tolist():
+                        if (big, int(cls[k])) not in asked:
+                            asked.add((big, int(cls[k])))
                             a.append(big)
-                            b.append(x)
+                            b.append(cls[k])
+                            c.append(size[k])
                             query.append(True)
                 low = s + np.flatnonzero(m <= LARGE)
                 if len(low) < 2 or (root[low] == root[low[0]]).all():
@@ -305,25 +312,28 @@ def _cross(bounds: Bounds):
                 width = min(len(sk[x]) for x in low)
                 bits = np.stack([np.bitwise_xor.reduce(np.frombuffer(sk[x], np.uint64).reshape(-1, width // 8), axis=0) for x in low])
                 r, z = root[low], size[low]
+                own = [set(sigs[int(x)].values.to_numpy().tolist()) for x in low]
                 for i in range(len(low) - 1):
                     far = np.bitwise_count(bits[i + 1:] ^ bits[i]).sum(axis=1)
                     ok = (r[i + 1:] != r[i]) & (far <= bounds.difference(z[i + 1:] + z[i]))
                     ok &= np.minimum(z[i + 1:], z[i]) * bounds.den >= np.maximum(z[i + 1:], z[i]) * bounds.num
-                    for x in cls[low[i + 1 + np.flatnonzero(ok)]].tolist():
-                        if (cls[low[i]], x) not in asked:
-                            asked.add((cls[low[i]], x))
+                    for j in (i + 1 + np.flatnonzero(ok)).tolist():
+                        if min(own[i] & own[j]) == sig[s]:
                             a.append(cls[low[i]])
-                            b.append(x)
+                            b.append(cls[low[j]])
+                            c.append(z[j])
                             query.append(False)
             if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(query)],
-                                                 names=["hub", "cls", "query"])
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.int64()), pa.array(query)],
+                                                 names=["hub", "cls", "n", "query"])
     return rows
 
 
 def _dealt(members: DataFrame, sets: DataFrame) -> DataFrame:
     """(hub, cls) members with a chunk each, so that a block has a bounded number of sets and shingles."""
-    load = (members.join(sets.select("cls", "n"), "cls").groupBy("hub")
+    if "n" not in members.columns:
+        members = compact(sets.select("cls", "n").join(when_small(members, BROADCAST_ROWS), "cls"))
+    load = (members.groupBy("hub")
             .agg(F.greatest(F.ceil(F.sum("n") / BLOCK_SHINGLES), F.ceil(F.count("*") / BLOCK_SETS)).cast("long").alias("chunks")))
     return members.join(load, "hub").select("hub", F.pmod(F.xxhash64("cls"), F.col("chunks")).alias("chunk"), "cls", "chunks")
 
@@ -336,36 +346,45 @@ def _searched(placed: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
         links = divide_skip([np.asarray(x, np.int64).view(np.uint64) for x in pdf["set"]], bounds, root=pdf["root"].to_numpy())
         return pd.DataFrame({"a": [cls[x] for x, _ in links], "b": [cls[y] for _, y in links]}, dtype="int64")
 
-    return (sets.select("cls", "set").join(when_small(checkpointed(placed), BROADCAST_ROWS), "cls")
+    return (sets.select("cls", "set").join(when_small(compact(placed), BROADCAST_ROWS), "cls")
             .groupBy("hub", "chunk").applyInPandas(search, "a long, b long"))
 
 
 def _linked(members: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
     """Edges found in the blocks of (hub, cls) rows; big blocks are cut, each part with its hub."""
-    dealt = _dealt(checkpointed(members.where("hub <> cls")), sets).select("hub", "chunk", "cls")
+    dealt = _dealt(compact(members.where("hub <> cls")), sets).select("hub", "chunk", "cls")
     placed = dealt.union(dealt.select("hub", "chunk", F.col("hub").alias("cls")).distinct())
     return _searched(placed.select("*", F.col("cls").alias("root"), (F.col("cls") == F.col("hub")).alias("first")), sets, bounds)
 
 
-def _rest(shared: DataFrame, part: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
-    """Edges between the components of ``part`` that meet under a signature."""
+def _open(shared: DataFrame, part: DataFrame) -> DataFrame:
+    """(sig, cls, root, members, hub, hub_root) under the signatures that join several components of ``part``."""
     sizes = part.groupBy("root").agg(F.count("*").alias("members"))
-    roots = part.join(sizes, "root").select(F.col("node").alias("cls"), "root", "members")
-    open_ = shared.join(roots, "cls", "left").select(
+    roots = compact(part.join(sizes, "root").select(F.col("node").alias("cls"), "root", "members"))
+    rows = shared.select("sig", "cls").join(when_small(roots, BROADCAST_ROWS), "cls", "left").select(
         "sig", "cls", F.coalesce("root", "cls").alias("root"), F.coalesce("members", F.lit(1).cast("long")).alias("members"))
-    mixed = open_.groupBy("sig").agg(F.min("root").alias("a"), F.max("root").alias("z")).where("a <> z").select("sig")
-    open_ = checkpointed(open_.join(mixed, "sig"))
-    todo = checkpointed(open_.join(sets.select("cls", "n", "sketch"), "cls").repartition("sig").sortWithinPartitions("sig", "cls")
-                        .mapInArrow(_cross(bounds), "hub long, cls long, query boolean").distinct())
+    mixed = compact(rows.groupBy("sig").agg(F.min("root").alias("a"), F.max("root").alias("z"), F.min("cls").alias("hub"))
+                         .where("a <> z").select("sig", "hub"))
+    hubs = roots.select(F.col("cls").alias("hub"), F.col("root").alias("hub_root"))
+    return compact(rows.join(when_small(mixed, BROADCAST_ROWS), "sig").join(when_small(hubs, BROADCAST_ROWS), "hub", "left")
+                   .withColumn("hub_root", F.coalesce("hub_root", "hub")))
+
+
+def _rest(rows: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
+    """Edges between components that meet under a signature (``rows`` as of :func:`_open`)."""
+    of_class = (rows.groupBy("cls").agg(F.first("root").alias("root"), F.first("members").alias("members"),
+                                        F.collect_set("sig").alias("sigs")).join(sets.select("cls", "n", "sketch"), "cls"))
+    todo = compact(of_class.select("*", F.explode("sigs").alias("sig")).repartition("sig").sortWithinPartitions("sig", "cls")
+                        .mapInArrow(_cross(bounds), "hub long, cls long, n long, query boolean").distinct())
     ask = todo.where("query").select("hub", "cls")
-    asked = checkpointed(ask.select("hub").distinct())
+    asked = compact(ask.select("hub").distinct())
     # the members of the asked components, in chunks; a query goes to each chunk
-    own = open_.select(F.col("root").alias("hub"), "cls").distinct().join(asked, "hub")
-    dealt = checkpointed(_dealt(own, sets))
+    own = rows.select(F.col("root").alias("hub"), "cls").distinct().join(asked, "hub")
+    dealt = compact(_dealt(compact(own), sets))
     to = dealt.select("hub", "chunk").distinct()
     queries = ask.join(to, "hub").select("hub", "chunk", "cls", F.col("cls").alias("root"), F.lit(True).alias("first"))
     placed = dealt.select("hub", "chunk", "cls", F.col("hub").alias("root"), F.lit(False).alias("first")).union(queries)
-    return _searched(placed, sets, bounds).union(_linked(todo.where("not query").select("hub", "cls"), sets, bounds))
+    return _searched(placed, sets, bounds).union(_linked(todo.where("not query").select("hub", "cls", "n"), sets, bounds))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -385,8 +404,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     # the sets of the classes that meet another class, from one document of each
     met = shared.select("cls").distinct()
-    one = prof.select("cls", "id", "th").join(met, "cls").groupBy("cls").agg(F.min(F.struct("id", "th")).alias("d"))
-    one = checkpointed(one.select("cls", "d.id", "d.th"))
+    one = prof.select("cls", "id", "th").join(met, "cls").groupBy("cls").agg(F.min("id").alias("id"))
+    one = prof.select("cls", "id", "th").join(one, ["cls", "id"]).groupBy("cls", "id").agg(F.min("th").alias("th"))
+    one = compact(one)
 
     def as_sets(batches):
         for b in batches:
@@ -398,13 +418,33 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                      pa.array([sketch(s[x:y], bounds) for x, y in zip(o[:-1], o[1:])], pa.binary())],
                     names=["cls", "n", "set", "sketch"])
 
-    sets = checkpointed(rows.join(when_small(one, BROADCAST_ROWS), ["id", "th"]).dropDuplicates(["cls"])
-                        .select("cls", "text").mapInArrow(as_sets, "cls long, n long, set array<long>, sketch binary"))
-
-    edges = checkpointed(_linked(shared.groupBy("cls").agg(F.min("hub").alias("hub")), sets, bounds))
-    part = checkpointed(components(edges))
-    more = _rest(shared, part, sets, bounds)
-    part = components(edges.union(more))
+    picked = rows.join(when_small(one, BROADCAST_ROWS), ["id", "th"])
+    again = prof.groupBy("id", "th").agg(F.count("*").alias("n")).where("n > 1").join(one, ["id", "th"])
+    if not again.isEmpty():  # identical rows: one of them
+        picked = picked.dropDuplicates(["cls"])
+    sets = checkpointed(picked.select("cls", "text").mapInArrow(as_sets, "cls long, n long, set array<long>, sketch binary"))
+
+    # families: classes that signatures join at all; small ones are one block each
+    family = compact(components(shared.where("cls <> hub").select(F.col("cls").alias("a"), F.col("hub").alias("b"))))
+    size = (sets.select("cls", "n").join(when_small(family.withColumnRenamed("node", "cls"), BROADCAST_ROWS), "cls").groupBy("root")
+            .agg((F.count("*") <= BLOCK_SETS).alias("few"), (F.sum("n") <= BLOCK_SHINGLES).alias("short")))
+    family = compact(family.join(size, "root").select("node", "root", (F.col("few") & F.col("short")).alias("small")))
+    blocks = family.where("small").select(F.col("root").alias("hub"), F.lit(0).cast("long").alias("chunk"), F.col("node").alias("cls"),
+                                          F.col("node").alias("root"), F.lit(False).alias("first"))
+    edges = compact(_searched(blocks, sets, bounds))
+    large = family.where("not small").select(F.col("node").alias("cls"))
+    if not large.isEmpty():
+        rows_l = checkpointed(shared.join(when_small(large, BROADCAST_ROWS), "cls", "left_semi"))
+        own = compact(_linked(rows_l.groupBy("cls").agg(F.min("hub").alias("hub")), sets, bounds))
+        rows_open = _open(rows_l, compact(components(own)))
+        for _ in range(MERGE_ROUNDS):  # a class joins the block of its smallest hub in another component
+            again = compact(rows_open.where("root <> hub_root").groupBy("cls").agg(F.min("hub").alias("hub")))
+            if again.isEmpty():
+                break
+            own = compact(own.union(_linked(again, sets, bounds)))
+            rows_open = _open(rows_open, compact(components(own)))
+        edges = edges.union(own).union(_rest(rows_open, sets, bounds))
+    part = compact(components(edges))
 
     # classes with several rows or links get the first document of their component
     classes = (prof.where("n > 0").groupBy("cls").agg(F.min(F.struct("id", "th")).alias("low"), F.count("*").alias("rows"))
