@@ -165,9 +165,9 @@ def set_class(s: np.ndarray, offs: np.ndarray) -> np.ndarray:
 
 
 def sketch(s: np.ndarray, bounds: Bounds) -> bytes:
-    """Parities of the shingles in a power of two of hash slots, 24 per allowed difference at least."""
-    bits = 64
-    while bits < 24 * bounds.difference(2 * len(s)):
+    """Parities of the shingles in a power of two of hash slots, 512 or six per allowed difference at least."""
+    bits = 512
+    while bits < 6 * bounds.difference(2 * len(s)):
         bits *= 2
     slot = (mix(s + np.uint64(0x9FB21C651E98DF25)) & np.uint64(bits - 1)).astype(np.int64)
     return np.packbits((np.bincount(slot, minlength=bits) & 1).astype(np.uint8)).tobytes()
