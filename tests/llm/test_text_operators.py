@@ -113,6 +113,26 @@ def test_template_subtrees_go_and_others_stay(spark):
     assert got == sorted((i, t, len(t)) for i, t in want)
 
 
+def test_template_subtrees_inside_marked_main_text(spark):
+    shells = {"main": "<main><p>{0}</p><div><p>Share this with friends</p></div><section>More on {1}</section></main><p>out</p>",
+              "role": "<div role=main><ul><li>Our shops</ul><p>{0}</p></div>",
+              "content": "<div id=content><p>Read by many</p><p>{0}</p></div><div class=entry><p>Ask our staff</p></div>",
+              "article": "<article><h1>Daily</h1><p>{0}</p><p>Same words</p><div><p>Join the club</p></div></article>"}
+    pages = [(h, k, shell.format(f"{h} {k}", k)) for h, shell in shells.items() for k in range(6)]
+    # copies of one page with other menus and adverts count once
+    copy = "<nav>{0}</nav><{1}><div><p>One story</p></div><p>its end</p><div class=ad>{0}</div></{1}>"
+    pages += [(f"copy-{tag}", k, copy.format(k, tag)) for tag in ("main", "article") for k in range(6)]
+    df = spark.createDataFrame([(h, f"http://{h}.example/{k}", x) for h, k, x in pages], "h string, url string, html string")
+    got = {(r.url.split("/")[2].split(".")[0], r.page_id): r.text for r in html_text.extract(
+        df.selectExpr("cast(substring_index(url, '/', -1) as long) page_id", "url", "html")).collect()}
+    want = {}
+    for k in range(6):
+        want |= {("main", k): f"main {k}\n\nMore on {k}", ("role", k): f"role {k}", ("content", k): f"content {k}",
+                 ("article", k): f"Daily\n\narticle {k}\n\nSame words"}
+        want |= {(f"copy-{tag}", k): "One story\n\nits end" for tag in ("main", "article")}
+    assert got == want
+
+
 # ---- decontamination
 
 

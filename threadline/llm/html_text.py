@@ -1,19 +1,22 @@
 """HTML extraction by site template removal.
 
-Each page is parsed once into elements.  Every element subtree with text that
-is not part of a marked article gets a hash (tag, class, id, texts and children).
+Each page is parsed once into elements.  Every element subtree with text
+gets a hash (tag, class, id, texts and children).
 Spark counts, per host, on how many different pages a subtree hash occurs; a subtree
 that recurs on at least ``MIN_PAGES`` pages and ``MIN_SHARE`` of the host's pages
 is part of the site template and is deleted wherever it occurs on that host.
 Around this, markup says what is never main text: navigation, headers, footers,
 side boxes, notices, adverts, forms, scripts, styles and reader comments, by tag,
-role and class or id words.  Where a page marks its article (``article``, ``main``
-or a content id/class), text outside it is not main text either; paragraphs
-inside a marked article are kept even when other pages repeat them.
+role and class or id words.  Where a page marks its main text (``article``, ``main``
+or a content id/class), text outside it is not main text either; inside it the
+recurring subtrees are deleted as on other pages.  Inside an ``article`` just
+``CONTAINERS`` can be template: its own paragraphs, headings and quotes are kept
+even when other pages repeat them.
 
 Counts are aggregated before the shuffle and per (host, subtree), so a host with a
 third of all pages is no hot group; the deletions come back as one short list per
-page.  Copies of a page count as one page.
+page.  Copies of a page count as one page: equal html, or, where the main text is
+marked, equal main text under the markup rules (a copy may have other menus or adverts).
 
 Defined cases: null html is an empty page with text ''; a null url has the host
 ''; unclosed or truncated markup is closed at the end; repeated page ids get a row
@@ -60,7 +63,8 @@ DROP_WORDS = frozenset(
     "widget widgets toolbar pagination pager login search".split())
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu".split())
 CONTENT_WORDS = frozenset("content article post entry story maincontent articlebody".split())
-IN_ARTICLE = b"\1"
+#: Elements that can be template inside an article.
+CONTAINERS = frozenset("article section div center ul ol dl table figure details fieldset address".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
@@ -97,17 +101,11 @@ class _Page:
         stack = [0]
         parts: list[list[bytes]] = [[]]
         events = self.events
-        articles = 0  # open article elements: what lies in one is no template and gets no hash
 
         def close(n: int) -> None:
-            nonlocal articles
             while len(stack) > n:
                 e, p = stack.pop(), parts.pop()
-                articles -= self.tag[e] == "article"
-                if p and articles:
-                    self.digest[e] = IN_ARTICLE
-                    parts[-1].append(IN_ARTICLE)
-                elif p:
+                if p:
                     label = f"{self.tag[e]} {' '.join(sorted(self.words[e]))}".encode()
                     self.digest[e] = xxhash.xxh64_digest(label + b"\0" + b"\1".join(p))
                     parts[-1].append(self.digest[e])
@@ -117,10 +115,7 @@ class _Page:
             if piece:
                 piece = html.unescape(piece)
                 events.append(("t", stack[-1], piece))
-                if articles:
-                    if not piece.isspace():
-                        parts[-1].append(IN_ARTICLE)
-                elif norm := " ".join(piece.split()):
+                if norm := " ".join(piece.split()):
                     parts[-1].append(norm.encode("utf-8", "replace"))
 
         at, raw_end = 0, None
@@ -157,7 +152,6 @@ class _Page:
                 continue
             e = self._open(tag, m[3], stack[-1])
             stack.append(e)
-            articles += tag == "article"
             parts.append([])
             events.append(("s", e))
             if tag in RAW:
@@ -190,11 +184,12 @@ class _Page:
                 return out
         return []
 
-    def blocks(self) -> tuple[list[tuple[str, list[int]]], list[int]]:
-        """Blocks of main text with the subtree hashes above them, and the hashes of subtrees outside a marked article."""
+    def blocks(self) -> tuple[list[tuple[str, list[int]]], list[int], bool]:
+        """Blocks of main text with the hashes of the subtrees above them that can be template, the hashes of such
+        subtrees outside the marked main text, and whether the page marks its main text."""
         n = len(self.tag)
         roots = set(self.roots())
-        keep, inside = [False] * n, [False] * n
+        keep, inside, article = [False] * n, [False] * n, [False] * n
         keep[0] = not roots
         for e in range(1, n):
             p = self.parent[e]
@@ -208,9 +203,13 @@ class _Page:
             else:
                 # None: in the header of an article, of which just headings stay
                 keep[e] = keep[p] if keep[p] is None else keep[p] and not self.drop[e]
-        number = [int.from_bytes(d, "little", signed=True) if len(d) == 8 else 0 for d in self.digest]
-        outer = ("#root", "html", "body", "head")
-        seen = [number[e] for e in range(1, n) if number[e] and not inside[e] and self.tag[e] not in outer]
+        number = [0] * n  # 0: can not be template
+        for e in range(1, n):
+            p, tag = self.parent[e], self.tag[e]
+            article[e] = article[p] or tag == "article"
+            if self.digest[e] and tag not in ("html", "body", "head") and (not article[e] or article[p] and tag in CONTAINERS):
+                number[e] = int.from_bytes(self.digest[e], "little", signed=True)
+        seen = [number[e] for e in range(1, n) if number[e] and not inside[e]]
 
         out: list[tuple[str, list[int]]] = []
         run: list[str] = []
@@ -222,8 +221,8 @@ class _Page:
             run.clear()
             if line:
                 above, e = [], home
-                while e > 0 and not roots:
-                    if number[e] and self.tag[e] not in outer:
+                while e > 0 and (inside[e] or not roots):
+                    if number[e]:
                         above.append(number[e])
                     e = self.parent[e]
                 out.append((line, above))
@@ -247,11 +246,11 @@ class _Page:
             elif self.tag[ev[1]] in ("td", "th"):
                 run.append(" ")
         flush()
-        return out, seen
+        return out, seen, bool(roots)
 
 
 def main_blocks(source: str | None):
-    """(blocks, outside): see :meth:`_Page.blocks`."""
+    """(blocks, outside, marked): see :meth:`_Page.blocks`."""
     return _Page(source or "").blocks()
 
 
@@ -265,21 +264,28 @@ def _keys(pages: DataFrame, url_col: str, html_col: str):
 
 
 def parsed(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Every page with its blocks and the hashes of its subtrees (holds: a block lies in the subtree)."""
+    """Every page with its blocks and the hashes of its subtrees (holds: a block lies in the subtree).
+
+    Copies of a page have one sig: that of the html, or of the blocks where the main text is marked.
+    """
     small_batches(pages.sparkSession, 500)
     block = pa.list_(pa.struct([("text", pa.string()), ("above", pa.list_(pa.int64()))]))
     subtree = pa.list_(pa.struct([("h", pa.int64()), ("holds", pa.int32())]))
 
     def rows(batches):
         for b in batches:
-            blocks, seen = [], []
-            for source in b.column("html").to_pylist():
-                made, outside = main_blocks(source)
+            blocks, seen, sig = [], [], []
+            for same, source in zip(b.column("sig").to_pylist(), b.column("html").to_pylist()):
+                made, outside, marked = main_blocks(source)
+                if marked:
+                    main = "\n\n".join(t for t, _ in made).encode("utf-8", "replace")
+                    same = int.from_bytes(xxhash.xxh64_digest(main), "little", signed=True)
+                sig.append(same)
                 holds = {h for _, above in made for h in above}
                 blocks.append([{"text": t, "above": a} for t, a in made])
                 seen.append([{"h": h, "holds": int(h in holds)} for h in sorted(holds.union(outside))])
             yield pa.RecordBatch.from_arrays(
-                [b.column("page_id"), b.column("url"), b.column("host"), b.column("sig"), pa.array(blocks, block),
+                [b.column("page_id"), b.column("url"), b.column("host"), pa.array(sig, pa.int64()), pa.array(blocks, block),
                  pa.array(seen, subtree)], names=["page_id", "url", "host", "sig", "blocks", "seen"])
 
     return pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"),
