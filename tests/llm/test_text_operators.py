@@ -133,6 +133,14 @@ def test_template_subtrees_inside_marked_main_text(spark):
     assert got == want
 
 
+def test_template_does_not_depend_on_host_size(spark):
+    pages = [(n * 1000 + k, f"http://h{n}.example/{k}", f"<div><p>story {k}</p></div>" + "<div>Section bar</div>" * (k < 4)
+              + "<div>Rare</div>" * (k < 3)) for n in (10, 300) for k in range(n)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert {r.page_id: r.text for r in html_text.extract(df).collect()} == {
+        n * 1000 + k: f"story {k}" + "\n\nRare" * (k < 3) for n in (10, 300) for k in range(n)}
+
+
 # ---- decontamination
 
 

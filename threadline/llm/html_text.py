@@ -3,7 +3,7 @@
 Each page is parsed once into elements.  Every element subtree with text
 gets a hash (tag, class, id, texts and children).
 Spark counts, per host, on how many different pages a subtree hash occurs; a subtree
-that recurs on at least ``MIN_PAGES`` pages and ``MIN_SHARE`` of the host's pages
+that recurs on at least ``MIN_PAGES`` pages, whatever the size of the host,
 is part of the site template and is deleted wherever it occurs on that host.
 Around this, markup says what is never main text: navigation, headers, footers,
 side boxes, notices, adverts, forms, scripts, styles and reader comments, by tag,
@@ -35,7 +35,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from threadline.llm.common import checkpointed, documents, small_batches, when_small
 
 MIN_PAGES = 4
-MIN_SHARE = 0.05
 BROADCAST_ROWS = 100_000
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -293,18 +292,15 @@ def parsed(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-            min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
+            min_pages: int = MIN_PAGES) -> DataFrame:
     """Per page: page_id, url, text, n_chars."""
     found = parsed(pages, id_col, url_col, html_col)
     site = F.xxhash64("host").alias("site")
-    n_pages = (pages.select(*_keys(pages, url_col, html_col)).select(site, "sig").distinct()
-               .groupBy("site").agg(F.count("*").alias("pages")))
     # a row per subtree and different page
     subtrees = checkpointed(found.select(site, "sig", F.explode("seen").alias("s")).groupBy("site", "sig", "s.h")
                             .agg(F.max("s.holds").alias("holds")))
     template = (subtrees.groupBy("site", "h").agg(F.count("*").alias("n"), F.max("holds").alias("used"))
-                .where((F.col("n") >= min_pages) & (F.col("used") == 1)).join(n_pages, "site")
-                .where(F.col("n") >= min_share * F.col("pages")).select("site", "h"))
+                .where((F.col("n") >= min_pages) & (F.col("used") == 1)).select("site", "h"))
     cut = checkpointed(subtrees.where("holds = 1").join(template, ["site", "h"])
                        .groupBy("site", "sig").agg(F.collect_set("h").alias("cut")))
     kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["above"], F.coalesce("cut", F.array().cast("array<bigint>"))))
