@@ -115,6 +115,18 @@ def test_quality_awkward_rows(spark, docs):
     assert [r.score for r in quality_knn.score(docs([(1, "a b c")]), empty).collect()] == [0.5]
 
 
+def test_quality_very_long_labelled_text(spark, docs):
+    rows = [(k, f"some {k} short words of text {k * k}") for k in range(20)] + [(k, "ba la " * (35_000 + k)) for k in range(20, 26)]
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in rows], "doc_id long, quality int")
+    idf, p, known, lab = quality_knn.fit(docs(rows), labels)
+    assert np.isfinite(known).all() and len(known) == len(lab) > 10
+    # a labelled text and the same text scored have one vector
+    data = [t.encode() for _, t in rows]
+    x = quality_knn.features(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0] + [len(t) for t in data]))
+    scored = quality_knn._unit(quality_knn.weighted(x, idf) @ p)
+    assert np.abs(known[:, None] - scored[None]).max(axis=2).min(axis=1).max() < 1e-5
+
+
 def test_frequent_from_cuts_at_a_count(spark):
     rng = np.random.default_rng(4)
     n = np.concatenate([rng.integers(1, 50, 3000), rng.integers(1000, 3_000_000, 500)])

@@ -122,7 +122,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
          .distinct().orderBy(F.xxhash64("id"), "id", "y").limit(max_labelled))
 
     def rows(batches):
-        for b, x in _per_text(batches, lambda b, x: (b, x.astype(np.float16))):
+        for b, x in _per_text(batches, lambda b, x: (b, weighted(x, idf))):
             yield pa.RecordBatch.from_arrays(
                 [b.column("y"), b.column("id"), pa.array([r.tobytes() for r in x], pa.binary())], names=["y", "id", "x"])
 
@@ -133,9 +133,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     lab = np.array(sample.column("y").to_pylist(), np.float64)
     raw = sample.column("x").to_pylist()
     order = np.lexsort((np.array([hash(r) for r in raw], np.int64), sample.column("id").to_numpy())) if len(lab) else []
-    x = (np.stack([np.frombuffer(raw[i], np.float16) for i in order]).astype(np.float32) if len(lab)
-         else np.zeros((0, FEATURES), np.float32))
-    x = weighted(x, idf)
+    x = np.stack([np.frombuffer(raw[i], np.float32) for i in order]) if len(lab) else np.zeros((0, FEATURES), np.float32)
     p = latent_space(x) if len(lab) else np.zeros((FEATURES, 1), np.float32)
     return idf, p, _unit(x @ p), lab[order] if len(lab) else lab
 
