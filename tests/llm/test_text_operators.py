@@ -76,6 +76,28 @@ def test_license_cosine_against_brute_force(spark):
             assert got[k].score == pytest.approx(best, abs=1e-6)
 
 
+def test_license_wrapped_and_inside_one_line(spark):
+    notice = {k: t for k, t in license_scan.TEMPLATES if len(t) > 100}
+    prose = "some plain words of a story that goes on and on without an end " * 8
+    bsd = notice["BSD-3-Clause"].split()
+    files = [
+        (1, "a/x.c", "# " + " ".join(bsd[:9]) + "\n#   " + " ".join(bsd[9:]) + "\n\nint main() {}\n" + prose),
+        (2, "b/x.txt", prose + notice["MIT"] + " " + prose),
+        (3, "c/readme", "\n * ".join(notice["GPL-3.0"].split())),
+        (4, "c/other", "nothing"),
+        (5, "d/x", prose + "\n" + prose),
+        (6, "e/x", f"{prose}\n" + "\n".join(notice["MIT"].split(", ")) + f"\n{prose}\n{notice['MIT']}"),
+        (7, "f/x", prose + (notice["BSD-3-Clause"] + " ") * 3),
+        (8, "g/LICENSE", "Redistribution and use\nin source and binary\nforms with or without modification\nare permitted"),
+    ] + [(100 + k, f"n/{k}", prose + f"\nwords {k}") for k in range(40)]
+    df = spark.createDataFrame(files, "doc_id long, path string, text string")
+    got = {r.doc_id: (r.license, r.how, r.n_statements) for r in license_scan.scan(df).collect()}
+    assert {k: v for k, v in got.items() if k < 100} == {
+        1: ("BSD-3-Clause", "header", 1), 2: ("MIT", "header", 1), 3: ("GPL-3.0", "file", 1), 4: ("GPL-3.0", "inherited", 0),
+        5: (None, "none", 0), 6: ("MIT", "header", 2), 7: ("BSD-3-Clause", "header", 3), 8: ("BSD-3-Clause", "file", 1)}
+    assert all(got[100 + k] == (None, "none", 0) for k in range(40))
+
+
 # ---- HTML
 
 
