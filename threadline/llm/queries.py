@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from threadline.llm import decontaminate, exact_dedup, html_text, jaccard_join, license_scan, lm_score, packing, phrase_automata, quality_knn, suffix_dedup
+from threadline.llm import (bpe, decontaminate, exact_dedup, html_text, jaccard_join, license_scan, lm_score, packing, phrase_automata, quality_knn,
+                            spelling, suffix_dedup)
 
 QUERIES = {
     "op1_license_scan": license_scan.op1_license_scan,
@@ -15,6 +16,8 @@ QUERIES = {
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_quality_knn": quality_knn.op9_quality_knn,
     "op10_phrase_automata": phrase_automata.op10_phrase_automata,
+    "op12_spelling_variants": spelling.op12_spelling_variants,
+    "op13_bpe": bpe.op13_bpe,
 }
 
 ORACLE = {
