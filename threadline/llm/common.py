@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from threadline.session import ensure_checkpoint_dir
+from threadline.session import ensure_checkpoint_dir, scratch_path
 
 #: The white space of the word rule, [\x20\x09-\x0D].
 SPACE = np.zeros(256, bool)
@@ -91,13 +91,13 @@ def slices(offs: np.ndarray, limit: int = SLICE_BYTES):
         i = j
 
 
-def word_spans(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and text index of every word; words never cross texts."""
+def word_spans(data: np.ndarray, offs: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text index of every word; words never cross texts, bytes in ``space`` are in no word."""
     n = len(data)
     if not n:
         z = np.zeros(0, np.int64)
         return z, z, z
-    inside = ~SPACE[data]
+    inside = ~space[data]
     before = np.zeros(n, bool)
     before[1:] = inside[:-1]
     first = offs[:-1]
@@ -130,6 +130,19 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read again (smaller than a checkpoint)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by :func:`scratch_path` whose table is read no more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def small_batches(spark: SparkSession, rows: int = 2000) -> None:
     """Bound the rows of an Arrow batch, so that a batch of long texts stays small."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from threadline.llm import (bpe, decontaminate, exact_dedup, html_text, jaccard_join, license_scan, lm_score, packing, phrase_automata, quality_knn,
+from threadline.llm import (bpe, collocations, decontaminate, exact_dedup, html_text, jaccard_join, license_scan, lm_score, packing, phrase_automata, quality_knn,
                             spelling, suffix_dedup)
 
 QUERIES = {
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_best_fit_packing": packing.op8_best_fit_packing,
     "op9_quality_knn": quality_knn.op9_quality_knn,
     "op10_phrase_automata": phrase_automata.op10_phrase_automata,
+    "op11_collocations": collocations.op11_collocations,
     "op12_spelling_variants": spelling.op12_spelling_variants,
     "op13_bpe": bpe.op13_bpe,
 }
@@ -25,4 +26,5 @@ ORACLE = {
     "op3_jaccard_join": jaccard_join.ORACLE_SQL,
     "op7_benchmark_decontamination": decontaminate.ORACLE_SQL,
     "op10_phrase_automata": phrase_automata.ORACLE_SQL,
+    "op11_collocations": collocations.ORACLE_SQL,
 }
