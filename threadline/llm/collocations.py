@@ -40,6 +40,7 @@ LONGEST, LEAST, TOP = 5, 100, 2000
 SHARDS = 4
 FILTER_BITS = 1 << 26
 FLUSH = 3_000_000
+BUCKETS = 4
 SALTS = 16
 TOP_SALTS = 64
 #: What ends a piece, [.,;:!?\x0A-\x0D], and what separates its words, [\x20\x09].
@@ -118,20 +119,43 @@ def active(p: Phrases, reached: np.ndarray, recent: np.ndarray, longest: int):
         new[at] = old[at] & has(recent, h)
 
 
-def _counted(shard: DataFrame, filters, first_cycle: bool, longest: int) -> DataFrame:
-    """(h, g, k, new): counts of the active phrases in a shard, combined in each task."""
+def _buckets(h: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket begins in ascending 64-bit hashes, and the end."""
+    edge = [-(-(b << 64) // buckets) for b in range(buckets)]
+    return np.append(np.searchsorted(h, np.array(edge, np.uint64)), len(h))
+
+
+def _order(h: np.ndarray, g: np.ndarray) -> np.ndarray:
+    order = np.argsort(h)
+    hs, gs = h[order], g[order]
+    if ((hs[1:] == hs[:-1]) & (gs[1:] != gs[:-1])).any():  # two phrases with equal first hashes
+        order = np.lexsort((g, h))
+    return order
+
+
+_PACKED = "bucket int, state boolean, h binary, g binary, k binary, c binary, shards binary, seen binary"
+
+
+def _counted(shard: DataFrame, filters, first_cycle: bool, longest: int, buckets: int) -> DataFrame:
+    """Counts of the active phrases in a shard, combined in each task and packed by bucket (arrays as bytes)."""
     def rows(batches):
         reached, recent = filters.value
         held, n = [], 0
 
         def flush():
             h, g, k = (np.concatenate(x) for x in zip(*held))
-            order = np.argsort(h)
-            h, g, k = h[order], g[order], k[order]
-            head = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (g[1:] != g[:-1])]))
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(as_int64(h[head])), pa.array(g[head]), pa.array(k[head]),
-                                               pa.array(np.diff(np.append(head, len(h))).astype(np.int64))], names=["h", "g", "k", "new"])
+            order = _order(h, g)
+            h, g = h[order], g[order]
+            head = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (g[1:] != g[:-1])]))
+            count = np.diff(np.append(head, len(h))).astype(np.int64)
+            h, g, k = h[head], g[head], k[order[head]]
+            cut = _buckets(h, buckets)
+            used = np.flatnonzero(np.diff(cut))
+            pack = [pa.array([x[cut[b]:cut[b + 1]].tobytes() for b in used], pa.binary()) for x in (h, g, k, count)]
+            none = pa.nulls(len(used), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(np.zeros(len(used), bool)), *pack, none, none],
+                                              names=["bucket", "state", "h", "g", "k", "c", "shards", "seen"])
 
         for p, _ in _read(batches):
             found = list(active(p, reached, recent, longest))
@@ -147,47 +171,91 @@ def _counted(shard: DataFrame, filters, first_cycle: bool, longest: int) -> Data
         if n:
             yield flush()
 
-    return shard.mapInArrow(rows, "h long, g int, k byte, new long")
+    return shard.mapInArrow(rows, _PACKED)
+
+
+def _added(step: int, cycle: int, least: int):
+    """Adds the new counts of a shard to the state of a bucket."""
+    bit = np.int64(1 << step % cycle)
+
+    def merge(key, t):
+        kinds = {"h": np.uint64, "g": np.int32, "k": np.int8, "c": np.int64, "shards": np.int64, "seen": np.int32}
+        old = np.array(t.column("state").to_pylist(), bool)
+        col = {n: [np.frombuffer(x or b"", kind) for x in t.column(n).to_pylist()] for n, kind in kinds.items()}
+        size = np.array([len(x) for x in col["h"]], np.int64)
+        for n in ("shards", "seen"):
+            col[n] = [x if o else np.zeros(m, kinds[n]) for x, o, m in zip(col[n], old, size)]
+        h, g, k, c, shards, seen = (np.concatenate(col[n]) for n in kinds)
+        was = np.repeat(old, size)
+        order = _order(h, g)
+        h, g = h[order], g[order]
+        head = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (g[1:] != g[:-1])]))
+        h, g, k = h[head], g[head], k[order[head]]
+        total = np.add.reduceat(np.where(was, c, 0)[order], head)
+        new = np.add.reduceat(np.where(was, 0, c)[order], head)
+        shards, seen = np.maximum.reduceat(shards[order], head), np.maximum.reduceat(seen[order], head)
+        # a shard is added once
+        after = total + np.where(shards & bit, 0, new)
+        shards = np.where(new > 0, shards | bit, shards)
+        seen = np.where(new > 0, np.int32(step), seen)
+        fresh = h[(after >= least) & (total < least)]
+        # below the threshold: gone when all shards are in, when no shard of a cycle has brought it (should it
+        # become active later, its own cycle counts all shards anew), and words after their only cycle
+        gone = (shards == 2**cycle - 1) | (seen <= step - cycle)
+        if step >= cycle - 1:
+            gone |= k == 1
+        keep = (after >= least) | ~gone
+        rows = int(keep.any())  # an empty bucket has no row
+        pack = [pa.array([x[keep].tobytes()] * rows, pa.binary()) for x in (h, g, k, after, shards, seen)]
+        return pa.table([pa.array([key[0].as_py()] * rows, pa.int32()), pa.array([True] * rows), *pack,
+                         pa.array([as_int64(fresh).tolist()] * rows, pa.list_(pa.int64()))],
+                        names=["bucket", "state", "h", "g", "k", "c", "shards", "seen", "fresh"])
+
+    return merge
 
 
-_STATE = "h long, g int, k byte, c long, shards long, fresh boolean"
+def _frequent(least: int):
+    """(h, g, k, c) rows of the phrases in packed states that have reached the threshold."""
+    def rows(batches):
+        for b in batches:
+            for h, g, k, c in zip(*(b.column(n).to_pylist() for n in ("h", "g", "k", "c"))):
+                c = np.frombuffer(c, np.int64)
+                ok = c >= least
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.frombuffer(h, np.int64)[ok]), pa.array(np.frombuffer(g, np.int32)[ok]), pa.array(np.frombuffer(k, np.int8)[ok]),
+                     pa.array(c[ok])], names=["h", "g", "k", "c"])
+    return rows
 
 
 def count_phrases(spark: SparkSession, shards: list[DataFrame], longest: int = LONGEST, least: int = LEAST,
                   filter_bits: int = FILTER_BITS) -> DataFrame:
-    """(h, g, k, c) of all phrases with a count of ``least`` or more, by cyclic scans of the shards."""
+    """(h, g, k, c) of all phrases with a count of ``least`` or more, by cyclic scans of the shards.
+
+    Counts are kept packed, a row per bucket of hashes; there are more buckets the larger the corpus.
+    """
     cycle = len(shards)
+    buckets = BUCKETS * sum(x.rdd.getNumPartitions() for x in shards)
     reached = np.zeros(filter_bits // 64, np.uint64)
     fresh: list[np.ndarray] = []
-    state, path, step = spark.createDataFrame([], _STATE), None, 0
+    schema = f"{_PACKED}, fresh array<long>"
+    state, path, step = spark.createDataFrame([], schema), None, 0
     while step < cycle or any(x.any() for x in fresh[-cycle:]):
         recent = np.bitwise_or.reduce(np.stack(fresh[-cycle:])) if fresh else reached
         filters = spark.sparkContext.broadcast((reached, recent))
-        bit = F.lit(1 << step % cycle).cast("long")
-        none = F.lit(0).cast("long")
-        new = _counted(shards[step % cycle], filters, step < cycle, longest).select("h", "g", "k", none.alias("c"), none.alias("shards"), "new")
-        both = state.select("h", "g", "k", "c", "shards", none.alias("new")).unionByName(new)
-        seen = F.col("shards").bitwiseAND(bit) != 0
-        total = F.col("c") + F.when(seen, none).otherwise(F.col("new"))
-        after = (both.groupBy("h", "g").agg(F.max("k").alias("k"), F.max("c").alias("c"), F.max("shards").alias("shards"), F.sum("new").alias("new"))
-                 .select("h", "g", "k", total.alias("c"), F.when(F.col("new") > 0, F.col("shards").bitwiseOR(bit)).otherwise(F.col("shards")).alias("shards"),
-                         ((F.col("c") < least) & (total >= least)).alias("fresh")))
-        # a phrase below the threshold in all shards needs no row any more; words are complete after a cycle
-        done = F.col("shards") == 2**cycle - 1
-        if step >= cycle - 1:
-            done = done | (F.col("k") == 1)
+        new = _counted(shards[step % cycle], filters, step < cycle, longest, buckets)
+        after = state.drop("fresh").unionByName(new).groupBy("bucket").applyInArrow(_added(step, cycle, least), schema)
         before, path = path, scratch_path(spark, "phrases")
-        after.where((F.col("c") >= least) | ~done).write.parquet(path)
-        state = spark.read.schema(_STATE).parquet(path)
+        after.write.parquet(path)
+        state = spark.read.schema(schema).parquet(path)
         if before:
             remove_folder(spark, before)
         filters.destroy()
-        fresh.append(_bits(state.where("fresh"), filter_bits))
+        fresh.append(_bits(state.select(F.explode("fresh").alias("h")), filter_bits))
         if len(fresh) > cycle:
             fresh[-cycle - 1] = np.zeros(1, np.uint64)
         reached = reached | fresh[-1]
         step += 1
-    return state.where(F.col("c") >= least).select("h", "g", "k", "c")
+    return state.select("h", "g", "k", "c").mapInArrow(_frequent(least), "h long, g int, k byte, c long")
 
 
 def _bits(phrases: DataFrame, bits: int) -> np.ndarray:
