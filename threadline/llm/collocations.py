@@ -12,8 +12,9 @@ phrases that have reached the threshold, and those that did so within the last c
 that passes by chance is just counted too soon or again: counts carry the set of
 shards they come from, and a shard is added once.  Phrases are named by 96 bits of hash of language
 and words while they are counted; each task combines its counts before the shuffle, so a
-word or pair of a third of all rows is a row per task.  The words of frequent phrases are read from
-the texts in a last scan.
+word or pair of a third of all rows is one entry per task.  After two cycles, when words and pairs are
+complete, the shards are cut down to what can still hold longer phrases.  The words of frequent phrases are read
+from one part of the corpus after the other, until every phrase has them.
 
 Scores, containment and ranks are joins and aggregates over the frequent phrases; the join keys
 that many phrases share (their parts) are salted, the first ``top`` of a language are taken
@@ -26,6 +27,7 @@ length counts; no frequent phrase or an empty table gives no rows; extra columns
 
 from __future__ import annotations
 
+from functools import reduce
 from hashlib import sha256
 
 import numpy as np
@@ -48,7 +50,7 @@ ENDS = np.zeros(256, bool)
 ENDS[[*b".,;:!?", 0x0A, 0x0B, 0x0C, 0x0D]] = True
 GAPS = ENDS.copy()
 GAPS[[0x20, 0x09]] = True
-OTHER_CODE = mix(BYTE_CODE + np.uint64(0x5851F42D4C957F2D))
+OTHER_CODE = mix(BYTE_CODE + np.uint64(0x5851F42D4C957F2D)) | np.uint64(1)
 
 
 class Phrases:
@@ -61,7 +63,14 @@ class Phrases:
         self.piece = ends[self.start] + self.doc
         salt = salts[self.doc]
         self.h = prefix_hash(mix(range_hash(prefix_hash(BYTE_CODE[self.low]), self.start, self.end) + salt))
-        self.g = prefix_hash(mix(range_hash(prefix_hash(OTHER_CODE[self.low]), self.start, self.end) ^ salt))
+        # the second hash takes length, first and last letters of each word
+        size = self.end - self.start
+        ends = mix(salt ^ size.astype(np.uint64))
+        for k in range(4):
+            within = np.minimum(k, size - 1)
+            ends = (ends + OTHER_CODE[self.low[self.start + within]]) * OTHER_CODE[self.low[self.end - 1 - within]]
+            ends ^= ends >> np.uint64(29)
+        self.g = prefix_hash(mix(ends))
 
     def __len__(self):
         return len(self.start)
@@ -76,7 +85,10 @@ class Phrases:
         return self.piece[:n] == self.piece[k - 1:k - 1 + n]
 
     def words(self, k: int, at: int) -> str:
-        return b" ".join(self.low[s:e].tobytes() for s, e in zip(self.start[at:at + k], self.end[at:at + k])).decode("utf-8", "replace")
+        return self.raw(k, at).decode("utf-8", "replace")
+
+    def raw(self, k: int, at: int) -> bytes:
+        return b" ".join(self.low[s:e].tobytes() for s, e in zip(self.start[at:at + k], self.end[at:at + k]))
 
 
 def lang_salt(lang: str) -> int:
@@ -207,7 +219,7 @@ def _added(step: int, cycle: int, least: int):
         keep = (after >= least) | ~gone
         rows = int(keep.any())  # an empty bucket has no row
         pack = [pa.array([x[keep].tobytes()] * rows, pa.binary()) for x in (h, g, k, after, shards, seen)]
-        return pa.table([pa.array([key[0].as_py()] * rows, pa.int32()), pa.array([True] * rows), *pack,
+        return pa.table([pa.array([key[0].as_py()] * rows, pa.int32()), pa.array([True] * rows, pa.bool_()), *pack,
                          pa.array([as_int64(fresh).tolist()] * rows, pa.list_(pa.int64()))],
                         names=["bucket", "state", "h", "g", "k", "c", "shards", "seen", "fresh"])
 
@@ -227,19 +239,42 @@ def _frequent(least: int):
     return rows
 
 
-def count_phrases(spark: SparkSession, shards: list[DataFrame], longest: int = LONGEST, least: int = LEAST,
-                  filter_bits: int = FILTER_BITS) -> DataFrame:
-    """(h, g, k, c) of all phrases with a count of ``least`` or more, by cyclic scans of the shards.
+def _language_words(rows: DataFrame) -> DataFrame:
+    """(lang, n): words of each language."""
+    def count(batches):
+        total: dict[str, int] = {}
+        for b in batches:
+            data, offs = text_bytes(b.column("text"))
+            lang = b.column("lang").to_pylist()
+            for i, j in slices(offs):
+                doc = word_spans(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], GAPS)[2]
+                for d, n in enumerate(np.bincount(doc, minlength=j - i).tolist()):
+                    total[lang[i + d]] = total.get(lang[i + d], 0) + n
+        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["lang", "n"])
+
+    return rows.mapInArrow(count, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("n"))
+
+
+def count_phrases(spark: SparkSession, shards: list[DataFrame], longest: int, least: int, filter_bits: int,
+                  buckets: int) -> tuple[DataFrame, DataFrame]:
+    """((h, g, k, c) of all phrases with a count of ``least`` or more, by cyclic scans of the shards; (lang, n)).
 
-    Counts are kept packed, a row per bucket of hashes; there are more buckets the larger the corpus.
+    Counts are kept packed, a row per bucket of hashes.  After two cycles words and pairs are complete: the
+    shards are cut down to the runs of frequent pairs, which hold all longer frequent phrases.
     """
     cycle = len(shards)
-    buckets = BUCKETS * sum(x.rdd.getNumPartitions() for x in shards)
     reached = np.zeros(filter_bits // 64, np.uint64)
     fresh: list[np.ndarray] = []
     schema = f"{_PACKED}, fresh array<long>"
-    state, path, step = spark.createDataFrame([], schema), None, 0
+    state, path, step, trimmed = spark.createDataFrame([], schema), None, 0, None
+    words = stored(_language_words(reduce(DataFrame.unionByName, shards)))
     while step < cycle or any(x.any() for x in fresh[-cycle:]):
+        if step == 2 * cycle:
+            known = spark.sparkContext.broadcast(reached)
+            trimmed = [scratch_path(spark, "trimmed") for _ in shards]
+            for rows, to in zip(shards, trimmed):
+                _trimmed(rows, known, longest).write.parquet(to)
+            shards = [spark.read.schema("lang string, text binary").parquet(to) for to in trimmed]
         recent = np.bitwise_or.reduce(np.stack(fresh[-cycle:])) if fresh else reached
         filters = spark.sparkContext.broadcast((reached, recent))
         new = _counted(shards[step % cycle], filters, step < cycle, longest, buckets)
@@ -255,7 +290,9 @@ def count_phrases(spark: SparkSession, shards: list[DataFrame], longest: int = L
             fresh[-cycle - 1] = np.zeros(1, np.uint64)
         reached = reached | fresh[-1]
         step += 1
-    return state.select("h", "g", "k", "c").mapInArrow(_frequent(least), "h long, g int, k byte, c long")
+    for to in trimmed or []:
+        remove_folder(spark, to)
+    return stored(state.select("h", "g", "k", "c").mapInArrow(_frequent(least), "h long, g int, k byte, c long")), words
 
 
 def _bits(phrases: DataFrame, bits: int) -> np.ndarray:
@@ -268,46 +305,65 @@ def _bits(phrases: DataFrame, bits: int) -> np.ndarray:
     return out.view(np.uint64)
 
 
-def _named(rows: DataFrame, filters, longest: int) -> DataFrame:
-    """(h, g, lang, phrase, words): the phrases that pass the filter, once a task; rows of an empty phrase count the words of a language."""
+def _trimmed(rows: DataFrame, filters, longest: int) -> DataFrame:
+    """(lang, text): what can hold active phrases of three words or more, runs of frequent pairs with an end after each."""
+    def trim(batches):
+        known = filters.value
+        for p, lang in _read(batches):
+            n = max(0, len(p) - 1)
+            at = np.arange(n)
+            pair = p.within(2) & has(known, p.names(2, at)[0]) if n else np.zeros(0, bool)
+            first = np.flatnonzero(pair & ~np.concatenate([[False], pair[:-1]])) if n else at
+            last = np.flatnonzero(pair & ~np.concatenate([pair[1:], [False]])) + 1 if n else at
+            some = last - first >= 2
+            parts: dict[int, list[bytes]] = {}
+            for i, j in zip(first[some].tolist(), last[some].tolist()):
+                parts.setdefault(int(p.doc[i]), []).append(p.raw(j - i + 1, i))
+            if parts:
+                yield pa.RecordBatch.from_arrays([pa.array([lang[d] for d in parts], pa.string()),
+                                                  pa.array([b".".join(x) for x in parts.values()], pa.binary())], names=["lang", "text"])
+
+    return rows.mapInArrow(trim, "lang string, text binary")
+
+
+def _named(rows: DataFrame, filters, longest: int, buckets: int) -> DataFrame:
+    """The phrases that pass the filter, each once a task, packed by bucket."""
     def read(batches):
         known = filters.value
         seen: set[int] = set()
-        total: dict[str, int] = {}
         for p, lang in _read(batches):
-            for d, n in enumerate(np.bincount(p.doc, minlength=len(lang)).tolist()):
-                total[lang[d]] = total.get(lang[d], 0) + n
             out: list[tuple] = []
-            ok = np.ones(len(p), bool)
             for k in range(1, longest + 1):
-                n = len(p) - k + 1
-                if n <= 0:
+                if k > len(p):
                     break
-                if k > 1:
-                    ok = ok[:n] & ok[1:n + 1] & p.within(k)
-                at = np.flatnonzero(ok)
+                at = np.flatnonzero(p.within(k))
                 h, g = p.names(k, at)
-                passed = has(known, h)
-                ok[at] = passed
-                h, g, at = h[passed], g[passed], at[passed]
-                _, first = np.unique(h, return_index=True)
-                for x in first.tolist():
+                passed = np.flatnonzero(has(known, h))
+                _, first = np.unique(h[passed], return_index=True)
+                for x in passed[first].tolist():
                     name = int(h[x])
                     if name not in seen:
                         seen.add(name)
                         out.append((name, int(g[x]), lang[p.doc[at[x]]], p.words(k, int(at[x]))))
             if out:
-                h, g, langs, phrases = zip(*out)
-                yield pa.RecordBatch.from_arrays([pa.array(as_int64(np.array(h, np.uint64))), pa.array(g, pa.int32()), pa.array(langs, pa.string()),
-                                                  pa.array(phrases, pa.string()), pa.array([0] * len(h), pa.int64())],
-                                                 names=["h", "g", "lang", "phrase", "words"])
-        if total:
-            n = len(total)
-            yield pa.RecordBatch.from_arrays([pa.array([0] * n, pa.int64()), pa.array([0] * n, pa.int32()), pa.array(list(total), pa.string()),
-                                              pa.array([""] * n), pa.array(list(total.values()), pa.int64())],
-                                             names=["h", "g", "lang", "phrase", "words"])
+                out.sort()
+                h = np.array([x[0] for x in out], np.uint64)
+                cut = _buckets(h, buckets)
+                used = np.flatnonzero(np.diff(cut))
+                pack = [[[x[c] for x in out[cut[b]:cut[b + 1]]] for b in used] for c in (1, 2, 3)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(used.astype(np.int32)), pa.array([as_int64(h[cut[b]:cut[b + 1]]).tolist() for b in used], pa.list_(pa.int64())),
+                     pa.array(pack[0], pa.list_(pa.int32())), pa.array(pack[1], pa.list_(pa.string())), pa.array(pack[2], pa.list_(pa.string()))],
+                    names=["bucket", "h", "g", "lang", "phrase"])
+
+    packed = rows.mapInArrow(read, "bucket int, h array<long>, g array<int>, lang array<string>, phrase array<string>")
+    return packed.groupBy("bucket").applyInArrow(_unpack, "h long, g int, lang string, phrase string")
+
 
-    return rows.mapInArrow(read, "h long, g int, lang string, phrase string, words long")
+def _unpack(t: pa.Table) -> pa.Table:
+    """The distinct phrases of a bucket."""
+    flat = pa.table({c: t.column(c).combine_chunks().flatten() for c in ("h", "g", "lang", "phrase")})
+    return flat.group_by(["h", "g"]).aggregate([("lang", "min"), ("phrase", "min")]).select(["h", "g", "lang_min", "phrase_min"]).rename_columns(flat.column_names)
 
 
 def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", longest: int = LONGEST,
@@ -316,18 +372,30 @@ def frequent_phrases(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     spark = docs.sparkSession
     small_batches(spark)
     path = scratch_path(spark, "shards")
-    (docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-                 F.pmod(F.xxhash64(F.col(id_col)), F.lit(n_shards)).cast("int").alias("shard"))
-     .write.partitionBy("shard").parquet(path))
-    whole = spark.read.schema("lang string, text string, shard int").parquet(path)
+    lang, text = F.coalesce(F.col(lang_col).cast("string"), F.lit("und")), F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    code = F.pmod(F.xxhash64(F.col(id_col)), F.lit(16 * n_shards))
+    # the first shard has a small first part, where most frequent phrases get their words from
+    part = F.when(code == 0, 0).when(code % n_shards == 0, 1).otherwise(2)
+    (docs.select(lang.alias("lang"), text.cast("binary").alias("text"), (code % n_shards).cast("int").alias("shard"), part.cast("int").alias("part"))
+     .write.partitionBy("shard", "part").parquet(path))
+    whole = spark.read.schema("lang string, text binary, shard int, part int").parquet(path)
+    buckets = BUCKETS * whole.rdd.getNumPartitions()
     shards = [whole.where(F.col("shard") == k).select("lang", "text") for k in range(n_shards)]
-    counts = stored(count_phrases(spark, shards, longest, least, filter_bits))
-    named = stored(_named(whole.select("lang", "text"), spark.sparkContext.broadcast(_bits(counts, filter_bits)), longest))
-    words = named.where("phrase = ''").groupBy("lang").agg(F.sum("words").alias("n"))
-    texts = named.where("phrase <> ''").groupBy("h", "g").agg(F.min("lang").alias("lang"), F.min("phrase").alias("phrase"))
-    phrases = stored(counts.join(texts, ["h", "g"]).select("lang", "phrase", F.col("k").cast("int").alias("k"), F.col("c").alias("f")))
+    counts, words = count_phrases(spark, shards, longest, least, filter_bits, buckets)
+    # words of phrases: from one part of the corpus after the other, until every phrase has them
+    todo, names = counts, []
+    for k, p in [(0, 0), (0, 1), *((k, 2) for k in range(1, n_shards))]:
+        if todo.isEmpty():
+            break
+        filters = spark.sparkContext.broadcast(_bits(todo, filter_bits))
+        rows = whole.where((F.col("shard") == k) & (F.col("part") == p)).select("lang", "text")
+        found = _named(rows, filters, longest, buckets)
+        names.append(stored(todo.join(found, ["h", "g"])))
+        todo = stored(todo.join(names[-1].select("h", "g"), ["h", "g"], "left_anti"))
+    phrases = reduce(DataFrame.unionByName, names) if names else counts.select("*", F.lit("").alias("lang"), F.lit("").alias("phrase"))
+    phrases = stored(phrases.select("lang", "phrase", F.col("k").cast("int").alias("k"), F.col("c").alias("f")))
     remove_folder(spark, path)
-    return phrases, stored(words)
+    return phrases, words
 
 
 def collocations(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", longest: int = LONGEST,
