@@ -1,6 +1,7 @@
 """Exact dedup, Jaccard join and both substring dedups against brute force."""
 
 import hashlib
+import random
 import re
 
 import numpy as np
@@ -237,3 +238,37 @@ def test_divide_skip_forest_joins_all_that_pairs_join():
         all_ = jaccard_join.divide_skip(arrays, bounds, find_all=True)
         assert roots(jaccard_join.divide_skip(arrays, bounds), range(30)) == roots(all_, range(30))
         assert roots(jaccard_join.divide_skip(arrays, bounds, root=start), start) == roots(all_, start)
+
+
+def template_family(n, words=160, own=45, seed=3):
+    """Texts of one template whose pairs stay below the threshold, with a few true near copies among them."""
+    rng = random.Random(seed)
+    template = [f"t{k}" for k in range(words)]
+    rows = []
+    for k in range(n):
+        w = list(template)
+        for at in rng.sample(range(words), own // 4):
+            w[at] = f"v{k}x{at}"
+        rows.append((k, " ".join(w)))
+        if k % 50 == 7:
+            rows.append((n + k, " ".join(w[:-2] + [f"z{k}"])))
+    return rows
+
+
+def test_jaccard_template_family_meets_by_rare_shingles(spark, docs, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 40)
+    monkeypatch.setattr(jaccard_join, "LARGE", 20)
+    rows = template_family(300)
+    got = jaccard_join.jaccard_components(docs(rows)).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == sorted(brute_components(rows, 4, 85, 100))
+
+
+def test_jaccard_large_groups_of_a_common_shingle(spark, docs, monkeypatch):
+    # few words in all: rare shingles are shared by many sets, blocks become pairs of parts
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 10)
+    monkeypatch.setattr(jaccard_join, "LARGE", 5)
+    rng = random.Random(4)
+    rows = [(k, " ".join(["a", "b", "c", "d", "e", "f"][(j * j + (j in spots)) % 6] for j in range(60)))
+            for k in range(250) for spots in [set(rng.sample(range(60), rng.randint(0, 6)))]]
+    got = jaccard_join.jaccard_components(docs(rows)).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == sorted(brute_components(rows, 4, 85, 100))

@@ -217,13 +217,17 @@ def sorted_groups(batches, key: str):
 
 def when_small(df: DataFrame, rows: int) -> DataFrame:
     """Broadcast a written table of at most ``rows`` rows; a larger one is shuffled."""
-    return F.broadcast(df) if df.count() <= rows else df
+    n = getattr(df, "written_rows", None)  # :func:`compact` has counted it
+    return F.broadcast(df) if (df.count() if n is None else n) <= rows else df
 
 
 def compact(df: DataFrame, rows: int = 500_000) -> DataFrame:
     """A written table in as many partitions as its rows need (narrow tables of ids)."""
     out = checkpointed(df)
-    return out.coalesce(max(1, -(-out.count() // rows)))
+    n = out.count()
+    out = out.coalesce(max(1, -(-n // rows)))
+    out.written_rows = n
+    return out
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -234,7 +238,7 @@ def components(edges: DataFrame) -> DataFrame:
     partitions as it needs.
     """
     state = compact(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
-    parts = max(1, -(-state.count() // 500_000))
+    parts = max(1, -(-state.written_rows // 500_000))
 
     def star(e: DataFrame, large: bool) -> DataFrame:
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select(F.col("b").alias("u"), F.col("a").alias("v")))

@@ -26,10 +26,15 @@ another component, which gathers the parts of a large group at linear cost.
 
 Rest.  Signatures that still join different components give the remaining
 candidates.  A class that meets a large component is searched in blocks of that
-component's sets, so a group of near copies is never spelled out as pairs.  Classes of
-small components meet as pairs, most of which parity sketches drop (their Hamming
-distance never exceeds the symmetric difference); the others are searched in the same
-way.  No link between components can be lost, and components are all that is reported.
+component's sets, so a group of near copies is never spelled out as pairs.  The remaining classes
+of small components are routed anew by their rarest shingles: linked sets share one of
+the shingles beyond the required overlap, so sets of one template, whose rare
+shingles differ, do not meet.  What one rare shingle brings together is a block; a block of more
+than ``BLOCK_SETS`` sets becomes pairs of bounded parts.  No link between components can be
+lost, and components are all that is reported.
+
+Signatures are emitted in two passes over the texts: the first fills a bit filter of fixed size with
+those that come twice, the second emits just what passes.
 
 Defined cases: null or blank text has no shingles and links with nothing; fewer than
 ``SHINGLE`` words are one shingle; repeated rows belong to one class; null ids are larger
@@ -47,6 +52,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from threadline.llm.common import (LOWER, as_int64, checkpointed, compact, components, documents, drop_rows, mix, prefix_hash, range_hash, slices,
                                    small_batches, sorted_groups, text_bytes, to_lists, when_small, word_hashes, word_spans)
+from threadline.llm.recurring import passes, recurring_bits
 
 SHINGLE = 4
 NUM, DEN = 85, 100
@@ -57,6 +63,7 @@ LARGE = 1000
 MERGE_ROUNDS = 1
 MU = 0.01  # DivideSkip's weight of a probe against a merge step
 BROADCAST_ROWS = 500_000
+FILTER_BITS = 1 << 27
 SALTS = 16
 _NO_ID = 2**63 - 1
 
@@ -164,15 +171,6 @@ def set_class(s: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return np.where(np.diff(offs) > 0, name | np.uint64(1), np.uint64(0))
 
 
-def sketch(s: np.ndarray, bounds: Bounds) -> bytes:
-    """Parities of the shingles in a power of two of hash slots, 512 or six per allowed difference at least."""
-    bits = 512
-    while bits < 6 * bounds.difference(2 * len(s)):
-        bits *= 2
-    slot = (mix(s + np.uint64(0x9FB21C651E98DF25)) & np.uint64(bits - 1)).astype(np.int64)
-    return np.packbits((np.bincount(slot, minlength=bits) & 1).astype(np.uint8)).tobytes()
-
-
 def divide_skip(sets: list[np.ndarray], bounds: Bounds, find_all: bool = False, root: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links between sets (sorted distinct hashes) by T-occurrence search over an inverted index.
 
@@ -240,27 +238,49 @@ def divide_skip(sets: list[np.ndarray], bounds: Bounds, find_all: bool = False,
     return links
 
 
-def profiles(docs: DataFrame, id_col: str, text_col: str, shingle: int, bounds: Bounds) -> DataFrame:
-    """Per row: id, th, n, cls and its signatures (only for the first row of a class in a task)."""
+def _class_sets(batches, shingle: int):
+    """(batch, first row, next row, shingles, offsets, class, first of its class in the task) of bounded slices."""
+    seen: set[int] = set()
+    for b in batches:
+        data, offs = text_bytes(b.column("text"))
+        for i, j in slices(offs):
+            s, o = shingle_sets(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], shingle)
+            cls = set_class(s, o)
+            new = np.zeros(j - i, bool)
+            for k, c in enumerate(cls.tolist()):
+                if c and c not in seen:
+                    seen.add(c)
+                    new[k] = True
+            yield b, i, j, s, o, cls, new
+
+
+def profiles(docs: DataFrame, shingle: int) -> DataFrame:
+    """Per row: id, th, n, cls."""
     def rows(batches):
-        seen: set[int] = set()
-        for b in batches:
-            data, offs = text_bytes(b.column("text"))
-            for i, j in slices(offs):
-                s, o = shingle_sets(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], shingle)
-                cls = set_class(s, o)
-                new = np.zeros(j - i, bool)
-                for k, c in enumerate(cls.tolist()):
-                    if c and c not in seen:
-                        seen.add(c)
-                        new[k] = True
-                sig, count = signatures(s, o, new, bounds)
-                part = b.slice(i, j - i)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("th"), pa.array(np.diff(o), pa.int64()), pa.array(as_int64(cls)),
-                     to_lists(as_int64(sig), count, pa.int64())], names=["id", "th", "n", "cls", "sigs"])
+        for b, i, j, _, o, cls, _ in _class_sets(batches, shingle):
+            yield pa.RecordBatch.from_arrays([b.column("id").slice(i, j - i), b.column("th").slice(i, j - i),
+                                              pa.array(np.diff(o), pa.int64()), pa.array(as_int64(cls))], names=["id", "th", "n", "cls"])
+
+    return docs.mapInArrow(rows, "id long, th long, n long, cls long")
+
 
-    return docs.mapInArrow(rows, "id long, th long, n long, cls long, sigs array<long>")
+def recurring_signatures(docs: DataFrame, shingle: int, bounds: Bounds, bits: int = FILTER_BITS) -> DataFrame:
+    """(sig, cls): signatures of the classes (once a task) that pass the filter of those that come twice."""
+    def codes(batches):
+        for _, _, _, s, o, _, new in _class_sets(batches, shingle):
+            yield signatures(s, o, new, bounds)[0]
+
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    found = docs.sparkSession.sparkContext.broadcast(recurring_bits(docs.select("text"), codes, int(total * 0.1), bits))
+
+    def rows(batches):
+        known = found.value
+        for _, _, _, s, o, cls, new in _class_sets(batches, shingle):
+            sig, count = signatures(s, o, new, bounds)
+            ok = passes(known, sig)
+            yield pa.RecordBatch.from_arrays([pa.array(as_int64(sig[ok])), pa.array(as_int64(np.repeat(cls, count)[ok]))], names=["sig", "cls"])
+
+    return docs.select("text").mapInArrow(rows, "sig long, cls long")
 
 
 def _shared(batches):
@@ -277,56 +297,42 @@ def _shared(batches):
         yield pa.RecordBatch.from_arrays([pa.array(sig[many]), pa.array(cls[many]), pa.array(hub[many])], names=["sig", "cls", "hub"])
 
 
-def _cross(bounds: Bounds):
-    """What remains to be compared under signatures that join several components.
+def _asked(rows: DataFrame) -> DataFrame:
+    """(hub, cls): classes that meet a large component of another root under a signature (hub: that root).
 
-    A class meets the members of a large component as a query (hub: the component, query
-    true), once per task; classes of small components meet as pairs (hub: a class)
-    unless their sketches rule the link out, under the least signature they share.
+    Of two large components the smaller one (by size, then name) asks the other.
     """
-    def rows(batches):
-        asked: set[tuple[int, int]] = set()
-        for t in sorted_groups(batches, "sig"):
-            sig, cls, root, size, members = (t.column(c).to_numpy() for c in ("sig", "cls", "root", "n", "members"))
-            sk = t.column("sketch").to_pylist()
-            sigs = t.column("sigs").combine_chunks()
-            head = np.append(np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])), len(sig))
-            a, b, c, query = [], [], [], []
-            for s, e in zip(head[:-1], head[1:]):
-                if (root[s:e] == root[s]).all():
-                    continue
-                r, m = root[s:e], members[s:e]
-                for big in np.unique(r[m > LARGE]):
-                    # of two large components the smaller one (by size, then name) asks the other
-                    mine = m[r == big][0]
-                    for k in (s + np.flatnonzero((r != big) & ((m < mine) | ((m == mine) & (r > big))))).tolist():
-                        if (big, int(cls[k])) not in asked:
-                            asked.add((big, int(cls[k])))
-                            a.append(big)
-                            b.append(cls[k])
-                            c.append(size[k])
-                            query.append(True)
-                low = s + np.flatnonzero(m <= LARGE)
-                if len(low) < 2 or (root[low] == root[low[0]]).all():
-                    continue
-                width = min(len(sk[x]) for x in low)
-                bits = np.stack([np.bitwise_xor.reduce(np.frombuffer(sk[x], np.uint64).reshape(-1, width // 8), axis=0) for x in low])
-                r, z = root[low], size[low]
-                own = [set(sigs[int(x)].values.to_numpy().tolist()) for x in low]
-                for i in range(len(low) - 1):
-                    far = np.bitwise_count(bits[i + 1:] ^ bits[i]).sum(axis=1)
-                    ok = (r[i + 1:] != r[i]) & (far <= bounds.difference(z[i + 1:] + z[i]))
-                    ok &= np.minimum(z[i + 1:], z[i]) * bounds.den >= np.maximum(z[i + 1:], z[i]) * bounds.num
-                    for j in (i + 1 + np.flatnonzero(ok)).tolist():
-                        if min(own[i] & own[j]) == sig[s]:
-                            a.append(cls[low[i]])
-                            b.append(cls[low[j]])
-                            c.append(z[j])
-                            query.append(False)
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(c, pa.int64()), pa.array(query)],
-                                                 names=["hub", "cls", "n", "query"])
-    return rows
+    large = rows.where(F.col("members") > LARGE).select("sig", F.col("root").alias("hub"), F.col("members").alias("size")).distinct()
+    asks = (F.col("members") < F.col("size")) | ((F.col("members") == F.col("size")) & (F.col("root") > F.col("hub")))
+    return rows.select("sig", "cls", "root", "members").join(large, "sig").where((F.col("root") != F.col("hub")) & asks).select("hub", "cls").distinct()
+
+
+def _prefixed(classes: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
+    """(hub, chunk, cls, root, first): blocks of ``classes`` (cls, root) that share a rare shingle.
+
+    A set of n shingles and a linked one share at least T of them, T by the smallest size that may be
+    linked, so they share one of the n - T + 1 shingles rarest among these classes.
+    """
+    own = sets.select("cls", "n", "set").join(when_small(classes, BROADCAST_ROWS), "cls")
+    least = F.ceil(F.col("n") * F.lit(bounds.num) / F.lit(bounds.den))
+    need = F.ceil(F.lit(bounds.num) * (F.col("n") + least) / F.lit(bounds.num + bounds.den))
+    tokens = own.select("cls", F.explode("set").alias("s"))
+    often = tokens.groupBy("s").agg(F.count("*").alias("df")).where("df > 1")
+    rare = (tokens.join(often, "s").groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("common"))
+            .join(own.select("cls", "root", "n", (F.col("n") - need + 1).cast("int").alias("p")), "cls")
+            # the shingles of one class alone come first and meet nobody
+            .withColumn("p", F.greatest(F.lit(0), F.col("p") - (F.col("n") - F.size("common"))).cast("int"))
+            .where("p > 0").select("cls", "root", "n", F.explode(F.slice("common", F.lit(1), F.col("p"))).alias("t"))
+            .select("cls", "root", "n", F.col("t.s").alias("hub")))
+    rare = checkpointed(rare)
+    parts = F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("long")
+    meet = rare.groupBy("hub").agg(parts.alias("parts"), F.count("*").alias("c"), F.min("root").alias("a"), F.max("root").alias("z"))
+    met = rare.join(meet.where("c > 1 and a <> z").select("hub", "parts"), "hub")
+    # parts of a large block meet in pairs of parts
+    part = F.pmod(F.xxhash64("cls"), F.col("parts"))
+    pairs = met.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    chunk = F.least("part", "other") * F.col("parts") + F.greatest("part", "other")
+    return pairs.select("hub", chunk.alias("chunk"), "cls", "root", F.lit(False).alias("first"))
 
 
 def _dealt(members: DataFrame, sets: DataFrame) -> DataFrame:
@@ -372,19 +378,20 @@ def _open(shared: DataFrame, part: DataFrame) -> DataFrame:
 
 def _rest(rows: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
     """Edges between components that meet under a signature (``rows`` as of :func:`_open`)."""
-    of_class = (rows.groupBy("cls").agg(F.first("root").alias("root"), F.first("members").alias("members"),
-                                        F.collect_set("sig").alias("sigs")).join(sets.select("cls", "n", "sketch"), "cls"))
-    todo = compact(of_class.select("*", F.explode("sigs").alias("sig")).repartition("sig").sortWithinPartitions("sig", "cls")
-                        .mapInArrow(_cross(bounds), "hub long, cls long, n long, query boolean").distinct())
-    ask = todo.where("query").select("hub", "cls")
-    asked = compact(ask.select("hub").distinct())
-    # the members of the asked components, in chunks; a query goes to each chunk
-    own = rows.select(F.col("root").alias("hub"), "cls").distinct().join(asked, "hub")
-    dealt = compact(_dealt(compact(own), sets))
-    to = dealt.select("hub", "chunk").distinct()
-    queries = ask.join(to, "hub").select("hub", "chunk", "cls", F.col("cls").alias("root"), F.lit(True).alias("first"))
-    placed = dealt.select("hub", "chunk", "cls", F.col("hub").alias("root"), F.lit(False).alias("first")).union(queries)
-    return _searched(placed, sets, bounds).union(_linked(todo.where("not query").select("hub", "cls", "n"), sets, bounds))
+    ask = compact(_asked(rows))
+    found = None
+    if not ask.isEmpty():
+        asked = compact(ask.select("hub").distinct())
+        # the members of the asked components, in chunks; a query goes to each chunk
+        own = rows.select(F.col("root").alias("hub"), "cls").distinct().join(asked, "hub")
+        dealt = compact(_dealt(compact(own), sets))
+        to = dealt.select("hub", "chunk").distinct()
+        queries = ask.join(to, "hub").select("hub", "chunk", "cls", F.col("cls").alias("root"), F.lit(True).alias("first"))
+        placed = dealt.select("hub", "chunk", "cls", F.col("hub").alias("root"), F.lit(False).alias("first")).union(queries)
+        found = _searched(placed, sets, bounds)
+    low = compact(rows.where(F.col("members") <= LARGE).select("cls", "root").distinct())
+    few = _searched(_prefixed(low, sets, bounds), sets, bounds)
+    return found.union(few) if found is not None else few
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -396,10 +403,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     bounds = Bounds(num, den)
     text = F.col(text_col).cast("string")
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
-    prof = checkpointed(profiles(rows, id_col, text_col, shingle, bounds))
-
-    sigs = prof.select("cls", F.explode("sigs").alias("sig"))
-    shared = checkpointed(sigs.repartition("sig").sortWithinPartitions("sig", "cls")
+    prof = checkpointed(profiles(rows, shingle))
+    shared = checkpointed(recurring_signatures(rows, shingle, bounds).repartition("sig").sortWithinPartitions("sig", "cls")
                           .mapInArrow(_shared, "sig long, cls long, hub long"))
 
     # the sets of the classes that meet another class, from one document of each
@@ -414,15 +419,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             for i, j in slices(offs):
                 s, o = shingle_sets(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], shingle)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("cls").slice(i, j - i), pa.array(np.diff(o), pa.int64()), to_lists(as_int64(s), np.diff(o), pa.int64()),
-                     pa.array([sketch(s[x:y], bounds) for x, y in zip(o[:-1], o[1:])], pa.binary())],
-                    names=["cls", "n", "set", "sketch"])
+                    [b.column("cls").slice(i, j - i), pa.array(np.diff(o), pa.int64()), to_lists(as_int64(s), np.diff(o), pa.int64())],
+                    names=["cls", "n", "set"])
 
     picked = rows.join(when_small(one, BROADCAST_ROWS), ["id", "th"])
     again = prof.groupBy("id", "th").agg(F.count("*").alias("n")).where("n > 1").join(one, ["id", "th"])
     if not again.isEmpty():  # identical rows: one of them
         picked = picked.dropDuplicates(["cls"])
-    sets = checkpointed(picked.select("cls", "text").mapInArrow(as_sets, "cls long, n long, set array<long>, sketch binary"))
+    sets = checkpointed(picked.select("cls", "text").mapInArrow(as_sets, "cls long, n long, set array<long>"))
 
     # families: classes that signatures join at all; small ones are one block each
     family = compact(components(shared.where("cls <> hub").select(F.col("cls").alias("a"), F.col("hub").alias("b"))))
