@@ -272,3 +272,11 @@ def test_jaccard_large_groups_of_a_common_shingle(spark, docs, monkeypatch):
             for k in range(250) for spots in [set(rng.sample(range(60), rng.randint(0, 6)))]]
     got = jaccard_join.jaccard_components(docs(rows)).select("doc_id", "n_shingles", "component_id").collect()
     assert sorted(map(tuple, got)) == sorted(brute_components(rows, 4, 85, 100))
+
+
+def test_components_in_one_partition_and_by_stars(spark):
+    rng = random.Random(5)
+    edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(150)] + [(k, k + 1) for k in range(300, 340)]
+    df = spark.createDataFrame(edges, "a long, b long")
+    one, many = (sorted(map(tuple, common.components(df, rows).collect())) for rows in (500_000, 40))
+    assert one == many and dict(one)[340] == 300

@@ -230,15 +230,35 @@ def compact(df: DataFrame, rows: int = 500_000) -> DataFrame:
     return out
 
 
-def components(edges: DataFrame) -> DataFrame:
+def _contracted(batches):
+    """(node, root) of the edges of one partition, by union-find."""
+    parent: dict[int, int] = {}
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for b in batches:
+        for x, y in zip(b.column("a").to_pylist(), b.column("b").to_pylist()):
+            x, y = find(parent.setdefault(x, x)), find(parent.setdefault(y, y))
+            if x != y:
+                parent[max(x, y)] = min(x, y)
+    yield pa.RecordBatch.from_arrays([pa.array(list(parent), pa.int64()), pa.array([find(x) for x in parent], pa.int64())], names=["node", "root"])
+
+
+def components(edges: DataFrame, rows: int = 500_000) -> DataFrame:
     """(node, root) of the connected components of edges (a, b); root is the smallest node.
 
-    Alternating large-star and small-star steps; each step sends a node the
+    At most ``rows`` edges, one partition, are contracted where they are.  More are
+    contracted by alternating large-star and small-star steps; each step sends a node the
     smallest neighbour only.  Every state is checkpointed and kept in as many
     partitions as it needs.
     """
-    state = compact(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct())
-    parts = max(1, -(-state.written_rows // 500_000))
+    state = compact(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), rows)
+    parts = max(1, -(-state.written_rows // rows))
+    if parts == 1:
+        return state.mapInArrow(_contracted, "node long, root long")
 
     def star(e: DataFrame, large: bool) -> DataFrame:
         both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select(F.col("b").alias("u"), F.col("a").alias("v")))

@@ -30,7 +30,8 @@ component's sets, so a group of near copies is never spelled out as pairs.  The
 of small components are routed anew by their rarest shingles: linked sets share one of
 the shingles beyond the required overlap, so sets of one template, whose rare
 shingles differ, do not meet.  What one rare shingle brings together is a block; a block of more
-than ``BLOCK_SETS`` sets becomes pairs of bounded parts.  No link between components can be
+than ``BLOCK_SETS`` sets becomes pairs of bounded parts; sets without a partner in their block by
+size and parity sketch leave it before the search.  No link between components can be
 lost, and components are all that is reported.
 
 Signatures are emitted in two passes over the texts: the first fills a bit filter of fixed size with
@@ -64,6 +65,7 @@ MERGE_ROUNDS = 1
 MU = 0.01  # DivideSkip's weight of a probe against a merge step
 BROADCAST_ROWS = 500_000
 FILTER_BITS = 1 << 27
+SKETCH_BITS = 1024
 SALTS = 16
 _NO_ID = 2**63 - 1
 
@@ -171,6 +173,12 @@ def set_class(s: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return np.where(np.diff(offs) > 0, name | np.uint64(1), np.uint64(0))
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """Parities of the shingles in ``SKETCH_BITS`` hash slots; their Hamming distance never exceeds the symmetric difference."""
+    slot = (mix(s + np.uint64(0x9FB21C651E98DF25)) & np.uint64(SKETCH_BITS - 1)).astype(np.int64)
+    return np.packbits((np.bincount(slot, minlength=SKETCH_BITS) & 1).astype(np.uint8)).tobytes()
+
+
 def divide_skip(sets: list[np.ndarray], bounds: Bounds, find_all: bool = False, root: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links between sets (sorted distinct hashes) by T-occurrence search over an inverted index.
 
@@ -376,6 +384,28 @@ def _open(shared: DataFrame, part: DataFrame) -> DataFrame:
                    .withColumn("hub_root", F.coalesce("hub_root", "hub")))
 
 
+def _likely(bounds: Bounds):
+    """Of the classes of each block, those with a partner whose size and sketch allow a link."""
+    def rows(batches):
+        for t in sorted_groups(batches, "g"):
+            g, root, n = (t.column(c).to_numpy() for c in ("g", "root", "n"))
+            bits = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint64).reshape(len(g), SKETCH_BITS // 64)
+            some = np.zeros(len(g), bool)
+            at, step = np.arange(len(g)), 0
+            while len(at):  # every pair of rows of one block, by their distance in the order
+                step += 1
+                at = at[at + step < len(g)]
+                at = at[g[at + step] == g[at]]
+                i, j = at, at + step
+                use = (root[i] != root[j]) & (np.minimum(n[i], n[j]) * bounds.den >= np.maximum(n[i], n[j]) * bounds.num)
+                i, j = i[use], j[use]
+                use = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1) <= bounds.difference(n[i] + n[j])
+                some[i[use]] = some[j[use]] = True
+            keep = np.flatnonzero(some)
+            yield from t.select(["hub", "chunk", "cls", "root", "first"]).take(pa.array(keep)).to_batches()
+    return rows
+
+
 def _rest(rows: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
     """Edges between components that meet under a signature (``rows`` as of :func:`_open`)."""
     ask = compact(_asked(rows))
@@ -390,7 +420,11 @@ def _rest(rows: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
         placed = dealt.select("hub", "chunk", "cls", F.col("hub").alias("root"), F.lit(False).alias("first")).union(queries)
         found = _searched(placed, sets, bounds)
     low = compact(rows.where(F.col("members") <= LARGE).select("cls", "root").distinct())
-    few = _searched(_prefixed(low, sets, bounds), sets, bounds)
+    blocks = compact(_prefixed(low, sets, bounds))
+    sketched = (blocks.withColumn("g", F.xxhash64("hub", "chunk")).join(sets.select("cls", "n", "sketch"), "cls")
+                .repartition("g").sortWithinPartitions("g"))
+    likely = sketched.mapInArrow(_likely(bounds), "hub long, chunk long, cls long, root long, first boolean")
+    few = _searched(likely, sets, bounds)
     return found.union(few) if found is not None else few
 
 
@@ -419,14 +453,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             for i, j in slices(offs):
                 s, o = shingle_sets(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], shingle)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("cls").slice(i, j - i), pa.array(np.diff(o), pa.int64()), to_lists(as_int64(s), np.diff(o), pa.int64())],
-                    names=["cls", "n", "set"])
+                    [b.column("cls").slice(i, j - i), pa.array(np.diff(o), pa.int64()), to_lists(as_int64(s), np.diff(o), pa.int64()),
+                     pa.array([sketch(s[x:y]) for x, y in zip(o[:-1], o[1:])], pa.binary())], names=["cls", "n", "set", "sketch"])
 
     picked = rows.join(when_small(one, BROADCAST_ROWS), ["id", "th"])
     again = prof.groupBy("id", "th").agg(F.count("*").alias("n")).where("n > 1").join(one, ["id", "th"])
     if not again.isEmpty():  # identical rows: one of them
         picked = picked.dropDuplicates(["cls"])
-    sets = checkpointed(picked.select("cls", "text").mapInArrow(as_sets, "cls long, n long, set array<long>"))
+    sets = checkpointed(picked.select("cls", "text").mapInArrow(as_sets, "cls long, n long, set array<long>, sketch binary"))
 
     # families: classes that signatures join at all; small ones are one block each
     family = compact(components(shared.where("cls <> hub").select(F.col("cls").alias("a"), F.col("hub").alias("b"))))
