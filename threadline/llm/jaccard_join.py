@@ -65,7 +65,7 @@ MERGE_ROUNDS = 1
 MU = 0.01  # DivideSkip's weight of a probe against a merge step
 BROADCAST_ROWS = 500_000
 FILTER_BITS = 1 << 27
-SKETCH_BITS = 1024
+SKETCH_BITS = 512
 SALTS = 16
 _NO_ID = 2**63 - 1
 
@@ -173,10 +173,30 @@ def set_class(s: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return np.where(np.diff(offs) > 0, name | np.uint64(1), np.uint64(0))
 
 
-def sketch(s: np.ndarray) -> bytes:
-    """Parities of the shingles in ``SKETCH_BITS`` hash slots; their Hamming distance never exceeds the symmetric difference."""
-    slot = (mix(s + np.uint64(0x9FB21C651E98DF25)) & np.uint64(SKETCH_BITS - 1)).astype(np.int64)
-    return np.packbits((np.bincount(slot, minlength=SKETCH_BITS) & 1).astype(np.uint8)).tobytes()
+def sketch(s: np.ndarray, bounds: Bounds) -> bytes:
+    """Parities of the shingles in a power of two of hash slots, six per allowed difference at least.
+
+    The Hamming distance of two sketches never exceeds the symmetric difference; a sketch is folded to the width of a narrower one.
+    """
+    bits = SKETCH_BITS
+    while bits < 6 * bounds.difference(2 * len(s)):
+        bits *= 2
+    slot = (mix(s + np.uint64(0x9FB21C651E98DF25)) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(slot, minlength=bits) & 1).astype(np.uint8)).tobytes()
+
+
+def folded(sketches: list[bytes]) -> dict[int, np.ndarray]:
+    """Matrices of sketches by width in words, each with the rows that are as wide or wider (others are zero)."""
+    width = np.array([len(x) // 8 for x in sketches], np.int64)
+    out: dict[int, np.ndarray] = {}
+    for w in np.unique(width)[::-1].tolist():
+        m = np.zeros((len(sketches), w), np.uint64)
+        own = np.flatnonzero(width == w)
+        m[own] = np.frombuffer(b"".join(sketches[k] for k in own), np.uint64).reshape(len(own), w)
+        for k in np.flatnonzero(width > w).tolist():
+            m[k] = np.bitwise_xor.reduce(np.frombuffer(sketches[k], np.uint64).reshape(-1, w), axis=0)
+        out[w] = m
+    return out
 
 
 def divide_skip(sets: list[np.ndarray], bounds: Bounds, find_all: bool = False, root: np.ndarray | None = None) -> list[tuple[int, int]]:
@@ -389,7 +409,8 @@ def _likely(bounds: Bounds):
     def rows(batches):
         for t in sorted_groups(batches, "g"):
             g, root, n = (t.column(c).to_numpy() for c in ("g", "root", "n"))
-            bits = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint64).reshape(len(g), SKETCH_BITS // 64)
+            sketches = t.column("sketch").to_pylist()
+            bits, width = folded(sketches), np.array([len(x) // 8 for x in sketches])
             some = np.zeros(len(g), bool)
             at, step = np.arange(len(g)), 0
             while len(at):  # every pair of rows of one block, by their distance in the order
@@ -399,13 +420,23 @@ def _likely(bounds: Bounds):
                 i, j = at, at + step
                 use = (root[i] != root[j]) & (np.minimum(n[i], n[j]) * bounds.den >= np.maximum(n[i], n[j]) * bounds.num)
                 i, j = i[use], j[use]
-                use = np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1) <= bounds.difference(n[i] + n[j])
-                some[i[use]] = some[j[use]] = True
+                narrow = np.minimum(width[i], width[j])
+                for w in np.unique(narrow).tolist():
+                    x, y = i[narrow == w], j[narrow == w]
+                    use = np.bitwise_count(bits[w][x] ^ bits[w][y]).sum(axis=1) <= bounds.difference(n[x] + n[y])
+                    some[x[use]] = some[y[use]] = True
             keep = np.flatnonzero(some)
             yield from t.select(["hub", "chunk", "cls", "root", "first"]).take(pa.array(keep)).to_batches()
     return rows
 
 
+def _with_partner(blocks: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
+    """The rows of ``blocks`` (hub, chunk, cls, root, first) that :func:`_likely` keeps."""
+    return (blocks.withColumn("g", F.xxhash64("hub", "chunk")).join(sets.select("cls", "n", "sketch"), "cls")
+            .repartition("g").sortWithinPartitions("g")
+            .mapInArrow(_likely(bounds), "hub long, chunk long, cls long, root long, first boolean"))
+
+
 def _rest(rows: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
     """Edges between components that meet under a signature (``rows`` as of :func:`_open`)."""
     ask = compact(_asked(rows))
@@ -419,12 +450,13 @@ def _rest(rows: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
         queries = ask.join(to, "hub").select("hub", "chunk", "cls", F.col("cls").alias("root"), F.lit(True).alias("first"))
         placed = dealt.select("hub", "chunk", "cls", F.col("hub").alias("root"), F.lit(False).alias("first")).union(queries)
         found = _searched(placed, sets, bounds)
-    low = compact(rows.where(F.col("members") <= LARGE).select("cls", "root").distinct())
-    blocks = compact(_prefixed(low, sets, bounds))
-    sketched = (blocks.withColumn("g", F.xxhash64("hub", "chunk")).join(sets.select("cls", "n", "sketch"), "cls")
-                .repartition("g").sortWithinPartitions("g"))
-    likely = sketched.mapInArrow(_likely(bounds), "hub long, chunk long, cls long, root long, first boolean")
-    few = _searched(likely, sets, bounds)
+    low = rows.where(F.col("members") <= LARGE).select("sig", "cls", "root")
+    size = low.groupBy("sig").agg((F.count("*") <= BLOCK_SETS).alias("few"), F.min("root").alias("a"), F.max("root").alias("z")).where("a <> z")
+    low = checkpointed(low.join(size.select("sig", "few"), "sig"))
+    # signatures of few classes: those with a likely partner; signatures of many classes: all
+    block = low.where("few").select(F.col("sig").alias("hub"), F.lit(0).cast("long").alias("chunk"), "cls", "root", F.lit(False).alias("first"))
+    left = compact(_with_partner(block, sets, bounds).select("cls", "root").union(low.where("not few").select("cls", "root")).distinct())
+    few = _searched(_with_partner(compact(_prefixed(left, sets, bounds)), sets, bounds), sets, bounds)
     return found.union(few) if found is not None else few
 
 
@@ -454,7 +486,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 s, o = shingle_sets(data[offs[i]:offs[j]], offs[i:j + 1] - offs[i], shingle)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("cls").slice(i, j - i), pa.array(np.diff(o), pa.int64()), to_lists(as_int64(s), np.diff(o), pa.int64()),
-                     pa.array([sketch(s[x:y]) for x, y in zip(o[:-1], o[1:])], pa.binary())], names=["cls", "n", "set", "sketch"])
+                     pa.array([sketch(s[x:y], bounds) for x, y in zip(o[:-1], o[1:])], pa.binary())], names=["cls", "n", "set", "sketch"])
 
     picked = rows.join(when_small(one, BROADCAST_ROWS), ["id", "th"])
     again = prof.groupBy("id", "th").agg(F.count("*").alias("n")).where("n > 1").join(one, ["id", "th"])
