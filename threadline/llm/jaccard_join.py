@@ -351,14 +351,16 @@ def _prefixed(classes: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
             # the shingles of one class alone come first and meet nobody
             .withColumn("p", F.greatest(F.lit(0), F.col("p") - (F.col("n") - F.size("common"))).cast("int"))
             .where("p > 0").select("cls", "root", "n", F.explode(F.slice("common", F.lit(1), F.col("p"))).alias("t"))
-            .select("cls", "root", "n", F.col("t.s").alias("hub")))
-    rare = checkpointed(rare)
+            .select(F.col("t.s").alias("hub"), "cls", "root", "n"))
+    return _parted(checkpointed(rare))
+
+
+def _parted(rows: DataFrame) -> DataFrame:
+    """(hub, chunk, cls, root, first) of (hub, cls, root, n): a block per hub with several roots; parts of a large one meet in pairs of parts."""
     parts = F.greatest(F.ceil(F.count("*") / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("long")
-    meet = rare.groupBy("hub").agg(parts.alias("parts"), F.count("*").alias("c"), F.min("root").alias("a"), F.max("root").alias("z"))
-    met = rare.join(meet.where("c > 1 and a <> z").select("hub", "parts"), "hub")
-    # parts of a large block meet in pairs of parts
-    part = F.pmod(F.xxhash64("cls"), F.col("parts"))
-    pairs = met.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    meet = rows.groupBy("hub").agg(parts.alias("parts"), F.min("root").alias("a"), F.max("root").alias("z"))
+    met = rows.join(meet.where("a <> z").select("hub", "parts"), "hub").withColumn("part", F.pmod(F.xxhash64("cls"), F.col("parts")))
+    pairs = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     chunk = F.least("part", "other") * F.col("parts") + F.greatest("part", "other")
     return pairs.select("hub", chunk.alias("chunk"), "cls", "root", F.lit(False).alias("first"))
 
@@ -405,7 +407,7 @@ def _open(shared: DataFrame, part: DataFrame) -> DataFrame:
 
 
 def _likely(bounds: Bounds):
-    """Of the classes of each block, those with a partner whose size and sketch allow a link."""
+    """Of the classes of each block, those with a partner whose size and sketch allow a link; hub becomes the least of them."""
     def rows(batches):
         for t in sorted_groups(batches, "g"):
             g, root, n = (t.column(c).to_numpy() for c in ("g", "root", "n"))
@@ -426,15 +428,20 @@ def _likely(bounds: Bounds):
                     use = np.bitwise_count(bits[w][x] ^ bits[w][y]).sum(axis=1) <= bounds.difference(n[x] + n[y])
                     some[x[use]] = some[y[use]] = True
             keep = np.flatnonzero(some)
-            yield from t.select(["hub", "chunk", "cls", "root", "first"]).take(pa.array(keep)).to_batches()
+            if len(keep):
+                head = np.flatnonzero(np.concatenate([[True], g[keep][1:] != g[keep][:-1]]))
+                cls = t.column("cls").to_numpy()[keep]
+                hub = np.repeat(np.minimum.reduceat(cls, head), np.diff(np.append(head, len(keep))))
+                yield pa.RecordBatch.from_arrays([pa.array(hub), pa.array(cls), pa.array(root[keep]), pa.array(n[keep])],
+                                                 names=["hub", "cls", "root", "n"])
     return rows
 
 
 def _with_partner(blocks: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
-    """The rows of ``blocks`` (hub, chunk, cls, root, first) that :func:`_likely` keeps."""
+    """(hub, cls, root, n) of the rows of ``blocks`` (hub, chunk, cls, root, first) that :func:`_likely` keeps, each once."""
     return (blocks.withColumn("g", F.xxhash64("hub", "chunk")).join(sets.select("cls", "n", "sketch"), "cls")
             .repartition("g").sortWithinPartitions("g")
-            .mapInArrow(_likely(bounds), "hub long, chunk long, cls long, root long, first boolean"))
+            .mapInArrow(_likely(bounds), "hub long, cls long, root long, n long").distinct())
 
 
 def _rest(rows: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
@@ -456,7 +463,8 @@ def _rest(rows: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
     # signatures of few classes: those with a likely partner; signatures of many classes: all
     block = low.where("few").select(F.col("sig").alias("hub"), F.lit(0).cast("long").alias("chunk"), "cls", "root", F.lit(False).alias("first"))
     left = compact(_with_partner(block, sets, bounds).select("cls", "root").union(low.where("not few").select("cls", "root")).distinct())
-    few = _searched(_with_partner(compact(_prefixed(left, sets, bounds)), sets, bounds), sets, bounds)
+    # sets that share many rare shingles meet once, under the least class of their blocks
+    few = _searched(_parted(compact(_with_partner(compact(_prefixed(left, sets, bounds)), sets, bounds))), sets, bounds)
     return found.union(few) if found is not None else few
 
 
