@@ -683,6 +683,87 @@ def q_ingest_incremental(spark, d):
     return _flat(IG.read_ingested(spark, target))
 
 
+SQL_ROLE_TEXT = """coalesce(string_agg(CASE role WHEN 'user' THEN 'User' ELSE 'Assistant' END || ': ' || coalesce(text, ''),
+                             chr(10) || chr(10) ORDER BY turn) FILTER (WHERE role IN ('user', 'assistant')), '')"""
+
+
+def _lines_without_ids(spark, d) -> DataFrame:
+    """Records scanned from lines without ``conv_id`` (written in conversation order), with an id from their place."""
+    root = scratch_path(spark, "idless")
+    X.write_records(_records(spark, d).orderBy("conv_id"), root, _allowed(spark, d), None, extra_cols=("source",))
+    recs = J.with_record_ids(J.scan_jsonl(spark, root))
+    return recs.withColumn("source", F.col("extra")["source"])
+
+
+@query("lines_without_ids", """
+WITH r AS (SELECT conv_id, count(*) AS n_turns, arg_min(text, turn) AS first_text FROM conversations GROUP BY conv_id),
+o AS (SELECT *, row_number() OVER (ORDER BY conv_id) - 1 AS number, count(*) OVER () AS n FROM r)
+SELECT number, n_turns, first_text,
+       CASE WHEN number < floor(n * 0.8::DOUBLE) THEN 'train'
+            WHEN number < floor(n * 0.8::DOUBLE) + floor(n * 0.1::DOUBLE) THEN 'valid' ELSE 'test' END AS split
+FROM o""")
+def q_lines_without_ids(spark, d):
+    """Lines without ids are records of their own: numbered and split by file order."""
+    recs = SP.split_prefix(_lines_without_ids(spark, d), "conv_id", rule="additive")
+    return recs.select(F.regexp_extract("conv_id", "[0-9]+$", 0).cast("bigint").alias("number"), F.size("turns").cast("bigint").alias("n_turns"),
+                       F.col("turns")[0]["text"].alias("first_text"), "split")
+
+
+@query("document_without_ids", f"""
+WITH r AS (SELECT conv_id, {SQL_ROLE_TEXT} AS text FROM conversations GROUP BY conv_id),
+o AS (SELECT text, row_number() OVER (ORDER BY conv_id) - 1 AS gpos, count(*) OVER () AS n FROM r)
+SELECT gpos, text, CASE WHEN gpos < floor(n * 0.8::DOUBLE) THEN 'train'
+                        WHEN gpos < floor(n * (0.8::DOUBLE + 0.1::DOUBLE)) THEN 'valid' ELSE 'test' END AS split
+FROM o""")
+def q_document_without_ids(spark, d):
+    root = scratch_path(spark, "idless_document")
+    X.write_text_document(_lines_without_ids(spark, d), root, _allowed(spark, d), keys=("conv_id", "start"), seed=None)
+    return _read_document(spark, root)
+
+
+@query("whole_texts", f"""
+SELECT split, text FROM (
+  SELECT conv_id, {SQL_ROLE_TEXT} AS text,
+         CASE WHEN CAST('0x' || substr(md5('{SEED}:' || conv_id), 1, 8) AS BIGINT) % 1000 < 800 THEN 'train'
+              WHEN CAST('0x' || substr(md5('{SEED}:' || conv_id), 1, 8) AS BIGINT) % 1000 < 900 THEN 'valid' ELSE 'test' END AS split
+  FROM conversations GROUP BY conv_id)""")
+def q_whole_texts(spark, d):
+    """One text per conversation, written from segments of two turns each."""
+    root = scratch_path(spark, "whole")
+    recs = SP.split_grouped(_records(spark, d, max_turns=2), "conv_id", SEED)
+    X.write_whole_texts(recs, root, _allowed(spark, d))
+    lines = spark.read.text(root).filter(T.is_nonblank("value"))
+    return lines.select("split", F.from_json("value", "text string")["text"].alias("text"))
+
+
+@query("split_grouped_weighted", f"""
+WITH g AS (SELECT conv_id, count(*) AS w, md5('{SEED}:' || conv_id) AS h FROM conversations GROUP BY conv_id),
+c AS (SELECT *, sum(w) OVER (ORDER BY h, conv_id) AS e, sum(w) OVER () AS t FROM g)
+SELECT conv_id, w AS n_turns, CASE WHEN 2 * e - w < 2.0::DOUBLE * (t * 0.8::DOUBLE) THEN 'train'
+                    WHEN 2 * e - w < 2.0::DOUBLE * (t * (0.8::DOUBLE + 0.1::DOUBLE)) THEN 'valid' ELSE 'test' END AS split
+FROM c""")
+def q_split_grouped_weighted(spark, d):
+    turns = SP.split_grouped_weighted(_conv(spark, d).select("conv_id"), "conv_id", SEED)
+    return turns.groupBy("conv_id", "split").agg(F.count(F.lit(1)).alias("n_turns"))
+
+
+@query("ingest_rejects", """
+SELECT conv_id, count(*) AS n_turns, count(*) AS n_rejected FROM conversations GROUP BY conv_id""")
+def q_ingest_rejects(spark, d):
+    """Accepted records and rejected lines of two ingest runs, each once; ingested rows pass the allow-list."""
+    root = scratch_path(spark, "rejects")
+    c = _conv(spark, d)
+    X.write_records(_records(spark, d), f"{root}/source", _allowed(spark, d), None)
+    c.select("conv_id", F.lit("no records here").alias("note")).write.mode("append").json(f"{root}/source")
+    for _ in range(2):
+        IG.ingest_incremental(spark, f"{root}/source", f"{root}/target", f"{root}/checkpoint", rejects_dir=f"{root}/rejects")
+    kept = X.allowed_only(IG.read_ingested(spark, f"{root}/target"), _allowed(spark, d))
+    turns = kept.groupBy(F.col("conv_id").cast("bigint").alias("conv_id")).agg(F.sum(F.size("turns")).alias("n_turns"))
+    lost = (spark.read.parquet(f"{root}/rejects").filter("reason = 'no_records'")
+            .groupBy(F.from_json("line", "conv_id bigint")["conv_id"].alias("conv_id")).agg(F.count(F.lit(1)).alias("n_rejected")))
+    return turns.join(lost, "conv_id")
+
+
 # -- more gates, dedup and the ordered document ------------------------------------------
 
 @query("conversation_quality", f"""

@@ -4,19 +4,18 @@ Sampling and ordered splits only need the order keys found at one or two
 ranks.  Each record gets a numeric *proxy* that never decreases along the
 exact order (the order key itself when it is a number, or the first 15 hex
 digits of a seeded md5).  Rows fall into three classes in that order: without a
-proxy (null), with a finite or infinite one, and NaN.  Per wanted rank ``k``:
-
-1. the class that holds rank ``k`` follows from the three counts;
-2. inside the class, keep a bracket ``lo <= proxy <= hi`` known to contain
-   rank ``k`` and the count of rows below it; while it holds more than
-   ``bracket_rows`` rows, narrow it with ``percentile_approx`` around the target
-   quantile and recount with ``count_if`` (one aggregate pass each, partial
-   aggregation, no shuffle of rows); each round shrinks it by about
-   ``accuracy / 4``;
-3. the row at rank ``k`` of the bracket is read with ``orderBy .. offset .. limit 1``:
-   one row reaches the driver.
-
-A class or bracket that cannot shrink (rows that tie in the proxy) is ranked
+proxy (null), with a finite or infinite one, and NaN.
+
+1. One aggregate counts the classes and finds the range of the proxies; the class that
+   holds a rank follows from the counts.
+2. Radix passes: the range that holds a rank is cut into ``CELLS`` cells of equal width, and one
+   aggregate (partial, no shuffle of rows) counts the cells of the ranges of *all* wanted
+   ranks; a rank's next range is the span of proxies found in its cell.  A uniform proxy (an md5)
+   shrinks by ``CELLS`` each pass, so two passes serve 10**9 rows; any double
+   is told apart after six.
+3. The rows of all last ranges (at most ``bracket_rows`` each) are read in order at once.
+
+A class or range that cannot shrink (rows that tie in the proxy) is ranked
 exactly with :func:`threadline.operators.positions.global_positions`.  The path is
 the same at every size.
 """
@@ -24,6 +23,7 @@ the same at every size.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -32,9 +32,10 @@ from pyspark.sql import functions as F
 from threadline.functions.hashing import seeded_hex
 from threadline.operators.positions import global_positions
 
-# A bracket of so many rows is ordered; larger ones are narrowed first.
+# A range of so many rows is ordered; larger ones are cut first.
 BRACKET_ROWS = 64
-ACCURACY = 10_000
+CELLS = 4096
+FAR = 1.7e308
 PROXY = "_tl_proxy"
 
 
@@ -44,36 +45,55 @@ def hash_proxy(h: Column) -> Column:
 
 
 def order_stats(df: DataFrame, proxy: Column, exact_cols: Sequence[str], ranks,
-                bracket_rows: int = BRACKET_ROWS, accuracy: int = ACCURACY) -> tuple[int, dict[int, tuple]]:
+                bracket_rows: int = BRACKET_ROWS, accuracy: int = CELLS) -> tuple[int, dict[int, tuple]]:
     """Total rows and the ``exact_cols`` tuple at each wanted 0-based rank.
 
     ``proxy`` must be numeric and non-decreasing in the order of
     ``exact_cols`` (a unique key; nulls first, NaN last, as Spark orders).
-    ``ranks`` is a list of ranks or a function of the total returning one.  The
-    projected key table is persisted (memory and disk; lost blocks are
+    ``ranks`` is a list of ranks or a function of the total returning one; a pass
+    cuts a range into ``accuracy`` cells.  The projected key table is persisted (memory and disk; lost blocks are
     recomputed) for the few passes and released afterwards.
     """
     exact_cols = list(exact_cols)
-    base = df.select(proxy.alias(PROXY), *exact_cols).persist(StorageLevel.MEMORY_AND_DISK)
+    base = df.select(proxy.cast("double").alias(PROXY), *exact_cols).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         p = F.col(PROXY)
-        number = p.cast("double")
-        total, nulls, nans = base.agg(F.count(F.lit(1)), F.count_if(p.isNull()), F.count_if(F.isnan(number))).first()
+        real = F.when(~F.isnan(p), p)
+        total, nulls, nans, low, high = base.agg(F.count(F.lit(1)), F.count_if(p.isNull()), F.count_if(F.isnan(p)), F.min(real), F.max(real)).first()
         wanted = sorted({int(r) for r in (ranks(total) if callable(ranks) else ranks) if 0 <= int(r) < total})
         found: dict[int, tuple] = {}
+        inner = {}
         for k in wanted:
             if k < nulls:
                 found[k] = _row_at(base.filter(p.isNull()), exact_cols, k, nulls, bracket_rows)
             elif k >= total - nans:
-                found[k] = _row_at(base.filter(F.isnan(number)), exact_cols, k - (total - nans), nans, bracket_rows)
+                found[k] = _row_at(base.filter(F.isnan(p)), exact_cols, k - (total - nans), nans, bracket_rows)
             else:
-                rest = base.filter(p.isNotNull() & ~F.isnan(number))
-                found[k] = _select(rest, exact_cols, k - nulls, total - nulls - nans, bracket_rows, accuracy)
+                inner[k] = _Range(low, high, k - nulls, total - nulls - nans)
+        found.update(_select(base.filter(p.isNotNull() & ~F.isnan(p)), exact_cols, inner, bracket_rows, accuracy))
         return total, found
     finally:
         base.unpersist()
 
 
+class _Range(NamedTuple):
+    """Proxies from ``low`` to ``high`` (of ``rows`` rows) that hold the row at rank ``at`` among them."""
+
+    low: float
+    high: float
+    at: int
+    rows: int
+
+    def holds(self) -> Column:
+        return (F.col(PROXY) >= F.lit(self.low)) & (F.col(PROXY) <= F.lit(self.high))
+
+    def cell(self, cells: int) -> Column:
+        """Cell of a proxy; halves keep the width of the widest range finite."""
+        low, high = (max(-FAR, min(FAR, x)) / 2 for x in (self.low, self.high))
+        half = F.greatest(F.lit(-FAR), F.least(F.lit(FAR), F.col(PROXY))) / 2
+        return F.least(F.lit(cells - 1), F.floor((half - F.lit(low)) / F.lit(high - low) * cells).cast("int"))
+
+
 def _row_at(rows: DataFrame, exact_cols: list[str], k: int, n: int, bracket_rows: int) -> tuple:
     """The row at rank ``k`` of ``n`` rows that are few, or tie in the proxy."""
     if n <= bracket_rows:
@@ -82,27 +102,45 @@ def _row_at(rows: DataFrame, exact_cols: list[str], k: int, n: int, bracket_rows
     return global_positions(rows.select(*exact_cols), exact_cols, pos_col="_tl_r").rows_at([k])[k]
 
 
-def _select(base: DataFrame, exact_cols: list[str], k: int, total: int, bracket_rows: int,
-            accuracy: int) -> tuple:
-    below, n_in = 0, total
-    p = F.col(PROXY)
-    inside = base
-    while n_in > bracket_rows:
-        q = (k - below + 0.5) / n_in
-        for widen in (1, 4, 16):
-            m = 2.0 * widen / accuracy
-            qs = [max(0.0, q - m), min(1.0, q + m)]
-            lo, hi = inside.agg(F.percentile_approx(PROXY, qs, accuracy)).first()[0]
-            c_below, c_in = inside.agg(F.count_if(p < lo), F.count_if((p >= lo) & (p <= hi))).first()
-            if below + c_below <= k < below + c_below + c_in:
-                break
-        else:
-            c_in = n_in  # give up narrowing
-        if c_in >= n_in:
-            break  # a tie group (or a missed bracket) that cannot shrink: ranked exactly
-        below, n_in = below + c_below, c_in
-        inside = base.filter((p >= F.lit(lo)) & (p <= F.lit(hi)))
-    return _row_at(inside, exact_cols, k - below, n_in, bracket_rows)
+def _select(base: DataFrame, exact_cols: list[str], ranges: dict[int, _Range], bracket_rows: int, cells: int) -> dict[int, tuple]:
+    """The row of each rank, from the range that is known to hold it."""
+    while True:
+        cut = sorted({(r.low, r.high) for r in ranges.values() if r.rows > bracket_rows and r.low < r.high})
+        if not cut:
+            break
+        # ranges are equal or apart: a row lies in one at most
+        where, cell = F.lit(None).cast("int"), F.lit(None).cast("int")
+        for i, (low, high) in enumerate(cut):
+            r = _Range(low, high, 0, 0)
+            where, cell = F.when(r.holds(), i).otherwise(where), F.when(r.holds(), r.cell(cells)).otherwise(cell)
+        counts = (base.select(PROXY, where.alias("_tl_i"), cell.alias("_tl_c")).where("_tl_i is not null").groupBy("_tl_i", "_tl_c")
+                  .agg(F.count(F.lit(1)).alias("n"), F.min(PROXY).alias("low"), F.max(PROXY).alias("high")).collect())
+        counts.sort(key=lambda c: (c["_tl_i"], c["_tl_c"]))
+        for k, r in ranges.items():
+            if r.rows <= bracket_rows or r.low == r.high:
+                continue
+            below = 0
+            for c in counts:
+                if c["_tl_i"] == cut.index((r.low, r.high)):
+                    if r.at < below + c["n"]:
+                        ranges[k] = _Range(c["low"], c["high"], r.at - below, c["n"])
+                        break
+                    below += c["n"]
+    few = sorted({(r.low, r.high) for r in ranges.values() if r.rows <= bracket_rows})
+    found = {}
+    if few:
+        where = F.lit(None).cast("int")
+        for i, (low, high) in enumerate(few):
+            where = F.when(_Range(low, high, 0, 0).holds(), i).otherwise(where)
+        rows = (base.select(where.alias("_tl_i"), *exact_cols).where("_tl_i is not null").orderBy("_tl_i", *exact_cols).collect())
+        for k, r in ranges.items():
+            if r.rows <= bracket_rows:
+                mine = [x for x in rows if x["_tl_i"] == few.index((r.low, r.high))]
+                found[k] = tuple(mine[r.at])[1:]
+    for k, r in ranges.items():
+        if k not in found:
+            found[k] = _row_at(base.filter(r.holds()), exact_cols, r.at, r.rows, bracket_rows)
+    return found
 
 
 def seeded_proxy_stats(df: DataFrame, seed, keys: Sequence[str], ranks: Sequence[int],

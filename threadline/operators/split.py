@@ -10,13 +10,15 @@
 * :func:`split_grouped` - leakage-free split: a seeded hash bucket of the
   *origin* record decides, so every copy, window or augmentation of one
   origin lands in the same split.
+* :func:`split_grouped_weighted` - leakage-free split whose shares come as near to the
+  ratios as whole groups allow, also with few or heavy groups.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
@@ -123,3 +125,50 @@ def split_grouped(df: DataFrame, origin_cols="conv_id", seed: int | str = 42,
              .when(b < thresholds[1], F.lit(SPLIT_NAMES[1]))
              .otherwise(F.lit(SPLIT_NAMES[2])))
     return df.withColumn(split_col, label)
+
+
+def group_cuts(df: DataFrame, origin_cols="conv_id", seed: int | str = 42, ratios: Sequence[float] = SPLIT_RATIOS,
+               prefix_chars: int = 4) -> tuple[int, list[tuple | None]]:
+    """(rows, [(hash, *origin) of the first group beyond each boundary, or None]).
+
+    Groups lie along a line in seeded hash order, each as long as it has rows.  A group is
+    below a boundary at ``t`` rows when its middle is: ``2 * before + rows < 2 * t``.  Weights are summed
+    per hash prefix (``16 ** prefix_chars`` sums at most reach the driver); only the groups of the prefixes
+    at a boundary are put in order.
+    """
+    origin = _names(origin_cols)
+    groups = (df.groupBy(*origin).agg(F.count(F.lit(1)).alias("_tl_w")).withColumn("_tl_h", shuffle_key(seed, origin))
+              .withColumn("_tl_p", F.substring("_tl_h", 1, prefix_chars)).persist())
+    try:
+        sums = sorted((r[0], r[1]) for r in groups.groupBy("_tl_p").agg(F.sum("_tl_w")).collect())
+        total = sum(w for _, w in sums)
+        order = ["_tl_h", *origin]
+        run = Window.partitionBy("_tl_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        cuts: list[tuple | None] = []
+        for t in (total * ratios[0], total * (ratios[0] + ratios[1])):
+            base, at = 0, None
+            for p, w in sums:  # the first prefix that passes the boundary holds the first group beyond it, or the next one does
+                if base + w > t:
+                    inside = groups.filter(F.col("_tl_p") == p).withColumn("_tl_end", F.sum("_tl_w").over(run) + F.lit(base))
+                    at = inside.filter(2 * F.col("_tl_end") - F.col("_tl_w") >= F.lit(2.0 * t)).orderBy(*order).select(*order).first()
+                    if at is not None:
+                        break
+                base += w
+            cuts.append(None if at is None else tuple(at))
+        return total, cuts
+    finally:
+        groups.unpersist()
+
+
+def split_grouped_weighted(df: DataFrame, origin_cols="conv_id", seed: int | str = 42, ratios: Sequence[float] = SPLIT_RATIOS,
+                           split_col: str = "split") -> DataFrame:
+    """Row-local split of whole groups by their place along the seeded hash order (see :func:`group_cuts`).
+
+    No origin lies in two splits, and each share differs from its ratio by at most half a group at either end.
+    """
+    origin = _names(origin_cols)
+    _, cuts = group_cuts(df, origin, seed, ratios)
+    order = [shuffle_key(seed, origin), *[F.col(c) for c in origin]]
+    below = [F.lit(True) if c is None else lex_below(order, c) for c in cuts]
+    label = (F.when(below[0], F.lit(SPLIT_NAMES[0])).when(below[1], F.lit(SPLIT_NAMES[1])).otherwise(F.lit(SPLIT_NAMES[2])))
+    return df.withColumn(split_col, label)

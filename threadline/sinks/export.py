@@ -9,6 +9,7 @@ rights.  Rows carry ``origin_conv_id``, the conversation they derive from.
   conversation carries its ``start`` (and ``variant``), so readers can put it back.
   Spark writes UTF-8 as is; the parsed values equal those of an ASCII-escaped writer.
 * :func:`write_text_records` - rendered ``{"text": ..}`` JSONL per split.
+* :func:`write_whole_texts` - the same with one line per whole conversation of any length.
 * :func:`write_text_document` - one JSON document
   ``{"train": [{"text": ..}, ..], "valid": [..], "test": [..]}`` written as
   ordered part files by many tasks: each record line carries the separators
@@ -23,10 +24,12 @@ rights.  Rows carry ``origin_conv_id``, the conversation they derive from.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from threadline.functions import roles as R
 from threadline.operators import nested as N
 from threadline.operators import render as RD
 from threadline.operators.positions import range_partitions
@@ -87,6 +90,41 @@ def write_text_records(records: DataFrame, path: str, allowed_sources: DataFrame
     writer.json(path)
 
 
+def write_whole_texts(records: DataFrame, path: str, allowed_sources: DataFrame, keys="conv_id", split_col: str | None = "split",
+                      source_col: str = "source", mode: str = "overwrite") -> None:
+    """``{"text": ..}`` lines with one whole conversation each, however long, from records in segments (``start``).
+
+    A line is written turn by turn: turns of a conversation are range-partitioned and sorted side by
+    side, and no row holds more than a turn.  The text sink ends rows with a space instead of a line
+    end; a row stops where the text has one, behind the label of the next turn, and the last row of a conversation brings
+    the line end, so that lines after a file's first begin with a space that JSON readers skip.
+    """
+    keys = _names(keys)
+    records = allowed_only(records, allowed_sources, source_col)
+    by = [split_col] if split_col and split_col in records.columns else []
+    start = F.col("start") if "start" in records.columns else F.lit(0).cast("bigint")
+    turn = F.explode_outer(F.filter("turns", lambda t: t["role"].isin(*R.RENDER_LABELS)))
+    flat = records.select(*by, *keys, start.alias("_tl_start"), turn.alias("_tl_t")).select(
+        *by, *keys, "_tl_start", F.col("_tl_t.pos").alias("_tl_pos"), F.coalesce("_tl_t.text", F.lit("")).alias("_tl_text"),
+        R.map_role_drop(F.col("_tl_t.role")).alias("_tl_label"))
+    group = [*by, *keys]
+    order = ["_tl_start", "_tl_pos"]
+    # segments without a rendered turn add nothing, but a conversation of such segments alone is an empty text
+    window = Window.partitionBy(*group)
+    flat = (flat.repartitionByRange(range_partitions(flat), *group)
+            .withColumn("_tl_some", F.max(F.col("_tl_label").isNotNull()).over(window))
+            .withColumn("_tl_k", F.row_number().over(window.orderBy(F.col("_tl_label").isNull(), *order)))
+            .filter(F.col("_tl_label").isNotNull() | (~F.col("_tl_some") & (F.col("_tl_k") == 1))))
+    ahead = F.lead("_tl_label").over(window.orderBy("_tl_k"))
+    body = _json_string(F.col("_tl_text"))
+    body = F.substring(body, F.lit(2), F.length(body) - 2)
+    first = F.when(F.col("_tl_k") == 1, F.concat(F.lit('{"text": "'), F.when(F.col("_tl_some"), F.concat("_tl_label", F.lit(": "))).otherwise("")))
+    last = F.when(ahead.isNotNull(), F.concat(F.lit("\\n\\n"), ahead, F.lit(":"))).otherwise(F.lit('"}\n'))
+    lines = flat.select(*by, F.concat(F.coalesce(first, F.lit("")), body, last).alias("value"))
+    writer = lines.write.mode(mode).option("lineSep", " ")
+    (writer.partitionBy(*by) if by else writer).text(path)
+
+
 def _json_string(c) -> F.Column:
     """A JSON string literal for ``c`` (``to_json(array(c))`` without the brackets)."""
     arr = F.to_json(F.array(c))
@@ -103,7 +141,8 @@ def write_text_document(records: DataFrame, path: str, allowed_sources: DataFram
     Inside a section records are ordered by a seeded shuffle of ``keys`` (by key when
     ``seed`` is None).  The first key of each section and the last key overall come from one
     aggregate over the keys; the text moves once, in the range shuffle that orders
-    the parts.  Returns the split sizes.
+    the parts.  Keys must name one record each: a first or last key that several records share
+    (null keys, say) is refused, as the document would not be JSON.  Returns the split sizes.
     """
     keys = _names(keys)
     records = allowed_only(records, allowed_sources, source_col)
@@ -122,6 +161,17 @@ def write_text_document(records: DataFrame, path: str, allowed_sources: DataFram
     sizes = {name: found[i]["n"] if i in found else 0 for i, name in enumerate(SPLIT_NAMES)}
     tokens = ['{"' + SPLIT_NAMES[0] + '": [', *['], "' + name + '": [' for name in SPLIT_NAMES[1:]]]
     spark: SparkSession = records.sparkSession
+    edges = {tuple(r[e]) for r in found.values() for e in ("low", "high")}
+    if found:
+        def is_row(values) -> F.Column:
+            return reduce(lambda x, y: x & y, (F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(order_cols, values)))
+
+        at_edges = F.when(is_row(next(iter(edges))), 0)
+        for i, values in enumerate(list(edges)[1:], 1):
+            at_edges = at_edges.when(is_row(values), i)
+        twice = ordered.groupBy(at_edges.alias("_tl_e")).count().where("_tl_e is not null and count > 1")
+        if not twice.isEmpty():
+            raise ValueError(f"records share a key {tuple(keys)}: a document needs one key per record (see with_record_ids)")
     if not found:
         (spark.createDataFrame([("".join(tokens) + "]}",)], "value string")
          .coalesce(1).write.mode("overwrite").text(path))

@@ -20,7 +20,8 @@ other top-level fields ride along in ``extra`` (a map of their JSON texts).
 Each record keeps its file order as ``(src_file, src_block, src_seq)``:
 a split's block offset and a within-split sequence number.  The order of
 these keys is the file order whatever the split size, so an exact dense id
-can be derived later with :func:`number_records`.
+can be derived later with :func:`number_records`; lines without ``conv_id`` get
+one from it with :func:`with_record_ids`.
 """
 
 from __future__ import annotations
@@ -29,13 +30,14 @@ import logging
 from collections.abc import Iterable
 from fnmatch import fnmatch
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
 from threadline.functions import roles as R
 from threadline.functions import text as T
 from threadline.operators.positions import global_positions
+from threadline.session import ensure_checkpoint_dir
 
 log = logging.getLogger(__name__)
 
@@ -46,6 +48,8 @@ LINE_SCHEMA = Ty.StructType([
 ])
 # Pattern of files to read: what the sinks write (``part-*.json``) and ``.jsonl`` files.
 DEFAULT_GLOB = "*.json*"
+# Fields of a line that become columns of their own.
+KNOWN_FIELDS = ("conv_id", "conversations", "start", "variant")
 ORDER_COLS = ["src_file", "src_block", "src_seq"]
 # Fixed value: path fragment skipped unless explicitly included.
 SUBAGENT_FRAGMENT = "subagents"
@@ -143,14 +147,18 @@ def _parse(lines: DataFrame, strict: bool) -> DataFrame:
     return lines.filter(T.is_nonblank("line")).select(*ORDER_COLS, fields.alias("j"), *_extras(lines))
 
 
+def line_outcome(line) -> Column:
+    """What becomes of a line: blank / malformed / no_records / kept."""
+    body = T.trim_ws(line)
+    return (F.when(~T.is_nonblank(line), F.lit("blank"))
+            .when(~F.coalesce(_valid(body), F.lit(False)), F.lit("malformed"))
+            .when(F.coalesce(F.size(_turns(_fields(body))) > 0, F.lit(False)), F.lit("kept"))
+            .otherwise(F.lit("no_records")))
+
+
 def classify_lines(lines: DataFrame) -> DataFrame:
     """Outcome per line: blank / malformed / no_records / kept (reject counters)."""
-    body = T.trim_ws("line")
-    outcome = (F.when(~T.is_nonblank("line"), F.lit("blank"))
-               .when(~F.coalesce(_valid(body), F.lit(False)), F.lit("malformed"))
-               .when(F.coalesce(F.size(_turns(_fields(body))) > 0, F.lit(False)), F.lit("kept"))
-               .otherwise(F.lit("no_records")))
-    return lines.select(*ORDER_COLS, outcome.alias("outcome"))
+    return lines.select(*ORDER_COLS, line_outcome("line").alias("outcome"))
 
 
 def _records(parsed: DataFrame) -> DataFrame:
@@ -159,12 +167,11 @@ def _records(parsed: DataFrame) -> DataFrame:
     turns = F.transform("conv", lambda t, i: F.struct(
         (i + F.col("start")).cast("bigint").alias("pos"), (i + F.col("start")).cast("bigint").alias("turn"),
         R.from_interchange_role(t["from"]).alias("role"), t["value"].alias("text")))
-    known = ("conv_id", "conversations", "start", "variant")
     taken = _extras(parsed)
     return (parsed.select(*ORDER_COLS, "j", _turns(j).alias("conv"), start.alias("start"), *taken)
             .filter(F.coalesce(F.size("conv") > 0, F.lit(False)))
             .select(*ORDER_COLS, j["conv_id"].alias("conv_id"), "start", j["variant"].try_cast("int").alias("variant"),
-                    turns.alias("turns"), F.map_filter(j, lambda k, _: ~k.isin(*known)).alias("extra"), *taken))
+                    turns.alias("turns"), F.map_filter(j, lambda k, _: ~k.isin(*KNOWN_FIELDS)).alias("extra"), *taken))
 
 
 def scan_jsonl(spark: SparkSession, paths, recursive: bool = False, glob: str | None = DEFAULT_GLOB,
@@ -204,14 +211,60 @@ def concat(*frames: DataFrame) -> DataFrame:
     return out
 
 
+#: A table of file splits of at most so many rows is broadcast (about 100 bytes each); a longer one is shuffled.
+BLOCK_ROWS = 1_000_000
+GROUP_FILES = 4096
+
+
 def number_records(records: DataFrame, id_col: str = "rec_id", with_total: bool = False):
     """Add ``id_col``: the record's exact 0-based position in file order.
 
-    With ``with_total=True`` also returns the record count (known from the ranking).
+    Records lie in file order inside their file splits, so a record's number is the number of records in
+    the splits before its own (a prefix sum over a table with one row per file split: inside a
+    file, then over files) plus its place in the split.  Records are not moved.  With
+    ``with_total=True`` also returns the record count.
+    """
+    block = ["src_file", "src_block"]
+    # rows are numbered where they are; a split's rows are neighbours
+    placed = records.withColumn("_tl_at", F.monotonically_increasing_id())
+    counts = placed.groupBy(*block).agg(F.count(F.lit(1)).alias("_tl_n"), F.min("_tl_at").alias("_tl_first"))
+    ensure_checkpoint_dir(records.sparkSession)
+    counts = counts.checkpoint()
+    files = counts.groupBy("src_file").agg(F.sum("_tl_n").alias("_tl_n"))
+    ranked = global_positions(files, ["src_file"], pos_col="_tl_f").frame
+    # files in groups of GROUP_FILES: sums inside a group, then over groups
+    group = F.floor(F.col("_tl_f") / GROUP_FILES)
+    zero = F.lit(0).cast("bigint")
+    grouped = ranked.withColumn("_tl_g", group)
+    sums = sorted((r[0], r[1]) for r in grouped.groupBy("_tl_g").agg(F.sum("_tl_n")).collect())
+    bases, base = F.lit(0).cast("bigint"), 0
+    table = {}
+    for g, n in sums:
+        table[g] = base
+        base += n
+    if len(table) > 1:
+        bases = F.element_at(F.create_map(*[F.lit(x).cast("bigint") for kv in table.items() for x in kv]), F.col("_tl_g"))
+    in_group = F.coalesce(F.sum("_tl_n").over(Window.partitionBy("_tl_g").orderBy("_tl_f").rowsBetween(Window.unboundedPreceding, -1)), zero)
+    files = grouped.select("src_file", (bases + in_group).alias("_tl_file"))
+    in_file = F.coalesce(F.sum("_tl_n").over(Window.partitionBy("src_file").orderBy("src_block").rowsBetween(Window.unboundedPreceding, -1)), zero)
+    blocks = (counts.withColumn("_tl_block", in_file).join(files, "src_file")
+              .select(*block, (F.col("_tl_file") + F.col("_tl_block") - F.col("_tl_first")).alias("_tl_shift")).checkpoint())
+    if blocks.count() <= BLOCK_ROWS:
+        blocks = F.broadcast(blocks)
+    frame = placed.join(blocks, block).withColumn(id_col, F.col("_tl_at") + F.col("_tl_shift")).select(*records.columns, id_col)
+    return (frame, base) if with_total else frame
+
+
+def with_record_ids(records: DataFrame, id_col: str = "conv_id", always: bool = False) -> DataFrame:
+    """Records with an identity each: a null ``id_col`` becomes ``line-<number in file order>``, zero-padded so that ids sort in file order.
+
+    The interchange line of other tools has no id; without one, records would share a null key in splits, documents and
+    dedup.  ``always`` numbers records that have an id too (sources whose ids repeat).
     """
-    ranked = global_positions(records, ORDER_COLS, pos_col="_tl_gpos")
-    frame = ranked.frame.withColumn(id_col, F.col("_tl_gpos")).drop("_tl_gpos")
-    return (frame, ranked.total) if with_total else frame
+    numbered = number_records(records, "_tl_number")
+    made = F.concat(F.lit("line-"), F.lpad(F.col("_tl_number").cast("string"), 15, "0"))
+    out = made if always else F.coalesce(F.col(id_col).cast("string"), made)
+    return numbered.withColumn(id_col, out).select(*records.columns)
 
 
 def flatten_records(records: DataFrame, keys=("conv_id", "start")) -> DataFrame:

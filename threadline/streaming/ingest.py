@@ -7,6 +7,10 @@ Parquet file sink, whose commit log makes each batch exactly-once: a batch
 replayed after a failure neither loses nor repeats rows.  Equal lines are
 equal records and all of them are kept.
 
+All top-level fields of a line are kept (``extra``, as in the batch scans), so ingested records can pass the
+sinks' allow-list by their ``source``.  With ``rejects_dir`` a second query, with a checkpoint of its
+own, writes the lines that are no records there, each once, with its file and the reason.
+
 ``dedup_days`` drops records whose content was ingested within that many days
 (``dropDuplicatesWithinWatermark`` on the ingest time), so the state holds the keys
 of that period only.  For large key sets use the RocksDB state store
@@ -35,17 +39,34 @@ def _parse_stream(lines: DataFrame) -> DataFrame:
             .select("j", J._turns(j).alias("conversations"), KEY_COL)
             .filter(F.coalesce(F.size("conversations") > 0, F.lit(False)))
             .select(j["conv_id"].alias("conv_id"), j["start"].try_cast("bigint").alias("start"),
-                    j["variant"].try_cast("int").alias("variant"), "conversations", KEY_COL))
+                    j["variant"].try_cast("int").alias("variant"), "conversations",
+                    F.map_filter(j, lambda k, _: ~k.isin(*J.KNOWN_FIELDS)).alias("extra"), KEY_COL))
+
+
+def _rejected(lines: DataFrame) -> DataFrame:
+    """(line, reason, src_file) of the lines that are no records; blank lines are no rejects."""
+    lines = lines.select(F.make_valid_utf8("value").alias("line"), F.col("_metadata.file_path").alias("src_file"))
+    return (lines.withColumn("reason", J.line_outcome("line")).filter(F.col("reason").isin("malformed", "no_records"))
+            .select("line", "reason", "src_file"))
+
+
+def _run(rows: DataFrame, target_dir: str, checkpoint_dir: str) -> int:
+    """Append what is new to a Parquet table and stop; the number of micro-batches that read files."""
+    q = (rows.writeStream.format("parquet").option("path", target_dir).option("checkpointLocation", checkpoint_dir)
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    return sum(1 for p in q.recentProgress if p.get("numInputRows", 0) > 0)
 
 
 def ingest_incremental(spark: SparkSession, source_dir: str, target_dir: str, checkpoint_dir: str,
                        glob: str = J.DEFAULT_GLOB, max_files_per_trigger: int | None = None,
-                       dedup_days: int | None = None) -> int:
+                       dedup_days: int | None = None, rejects_dir: str | None = None) -> int:
     """Append new records from ``source_dir`` to the Parquet table ``target_dir``.
 
     Returns the number of micro-batches that read new files.  The target
-    holds ``(conv_id, start, variant, conversations, record_key)``; read it with
-    ``spark.read.parquet`` (which follows the sink's commit log).
+    holds ``(conv_id, start, variant, conversations, extra, record_key)``; read it with
+    ``spark.read.parquet`` (which follows the sink's commit log).  ``rejects_dir`` is a
+    Parquet table ``(line, reason, src_file)`` beside it.
     """
     reader = spark.readStream.format("text").option("pathGlobFilter", glob)
     if max_files_per_trigger:
@@ -55,21 +76,18 @@ def ingest_incremental(spark: SparkSession, source_dir: str, target_dir: str, ch
         records = (records.withColumn("_ingested", F.current_timestamp())
                    .withWatermark("_ingested", f"{int(dedup_days)} days")
                    .dropDuplicatesWithinWatermark([KEY_COL]).drop("_ingested"))
-    q = (records.writeStream.format("parquet")
-         .option("path", target_dir)
-         .option("checkpointLocation", checkpoint_dir)
-         .outputMode("append")
-         .trigger(availableNow=True)
-         .start())
-    q.awaitTermination()
-    return sum(1 for p in q.recentProgress if p.get("numInputRows", 0) > 0)
+    if rejects_dir is not None:
+        _run(_rejected(reader.load(source_dir)), rejects_dir, f"{checkpoint_dir.rstrip('/')}_rejects")
+    return _run(records, target_dir, checkpoint_dir)
 
 
 def read_ingested(spark: SparkSession, target_dir: str) -> DataFrame:
-    """The ingested table as records ``(conv_id, start, turns)``."""
+    """The ingested table as records ``(conv_id, start, variant, turns, extra, source, record_key)``."""
     df = spark.read.parquet(target_dir)
+    if "extra" not in df.columns:  # a table ingested before other fields were kept
+        df = df.withColumn("extra", F.lit(None).cast("map<string,string>"))
     start = F.coalesce("start", F.lit(0).cast("bigint"))
     turns = F.transform("conversations", lambda t, i: F.struct(
         (i + start).cast("bigint").alias("pos"), (i + start).cast("bigint").alias("turn"),
         R.from_interchange_role(t["from"]).alias("role"), t["value"].alias("text")))
-    return df.select("conv_id", start.alias("start"), "variant", turns.alias("turns"), KEY_COL)
+    return df.select("conv_id", start.alias("start"), "variant", turns.alias("turns"), "extra", F.col("extra")["source"].alias("source"), KEY_COL)
