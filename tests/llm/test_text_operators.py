@@ -267,3 +267,30 @@ def test_pack_documents_keeps_every_word(spark, docs, monkeypatch):
                    [caps[b] for b in range(len(caps))], (16, 64))
     assert packing.pack_documents(docs([])).count() == 0
     assert [tuple(r)[:4] for r in packing.pack_documents(docs([(None, None)])).collect()] == [(None, 0, 0, 0)]
+
+
+def test_markup_is_read_once_and_never_leaks():
+    import time
+
+    odd = "<script>if (a<b) { f() } // don't</script><article class=\"x\"><p>Body one</p><p>It's two</p></article>"
+    assert [t for t, _ in html_text.main_blocks(odd)[0]] == ["Body one", "It's two"]
+    quotes = "<article><p title=\"a > b\" data-x='>'>One</p><p class=it's>Two</p><p title=>Three</p></article>"
+    assert [t for t, _ in html_text.main_blocks(quotes)[0]] == ["One", "Two", "Three"]
+    # a tag without an end runs to the end of the page
+    assert [t for t, _ in html_text.main_blocks("<article><p>Text</p></article>a <b class=")[0]] == ["Text"]
+    for hard in ("a <b " * 200_000, "<b>" * 50_000 + "</x>" * 50_000, "<p title='" * 60_000, '<a href="x' * 60_000 + ">", "<!--" * 100_000):
+        begin = time.time()
+        html_text.main_blocks(hard)
+        assert time.time() - begin < 5
+
+
+def test_a_form_around_the_page_is_no_form_to_drop():
+    page = "<html><body><form action='/x'><div><h1>Title</h1><p>A page wrapped in one form.</p></div></form></body></html>"
+    assert [t for t, _ in html_text.main_blocks(page)[0]] == ["Title", "A page wrapped in one form."]
+    asked = "<html><body><p>Text that is much longer than the form below it.</p><form><label>Name</label><input></form></body></html>"
+    assert [t for t, _ in html_text.main_blocks(asked)[0]] == ["Text that is much longer than the form below it."]
+
+
+def test_pages_of_an_empty_table(spark):
+    pages = spark.createDataFrame([], "page_id long, url string, html string")
+    assert html_text.extract(pages).collect() == []

@@ -37,8 +37,9 @@ from threadline.llm.common import checkpointed, documents, small_batches, when_s
 MIN_PAGES = 4
 BROADCAST_ROWS = 100_000
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-                   r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+NAME = re.compile(r"(/?)([a-zA-Z][^\s/>]*)")
+STOP = re.compile(r"[>\"']")
+VALUE = re.compile(r"=\s*\Z")
 ATTRIBUTE = re.compile(r"([^\s=/\"']+)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 #: Element classes of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -67,15 +68,60 @@ CONTAINERS = frozenset("article section div center ul ol dl table figure details
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
+class _Tags:
+    """Markup of a page from left to right, each character looked at a bounded number of times.
+
+    A quote counts behind an equals sign and where it is closed; a tag, comment or section
+    without an end runs to the end of the page.
+    """
+
+    def __init__(self, source: str):
+        self.source = source
+        self.last = {c: source.rfind(c) for c in (">", '"', "'", "-->", "]]>")}
+
+    def _find(self, what: str, at: int) -> int:
+        """Place behind the next ``what``; the end of the page if there is none."""
+        return self.source.find(what, at) + len(what) if self.last[what] >= at else len(self.source)
+
+    def next(self, at: int) -> tuple[int, int, bool, str, str] | None:
+        """(start, stop, end tag, name, attributes) of the next markup; comments and declarations have no name."""
+        source = self.source
+        while (start := source.find("<", at)) >= 0:
+            if source.startswith("<!--", start):
+                return start, self._find("-->", start + 4), False, "", ""
+            if source.startswith("<![CDATA[", start):
+                return start, self._find("]]>", start + 9), False, "", ""
+            if source.startswith(("<!", "<?"), start):
+                return start, self._find(">", start + 2), False, "", ""
+            if m := NAME.match(source, start + 1):
+                end = self._tag_end(m.end())
+                return start, end, bool(m[1]), m[2].lower(), source[m.end():end - 1]
+            at = start + 1
+        return None
+
+    def _tag_end(self, at: int) -> int:
+        source = self.source
+        while self.last[">"] >= at:
+            m = STOP.search(source, at)
+            if m[0] == ">":
+                return m.end()
+            at = m.end()
+            if self.last[m[0]] >= at and VALUE.search(source, max(0, m.start() - 40), m.start()):
+                at = source.find(m[0], at) + 1
+        return len(source)
+
+
 class _Page:
     """Elements in document order and the events start, end and text."""
 
-    __slots__ = ("tag", "parent", "drop", "words", "role", "events", "digest")
+    __slots__ = ("tag", "parent", "drop", "words", "role", "events", "digest", "count", "wrapper")
 
     def __init__(self, source: str):
         self.tag, self.parent, self.drop, self.words, self.role = ["#root"], [-1], [False], [frozenset()], [""]
         self.digest: list[bytes] = [b""]
         self.events: list[tuple] = []
+        self.count: dict[str, int] = {}
+        self.wrapper: set[int] = set()
         self._parse(source)
 
     def _open(self, tag: str, attrs: str, parent: int) -> int:
@@ -104,6 +150,7 @@ class _Page:
         def close(n: int) -> None:
             while len(stack) > n:
                 e, p = stack.pop(), parts.pop()
+                self.count[self.tag[e]] -= 1
                 if p:
                     label = f"{self.tag[e]} {' '.join(sorted(self.words[e]))}".encode()
                     self.digest[e] = xxhash.xxh64_digest(label + b"\0" + b"\1".join(p))
@@ -117,40 +164,39 @@ class _Page:
                 if norm := " ".join(piece.split()):
                     parts[-1].append(norm.encode("utf-8", "replace"))
 
-        at, raw_end = 0, None
-        for m in TOKEN.finditer(source):
-            if m.start() < at:  # inside a raw text element
-                continue
-            text(source[at:m.start()])
-            at = m.end()
-            tag = (m[2] or "").lower()
-            if not tag:
-                continue
-            if m[1]:
+        tags, count = _Tags(source), self.count
+
+        def top(wanted, scope) -> int | None:
+            """Place of the topmost open element of a wanted kind, above any of ``scope``."""
+            if any(count.get(x) for x in wanted):
                 for i in range(len(stack) - 1, 0, -1):
-                    if self.tag[stack[i]] == tag:
-                        close(i)
+                    if self.tag[stack[i]] in wanted:
+                        return i
+                    if self.tag[stack[i]] in scope:
                         break
+            return None
+
+        at = 0
+        while (found := tags.next(at)) is not None:
+            start, stop, ends, tag, attrs = found
+            text(source[at:start])
+            at = stop
+            if not tag:
                 continue
-            if tag in CLOSES_P:
-                for i in range(len(stack) - 1, 0, -1):
-                    if self.tag[stack[i]] == "p":
-                        close(i)
-                        break
-                    if self.tag[stack[i]] in SCOPE:
-                        break
-            if tag in SELF_CLOSING:
-                for i in range(len(stack) - 1, 0, -1):
-                    if self.tag[stack[i]] in SELF_CLOSING[tag]:
-                        close(i)
-                        break
-                    if self.tag[stack[i]] in SCOPE:
-                        break
+            if ends:
+                if (i := top((tag,), ())) is not None:
+                    close(i)
+                continue
+            if tag in CLOSES_P and (i := top(("p",), SCOPE)) is not None:
+                close(i)
+            if tag in SELF_CLOSING and (i := top(SELF_CLOSING[tag], SCOPE)) is not None:
+                close(i)
             if tag in VOID:
                 events.append(("v", tag))
                 continue
-            e = self._open(tag, m[3], stack[-1])
+            e = self._open(tag, attrs, stack[-1])
             stack.append(e)
+            count[tag] = count.get(tag, 0) + 1
             parts.append([])
             events.append(("s", e))
             if tag in RAW:
@@ -162,13 +208,28 @@ class _Page:
                 close(len(stack) - 1)
         text(source[at:])
         close(1)
+        self._keep_wrapping_forms()
+
+    def _keep_wrapping_forms(self) -> None:
+        """A form that holds half of the page's letters or more wraps the page; it is no form to drop."""
+        if not any(t == "form" for t in self.tag):
+            return
+        size = [0] * len(self.tag)
+        for ev in self.events:
+            if ev[0] == "t" and self.tag[ev[1]] not in RAW:
+                size[ev[1]] += len(ev[2].strip())
+        for e in range(len(self.tag) - 1, 0, -1):
+            size[self.parent[e]] += size[e]
+        self.wrapper = {e for e in range(1, len(self.tag)) if self.tag[e] == "form" and 2 * size[e] >= size[0] > 0}
+        for e in self.wrapper:
+            self.drop[e] = not DROP_WORDS.isdisjoint(self.words[e])
 
     def roots(self) -> list[int]:
         """The elements that mark the main text; none if the page marks nothing."""
         n = len(self.tag)
         lost = [False] * n
         for e in range(1, n):
-            tag_drop = self.tag[e] in DROP_TAGS or not {"comment", "comments", "disqus"}.isdisjoint(self.words[e])
+            tag_drop = self.tag[e] in DROP_TAGS and e not in self.wrapper or not {"comment", "comments", "disqus"}.isdisjoint(self.words[e])
             lost[e] = lost[self.parent[e]] or tag_drop
         for found in (lambda e: self.tag[e] == "article", lambda e: self.tag[e] == "main" or self.role[e] == "main",
                       lambda e: self.tag[e] in ("div", "section", "td") and not CONTENT_WORDS.isdisjoint(self.words[e])):
