@@ -135,3 +135,13 @@ def test_frequent_from_cuts_at_a_count(spark):
         cut = lm_score.frequent_from(counts, most)
         assert (n >= cut).sum() <= most
         assert cut == 1 or (n >= cut - 1).sum() > most
+
+
+def test_quality_sample_is_the_same_on_any_partitioning_with_repeated_ids(spark):
+    from threadline.llm import quality_knn
+
+    rows = [(k % 7, f"word{k} text number {k * k} of {k % 5}") for k in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(7)], "doc_id long, quality int")
+    models = [quality_knn.fit(docs.repartition(n), labels, max_labelled=10) for n in (1, 6)]
+    assert (models[0][3] == models[1][3]).all() and abs(models[0][2] @ models[0][2].T - models[1][2] @ models[1][2].T).max() < 1e-4

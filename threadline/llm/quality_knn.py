@@ -124,18 +124,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def rows(batches):
         for b, x in _per_text(batches, lambda b, x: (b, weighted(x, idf))):
             yield pa.RecordBatch.from_arrays(
-                [b.column("y"), b.column("id"), pa.array([r.tobytes() for r in x], pa.binary())], names=["y", "id", "x"])
+                [b.column("y"), b.column("id"), b.column("h"), pa.array([r.tobytes() for r in x], pa.binary())], names=["y", "id", "h", "x"])
 
     # a bounded table (max_labelled rows of 16 bytes), so it can go to every executor
     sample = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-              .join(F.broadcast(y), "id").select("id", "y", "text")
-              .mapInArrow(rows, "y int, id long, x binary").limit(max_labelled).toArrow())
+              .join(F.broadcast(y), "id").select("id", "y", F.xxhash64("text").alias("h"), "text")
+              .mapInArrow(rows, "y int, id long, h long, x binary").orderBy("id", "h", "y").limit(max_labelled).toArrow())
     lab = np.array(sample.column("y").to_pylist(), np.float64)
     raw = sample.column("x").to_pylist()
-    order = np.lexsort((np.array([hash(r) for r in raw], np.int64), sample.column("id").to_numpy())) if len(lab) else []
-    x = np.stack([np.frombuffer(raw[i], np.float32) for i in order]) if len(lab) else np.zeros((0, FEATURES), np.float32)
+    x = np.stack([np.frombuffer(r, np.float32) for r in raw]) if len(lab) else np.zeros((0, FEATURES), np.float32)
     p = latent_space(x) if len(lab) else np.zeros((FEATURES, 1), np.float32)
-    return idf, p, _unit(x @ p), lab[order] if len(lab) else lab
+    return idf, p, _unit(x @ p), lab
 
 
 def _unit(v: np.ndarray) -> np.ndarray:
