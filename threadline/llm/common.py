@@ -6,6 +6,8 @@ is a vector operation over all texts of a slice; slices are bounded in bytes.
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -143,6 +145,12 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let the context cleaner remove broadcasts, shuffle files and checkpoints of finished steps: it acts on what both garbage collectors have dropped."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def small_batches(spark: SparkSession, rows: int = 2000) -> None:
     """Bound the rows of an Arrow batch, so that a batch of long texts stays small."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -51,7 +51,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from threadline.llm.common import (LOWER, as_int64, checkpointed, compact, components, documents, drop_rows, mix, prefix_hash, range_hash, slices,
+from threadline.llm.common import (LOWER, as_int64, checkpointed, compact, components, documents, drop_rows, mix, prefix_hash, range_hash, release, slices,
                                    small_batches, sorted_groups, text_bytes, to_lists, when_small, word_hashes, word_spans)
 from threadline.llm.recurring import passes, recurring_bits
 
@@ -477,6 +477,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     bounds = Bounds(num, den)
     text = F.col(text_col).cast("string")
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
+    release(spark)
     prof = checkpointed(profiles(rows, shingle))
     shared = checkpointed(recurring_signatures(rows, shingle, bounds).repartition("sig").sortWithinPartitions("sig", "cls")
                           .mapInArrow(_shared, "sig long, cls long, hub long"))
@@ -502,6 +503,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         picked = picked.dropDuplicates(["cls"])
     sets = checkpointed(picked.select("cls", "text").mapInArrow(as_sets, "cls long, n long, set array<long>, sketch binary"))
 
+    release(spark)
     # families: classes that signatures join at all; small ones are one block each
     family = compact(components(shared.where("cls <> hub").select(F.col("cls").alias("a"), F.col("hub").alias("b"))))
     size = (sets.select("cls", "n").join(when_small(family.withColumnRenamed("node", "cls"), BROADCAST_ROWS), "cls").groupBy("root")
@@ -523,6 +525,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             rows_open = _open(rows_open, compact(components(own)))
         edges = edges.union(own).union(_rest(rows_open, sets, bounds))
     part = compact(components(edges))
+    release(spark)
 
     # classes with several rows or links get the first document of their component
     classes = (prof.where("n > 0").groupBy("cls").agg(F.min(F.struct("id", "th")).alias("low"), F.count("*").alias("rows"))

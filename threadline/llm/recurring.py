@@ -29,7 +29,8 @@ def _slots(r: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 def recurring_bits(rows: DataFrame, codes, expected: int, bits: int) -> tuple[int, np.ndarray]:
     """(shards, bits) of the codes that come twice; ``codes`` yields arrays of codes from the batches
-    of a task, about ``expected`` codes come in all.  bits / 8 bytes reach the driver."""
+    of a task, about ``expected`` codes come in all.  At most bits / 8 bytes reach the driver; few codes need fewer bits."""
+    bits = min(bits, 1 << max(20, (32 * max(1, expected)).bit_length()))
     shards = min(1 << max(0, int(np.ceil(np.log2(max(1, expected / SHARD_CODES))))), bits // 64)
     width = bits // shards
 
