@@ -71,8 +71,8 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 class _Tags:
     """Markup of a page from left to right, each character looked at a bounded number of times.
 
-    A quote counts behind an equals sign and where it is closed; a tag, comment or section
-    without an end runs to the end of the page.
+    A quote counts behind an equals sign and where it is closed; a comment or section without
+    an end runs to the end of the page, what no ``>`` follows is no tag.
     """
 
     def __init__(self, source: str):
@@ -93,7 +93,7 @@ class _Tags:
                 return start, self._find("]]>", start + 9), False, "", ""
             if source.startswith(("<!", "<?"), start):
                 return start, self._find(">", start + 2), False, "", ""
-            if m := NAME.match(source, start + 1):
+            if (m := NAME.match(source, start + 1)) and self.last[">"] >= m.end():
                 end = self._tag_end(m.end())
                 return start, end, bool(m[1]), m[2].lower(), source[m.end():end - 1]
             at = start + 1
