@@ -51,7 +51,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from threadline.llm.common import (LOWER, as_int64, checkpointed, compact, components, documents, drop_rows, mix, prefix_hash, range_hash, release, slices,
+from threadline.llm.common import (LOWER, as_int64, checkpointed, compact, components, documents, drop_rows, list_column, mix, prefix_hash, range_hash, release, slices,
                                    small_batches, sorted_groups, text_bytes, to_lists, when_small, word_hashes, word_spans)
 from threadline.llm.recurring import passes, recurring_bits
 
@@ -66,6 +66,7 @@ MU = 0.01  # DivideSkip's weight of a probe against a merge step
 BROADCAST_ROWS = 500_000
 FILTER_BITS = 1 << 27
 SKETCH_BITS = 512
+COUNT_SLOTS = 1 << 22
 SALTS = 16
 _NO_ID = 2**63 - 1
 
@@ -342,16 +343,34 @@ def _prefixed(classes: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
     linked, so they share one of the n - T + 1 shingles rarest among these classes.
     """
     own = sets.select("cls", "n", "set").join(when_small(classes, BROADCAST_ROWS), "cls")
-    least = F.ceil(F.col("n") * F.lit(bounds.num) / F.lit(bounds.den))
-    need = F.ceil(F.lit(bounds.num) * (F.col("n") + least) / F.lit(bounds.num + bounds.den))
-    tokens = own.select("cls", F.explode("set").alias("s"))
-    often = tokens.groupBy("s").agg(F.count("*").alias("df")).where("df > 1")
-    rare = (tokens.join(often, "s").groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("df", "s"))).alias("common"))
-            .join(own.select("cls", "root", "n", (F.col("n") - need + 1).cast("int").alias("p")), "cls")
-            # the shingles of one class alone come first and meet nobody
-            .withColumn("p", F.greatest(F.lit(0), F.col("p") - (F.col("n") - F.size("common"))).cast("int"))
-            .where("p > 0").select("cls", "root", "n", F.explode(F.slice("common", F.lit(1), F.col("p"))).alias("t"))
-            .select(F.col("t.s").alias("hub"), "cls", "root", "n"))
+    # how often: counts in a table of fixed size, in which a shingle of one class alone may look frequent, never the reverse
+    slot = F.pmod(F.col("s"), F.lit(COUNT_SLOTS))
+    got = (own.select(F.explode("set").alias("s")).groupBy(slot.cast("int").alias("slot")).agg(F.count("*").alias("n"))
+           .where("n > 1").toArrow())
+    counts = np.zeros(COUNT_SLOTS, np.int32)
+    counts[got.column("slot").to_numpy()] = np.minimum(got.column("n").to_numpy(), 2**31 - 1)
+    shared = sets.sparkSession.sparkContext.broadcast(counts)
+
+    def rare(batches):
+        often = shared.value
+        for b in batches:
+            flat, offs = list_column(b.column("set"))
+            first, n = offs[:-1] - offs[0], np.diff(offs)
+            flat = flat[offs[0]:offs[-1]].view(np.uint64)
+            owner = np.repeat(np.arange(len(n)), n)
+            f = often[(flat & np.uint64(COUNT_SLOTS - 1)).astype(np.int64)]
+            order = np.lexsort((flat, f, owner))
+            least = -(-n * bounds.num // bounds.den)
+            p = n - bounds.overlap(n, least) + 1
+            place = np.arange(len(flat)) - first[owner]
+            # shingles of one class alone come first and meet nobody
+            use = (place < p[owner]) & (f[order] > 0)
+            at = owner[use]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(as_int64(flat[order][use])), b.column("cls").take(pa.array(at)), b.column("root").take(pa.array(at)),
+                 pa.array(n[at].astype(np.int64))], names=["hub", "cls", "root", "n"])
+
+    rare = own.select("cls", "root", "set").mapInArrow(rare, "hub long, cls long, root long, n long")
     return _parted(checkpointed(rare))
 
 
