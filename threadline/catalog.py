@@ -32,6 +32,7 @@ from threadline.session import scratch_path
 from threadline.sinks import export as X
 from threadline.sources import jsonl as J
 from threadline.sources import logs as LG
+from threadline.sources import manifest as MF
 from threadline.sources import tables as TB
 from threadline.streaming import ingest as IG
 
@@ -653,6 +654,62 @@ def q_scan_many(spark, d):
     return _flat(J.scan_jsonl(spark, [f"{root}/a/*.json", f"{root}/b", f"{root}/missing.jsonl"]))
 
 
+@query("gated_write", f"""
+WITH {sql_windows()},
+g AS (SELECT conv_id, start, count(*) AS c,
+             count(*) FILTER (WHERE role = 'assistant' AND contains(text, '{MARKER_A}')) AS a,
+             count(*) FILTER (WHERE contains(text, '{MARKER_B}')) AS b,
+             arg_min(role, pos) AS fr
+      FROM m GROUP BY conv_id, start),
+o AS (SELECT CASE WHEN c < 3 THEN 'too_short' WHEN a < {MIN_MARKED} THEN 'few_marked'
+                  WHEN b < 1 THEN 'no_response' WHEN fr <> 'user' THEN 'wrong_first_role'
+                  ELSE 'accepted' END AS outcome FROM g WHERE conv_id % {N_SOURCES} < 2)
+SELECT outcome, count(*) AS n_counted, CASE WHEN outcome = 'accepted' THEN count(*) ELSE 0 END AS n_written FROM o GROUP BY 1""")
+def q_gated_write(spark, d):
+    """Gate counters observed during the write, beside the lines that were written."""
+    root = scratch_path(spark, "gated")
+    recs = _windows(spark, d).withColumn("source", F.concat(F.lit("src"), (F.col("conv_id") % N_SOURCES).cast("string")))
+    counted = X.write_gated(recs, root, _allowed(spark, d, 2), None, **GATE)
+    table = spark.createDataFrame([(k, n) for k, n in counted.items() if n], "outcome string, n_counted bigint")
+    lines = J.scan_jsonl(spark, root).agg(F.count(F.lit(1)).alias("n_written")).withColumn("outcome", F.lit("accepted"))
+    return table.join(lines, "outcome", "left").select(
+        "outcome", "n_counted", F.coalesce("n_written", F.lit(0).cast("bigint")).alias("n_written"))
+
+
+def _manifest_runs(spark, d):
+    """Three refreshes of one folder: half of the records, all of them, nothing new."""
+    root = scratch_path(spark, "manifest")
+    recs, src = _records(spark, d), f"{root}/source"
+    X.write_records(recs.filter("conv_id % 2 = 0"), f"{src}/a", _allowed(spark, d), None)
+    runs = [MF.refresh_manifest(spark, src, f"{root}/manifest")]
+    X.write_records(recs.filter("conv_id % 2 <> 0"), f"{src}/b", _allowed(spark, d), None)
+    runs += [MF.refresh_manifest(spark, src, f"{root}/manifest") for _ in range(2)]
+    return src, runs
+
+
+@query("file_manifest", """
+SELECT v AS run, count(DISTINCT CASE WHEN v >= 1 + conv_id % 2 THEN conv_id END) AS n_lines,
+       count(DISTINCT CASE WHEN v = 1 + conv_id % 2 THEN conv_id END) AS n_new
+FROM conversations, (SELECT unnest([1, 2, 3])::INTEGER AS v) GROUP BY v""")
+def q_file_manifest(spark, d):
+    """Lines in the manifest after each run, and those that the run had to read."""
+    out = None
+    for k, m in enumerate(_manifest_runs(spark, d)[1], 1):
+        new = F.sum(F.when(F.col("version") == k, F.col("n_lines")))
+        row = m.agg(F.coalesce(F.sum("n_lines"), F.lit(0)).cast("bigint").alias("n_lines"),
+                    F.coalesce(new, F.lit(0)).cast("bigint").alias("n_new")).select(F.lit(k).alias("run"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("scan_changed_files", SQL_FLAT_IDX + """
+WHERE conv_id % 2 <> 0""")
+def q_scan_changed_files(spark, d):
+    """Records of the files that the second run found."""
+    src, runs = _manifest_runs(spark, d)
+    return _flat(MF.scan_manifest(spark, runs[-1], src, "version = 2"))
+
+
 @query("concat_sources", SQL_FLAT_IDX)
 def q_concat_sources(spark, d):
     root = scratch_path(spark, "concat")

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from threadline.functions import roles as R
@@ -91,13 +91,15 @@ def write_hybrid(rows: DataFrame, out_dir: str, allowed_sources: DataFrame, rati
     """
     out = out_dir.rstrip("/")
     spark = rows.sparkSession
-    X.allowed_only(hybrid_records(rows, keys, max_turns), allowed_sources).write.mode("overwrite").parquet(f"{out}/records_table")
+    seen = Observation()
+    (X.allowed_only(hybrid_records(rows, keys, max_turns), allowed_sources).observe(seen, F.count(F.lit(1)).alias("lines"))
+     .write.mode("overwrite").parquet(f"{out}/records_table"))
     recs = spark.read.parquet(f"{out}/records_table")
     written = X.export(recs, out, allowed_sources, formats=formats, split_col="split",
                        keys=[*_names(keys), "variant", "start"], seed=seed, stage=False)
     X.write_records(recs, f"{out}/combined", allowed_sources, split_col=None)
     stats = records_stats(recs, [*_names(keys), "variant"], marker).first().asDict()
-    lines = recs.count()
+    lines = int(seen.get["lines"])
     X.write_metadata(spark, f"{out}/metadata", stats, lines, ratio, split_ratios, list(formats))
     written.update(records_table=f"{out}/records_table", combined=f"{out}/combined", metadata=f"{out}/metadata",
                    total_records=stats["total_conversations"], total_lines=lines)

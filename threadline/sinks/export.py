@@ -8,6 +8,7 @@ rights.  Rows carry ``origin_conv_id``, the conversation they derive from.
   one folder per split (``split=train/``...); a record that is a segment of a long
   conversation carries its ``start`` (and ``variant``), so readers can put it back.
   Spark writes UTF-8 as is; the parsed values equal those of an ASCII-escaped writer.
+* :func:`write_gated` - the same for records that pass the quality gate, with its counters taken during the write.
 * :func:`write_text_records` - rendered ``{"text": ..}`` JSONL per split.
 * :func:`write_whole_texts` - the same with one line per whole conversation of any length.
 * :func:`write_text_document` - one JSON document
@@ -26,10 +27,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from threadline.functions import roles as R
+from threadline.operators import filters as FL
 from threadline.operators import nested as N
 from threadline.operators import render as RD
 from threadline.operators.positions import range_partitions
@@ -45,6 +47,7 @@ def _names(cols) -> list[str]:
 
 
 ORIGIN_COL = "origin_conv_id"
+RECORD_COLS = ("conv_id", "start", "variant", "source", ORIGIN_COL)
 
 
 def allowed_only(df: DataFrame, allowed_sources: DataFrame, source_col: str = "source") -> DataFrame:
@@ -64,10 +67,14 @@ def _with_origin(records: DataFrame, id_col: str = "conv_id") -> DataFrame:
 
 
 def write_records(records: DataFrame, path: str, allowed_sources: DataFrame, split_col: str | None = "split",
-                  extra_cols=("conv_id", "start", "variant", "source", ORIGIN_COL), source_col: str = "source",
+                  extra_cols=RECORD_COLS, source_col: str = "source",
                   mode: str = "overwrite") -> None:
     """Interchange JSONL; one folder per split when ``split_col`` is present."""
-    records = _with_origin(allowed_only(records, allowed_sources, source_col))
+    _write_records(allowed_only(records, allowed_sources, source_col), path, split_col, extra_cols, mode)
+
+
+def _write_records(records: DataFrame, path: str, split_col: str | None, extra_cols=RECORD_COLS, mode: str = "overwrite") -> None:
+    records = _with_origin(records)
     by_split = bool(split_col) and split_col in records.columns
     cols = [c for c in _names(extra_cols) if c in records.columns]
     lines = N.to_interchange(records).select(*cols, "conversations", *([split_col] if by_split else []))
@@ -77,6 +84,23 @@ def write_records(records: DataFrame, path: str, allowed_sources: DataFrame, spl
     writer.option("ignoreNullFields", "false").json(path)
 
 
+def write_gated(records: DataFrame, path: str, allowed_sources: DataFrame, split_col: str | None = "split",
+                turns_col: str = "turns", source_col: str = "source", **gate) -> dict[str, int]:
+    """Interchange JSONL of the records that pass the quality gate; returns records per gate outcome.
+
+    The counters (``accepted`` and each first failing check, of the allowed records) are observed on the plan that
+    writes, so the records are scanned once.  They are taken in the stage that writes, where a lost and repeated task
+    counts once.
+    """
+    records = allowed_only(records, allowed_sources, source_col)
+    outcomes = [name for name, _ in FL.quality_conditions(F.col(turns_col), **gate)] + ["accepted"]
+    seen = Observation()
+    judged = (records.withColumn("_outcome", FL.gate_reason(F.col(turns_col), **gate))
+              .observe(seen, *[F.count_if(F.col("_outcome") == o).alias(o) for o in outcomes]))
+    _write_records(judged.filter(F.col("_outcome") == "accepted").drop("_outcome"), path, split_col)
+    return {o: int(seen.get[o]) for o in outcomes}
+
+
 def write_text_records(records: DataFrame, path: str, allowed_sources: DataFrame, split_col: str | None = "split",
                        source_col: str = "source", mode: str = "overwrite") -> None:
     """Rendered ``{"text": ..}`` JSONL, one folder per split when present."""

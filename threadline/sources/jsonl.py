@@ -110,7 +110,7 @@ def read_lines(spark: SparkSession, paths, recursive: bool = False, glob: str |
 
 
 def _extras(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c not in ("line", "j", *ORDER_COLS)]
+    return [c for c in df.columns if c not in ("line", "rec", *ORDER_COLS)]
 
 
 def _fields(body) -> Column:
@@ -126,11 +126,6 @@ def _fields(body) -> Column:
     return F.when((F.size(listed) == 1) & whole, listed[0])
 
 
-def _valid(body) -> Column:
-    """``body`` is exactly one JSON value of any kind."""
-    return F.when(body.startswith("{"), _fields(body).isNotNull()).otherwise(T._parses(body))
-
-
 def _turns(fields) -> Column:
     """The objects of a line's ``conversations`` list as ``ARRAY<STRUCT<from, value>>``."""
     entries = F.from_json(fields["conversations"], "array<string>")
@@ -138,40 +133,83 @@ def _turns(fields) -> Column:
     return F.transform(objects, lambda e: F.from_json(e, TURN_STRUCT))
 
 
+def _once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``df`` with ``value`` as a column that later expressions read but never repeat.
+
+    A one-element explode: neither projects above it nor filters pushed down are merged with it.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def parse_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
+    """``lines`` without ``line_col`` and with ``body`` (the trimmed line) and ``rec``: a struct of ``valid``
+    (exactly one JSON value of any kind), ``conv``, ``conv_id``, ``start``, ``variant``, ``extra``.
+
+    The line is parsed once, as the list ``[line, "md5 of line"]``: content after the value either breaks the list
+    or moves the md5 from second place, and no line holds its own md5.  All fields come from that one variant.
+    Lines that no variant can hold (repeated keys, ``NaN``, malformed ones) are read again as text.
+    """
+    df = _once(lines, "body", T.trim_ws(line_col)).drop(line_col)
+    df = _once(df, "_seal", F.md5("body"))
+    df = _once(df, "_v", F.try_parse_json(F.concat(F.lit("["), F.col("body"), F.lit(',"'), F.col("_seal"), F.lit('"]'))))
+    df = _once(df, "_j", F.when(F.col("_v").isNull(), _fields(F.col("body"))))
+    v, j = F.col("_v"), F.col("_j")
+
+    def record(valid, conv, conv_id, start, variant, extra):
+        return F.struct(valid.alias("valid"), conv.alias("conv"), conv_id.alias("conv_id"), start.try_cast("bigint").alias("start"),
+                        variant.try_cast("int").alias("variant"), extra.alias("extra"))
+
+    entries = F.filter(F.try_variant_get(v, "$[0].conversations", "array<variant>"),
+                       lambda e: F.coalesce(F.schema_of_variant(e).startswith("OBJECT"), F.lit(False)))
+    others = F.map_filter(F.try_variant_get(v, "$[0]", "map<string,variant>"), lambda k, _: ~k.isin(*KNOWN_FIELDS))
+    once = record(F.lit(True), F.transform(entries, lambda e: F.struct(
+        F.try_variant_get(e, "$.from", "string").alias("from"), F.try_variant_get(e, "$.value", "string").alias("value"))),
+        *(F.try_variant_get(v, f"$[0].{f}", "string") for f in ("conv_id", "start", "variant")),
+        F.transform_values(others, lambda _, x: F.try_variant_get(x, "$", "string")))
+    again = record(F.coalesce(F.when(F.col("body").startswith("{"), j.isNotNull()).otherwise(T._parses(F.col("body"))), F.lit(False)),
+                   _turns(j), j["conv_id"], j["start"], j["variant"], F.map_filter(j, lambda k, _: ~k.isin(*KNOWN_FIELDS)))
+    none = F.lit(None).cast("string")
+    bad = record(F.lit(False), F.lit(None).cast(Ty.ArrayType(TURN_STRUCT)), none, none, none, F.lit(None).cast("map<string,string>"))
+    sealed = F.try_variant_get(v, "$[1]", "string") == F.col("_seal")
+    return _once(df, "rec", F.when(v.isNull(), again).when(sealed, once).otherwise(bad)).drop("_seal", "_v", "_j")
+
+
 def _parse(lines: DataFrame, strict: bool) -> DataFrame:
-    body = T.trim_ws("line")
-    fields = _fields(body)
+    parsed = parse_lines(lines.filter(T.is_nonblank("line")))
     if strict:
-        fields = F.when(F.coalesce(_valid(body), F.lit(False)), fields).otherwise(
-            F.raise_error(F.concat(F.lit("malformed line: "), F.substring(body, 1, 200))).cast("map<string,string>"))
-    return lines.filter(T.is_nonblank("line")).select(*ORDER_COLS, fields.alias("j"), *_extras(lines))
+        refused = F.raise_error(F.concat(F.lit("malformed line: "), F.substring("body", 1, 200)))
+        parsed = parsed.withColumn("rec", F.when(F.col("rec.valid"), F.col("rec")).otherwise(
+            refused.cast(parsed.schema["rec"].dataType)))
+    return parsed.drop("body")
 
 
-def line_outcome(line) -> Column:
-    """What becomes of a line: blank / malformed / no_records / kept."""
-    body = T.trim_ws(line)
-    return (F.when(~T.is_nonblank(line), F.lit("blank"))
-            .when(~F.coalesce(_valid(body), F.lit(False)), F.lit("malformed"))
-            .when(F.coalesce(F.size(_turns(_fields(body))) > 0, F.lit(False)), F.lit("kept"))
-            .otherwise(F.lit("no_records")))
+def with_outcome(lines: DataFrame, line_col: str = "line") -> DataFrame:
+    """``lines`` with ``outcome``, what becomes of each: blank / malformed / no_records / kept."""
+    parsed = parse_lines(lines.withColumn("_line", F.col(line_col)), "_line")
+    return parsed.withColumn("outcome", F.when(F.length("body") == 0, F.lit("blank"))
+                             .when(~F.col("rec.valid"), F.lit("malformed"))
+                             .when(F.coalesce(F.size("rec.conv") > 0, F.lit(False)), F.lit("kept"))
+                             .otherwise(F.lit("no_records"))).drop("body", "rec")
 
 
 def classify_lines(lines: DataFrame) -> DataFrame:
     """Outcome per line: blank / malformed / no_records / kept (reject counters)."""
-    return lines.select(*ORDER_COLS, line_outcome("line").alias("outcome"))
+    return with_outcome(lines).select(*ORDER_COLS, "outcome")
 
 
 def _records(parsed: DataFrame) -> DataFrame:
-    j = F.col("j")
-    start = F.coalesce(j["start"].try_cast("bigint"), F.lit(0).cast("bigint"))
-    turns = F.transform("conv", lambda t, i: F.struct(
+    taken = _extras(parsed)
+    turns = F.transform("rec.conv", lambda t, i: F.struct(
         (i + F.col("start")).cast("bigint").alias("pos"), (i + F.col("start")).cast("bigint").alias("turn"),
         R.from_interchange_role(t["from"]).alias("role"), t["value"].alias("text")))
-    taken = _extras(parsed)
-    return (parsed.select(*ORDER_COLS, "j", _turns(j).alias("conv"), start.alias("start"), *taken)
-            .filter(F.coalesce(F.size("conv") > 0, F.lit(False)))
-            .select(*ORDER_COLS, j["conv_id"].alias("conv_id"), "start", j["variant"].try_cast("int").alias("variant"),
-                    turns.alias("turns"), F.map_filter(j, lambda k, _: ~k.isin(*KNOWN_FIELDS)).alias("extra"), *taken))
+    return (parsed.filter(F.coalesce(F.size("rec.conv") > 0, F.lit(False)))
+            .select(*ORDER_COLS, "rec", F.coalesce("rec.start", F.lit(0).cast("bigint")).alias("start"), *taken)
+            .select(*ORDER_COLS, "rec.conv_id", "start", "rec.variant", turns.alias("turns"), "rec.extra", *taken))
+
+
+def scan_lines(lines: DataFrame) -> DataFrame:
+    """Tolerant scan of raw lines (:func:`read_lines`)."""
+    return _records(_parse(lines, strict=False))
 
 
 def scan_jsonl(spark: SparkSession, paths, recursive: bool = False, glob: str | None = DEFAULT_GLOB,
@@ -186,8 +224,7 @@ def scan_jsonl(spark: SparkSession, paths, recursive: bool = False, glob: str |
         paths = existing_paths(spark, paths, glob)
     if not paths:
         return spark.createDataFrame([], _records_schema())
-    lines = read_lines(spark, paths, recursive, glob, exclude_fragment)
-    return _records(_parse(lines, strict=False))
+    return scan_lines(read_lines(spark, paths, recursive, glob, exclude_fragment))
 
 
 def scan_jsonl_strict(spark: SparkSession, paths, glob: str | None = DEFAULT_GLOB, keep_line: bool = False) -> DataFrame:

@@ -32,21 +32,16 @@ KEY_COL = "record_key"
 
 
 def _parse_stream(lines: DataFrame) -> DataFrame:
-    body = T.trim_ws(F.make_valid_utf8("value"))
-    j = F.col("j")
-    return (lines.filter(T.is_nonblank("value"))
-            .select(J._fields(body).alias("j"), F.md5(body).alias(KEY_COL))
-            .select("j", J._turns(j).alias("conversations"), KEY_COL)
-            .filter(F.coalesce(F.size("conversations") > 0, F.lit(False)))
-            .select(j["conv_id"].alias("conv_id"), j["start"].try_cast("bigint").alias("start"),
-                    j["variant"].try_cast("int").alias("variant"), "conversations",
-                    F.map_filter(j, lambda k, _: ~k.isin(*J.KNOWN_FIELDS)).alias("extra"), KEY_COL))
+    parsed = J.parse_lines(lines.filter(T.is_nonblank("value")).select(F.make_valid_utf8("value").alias("line")))
+    return (parsed.filter(F.coalesce(F.size("rec.conv") > 0, F.lit(False)))
+            .select("rec.conv_id", "rec.start", "rec.variant", F.col("rec.conv").alias("conversations"), "rec.extra",
+                    F.md5("body").alias(KEY_COL)))
 
 
 def _rejected(lines: DataFrame) -> DataFrame:
     """(line, reason, src_file) of the lines that are no records; blank lines are no rejects."""
     lines = lines.select(F.make_valid_utf8("value").alias("line"), F.col("_metadata.file_path").alias("src_file"))
-    return (lines.withColumn("reason", J.line_outcome("line")).filter(F.col("reason").isin("malformed", "no_records"))
+    return (J.with_outcome(lines).withColumnRenamed("outcome", "reason").filter(F.col("reason").isin("malformed", "no_records"))
             .select("line", "reason", "src_file"))
 
 
