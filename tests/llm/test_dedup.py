@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import struct
 
 import numpy as np
 import pytest
@@ -47,6 +48,29 @@ def test_exact_dedup(spark, docs, fan_in, per_run):
                                                                             ((norm(t), w) for (i, t), w in zip(rows, want)) if w[3])
 
 
+def test_sorted_slices_are_merged_not_sorted():
+    def pack(*entry):
+        return struct.pack(exact_dedup.ENTRY, *entry)
+
+    keys = [bytes([k]) * 48 for k in range(5)]
+    runs = [[(keys[0], 9, 1, 1), (keys[2], 4, 1, 2), (keys[4], BIG, 0, 1)], [(keys[2], 3, 1, 1), (keys[3], 8, 1, 1)],
+            [(keys[0], 2, 1, 5), (keys[4], 7, 1, 1)], []]
+    got = list(exact_dedup.merge_slices([b"".join(pack(*e) for e in r) for r in runs]))
+    assert got == [[keys[0], 2, 2, 6], [keys[2], 3, 2, 3], [keys[3], 8, 1, 1], [keys[4], 7, 1, 2]]
+    # a slice out of order stays so: nothing is sorted behind the merge
+    assert [e[0] for e in exact_dedup.merge_slices([pack(keys[3], 1, 1, 1) + pack(keys[1], 2, 1, 1)])] == [keys[3], keys[1]]
+    # what a run deals is sorted and goes to runs that differ in one digit
+    dealt = exact_dedup._deal(5, got, 4, 4)
+    assert sum(len(x.as_py()) for x in dealt.column("slice")) == 4 * struct.calcsize(exact_dedup.ENTRY)
+    assert {x.as_py() % 4 for x in dealt.column("run")} == {1}
+
+
+def test_exact_dedup_without_ids_spreads_over_runs(spark):
+    rows = [(None, f"text {i % 300}") for i in range(900)]
+    got = exact_dedup.exact_dedup(spark.createDataFrame(rows, "doc_id long, text string"), fan_in=4, rows_per_run=32).collect()
+    assert len(got) == 900 and {(r.keep_id, r.group_size) for r in got} == {(None, 3)} and sum(r.kept for r in got) == 300
+
+
 def shingles(t, k=4):
     w = [lower(x) for x in WORD.findall(t or "")]
     return frozenset(tuple(w[i:i + k]) for i in range(max(1, len(w) - k + 1))) if w else frozenset()
