@@ -170,10 +170,24 @@ def words(t):
     return [w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")) if w]
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_decontaminate(spark, docs, small, monkeypatch):
-    if not small:
-        monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+def test_decontaminate_shuffle_form_salts_places(spark, docs, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    passage = "one two three four five six seven eight nine ten"  # in two thirds of the rows, and a very long item
+    rows = [(i, f"w{i} {passage} x{i}" if i % 3 else f"w{i} none") for i in range(600)]
+    bench = spark.createDataFrame([("a", passage), ("b", " ".join(f"q{k}" for k in range(20_000)))], "item_id string, text string")
+    rows.append((600, " ".join(f"q{k}" for k in range(30_000))))
+    got = {r.doc_id: (r.n_words, r.n_hit, r.n_items) for r in decontaminate.decontaminate(docs(rows), bench).collect()}
+    assert got == {i: (12, 10, 1) if i % 3 else (2, 0, 0) for i in range(600)} | {600: (30_000, 20_000, 1)}
+    plan = decontaminate.matches(docs(rows), bench)._jdf.queryExecution().optimizedPlan().toString()
+    assert "salt" in plan and "[\0" not in plan
+
+
+@pytest.mark.parametrize("windows,anchors", [(None, None), (0, None), (0, 0)])
+def test_decontaminate(spark, docs, windows, anchors, monkeypatch):
+    if windows is not None:
+        monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", windows)
+    if anchors is not None:
+        monkeypatch.setattr(decontaminate, "BROADCAST_ANCHORS", anchors)
     rows = corpus(11)
     rng = random.Random(2)
     items = [(k, " ".join(words(t)[5:5 + rng.choice([3, 9, 10, 25])]).upper()) for k, (_, t) in enumerate(rows[:25])]

@@ -8,12 +8,12 @@ in a document are candidates.  The place of the word in the window and the lengt
 document bound where the window can lie; the words there are then compared with
 the window one by one.  A window text that many items share is joined once.
 
-Each document also carries one sentinel word (NUL, which no word can hold), so
-that a single pass gives its row and word count besides its matches.
-
-The benchmark side is broadcast after its rows have been counted; beyond
-``BROADCAST_WINDOWS`` the same join runs as a shuffle join on the rarest word, with
-just the words around each candidate place.
+The benchmark side is broadcast after its rows have been counted; each document then carries one
+sentinel word (NUL, which no word can hold), so that a single pass gives its row and word count
+besides its matches.  Beyond ``BROADCAST_WINDOWS`` the same join runs as a shuffle join on the rarest
+word, with just the words around each candidate place: words are counted before they meet the
+benchmark's words, places are salted so that a frequent rarest word is spread over ``SALTS`` tasks, and
+the rows of the documents come from the documents themselves.
 
 Defined cases: null or empty texts have no words; identical (id, text) rows get a
 row each; a null item id counts as the empty string; repeated items count once;
@@ -28,6 +28,8 @@ from threadline.llm.common import checkpointed, documents, drop_rows
 
 WINDOW = 10
 BROADCAST_WINDOWS = 200_000
+#: Parts of each rarest word in the shuffle join; at most this many rarest words are broadcast to leave other places out before it.
+SALTS, BROADCAST_ANCHORS = 32, 500_000
 SENTINEL = "\0"
 #: The separators of the word rule.
 SEPARATORS = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -57,7 +59,10 @@ def anchored(win: DataFrame, docs: DataFrame, text_col: str = "text", small: boo
     """Windows with their rarest word over all documents and its first place."""
     vocab = win.select(F.explode("win").alias("word")).distinct()
     seen = docs.select(F.explode(words(F.col(text_col))).alias("word"))
-    counts = seen.join(F.broadcast(vocab) if small else vocab, "word").groupBy("word").agg(F.count("*").alias("n"))
+    if small:
+        counts = seen.join(F.broadcast(vocab), "word").groupBy("word").agg(F.count("*").alias("n"))
+    else:  # one row per word and task is shuffled, not one per occurrence
+        counts = seen.groupBy("word").agg(F.count("*").alias("n")).join(vocab, "word")
     ranked = (win.select("win", F.posexplode("win").alias("at", "word")).join(counts, "word", "left")
               .groupBy("win").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "word", "at")).alias("rarest")))
     return win.join(ranked, "win").select("win", "len", "items", F.col("rarest.word").alias("anchor"),
@@ -71,27 +76,37 @@ def matches(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     win = checkpointed(windows(items, text_col="text", width=width))
     small = win.count() <= BROADCAST_WINDOWS
     table = checkpointed(anchored(win, docs, text_col, small))
-    none = spark.range(1).select(*(F.lit(SENTINEL if f.name == "anchor" else None).cast(f.dataType).alias(f.name)
-                                   for f in table.schema))
-    table = table.unionByName(none)
-
-    keyed = (docs.select(F.col(id_col).cast("long").alias("doc_id"), words(F.col(text_col)).alias("w"),
-                         F.xxhash64(text_col).alias("h"), F.octet_length(F.coalesce(F.col(text_col), F.lit(""))).alias("b"))
-             .select("doc_id", "h", "b", F.size("w").alias("n_words"), F.concat("w", F.array(F.lit(SENTINEL))).alias("w")))
-    if small:
-        placed = keyed.select("doc_id", "h", "b", "n_words", "w", F.posexplode("w").alias("p", "anchor"))
-        table = F.broadcast(table)
-        first = F.lit(0)
-    else:
-        placed = keyed.select("doc_id", "h", "b", "n_words", "w", F.posexplode("w").alias("p", "anchor"))
-        first = F.greatest(F.col("p") - (width - 1), F.lit(0))
-        placed = placed.withColumn("w", F.slice("w", first + 1, F.lit(2 * width - 1)))
+    own = docs.select(F.col(id_col).cast("long").alias("doc_id"), words(F.col(text_col)).alias("w"),
+                      F.xxhash64(text_col).alias("h"), F.octet_length(F.coalesce(F.col(text_col), F.lit(""))).alias("b"))
+    keyed = own.select("doc_id", "h", "b", F.size("w").alias("n_words"), "w")
     start = F.col("p") - F.col("at")
     inside = (start >= 0) & (start + F.col("len") <= F.col("n_words"))  # positional and length bounds
-    local = start - first + 1
-    same = F.slice("w", F.greatest(local, F.lit(1)), F.col("len")) == F.col("win")
-    return (placed.join(table, "anchor").where(F.col("win").isNull() | (inside & same))
-            .select("doc_id", "h", "b", "n_words", F.when(F.col("win").isNotNull(), start).alias("start"), "len", "items"))
+
+    def same(first):  # the words at the place, in a slice of the text that begins at word ``first``
+        return F.slice("w", F.greatest(start - first + 1, F.lit(1)), F.col("len")) == F.col("win")
+
+    def found(rows):
+        return rows.select("doc_id", "h", "b", "n_words", F.when(F.col("win").isNotNull(), start).alias("start"), "len", "items")
+
+    if small:
+        none = spark.range(1).select(*(F.lit(SENTINEL if f.name == "anchor" else None).cast(f.dataType).alias(f.name)
+                                       for f in table.schema))
+        placed = (keyed.withColumn("w", F.concat("w", F.array(F.lit(SENTINEL))))
+                  .select("doc_id", "h", "b", "n_words", "w", F.posexplode("w").alias("p", "anchor")))
+        return found(placed.join(F.broadcast(table.unionByName(none)), "anchor")
+                     .where(F.col("win").isNull() | (inside & same(F.lit(0)))))
+
+    placed = keyed.select("doc_id", "h", "b", "n_words", "w", F.posexplode("w").alias("p", "anchor"))
+    rarest = checkpointed(table.select("anchor").distinct())
+    if rarest.count() <= BROADCAST_ANCHORS:
+        placed = placed.join(F.broadcast(rarest), "anchor", "left_semi")
+    first = F.greatest(F.col("p") - (width - 1), F.lit(0))
+    placed = (placed.withColumn("w", F.slice("w", first + 1, F.lit(2 * width - 1)))
+              .withColumn("salt", F.pmod(F.xxhash64("doc_id", "h", "p"), F.lit(SALTS)).cast("int")))
+    salted = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    hits = found(placed.join(salted, ["anchor", "salt"]).where(inside & same(first)))
+    rows = keyed.select("doc_id", "h", "b", "n_words", *(F.lit(None).cast(hits.schema[c].dataType).alias(c) for c in ("start", "len", "items")))
+    return rows.unionByName(hits)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
