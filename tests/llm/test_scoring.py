@@ -39,27 +39,114 @@ def test_base_scores(spark, docs, table, monkeypatch):
     assert all(r.score <= 0 for r in got)
 
 
+def built_model(words=60, texts=400, seed=0):
+    """A model trained on texts in which the word before decides the next one; its vocabulary, shape and word hashes."""
+    rng = np.random.default_rng(seed)
+    hashes = np.sort(rng.choice(1 << 60, words, replace=False)).astype(np.uint64)
+    vocab = lm_score.Vocabulary(hashes, rng.integers(0, 4, words))
+    s = vocab.shape
+    seqs = []
+    for _ in range(texts):
+        place = [int(rng.integers(words))]
+        for _ in range(30):
+            place.append((place[-1] + 7 + int(rng.integers(2))) % words)
+        seqs.append(np.array(place))
+    return vocab, s, seqs
+
+
+def trained(vocab, s, seqs):
+    pairs = np.zeros((2, s.ctx, s.out), np.float32)
+    for place in seqs:
+        w = vocab.first_level(place)
+        for lag in (1, 2):
+            np.add.at(pairs[lag - 1], (np.append(np.full(lag, s.start), w[:-lag]), w), 1)
+    first = lm_score.FirstLevel(pairs)
+    n_near, n_far = len(first.near_mean), len(first.far)
+    triples = np.zeros((n_near, n_far, s.out), np.float32)
+    member = np.zeros((s.classes, s.per, s.ctx), np.float32)
+    behind = np.zeros((s.classes, s.per, s.out), np.float32)
+    for place in seqs:
+        w = vocab.first_level(place)
+        a1, a2 = np.append(s.start, w[:-1]), np.append([s.start, s.start], w[:-2])
+        np.add.at(triples, (first.near_group[a1], first.far_group[a2], w), 1)
+        m = place >= s.top
+        np.add.at(member, (*np.divmod(place[m] - s.top, s.per), a1[m]), 1)
+        m = m[:-1]
+        np.add.at(behind, (*np.divmod(place[:-1][m] - s.top, s.per), w[1:][m]), 1)
+    first.weigh(triples.ravel())
+
+    class Row:
+        pass
+
+    rows = []
+    for k in range(s.classes):
+        n = min(s.per, s.words - s.top - k * s.per)
+        u, d = lm_score.fit_members(member[k][:n].T, first.near_in)
+        r = lm_score.fit_contexts(behind[k][:n], first.near[s.top + k], first.q, first.b, first.pn)
+        u, r = u.astype(np.float16), r.astype(np.float16)
+        x = Row()
+        x.block, x.r, x.z1, x.u, x.d = k, r.tobytes(), first.log_z(r).tobytes(), u.tobytes(), d.astype(np.float32).tobytes()
+        x.z2 = lm_score.log_sum(first.near_in @ u.astype(np.float32).T + d).astype(np.float32).tobytes()
+        rows.append(x)
+    return lm_score.Model(s, first, rows)
+
+
+def every_token(vocab, s):
+    """(place, first-level output) of every word of the vocabulary, tail class and the end."""
+    place = np.append(np.arange(s.words), np.full(lm_score.TAIL + 1, -1))
+    return place, np.append(vocab.first_level(np.arange(s.words)), np.arange(s.tail, s.out))
+
+
 def test_probabilities_add_up_to_one():
-    rng = np.random.default_rng(0)
-    table = rng.poisson(0.01, (2, lm_score.START + 1, lm_score.OUT)).astype(float)
-    m = lm_score.Model(table)
-    w = np.arange(lm_score.OUT)
-    for a1, a2 in rng.integers(0, lm_score.START + 1, (20, 2)):
-        p = m.log10(w, np.full(len(w), a1), np.full(len(w), a2))
-        assert (10**p).sum() == pytest.approx(1, abs=1e-4)
-
-
-def test_nce_learns_the_conditional_distribution():
-    # two kinds of contexts with different outputs: the normalised model must come close to both
-    n = lm_score.OUT
-    table = np.zeros((2, lm_score.START + 1, n))
-    table[:, ::2, 10:20] = 40
-    table[:, 1::2, 30:70] = 10
-    m = lm_score.Model(table, a1=1.0, a2=0.0)
-    w = np.arange(n)
-    even = 10 ** m.log10(w, np.full(n, 4), np.full(n, 4))
-    odd = 10 ** m.log10(w, np.full(n, 5), np.full(n, 5))
-    assert even[10:20].sum() > 0.9 and odd[30:70].sum() > 0.9
+    vocab, s, seqs = built_model()
+    m = trained(vocab, s, seqs)
+    place, w = every_token(vocab, s)
+    rng = np.random.default_rng(1)
+    for a2 in rng.integers(0, s.ctx, 5):
+        for before in [-1, *rng.integers(0, s.words, 8)]:
+            a1 = s.start if before < 0 else vocab.first_level(np.array([before]))[0]
+            c1 = s.ctx + before - s.top if before >= s.top else a1
+            p = m.log10(place, w, np.full(len(w), c1), np.full(len(w), a1), np.full(len(w), a2))
+            assert (10**p).sum() == pytest.approx(1, abs=1e-3)
+
+
+def test_rare_words_are_outputs_and_contexts_of_their_own():
+    # the word before decides the next one: also for words outside the most frequent ones the model must know both
+    vocab, s, seqs = built_model()
+    assert s.classes > 5
+    m = trained(vocab, s, seqs)
+    place, w = every_token(vocab, s)
+    mass = []
+    for before in range(s.top, s.words):
+        a1 = vocab.first_level(np.array([before]))[0]
+        p = 10 ** m.log10(place, w, np.full(len(w), s.ctx + before - s.top), np.full(len(w), a1), np.full(len(w), s.start))
+        mass.append(p[(before + 7) % s.words] + p[(before + 8) % s.words])
+    assert np.mean(mass) > 3 * 2 / s.words
+
+
+def test_vocabulary_grows_with_the_words():
+    for n in (0, 1, 5, 1000, 40_000):
+        s = lm_score.Layout(n)
+        assert s.top + s.classes * s.per >= n > s.top + (s.classes - 1) * s.per - (s.classes == 0)
+        assert s.out <= 2 * math.sqrt(n) + lm_score.TAIL + 3
+        vocab = lm_score.Vocabulary(np.arange(n, dtype=np.uint64), np.zeros(n, np.int64))
+        assert (np.sort(vocab.order) == np.arange(n)).all()
+
+
+def test_pair_counts_in_spark(spark, docs):
+    rows = docs([(i, "a b c a d " * 3 + f"w{i % 3}") for i in range(40)]).selectExpr("true AS train", "text")
+    counts = lm_score.word_counts(rows).toPandas()
+    counts = counts[counts.h != np.array([lm_score.END_HASH]).view(np.int64)[0]].sort_values(["n", "h"], ascending=[False, True])
+    vocab = lm_score.Vocabulary(counts.h.to_numpy().view(np.uint64), counts.cls.to_numpy())
+    s = vocab.shape
+    table = lm_score.pair_tables(rows, vocab)
+    assert table[0].sum() == table[1].sum() == 40 * 17 and table[0, :, s.end].sum() == 40
+    groups = np.arange(s.ctx) % 3
+    got = lm_score.member_pairs(rows, vocab, groups, groups).toPandas()
+    total = {b: sum(np.frombuffer(x, np.int32).sum() for x in g["n"]) for b, g in got.groupby("block")}
+    assert total.pop(-1) == 40 * 17
+    in_classes = counts.n.to_numpy()[vocab.order[s.top:]].sum()
+    assert sum(total.values()) == 2 * in_classes  # every word is followed by something: the end at least
 
 
 def test_model_beats_unigrams_on_held_out_text(spark, sf_dir):
