@@ -48,7 +48,7 @@ GROUPS = 16
 NEAR_GROUPS = 32
 NOISE = 10
 STEPS = 200
-MEMBER_STEPS = 40
+MEMBER_STEPS = 30
 PRIOR = 1.0
 TABLE = 500_000
 FLUSH = 4_000_000
@@ -228,7 +228,7 @@ def pair_tables(rows: DataFrame, vocab: Vocabulary) -> np.ndarray:
         return pd.DataFrame({"block": [pdf["block"].iloc[0]], "n": [total.astype(np.float32).tobytes()]})
 
     got = (rows.where("train").select("text").mapInArrow(count, "block long, at binary, n binary")
-           .groupBy("block").applyInPandas(add, "block long, n binary").toLocalIterator())  # at most 2 * ctx * out numbers
+           .groupBy("block").applyInPandas(add, "block long, n binary").collect())  # at most 2 * ctx * out numbers
     table = np.zeros((2, -(-s.ctx // block) * block, s.out), np.float32)
     for r in got:
         a = r.block % 1000 * block
@@ -320,10 +320,18 @@ class Adam:
             p -= (rate * (self.m[k] / (1 - 0.9**self.t)) / (np.sqrt(self.v[k] / (1 - 0.99**self.t)) + 1e-10)).astype(np.float32)
 
 
-def nce_slope(score: np.ndarray, data: np.ndarray, noise_mass: np.ndarray, shift: np.ndarray) -> np.ndarray:
-    """Slope of the loss by each score; ``noise_mass``: expected noise counts of each cell, ``shift``: log of noise * unigram."""
-    real = 1 / (1 + np.exp(np.clip(shift - score, -30, 30)))
-    return noise_mass * real - data * (1 - real)
+def nce_slope(score: np.ndarray, data: np.ndarray, drawn: np.ndarray, shift: np.ndarray) -> np.ndarray:
+    """Slope of the loss by each score (overwritten).
+
+    ``drawn``: data and expected noise counts of each cell, ``shift``: log of noise * unigram.
+    """
+    x = np.subtract(shift, score, out=score)
+    np.minimum(x, 30, out=x)
+    np.exp(x, out=x)
+    x += 1
+    np.divide(drawn, x, out=x)
+    x -= data
+    return x
 
 
 def fit_members(table: np.ndarray, ctx: np.ndarray, noise: int = NOISE, steps: int | None = None):
@@ -333,11 +341,11 @@ def fit_members(table: np.ndarray, ctx: np.ndarray, noise: int = NOISE, steps: i
     unigram = table.sum(axis=0) + 0.5
     pn = (unigram / unigram.sum()).astype(np.float32)
     model = Adam({"u": np.zeros((table.shape[1], ctx.shape[1]), np.float32), "d": np.log(pn)})
-    mass, shift = table.sum(axis=1, keepdims=True) * noise * pn, np.log(noise * pn)
+    drawn, shift = table + table.sum(axis=1, keepdims=True) * noise * pn, np.log(noise * pn)
     steps = MEMBER_STEPS if steps is None else steps
     for t in range(steps if len(table) else 0):
         p = model.p
-        slope = nce_slope(ctx @ p["u"].T + p["d"], table, mass, shift)
+        slope = nce_slope(ctx @ p["u"].T + p["d"], table, drawn, shift)
         model.step({"u": slope.T @ ctx + PRIOR * p["u"], "d": slope.sum(axis=0)}, 0.1 * (1 - t / steps) + 0.002)
     return model.p["u"], model.p["d"]
 
@@ -345,11 +353,11 @@ def fit_members(table: np.ndarray, ctx: np.ndarray, noise: int = NOISE, steps: i
 def fit_contexts(table: np.ndarray, prior: np.ndarray, q: np.ndarray, b: np.ndarray, pn: np.ndarray, noise: int = NOISE, steps: int | None = None):
     """Vectors of a class's members as contexts from the counts (member, output), drawn to the class's own vector."""
     model = Adam({"r": np.repeat(prior[None], len(table), axis=0).astype(np.float32)})
-    mass, shift = table.sum(axis=1, keepdims=True) * noise * pn, np.log(noise * pn)
+    drawn, shift = table + table.sum(axis=1, keepdims=True) * noise * pn, np.log(noise * pn)
     steps = MEMBER_STEPS if steps is None else steps
     for t in range(steps):
         r = model.p["r"]
-        slope = nce_slope(r @ q.T + b, table, mass, shift)
+        slope = nce_slope(r @ q.T + b, table, drawn, shift)
         model.step({"r": slope @ q + PRIOR * (r - prior)}, 0.05 * (1 - t / steps) + 0.002)
     return model.p["r"]
 
@@ -373,14 +381,14 @@ def train_nce(table: np.ndarray, rank: int = RANK, noise: int = NOISE, steps: in
     rows = table.sum(axis=2)
     weight = 1 / np.sqrt(np.maximum(rows, 1))
     data = (table * weight[:, :, None] / np.maximum((rows * weight).sum(), 1)).astype(np.float32)
-    total = data.sum(axis=2, keepdims=True)
+    drawn = data + data.sum(axis=2, keepdims=True) * noise * pn
     shift = np.log(noise * pn)
     steps = STEPS if steps is None else steps
     for t in range(1, steps + 1):
         g = {k: np.zeros_like(v) for k, v in p.items()}
         for lag in (0, 1):
             ctx = p["r"] * p["c"][lag]
-            d = nce_slope(ctx @ p["q"].T + p["b"], data[lag], total[lag] * noise * pn, shift)
+            d = nce_slope(ctx @ p["q"].T + p["b"], data[lag], drawn[lag], shift)
             dctx = d @ p["q"]
             g["q"] += d.T @ ctx
             g["b"] += d.sum(axis=0)
@@ -396,14 +404,14 @@ def train_joint(table: np.ndarray, near: np.ndarray, far: np.ndarray, q: np.ndar
     unigram = table.sum(axis=0) + 0.5
     pn = (unigram / unigram.sum()).astype(np.float32)
     data = table / max(table.sum(), 1)
-    mass, shift = data.sum(axis=1, keepdims=True) * noise * pn, np.log(noise * pn)
+    drawn, shift = data + data.sum(axis=1, keepdims=True) * noise * pn, np.log(noise * pn)
     x1, x2 = np.repeat(near, len(far), axis=0), np.tile(far, (len(near), 1))
     rank = q.shape[1]
     model = Adam({"c1": np.full(rank, 0.9, np.float32), "c2": np.full(rank, 0.6, np.float32), "b": b.astype(np.float32).copy()})
     p = model.p
     steps = STEPS if steps is None else steps
     for t in range(steps):
-        slope = nce_slope((x1 * p["c1"] + x2 * p["c2"]) @ q.T + p["b"], data, mass, shift)
+        slope = nce_slope((x1 * p["c1"] + x2 * p["c2"]) @ q.T + p["b"], data, drawn, shift)
         back = slope @ q
         model.step({"c1": (back * x1).sum(axis=0), "c2": (back * x2).sum(axis=0), "b": slope.sum(axis=0)}, 0.02 * (1 - t / steps) + 0.001)
     return p["c1"], p["c2"], p["b"]
@@ -462,7 +470,8 @@ def fit_classes(pairs: DataFrame, shape: Layout, first: FirstLevel) -> DataFrame
         return pd.DataFrame({"block": [k], "r": [r.tobytes()], "z1": [f.log_z(r).tobytes()], "u": [u.tobytes()],
                              "d": [d.astype(np.float32).tobytes()], "z2": [z2.tobytes()]})
 
-    return (pairs.where("block >= 0").groupBy("block")
+    # a fixed number of tasks: the training of a class takes long for its few bytes, which would be put into one task
+    return (pairs.where("block >= 0").repartition(max(1, shape.classes // 4), "block").groupBy("block")
             .applyInPandas(fit, "block long, r binary, z1 binary, u binary, d binary, z2 binary"))
 
 
@@ -516,7 +525,8 @@ def train(rows: DataFrame, vocab: Vocabulary) -> Model:
     add = pairs.where("block = -1").groupBy("block").applyInPandas(
         lambda pdf: pd.DataFrame({"n": [added(pdf, size).tobytes()]}), "n binary").first()
     first.weigh(np.frombuffer(add.n, np.float32) if add else np.zeros(size, np.float32))
-    return Model(shape, first, fit_classes(pairs, shape, first).toLocalIterator())  # a class at a time, VOCAB words at most
+    classes = stored(fit_classes(pairs, shape, first), "lm_classes")  # trained in parallel, then read class by class
+    return Model(shape, first, classes.toLocalIterator())  # VOCAB words at most
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
