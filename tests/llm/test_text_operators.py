@@ -307,3 +307,15 @@ def test_a_form_around_the_page_is_no_form_to_drop():
 def test_pages_of_an_empty_table(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert html_text.extract(pages).collect() == []
+
+
+def test_packing_does_not_depend_on_the_partitioning(spark, docs, monkeypatch):
+    monkeypatch.setattr(packing, "EQUAL_RUN", 8)
+    rows = [(i % 50, "w " * (i % 23)) for i in range(300)] + [(None, "a b c")] * 100 + [(7, "same text here")] * 100
+    got = [sorted(map(tuple, packing.pack_documents(docs(rows[::step]).repartition(parts), capacities=(16, 64), shard_rows=40).collect()), key=repr)
+           for step, parts in ((1, 1), (-1, 7))]
+    assert got[0] == got[1] and len(got[0]) == 500
+    per = {}
+    for r in got[0]:
+        per[r[4]] = per.get(r[4], 0) + 1
+    assert max(per.values()) < 200  # two groups of 100 equal rows are spread over shards

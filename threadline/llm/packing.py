@@ -33,6 +33,7 @@ CAPACITIES = (512, 1024, 2048, 4096)
 BIN_COST = 16
 ATTENTION = 16_384
 SHARD_ROWS = 20_000
+EQUAL_RUN = 1024
 _SCHEMA = ("doc_id long, piece long, start long, length long, shard long, bin long, offset long, capacity long")
 
 
@@ -90,10 +91,13 @@ def pieces(docs: DataFrame, length: Column, id_col: str = "doc_id", capacities=C
 
 def pack(cut: DataFrame, capacities=CAPACITIES, bin_cost: int = BIN_COST, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Pack the pieces shard by shard; a row per piece with its bin, offset and capacity."""
-    cut = checkpointed(cut)
-    shards = max(1, math.ceil(cut.count() / shard_rows))
-    # ids may repeat or be null in any number, so the length and piece take part in the deal
-    shard = F.pmod(F.xxhash64("doc_id", "piece", "length", F.monotonically_increasing_id() % 1024), F.lit(shards))
+    # ids may repeat or be null in any number: equal pieces are counted and dealt in runs of EQUAL_RUN,
+    # so a shard is bounded and depends on the pieces alone, not on where they lie
+    cut = checkpointed(cut.groupBy("doc_id", "piece", "start", "length").agg(F.count("*").alias("copies")))
+    shards = max(1, math.ceil((cut.agg(F.sum("copies")).first()[0] or 0) / shard_rows))
+    runs = cut.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("copies") - 1) / EQUAL_RUN).cast("long"))))
+    size = F.least(F.col("copies") - F.col("run") * EQUAL_RUN, F.lit(EQUAL_RUN))
+    shard = F.pmod(F.xxhash64("doc_id", "piece", "length", "run"), F.lit(shards))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["known", "doc_id", "piece", "length"], ascending=[False, True, True, True], kind="stable")
@@ -106,8 +110,9 @@ def pack(cut: DataFrame, capacities=CAPACITIES, bin_cost: int = BIN_COST, shard_
         out["doc_id"] = out["doc_id"].astype("Int64").where(out["known"])
         return out[["doc_id", "piece", "start", "length", "shard", "bin", "offset", "capacity"]]
 
-    rows = cut.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNotNull().alias("known"),
-                      "piece", "start", "length", shard.alias("shard"))
+    rows = (runs.withColumn("shard", shard).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), size)))
+            .select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNotNull().alias("known"),
+                    "piece", "start", "length", "shard"))
     return rows.groupBy("shard").applyInPandas(run, _SCHEMA)
 
 
