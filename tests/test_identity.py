@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from threadline.operators import nested as N
 from threadline.operators import split as SP
+from threadline.operators.positions import input_bytes, range_partitions
 from threadline.sinks import export as X
 from threadline.sources import jsonl as J
 from threadline.streaming import ingest as IG
@@ -54,6 +55,21 @@ def test_numbering_moves_no_record(spark, tmp_path):
     assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan and "rangepartitioning" not in plan
 
 
+def test_numbering_adds_little_to_the_estimated_input(spark, tmp_path):
+    write_lines(tmp_path / "in", [3000, 3000])
+    size = sum(f.stat().st_size for f in (tmp_path / "in").iterdir())
+    recs = J.with_record_ids(J.scan_jsonl(spark, str(tmp_path / "in")))
+    assert size <= input_bytes(recs) <= size + 10_000  # two file splits, not files times splits
+    assert range_partitions(recs) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_range_partitions_of_a_checkpointed_join(spark):
+    ids = spark.range(100_000)
+    both = ids.join(ids.withColumn("x", F.col("id") + 1), "id").checkpoint()
+    assert 100_000 <= input_bytes(both) <= 100 * 100_000
+    assert range_partitions(both) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_numbers_of_nothing(spark, tmp_path):
     write_lines(tmp_path / "in", [0])
     recs, total = J.number_records(J.scan_jsonl(spark, str(tmp_path / "in")), with_total=True)

@@ -192,12 +192,22 @@ RANGE_PARTITION_BYTES = 128 * 1024 * 1024
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Bytes of the plan's leaves (files, checkpoints), from their statistics.
+    """Bytes of the plan's leaves: files by their statistics, checkpoints by what was written.
 
-    The estimate of the whole plan is not used: a join multiplies its inputs' sizes.
+    The estimate of the whole plan is not used: a join multiplies its inputs' sizes, and the statistics of
+    a checkpoint are the estimate of the plan it was made from.
     """
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return sum(_leaf_bytes(df, leaves.apply(i)) for i in range(leaves.size()))
+
+
+def _leaf_bytes(df: DataFrame, leaf) -> int:
+    if leaf.nodeName() == "LogicalRDD":
+        written = leaf.rdd().getCheckpointFile()
+        if written.isDefined():
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(written.get())
+            return path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+    return int(str(leaf.stats().sizeInBytes()))
 
 
 def range_partitions(df: DataFrame) -> int:
