@@ -6,6 +6,7 @@ import re
 import struct
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -304,3 +305,53 @@ def test_components_in_one_partition_and_by_stars(spark):
     df = spark.createDataFrame(edges, "a long, b long")
     one, many = (sorted(map(tuple, common.components(df, rows).collect())) for rows in (500_000, 40))
     assert one == many and dict(one)[340] == 300
+
+
+def shared_rows(batches, bounds):
+    """(sig, cls, hub) rows of jaccard_join._shared."""
+    return [r for b in jaccard_join._shared(bounds)(iter(batches)) for r in zip(*(b.column(c).to_pylist() for c in ("sig", "cls", "hub")))]
+
+
+def test_signatures_keep_likely_partners_in_any_batches(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 12)
+    rng = np.random.default_rng(6)
+    bounds = jaccard_join.Bounds()
+    base = [rng.integers(0, 2**63, 100).astype(np.uint64) for _ in range(3)]
+    sets = {c: np.unique(np.concatenate([base[c % 3][:97 if c % 2 else 40], rng.integers(0, 2**63, 3 if c % 2 else 60).astype(np.uint64)])) for c in range(40)}
+    one = jaccard_join.group_sketches(np.concatenate(list(sets.values())), np.cumsum([0, *map(len, sets.values())]),
+                                      np.arange(40), np.full(40, bounds.group(100)), np.where(np.arange(40) % 5, 1, 1600), bounds).to_pylist()
+    assert {len(x) for x in one} == {8, 16}  # those sent often are narrower
+    rows = sorted((s, int(c)) for s in range(-20, 20) for c in rng.choice(40, rng.choice([1, 2, 5, 11, 30]), replace=False))
+    rows = sorted(rows + rows[::7])  # a class comes once a task
+
+    def linked(a, b):
+        both = len(np.intersect1d(sets[a], sets[b]))
+        return 100 * both >= 85 * (len(sets[a]) + len(sets[b]) - both)
+    want, large = set(), set()
+    for s in range(-20, 20):
+        own = {c for k, c in rows if k == s}
+        if len(own) > 12:
+            large |= {(s, c, min(own)) for c in own}
+        want |= {(s, c) for c in own if any(linked(c, d) for d in own - {c})}
+    for size in (1, 3, 10, 1000):
+        batches = [pa.RecordBatch.from_arrays([pa.array([r[0] for r in part], pa.int64()), pa.array([r[1] for r in part], pa.int64()),
+                                               pa.array([len(sets[r[1]]) for r in part], pa.int64()), pa.array([one[r[1]] for r in part], pa.binary())],
+                                              names=["sig", "cls", "n", "sketch"]) for k in range(0, len(rows), size) for part in [rows[k:k + size]]]
+        got = shared_rows(batches, bounds)
+        assert len(set(got)) == len(got) and want <= {r[:2] for r in got}
+        if size <= 10:
+            assert large <= set(got)
+        # what is left under the other signatures are the classes of near copies
+        assert all(c % 2 for s, c, h in set(got) - large if not any(s == x[0] for x in large))
+        assert all(h <= c and (s, h) in {r[:2] for r in got} for s, c, h in got)
+
+
+def test_passages_alone_bring_no_classes_together(spark, docs):
+    rows = template_family(120)
+    bounds = jaccard_join.Bounds()
+    texts = docs(rows).select("text")
+    shared = (jaccard_join.recurring_signatures(texts, 4, bounds).repartition("sig").sortWithinPartitions("sig", "cls")
+              .mapInArrow(jaccard_join._shared(bounds), "sig long, cls long, hub long"))
+    assert 6 <= shared.select("cls").distinct().count() <= 20  # three pairs of near copies in one template
+    got = jaccard_join.jaccard_components(docs(rows)).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == sorted(brute_components(rows, 4, 85, 100))

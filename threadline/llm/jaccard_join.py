@@ -35,7 +35,9 @@ size and parity sketch leave it before the search.  No link between components c
 lost, and components are all that is reported.
 
 Signatures are emitted in two passes over the texts: the first fills a bit filter of fixed size with
-those that come twice, the second emits just what passes.
+those that come twice, the second emits just what passes, each with the size and a parity sketch of its
+set.  A class that no other one under a signature can be linked with by both leaves it, so sets, families
+and blocks are made of likely partners only.
 
 Defined cases: null or blank text has no shingles and links with nothing; fewer than
 ``SHINGLE`` words are one shingle; repeated rows belong to one class; null ids are larger
@@ -66,6 +68,8 @@ MU = 0.01  # DivideSkip's weight of a probe against a merge step
 BROADCAST_ROWS = 500_000
 FILTER_BITS = 1 << 27
 SKETCH_BITS = 512
+COPY_BYTES = 128  # of all sketches sent with a set's signatures, per shingle
+COPY_POWER = 14
 COUNT_SLOTS = 1 << 22
 SALTS = 16
 _NO_ID = 2**63 - 1
@@ -127,9 +131,15 @@ class Bounds:
 def signatures(s: np.ndarray, offs: np.ndarray, wanted: np.ndarray, bounds: Bounds) -> tuple[np.ndarray, np.ndarray]:
     """(signatures, count per set): for the wanted sets, in their own size group and, where a
     linked set may be in it, in the next one."""
+    sig, owner, _ = grouped_signatures(s, offs, wanted, bounds)
+    return sig, np.bincount(owner, minlength=len(offs) - 1)
+
+
+def grouped_signatures(s: np.ndarray, offs: np.ndarray, wanted: np.ndarray, bounds: Bounds) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(signatures, set, size group) in the order of the sets, see :func:`signatures`."""
     size = np.diff(offs)
     own = bounds.group(size)
-    out, owner = [], []
+    out, owner, group = [], [], []
     for step in (0, 1):
         g = own + step
         use = wanted & (size > 0)
@@ -159,11 +169,12 @@ def signatures(s: np.ndarray, offs: np.ndarray, wanted: np.ndarray, bounds: Boun
             sig = mix(mix(lo + np.uint64(0x8EBC6AF09C88C6E3)) + hi * np.uint64(0x589965CC75374CC3) + mix(label))
             out.append(sig[full])
             owner.append(sets[which_set][full])
+            group.append(g[sets][which_set][full])
     if not out:
-        return np.zeros(0, np.uint64), np.zeros(len(size), np.int64)
-    sig, owner = np.concatenate(out), np.concatenate(owner)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    sig, owner, group = np.concatenate(out), np.concatenate(owner), np.concatenate(group)
     order = np.argsort(owner, kind="stable")
-    return sig[order], np.bincount(owner, minlength=len(size))
+    return sig[order], owner[order], group[order]
 
 
 def set_class(s: np.ndarray, offs: np.ndarray) -> np.ndarray:
@@ -186,6 +197,27 @@ def sketch(s: np.ndarray, bounds: Bounds) -> bytes:
     return np.packbits((np.bincount(slot, minlength=bits) & 1).astype(np.uint8)).tobytes()
 
 
+def group_sketches(s: np.ndarray, offs: np.ndarray, sets: np.ndarray, group: np.ndarray, copies: np.ndarray, bounds: Bounds) -> pa.Array:
+    """Parities as of :func:`sketch` of the given sets: four slots per allowed difference of the size group.
+
+    A sketch that is sent in many ``copies`` is narrower, so that all of them stay in proportion to the set.
+    """
+    size = np.diff(offs)[sets]
+    wide = np.ceil(np.log2(4 * bounds.difference(2 * bounds.tops[group]) + 1)).astype(np.int64)
+    most = np.floor(np.log2(np.maximum(8 * COPY_BYTES * size // copies, 1))).astype(np.int64)
+    bits = 2 ** np.clip(np.minimum(wide, most), 6, COPY_POWER)
+    out = np.empty(len(sets), object)
+    for w in np.unique(bits).tolist():
+        at = np.flatnonzero(bits == w)
+        row = np.repeat(np.arange(len(at)), size[at])
+        take = np.arange(len(row)) - np.repeat(np.cumsum(size[at]) - size[at], size[at]) + np.repeat(offs[sets[at]], size[at])
+        slot = (mix(s[take] + np.uint64(0x9FB21C651E98DF25)) & np.uint64(w - 1)).astype(np.int64)
+        odd = (np.bincount(row * w + slot, minlength=len(at) * w) & 1).astype(np.uint8)
+        packed = np.packbits(odd).tobytes()
+        out[at] = [packed[k:k + w // 8] for k in range(0, len(packed), w // 8)]
+    return pa.array(out, pa.binary())
+
+
 def folded(sketches: list[bytes]) -> dict[int, np.ndarray]:
     """Matrices of sketches by width in words, each with the rows that are as wide or wider (others are zero)."""
     width = np.array([len(x) // 8 for x in sketches], np.int64)
@@ -194,8 +226,9 @@ def folded(sketches: list[bytes]) -> dict[int, np.ndarray]:
         m = np.zeros((len(sketches), w), np.uint64)
         own = np.flatnonzero(width == w)
         m[own] = np.frombuffer(b"".join(sketches[k] for k in own), np.uint64).reshape(len(own), w)
-        for k in np.flatnonzero(width > w).tolist():
-            m[k] = np.bitwise_xor.reduce(np.frombuffer(sketches[k], np.uint64).reshape(-1, w), axis=0)
+        for v in np.unique(width[width > w]).tolist():
+            wide = np.flatnonzero(width == v)
+            m[wide] = np.bitwise_xor.reduce(np.frombuffer(b"".join(sketches[k] for k in wide), np.uint64).reshape(len(wide), v // w, w), axis=1)
         out[w] = m
     return out
 
@@ -294,7 +327,7 @@ def profiles(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def recurring_signatures(docs: DataFrame, shingle: int, bounds: Bounds, bits: int = FILTER_BITS) -> DataFrame:
-    """(sig, cls): signatures of the classes (once a task) that pass the filter of those that come twice."""
+    """(sig, cls, n, sketch): signatures of the classes (once a task) that pass the filter of those that come twice."""
     def codes(batches):
         for _, _, _, s, o, _, new in _class_sets(batches, shingle):
             yield signatures(s, o, new, bounds)[0]
@@ -305,25 +338,95 @@ def recurring_signatures(docs: DataFrame, shingle: int, bounds: Bounds, bits: in
     def rows(batches):
         known = found.value
         for _, _, _, s, o, cls, new in _class_sets(batches, shingle):
-            sig, count = signatures(s, o, new, bounds)
+            sig, owner, group = grouped_signatures(s, o, new, bounds)
             ok = passes(known, sig)
-            yield pa.RecordBatch.from_arrays([pa.array(as_int64(sig[ok])), pa.array(as_int64(np.repeat(cls, count)[ok]))], names=["sig", "cls"])
+            sig, owner, group = sig[ok], owner[ok], group[ok]
+            pair, at, copies = np.unique(owner * 256 + group, return_inverse=True, return_counts=True)
+            sketches = group_sketches(s, o, pair // 256, pair % 256, copies, bounds)
+            yield pa.RecordBatch.from_arrays([pa.array(as_int64(sig)), pa.array(as_int64(cls[owner])), pa.array(np.diff(o)[owner], pa.int64()),
+                                              sketches.take(pa.array(at))], names=["sig", "cls", "n", "sketch"])
+
+    return docs.select("text").mapInArrow(rows, "sig long, cls long, n long, sketch binary")
+
+
+def _partnered(sig: np.ndarray, n: np.ndarray, sketches: list[bytes], bounds: Bounds) -> np.ndarray:
+    """Which rows have another one under their signature whose size and sketch allow a link."""
+    some = np.zeros(len(sig), bool)
+    bits, width = folded(sketches), np.array([len(x) // 8 for x in sketches])
+    at, step = np.arange(len(sig)), 0
+    while len(at):  # every pair of rows of one signature, by their distance in the order
+        step += 1
+        at = at[at + step < len(sig)]
+        at = at[sig[at + step] == sig[at]]
+        i, j = at, at + step
+        use = ~(some[i] & some[j]) & (np.minimum(n[i], n[j]) * bounds.den >= np.maximum(n[i], n[j]) * bounds.num)
+        i, j = i[use], j[use]
+        narrow = np.minimum(width[i], width[j])
+        for w in np.unique(narrow).tolist():
+            x, y = i[narrow == w], j[narrow == w]
+            use = np.bitwise_count(bits[w][x] ^ bits[w][y]).sum(axis=1) <= bounds.difference(n[x] + n[y])
+            some[x[use]] = some[y[use]] = True
+    return some
+
+
+def _shared(bounds: Bounds):
+    """Signatures with two classes or more: (sig, cls, hub), from rows sorted by sig and cls.
+
+    A class without a partner by size and sketch leaves the signature, so passages that sets
+    without a link share bring nobody together.  A signature of more than ``BLOCK_SETS`` classes is passed on whole, batch by batch.
+    """
+    def made(sig, cls, hub):
+        return pa.RecordBatch.from_arrays([pa.array(sig), pa.array(cls), pa.array(hub)], names=["sig", "cls", "hub"])
 
-    return docs.select("text").mapInArrow(rows, "sig long, cls long")
+    def likely(parts):
+        t = pa.Table.from_batches(parts)
+        sig, cls, n = (t.column(c).to_numpy() for c in ("sig", "cls", "n"))
+        some = _partnered(sig, n, t.column("sketch").to_pylist(), bounds)
+        sig, cls = sig[some], cls[some]
+        head = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]])) if len(sig) else np.zeros(0, np.int64)
+        return made(sig, cls, np.repeat(cls[head], np.diff(np.append(head, len(sig)))))
 
+    def rows(batches):
+        last = hub = None  # the last row; the hub of the last signature once it is a large one
+        rest, held = [], 0  # rows of the last signature while it is not
+        for b in batches:
+            if not b.num_rows:
+                continue
+            sig, cls = b.column("sig").to_numpy(), b.column("cls").to_numpy()
+            new = np.ones(len(sig), bool)
+            new[1:] = (sig[1:] != sig[:-1]) | (cls[1:] != cls[:-1])
+            if last is not None:
+                new[0] = (sig[0], cls[0]) != last
+            before, last = last, (sig[-1], cls[-1])
+            b = b.filter(pa.array(new))
+            if not b.num_rows:
+                continue
+            sig, cls = sig[new], cls[new]
+            more = int(np.searchsorted(sig, before[0], side="right")) if before is not None else 0
+            tail = int(np.searchsorted(sig, sig[-1]))
+            if more < len(sig):  # the last signature ends here, and others up to the tail
+                if hub is not None:
+                    yield made(sig[:more], cls[:more], np.full(more, hub))
+                    rest = [b.slice(more, tail - more)]
+                else:
+                    rest.append(b.slice(0, tail))
+                yield likely(rest)
+                rest, held, hub = [], 0, None
+                b, sig, cls = b.slice(tail), sig[tail:], cls[tail:]
+            if hub is None:
+                rest.append(b)
+                held += len(sig)
+                if held > BLOCK_SETS:
+                    hub = rest[0].column("cls")[0].as_py()
+                    for x in rest:
+                        yield made(x.column("sig").to_numpy(), x.column("cls").to_numpy(), np.full(x.num_rows, hub))
+                    rest = []
+            else:
+                yield made(sig, cls, np.full(len(sig), hub))
+        if rest:
+            yield likely(rest)
 
-def _shared(batches):
-    """Signatures with two classes or more: (sig, cls, hub)."""
-    for t in sorted_groups(batches, "sig"):
-        sig, cls = t.column("sig").to_numpy(), t.column("cls").to_numpy()
-        new = np.ones(len(sig), bool)
-        new[1:] = (sig[1:] != sig[:-1]) | (cls[1:] != cls[:-1])
-        sig, cls = sig[new], cls[new]
-        head = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
-        count = np.diff(np.append(head, len(sig)))
-        many = np.repeat(count > 1, count)
-        hub = np.repeat(cls[head], count)
-        yield pa.RecordBatch.from_arrays([pa.array(sig[many]), pa.array(cls[many]), pa.array(hub[many])], names=["sig", "cls", "hub"])
+    return rows
 
 
 def _asked(rows: DataFrame) -> DataFrame:
@@ -416,13 +519,12 @@ def _open(shared: DataFrame, part: DataFrame) -> DataFrame:
     """(sig, cls, root, members, hub, hub_root) under the signatures that join several components of ``part``."""
     sizes = part.groupBy("root").agg(F.count("*").alias("members"))
     roots = compact(part.join(sizes, "root").select(F.col("node").alias("cls"), "root", "members"))
-    rows = shared.select("sig", "cls").join(when_small(roots, BROADCAST_ROWS), "cls", "left").select(
-        "sig", "cls", F.coalesce("root", "cls").alias("root"), F.coalesce("members", F.lit(1).cast("long")).alias("members"))
-    mixed = compact(rows.groupBy("sig").agg(F.min("root").alias("a"), F.max("root").alias("z"), F.min("cls").alias("hub"))
-                         .where("a <> z").select("sig", "hub"))
-    hubs = roots.select(F.col("cls").alias("hub"), F.col("root").alias("hub_root"))
-    return compact(rows.join(when_small(mixed, BROADCAST_ROWS), "sig").join(when_small(hubs, BROADCAST_ROWS), "hub", "left")
-                   .withColumn("hub_root", F.coalesce("hub_root", "hub")))
+    # classes are joined, not their signatures
+    rows = (shared.groupBy("cls").agg(F.collect_list("sig").alias("sigs")).join(when_small(roots, BROADCAST_ROWS), "cls", "left").select(
+        F.explode("sigs").alias("sig"), "cls", F.coalesce("root", "cls").alias("root"), F.coalesce("members", F.lit(1).cast("long")).alias("members")))
+    mixed = compact(rows.groupBy("sig").agg(F.min("root").alias("a"), F.max("root").alias("z"), F.min(F.struct("cls", "root")).alias("hub"))
+                         .where("a <> z").select("sig", F.col("hub.cls").alias("hub"), F.col("hub.root").alias("hub_root")))
+    return compact(rows.join(when_small(mixed, BROADCAST_ROWS), "sig"))
 
 
 def _likely(bounds: Bounds):
@@ -458,8 +560,9 @@ def _likely(bounds: Bounds):
 
 def _with_partner(blocks: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
     """(hub, cls, root, n) of the rows of ``blocks`` (hub, chunk, cls, root, first) that :func:`_likely` keeps, each once."""
-    return (blocks.withColumn("g", F.xxhash64("hub", "chunk")).join(sets.select("cls", "n", "sketch"), "cls")
-            .repartition("g").sortWithinPartitions("g")
+    # classes are joined, not their places in blocks
+    return (blocks.groupBy("cls", "root").agg(F.collect_list(F.xxhash64("hub", "chunk")).alias("gs")).join(sets.select("cls", "n", "sketch"), "cls")
+            .select(F.explode("gs").alias("g"), "cls", "root", "n", "sketch").repartition("g").sortWithinPartitions("g")
             .mapInArrow(_likely(bounds), "hub long, cls long, root long, n long").distinct())
 
 
@@ -482,6 +585,8 @@ def _rest(rows: DataFrame, sets: DataFrame, bounds: Bounds) -> DataFrame:
     # signatures of few classes: those with a likely partner; signatures of many classes: all
     block = low.where("few").select(F.col("sig").alias("hub"), F.lit(0).cast("long").alias("chunk"), "cls", "root", F.lit(False).alias("first"))
     left = compact(_with_partner(block, sets, bounds).select("cls", "root").union(low.where("not few").select("cls", "root")).distinct())
+    if not left.written_rows:
+        return found if found is not None else left.select(F.col("cls").alias("a"), F.col("root").alias("b"))
     # sets that share many rare shingles meet once, under the least class of their blocks
     few = _searched(_parted(compact(_with_partner(compact(_prefixed(left, sets, bounds)), sets, bounds))), sets, bounds)
     return found.union(few) if found is not None else few
@@ -499,7 +604,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     release(spark)
     prof = checkpointed(profiles(rows, shingle))
     shared = checkpointed(recurring_signatures(rows, shingle, bounds).repartition("sig").sortWithinPartitions("sig", "cls")
-                          .mapInArrow(_shared, "sig long, cls long, hub long"))
+                          .mapInArrow(_shared(bounds), "sig long, cls long, hub long"))
 
     # the sets of the classes that meet another class, from one document of each
     met = shared.select("cls").distinct()
@@ -533,7 +638,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     edges = compact(_searched(blocks, sets, bounds))
     large = family.where("not small").select(F.col("node").alias("cls"))
     if not large.isEmpty():
-        rows_l = checkpointed(shared.join(when_small(large, BROADCAST_ROWS), "cls", "left_semi"))
+        rows_l = checkpointed(shared.groupBy("cls").agg(F.collect_list(F.struct("sig", "hub")).alias("at"))
+                              .join(when_small(compact(large), BROADCAST_ROWS), "cls", "left_semi")
+                              .select("cls", F.explode("at").alias("at")).select("at.sig", "cls", "at.hub"))
         own = compact(_linked(rows_l.groupBy("cls").agg(F.min("hub").alias("hub")), sets, bounds))
         rows_open = _open(rows_l, compact(components(own)))
         for _ in range(MERGE_ROUNDS):  # a class joins the block of its smallest hub in another component
