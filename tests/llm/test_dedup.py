@@ -355,3 +355,29 @@ def test_passages_alone_bring_no_classes_together(spark, docs):
     assert 6 <= shared.select("cls").distinct().count() <= 20  # three pairs of near copies in one template
     got = jaccard_join.jaccard_components(docs(rows)).select("doc_id", "n_shingles", "component_id").collect()
     assert sorted(map(tuple, got)) == sorted(brute_components(rows, 4, 85, 100))
+
+
+def test_compact_counts_in_few_tasks(spark):
+    sc = spark.sparkContext
+    sc.setJobGroup("compact", "count of a written table")
+    try:
+        out = common.compact(spark.range(1000, numPartitions=300))
+        status = sc.statusTracker()
+        tasks = [status.getStageInfo(s).numTasks for j in status.getJobIdsForGroup("compact") for s in status.getJobInfo(j).stageIds]
+    finally:
+        sc._jsc.clearJobGroup()
+    assert out.written_rows == 1000 and sorted(r.id for r in out.collect()) == list(range(1000))
+    assert sorted(tasks)[-1] == 300 and sorted(tasks)[-2] <= 4 * sc.defaultParallelism  # written by 300, counted by few
+
+
+def test_jaccard_steps_release_what_the_driver_holds(spark, docs, monkeypatch):
+    steps = []
+    monkeypatch.setattr(jaccard_join, "release", lambda spark: steps.append("release"))
+    for name in ("compact", "checkpointed"):
+        monkeypatch.setattr(jaccard_join, name, lambda df, *a, f=getattr(jaccard_join, name): (steps.append("write"), f(df, *a))[1])
+    monkeypatch.setattr(jaccard_join, "BLOCK_SETS", 4)  # large families too
+    rows = [(k, t) for k, (_, t) in enumerate(corpus(5))]
+    got = jaccard_join.jaccard_components(docs(rows)).select("doc_id", "n_shingles", "component_id").collect()
+    assert sorted(map(tuple, got)) == sorted(brute_components(rows, 4, 85, 100))
+    # signature rows and the documents that sets are made of are released before the next step is planned
+    assert steps[:6] == ["release", "write", "write", "release", "write", "release"]

@@ -146,8 +146,11 @@ def remove_folder(spark: SparkSession, path: str) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Let the context cleaner remove broadcasts, shuffle files and checkpoints of finished steps: it acts on what both garbage collectors have dropped."""
+    """Let the context cleaner remove broadcasts, shuffle files and checkpoints of finished steps: it acts on what both garbage collectors have dropped.
+
+    Called between steps, it also keeps the driver's heap and Arrow's pool near what is in use."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     spark._jvm.System.gc()
 
 
@@ -230,9 +233,12 @@ def when_small(df: DataFrame, rows: int) -> DataFrame:
 
 
 def compact(df: DataFrame, rows: int = 500_000) -> DataFrame:
-    """A written table in as many partitions as its rows need (narrow tables of ids)."""
+    """A written table in as many partitions as its rows need (narrow tables of ids).
+
+    The count needs no task per shuffle partition: each task is kept by the driver.
+    """
     out = checkpointed(df)
-    n = out.count()
+    n = out.coalesce(4 * df.sparkSession.sparkContext.defaultParallelism).count()
     out = out.coalesce(max(1, -(-n // rows)))
     out.written_rows = n
     return out

@@ -606,11 +606,11 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     shared = checkpointed(recurring_signatures(rows, shingle, bounds).repartition("sig").sortWithinPartitions("sig", "cls")
                           .mapInArrow(_shared(bounds), "sig long, cls long, hub long"))
 
-    # the sets of the classes that meet another class, from one document of each
+    release(spark)
+    # the sets of the classes that meet another class, from one document of each (copies are one row before the join)
     met = shared.select("cls").distinct()
-    one = prof.select("cls", "id", "th").join(met, "cls").groupBy("cls").agg(F.min("id").alias("id"))
-    one = prof.select("cls", "id", "th").join(one, ["cls", "id"]).groupBy("cls", "id").agg(F.min("th").alias("th"))
-    one = compact(one)
+    one = compact(prof.where("n > 0").groupBy("cls").agg(F.min(F.struct("id", "th")).alias("low")).join(met, "cls").select("cls", "low.id", "low.th"))
+    release(spark)
 
     def as_sets(batches):
         for b in batches:
@@ -622,9 +622,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                      pa.array([sketch(s[x:y], bounds) for x, y in zip(o[:-1], o[1:])], pa.binary())], names=["cls", "n", "set", "sketch"])
 
     picked = rows.join(when_small(one, BROADCAST_ROWS), ["id", "th"])
-    again = prof.groupBy("id", "th").agg(F.count("*").alias("n")).where("n > 1").join(one, ["id", "th"])
+    again = prof.join(when_small(one, BROADCAST_ROWS), ["id", "th"], "left_semi").groupBy("id", "th").agg(F.count("*").alias("n")).where("n > 1")
     if not again.isEmpty():  # identical rows: one of them
         picked = picked.dropDuplicates(["cls"])
+    release(spark)
     sets = checkpointed(picked.select("cls", "text").mapInArrow(as_sets, "cls long, n long, set array<long>, sketch binary"))
 
     release(spark)
@@ -636,6 +637,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     blocks = family.where("small").select(F.col("root").alias("hub"), F.lit(0).cast("long").alias("chunk"), F.col("node").alias("cls"),
                                           F.col("node").alias("root"), F.lit(False).alias("first"))
     edges = compact(_searched(blocks, sets, bounds))
+    release(spark)
     large = family.where("not small").select(F.col("node").alias("cls"))
     if not large.isEmpty():
         rows_l = checkpointed(shared.groupBy("cls").agg(F.collect_list(F.struct("sig", "hub")).alias("at"))
@@ -643,12 +645,14 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                               .select("cls", F.explode("at").alias("at")).select("at.sig", "cls", "at.hub"))
         own = compact(_linked(rows_l.groupBy("cls").agg(F.min("hub").alias("hub")), sets, bounds))
         rows_open = _open(rows_l, compact(components(own)))
+        release(spark)
         for _ in range(MERGE_ROUNDS):  # a class joins the block of its smallest hub in another component
             again = compact(rows_open.where("root <> hub_root").groupBy("cls").agg(F.min("hub").alias("hub")))
             if again.isEmpty():
                 break
             own = compact(own.union(_linked(again, sets, bounds)))
             rows_open = _open(rows_open, compact(components(own)))
+            release(spark)
         edges = edges.union(own).union(_rest(rows_open, sets, bounds))
     part = compact(components(edges))
     release(spark)
@@ -672,6 +676,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """One document of each component stays, columns unchanged (five-word shingles, similarity 0.8)."""
     per = checkpointed(jaccard_components(docs, id_col, text_col, shingle, num, den)
                        .select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("id"), "th", "stays", (F.col("n_shingles") > 0).alias("some")))
+    release(docs.sparkSession)
     again = per.where("stays and some").groupBy("id", "th").agg(F.count("*").alias("n")).where("n > 1").select("id", "th")
     return drop_rows(docs, [F.coalesce(F.col(id_col).cast("long"), F.lit(_NO_ID)), F.xxhash64(F.col(text_col).cast("string"))],
                      per.where("not stays").select("id", "th").distinct(), again)
