@@ -98,6 +98,22 @@ def test_license_wrapped_and_inside_one_line(spark):
     assert all(got[100 + k] == (None, "none", 0) for k in range(40))
 
 
+def test_license_words_around_long_runs(spark):
+    """A run of any length between two words: spaces, rules of signs, letters outside a-z, dots."""
+    n = 300_000
+    files = [
+        (1, "a/x", "Released under" + " " * n + "the MIT License."),
+        (2, "b/x", "Licensed under the Apache License, Version" + " =" * n + "2.0."),
+        (3, "c/x", "Released under the MIT License" + "." * n),
+        (4, "d/x", "éç, " * n + "\n" + "許" * n + "\nReleased under the MIT License."),
+        (5, "e/x", "." * n + " é " * n),
+    ]
+    df = spark.createDataFrame(files, "doc_id long, path string, text string")
+    got = {r.doc_id: (r.license, r.how, r.score, r.n_statements) for r in license_scan.scan(df).collect()}
+    assert got == {1: ("MIT", "file", 1.0, 1), 2: ("Apache-2.0", "file", 1.0, 1), 3: ("MIT", "file", 1.0, 1),
+                   4: ("MIT", "file", 1.0, 1), 5: (None, "none", None, 0)}
+
+
 # ---- HTML
 
 

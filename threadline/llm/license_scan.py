@@ -73,8 +73,9 @@ SALTS = 16
 #: Words of a line that is searched by windows, words that share one row in that search, words of a short whole text.
 LONG_LINE, CHUNK, WHOLE = 48, 64, 128
 LINE, WINDOW, TEXT = 0, 1, 2
-#: Between words: anything but letters, digits and dots before a digit (versions such as 2.0).
-WORD_BREAK = r"(?:[^a-z0-9.]|\.(?![0-9]))+"
+#: Between words: anything but letters, digits and dots before a digit (versions such as 2.0).  Not a repeated group: Java
+#: recurses once for each repeat, and a run of some thousand characters would overflow a task's stack and end its executor.
+WORD_BREAK = r"[^a-z0-9.]+|\.+(?![0-9])"
 
 
 def line_words(line: Column) -> Column:
